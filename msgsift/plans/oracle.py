@@ -177,3 +177,83 @@ FROM (SELECT gs.*, gt.nt, row_number() OVER (PARTITION BY gs.n ORDER BY cnt DESC
       FROM gs JOIN gt ON gs.n = gt.n), nm
 WHERE rk <= 30
 """
+
+
+# -- §2.1 -------------------------------------------------------------------------------
+
+RAW = """raw AS (
+  SELECT CAST(d.doc_id AS BIGINT) AS row_id, CAST(l.toxic AS VARCHAR) AS label, d.text AS text
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+
+LRAW = """raw AS (
+  SELECT CAST(d.doc_id AS BIGINT) AS row_id, CAST(l.toxic AS VARCHAR) AS label, d.text AS text
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
+
+FLAGS = f"""fl AS (
+  SELECT row_id, label, text,
+         (label IS NULL OR {strip('label')} = '') AS missing_label,
+         (text IS NULL OR {strip('text')} = '') AS missing_text
+  FROM raw),
+fl2 AS (SELECT *, ({label_case('label')} IS NULL AND NOT missing_label) AS invalid_label FROM fl)"""
+
+ORACLES["row_quality_flags"] = _with(RAW, FLAGS) + "SELECT row_id, missing_label, missing_text, invalid_label FROM fl2\n"
+
+ORACLES["quality_summary"] = _with(RAW, FLAGS) + f"""
+SELECT CAST(count(*) AS BIGINT) AS raw_rows,
+       CAST(count(*) FILTER (WHERE missing_label) AS BIGINT) AS missing_label_count,
+       CAST(count(*) FILTER (WHERE missing_text) AS BIGINT) AS missing_text_count,
+       CAST(count(*) FILTER (WHERE missing_text) AS BIGINT) AS empty_text_count,
+       CAST(count(*) FILTER (WHERE invalid_label) AS BIGINT) AS invalid_label_count,
+       CAST(count(DISTINCT CASE WHEN invalid_label THEN {strip('label')} END) AS BIGINT) AS distinct_invalid_labels
+FROM fl2
+"""
+
+ORACLES["normalize_messages"] = _with(LRAW) + f"SELECT row_id, {label_case('label')} AS label, {strip('text')} AS text FROM raw\n"
+
+ORACLES["assign_row_id"] = _with(MSG) + """
+SELECT CAST(row_number() OVER (ORDER BY row_id) AS BIGINT) AS row_id, row_id AS doc_id, label FROM msg
+"""
+
+ORACLES["duplicate_rows"] = f"""
+WITH d AS (SELECT CAST(doc_id AS BIGINT) AS row_id, {strip('text')} AS text FROM documents),
+c AS (SELECT text, count(*) AS cnt FROM d GROUP BY text)
+SELECT d.row_id, CAST(length(d.text) AS INTEGER) AS n_chars FROM d JOIN c ON d.text = c.text WHERE c.cnt > 1
+"""
+
+DUPS = """bt AS (SELECT text, count(*) AS cnt FROM msg GROUP BY text),
+bp AS (SELECT label, text, count(*) AS cnt FROM msg GROUP BY label, text)"""
+
+ORACLES["duplicate_stats"] = _with(MSG, DUPS) + """
+SELECT CAST(coalesce(sum(cnt) FILTER (WHERE cnt > 1), 0) AS BIGINT) AS duplicate_message_count,
+       CAST(count(*) FILTER (WHERE cnt > 1) AS BIGINT) AS duplicate_message_groups,
+       (SELECT CAST(coalesce(sum(cnt) FILTER (WHERE cnt > 1), 0) AS BIGINT) FROM bp) AS exact_duplicate_row_count
+FROM bt
+"""
+
+ORACLES["dedup_keep_first"] = _with(MSG, """k AS (SELECT text, min(row_id) AS rid FROM msg GROUP BY text)""") + """
+SELECT CAST(row_number() OVER (ORDER BY m.row_id) AS BIGINT) AS row_id, m.row_id AS source_row_id, m.label,
+       CAST(length(m.text) AS INTEGER) AS n_chars
+FROM msg m JOIN k ON m.row_id = k.rid
+"""
+
+ORACLES["label_counts"] = _with(MSG) + """
+SELECT CAST(count(*) FILTER (WHERE label = 'ham') AS BIGINT) AS ham_count,
+       CAST(count(*) FILTER (WHERE label = 'spam') AS BIGINT) AS spam_count FROM msg
+"""
+
+ORACLES["validation_summary"] = _with(LRAW, FLAGS, MSG, DUPS, """k AS (SELECT text, min(row_id) AS rid FROM msg GROUP BY text),
+fin AS (SELECT m.* FROM msg m JOIN k ON m.row_id = k.rid)""") + """
+SELECT CAST(count(*) AS BIGINT) AS raw_rows,
+       CAST(count(*) FILTER (WHERE missing_label) AS BIGINT) AS missing_label_count,
+       CAST(count(*) FILTER (WHERE missing_text) AS BIGINT) AS missing_text_count,
+       CAST(count(*) FILTER (WHERE missing_text) AS BIGINT) AS empty_text_count,
+       CAST(count(*) FILTER (WHERE invalid_label) AS BIGINT) AS invalid_label_count,
+       (SELECT CAST(count(*) AS BIGINT) FROM fin) AS validated_rows,
+       (SELECT CAST(count(*) FILTER (WHERE label = 'ham') AS BIGINT) FROM fin) AS ham_count,
+       (SELECT CAST(count(*) FILTER (WHERE label = 'spam') AS BIGINT) FROM fin) AS spam_count,
+       (SELECT CAST(coalesce(sum(cnt) FILTER (WHERE cnt > 1), 0) AS BIGINT) FROM bt) AS duplicate_message_count,
+       (SELECT CAST(count(*) FILTER (WHERE cnt > 1) AS BIGINT) FROM bt) AS duplicate_message_groups,
+       (SELECT CAST(coalesce(sum(cnt) FILTER (WHERE cnt > 1), 0) AS BIGINT) FROM bp) AS exact_duplicate_row_count,
+       (SELECT CAST(count(*) AS BIGINT) FROM msg) - (SELECT CAST(count(*) AS BIGINT) FROM fin) AS duplicate_messages_removed
+FROM fl2
+"""

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from msgsift.functions.labels import normalize_label
 from msgsift.functions.text import strip_ws, tokenize
 from msgsift.operators import corpus as C
+from msgsift.operators import quality as Q
 from msgsift.operators._util import round_doubles
-from msgsift.sources.tables import labelled_messages, read_table
+from msgsift.sources.tables import labelled_messages, labelled_raw, raw_messages, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,3 +110,56 @@ def q_typical_ham(spark, sf):
 @register("frequent_ngrams")
 def q_frequent_ngrams(spark, sf):
     return C.frequent_ngrams(_tokens(spark, sf), sizes=(2, 3), top_n=30)
+
+
+# -- §2.1 quality, duplicates, numbering ------------------------------------------------
+
+
+@register("row_quality_flags")
+def q_row_quality_flags(spark, sf):
+    return Q.row_quality_flags(raw_messages(spark, sf)).select(
+        "row_id", "missing_label", "missing_text", "invalid_label")
+
+
+@register("quality_summary")
+def q_quality_summary(spark, sf):
+    return Q.quality_summary(Q.row_quality_flags(raw_messages(spark, sf)))
+
+
+@register("normalize_messages")
+def q_normalize_messages(spark, sf):
+    return Q.normalize_messages(labelled_raw(spark, sf))
+
+
+@register("assign_row_id")
+def q_assign_row_id(spark, sf):
+    msgs = labelled_messages(spark, sf).withColumnRenamed("row_id", "doc_id")
+    return Q.assign_row_id(msgs, ["doc_id"]).select("row_id", "doc_id", "label")
+
+
+@register("duplicate_rows")
+def q_duplicate_rows(spark, sf):
+    docs = read_table(spark, sf, "documents").select(F.col("doc_id").cast("long").alias("row_id"),
+                                                     strip_ws("text").alias("text"))
+    return Q.duplicate_rows(docs).select("row_id", F.length("text").alias("n_chars"))
+
+
+@register("duplicate_stats")
+def q_duplicate_stats(spark, sf):
+    return Q.duplicate_stats(labelled_messages(spark, sf))
+
+
+@register("dedup_keep_first")
+def q_dedup_keep_first(spark, sf):
+    return Q.dedup_keep_first(labelled_messages(spark, sf)).select(
+        "row_id", "source_row_id", "label", F.length("text").alias("n_chars"))
+
+
+@register("label_counts")
+def q_label_counts(spark, sf):
+    return Q.label_counts(labelled_messages(spark, sf))
+
+
+@register("validation_summary")
+def q_validation_summary(spark, sf):
+    return Q.validation_counts(labelled_raw(spark, sf), drop_duplicates=True)

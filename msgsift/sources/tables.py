@@ -59,3 +59,25 @@ def benchmark_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("label"),
         F.col("text"),
     )
+
+
+def raw_messages(spark: SparkSession, sf_dir: str, label_column: str = "toxic") -> DataFrame:
+    """documents ⟕ labels as raw strings: (row_id, label, text), label null when unlabelled."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labs = read_table(spark, sf_dir, "labels").select("doc_id", label_column)
+    return docs.join(labs, "doc_id", "left").select(
+        F.col("doc_id").cast("long").alias("row_id"),
+        F.col(label_column).cast("string").alias("label"),
+        F.col("text"),
+    )
+
+
+def labelled_raw(spark: SparkSession, sf_dir: str, label_column: str = "toxic") -> DataFrame:
+    """documents ⋈ labels as raw strings (not yet normalised)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labs = read_table(spark, sf_dir, "labels").select("doc_id", label_column)
+    return docs.join(labs, "doc_id").select(
+        F.col("doc_id").cast("long").alias("row_id"),
+        F.col(label_column).cast("string").alias("label"),
+        F.col("text"),
+    )
