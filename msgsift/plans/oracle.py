@@ -257,3 +257,210 @@ SELECT CAST(count(*) AS BIGINT) AS raw_rows,
        (SELECT CAST(count(*) AS BIGINT) FROM msg) - (SELECT CAST(count(*) AS BIGINT) FROM fin) AS duplicate_messages_removed
 FROM fl2
 """
+
+
+# -- §2.5 splits ---------------------------------------------------------------------------
+
+ROW_SPLIT = """qc AS (SELECT label, count(*) AS c FROM msg GROUP BY label),
+qn AS (SELECT CAST(sum(c) AS BIGINT) AS n, CAST(ceil(0.2 * sum(c)) AS BIGINT) AS nt FROM qc),
+qa AS (SELECT label, c, (c * (n - nt)) // n AS base, (c * (n - nt)) % n AS rem, n - nt AS ntr FROM qc, qn),
+qb AS (SELECT *, ntr - sum(base) OVER () AS short, row_number() OVER (ORDER BY rem DESC, label ASC) AS rk FROM qa),
+qq AS (SELECT label, c - (base + CASE WHEN rk <= short THEN 1 ELSE 0 END) AS q FROM qb),
+sp AS (SELECT m.row_id, m.label, m.text,
+              CASE WHEN row_number() OVER (PARTITION BY m.label
+                       ORDER BY md5('42:' || CAST(m.row_id AS VARCHAR)), m.row_id) <= qq.q
+                   THEN 'test' ELSE 'train' END AS split
+       FROM msg m JOIN qq ON m.label = qq.label)"""
+
+GROUP_SPLIT = """gk AS (SELECT DISTINCT md5('42:' || text) AS k FROM msg),
+gq AS (SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS q FROM gk),
+gt AS (SELECT k FROM (SELECT k, row_number() OVER (ORDER BY k) AS rn FROM gk), gq WHERE rn <= q),
+sp AS (SELECT m.row_id, m.label, m.text,
+              CASE WHEN md5('42:' || m.text) IN (SELECT k FROM gt) THEN 'test' ELSE 'train' END AS split
+       FROM msg m)"""
+
+ORACLES["stratified_split"] = _with(MSG, ROW_SPLIT) + "SELECT row_id, label, split FROM sp\n"
+ORACLES["grouped_split"] = _with(MSG, GROUP_SPLIT) + "SELECT row_id, label, split FROM sp\n"
+
+ORACLES["split_leakage"] = _with(MSG, ROW_SPLIT, """g AS (
+  SELECT text, count(*) AS cnt, max(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS in_train,
+         max(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS in_test,
+         count(*) FILTER (WHERE split = 'test') AS test_rows FROM sp GROUP BY text)""") + """
+SELECT CAST(coalesce(sum(cnt) FILTER (WHERE cnt > 1), 0) AS BIGINT) AS duplicate_message_rows,
+       CAST(count(*) FILTER (WHERE cnt > 1) AS BIGINT) AS duplicate_message_groups,
+       CAST(count(*) FILTER (WHERE in_train = 1 AND in_test = 1) AS BIGINT) AS text_overlap_count,
+       CAST(coalesce(sum(test_rows) FILTER (WHERE in_train = 1 AND in_test = 1), 0) AS BIGINT) AS test_rows_with_train_text
+FROM g
+"""
+
+ORACLES["split_profile"] = _with(MSG, GROUP_SPLIT, """g AS (
+  SELECT text, max(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS in_train,
+         max(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS in_test FROM sp GROUP BY text)""") + """
+SELECT CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS train_rows,
+       CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) AS test_rows,
+       CAST(count(*) FILTER (WHERE split = 'train' AND label = 'ham') AS BIGINT) AS train_ham,
+       CAST(count(*) FILTER (WHERE split = 'train' AND label = 'spam') AS BIGINT) AS train_spam,
+       CAST(count(*) FILTER (WHERE split = 'test' AND label = 'ham') AS BIGINT) AS test_ham,
+       CAST(count(*) FILTER (WHERE split = 'test' AND label = 'spam') AS BIGINT) AS test_spam,
+       (SELECT CAST(count(*) FILTER (WHERE in_train = 1) AS BIGINT) FROM g) AS train_unique_texts,
+       (SELECT CAST(count(*) FILTER (WHERE in_test = 1) AS BIGINT) FROM g) AS test_unique_texts,
+       (SELECT CAST(count(*) FILTER (WHERE in_train = 1 AND in_test = 1) AS BIGINT) FROM g) AS text_overlap_count
+FROM sp
+"""
+
+ORACLES["class_weights"] = _with(MSG, """c AS (SELECT label, count(*) AS nc FROM msg GROUP BY label),
+w AS (SELECT label, sum(nc) OVER () / (count(*) OVER () * nc) AS weight FROM c)""") + f"""
+SELECT m.row_id, m.label, {r9('CAST(w.weight AS DOUBLE)')} AS weight FROM msg m JOIN w ON m.label = w.label
+"""
+
+ORACLES["sample_messages"] = _with(MSG) + """
+SELECT row_id, label FROM (
+  SELECT row_id, label, row_number() OVER (ORDER BY md5('42:' || CAST(row_id AS VARCHAR)), row_id) AS rn FROM msg)
+WHERE rn <= 100
+"""
+
+
+# -- §2.6 evaluation -------------------------------------------------------------------------
+
+def _sigmoid(s: str) -> str:
+    return f"(CASE WHEN {s} >= 0 THEN 1.0 / (1.0 + exp(-{s})) ELSE exp({s}) / (1.0 + exp({s})) END)"
+
+
+def pred_ctes(split: str) -> str:
+    """msg -> split -> train-only term ratios -> test predictions (CTE ``pred``)."""
+    return _with(MSG, split, f"""tk AS (SELECT row_id, label, split, {tokens_expr('text')} AS toks FROM sp),
+tx AS (SELECT row_id, label, split, unnest(toks) AS token FROM tk),
+tr AS (SELECT token, sum(CASE WHEN label = 'spam' THEN 1 ELSE 0 END) AS sc,
+              sum(CASE WHEN label = 'ham' THEN 1 ELSE 0 END) AS hc
+       FROM tx WHERE split = 'train' GROUP BY token),
+trt AS (SELECT CAST(count(*) AS DOUBLE) AS v, CAST(sum(sc) AS DOUBLE) AS tp, CAST(sum(hc) AS DOUBLE) AS tn FROM tr),
+rt AS (SELECT token, ln(((sc + 0.5) / (tp + 0.5 * v)) / ((hc + 0.5) / (tn + 0.5 * v))) AS ratio FROM tr, trt),
+ts AS (SELECT x.row_id, sum(coalesce(rt.ratio, 0.0)) AS s FROM tx x LEFT JOIN rt ON x.token = rt.token
+       WHERE x.split = 'test' GROUP BY x.row_id),
+pred0 AS (SELECT t.row_id, t.label AS true_label, coalesce(ts.s, 0.0) AS s FROM tk t
+          LEFT JOIN ts ON t.row_id = ts.row_id WHERE t.split = 'test'),
+pred AS (SELECT row_id, true_label, CASE WHEN s > 0 THEN 'spam' ELSE 'ham' END AS predicted_label,
+                {r9(_sigmoid('s'))} AS spam_probability FROM pred0),
+pt AS (SELECT *, true_label = predicted_label AS is_correct,
+              CASE WHEN true_label = predicted_label THEN ''
+                   WHEN true_label = 'ham' AND predicted_label = 'spam' THEN 'false_positive_spam'
+                   WHEN true_label = 'spam' AND predicted_label = 'ham' THEN 'false_negative_spam'
+                   ELSE 'other_error' END AS error_type FROM pred)""")
+
+
+ROW_PRED = pred_ctes(ROW_SPLIT)
+GROUP_PRED = pred_ctes(GROUP_SPLIT)
+
+
+def d0(num: str, den: str) -> str:
+    return f"(CASE WHEN ({den}) = 0 THEN 0.0 ELSE CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END)"
+
+
+ORACLES["prediction_table"] = ROW_PRED + "SELECT row_id, true_label, predicted_label, spam_probability, is_correct, error_type FROM pt\n"
+
+ORACLES["confusion_matrix"] = ROW_PRED + """
+SELECT l.true_label,
+       CAST(count(p.row_id) FILTER (WHERE p.predicted_label = 'ham') AS BIGINT) AS pred_ham,
+       CAST(count(p.row_id) FILTER (WHERE p.predicted_label = 'spam') AS BIGINT) AS pred_spam
+FROM (VALUES ('ham'), ('spam')) l(true_label) LEFT JOIN pt p ON p.true_label = l.true_label
+GROUP BY l.true_label
+"""
+
+ORACLES["confusion_rates"] = ROW_PRED + f"""
+, cm AS (SELECT l.true_label,
+       count(p.row_id) FILTER (WHERE p.predicted_label = 'ham') AS h,
+       count(p.row_id) FILTER (WHERE p.predicted_label = 'spam') AS s
+FROM (VALUES ('ham'), ('spam')) l(true_label) LEFT JOIN pt p ON p.true_label = l.true_label GROUP BY l.true_label)
+SELECT true_label, {r9(d0('h', 'h + s'))} AS rate_ham, {r9(d0('s', 'h + s'))} AS rate_spam FROM cm
+""".replace("\n, cm AS", ",\ncm AS", 1)
+
+
+def _binary(src: str) -> str:
+    return f"""SELECT {r9(d0('count(*) FILTER (WHERE true_label = predicted_label)', 'count(*)'))} AS accuracy,
+       {r9(d0('tp', 'tp + fp'))} AS spam_precision, {r9(d0('tp', 'tp + fn'))} AS spam_recall,
+       {r9(d0('2 * tp', '2 * tp + fp + fn'))} AS spam_f1,
+       CAST(count(*) FILTER (WHERE true_label = 'ham') AS BIGINT) AS support_ham,
+       CAST(count(*) FILTER (WHERE true_label = 'spam') AS BIGINT) AS support_spam,
+       CAST(count(*) FILTER (WHERE true_label = 'ham' AND predicted_label = 'spam') AS BIGINT) AS false_positives,
+       CAST(count(*) FILTER (WHERE true_label = 'spam' AND predicted_label = 'ham') AS BIGINT) AS false_negatives
+FROM (SELECT *, count(*) FILTER (WHERE true_label = 'spam' AND predicted_label = 'spam') OVER () AS tp,
+             count(*) FILTER (WHERE true_label <> 'spam' AND predicted_label = 'spam') OVER () AS fp,
+             count(*) FILTER (WHERE true_label = 'spam' AND predicted_label <> 'spam') OVER () AS fn FROM {src})
+GROUP BY tp, fp, fn"""
+
+
+PER_CLASS = f""", pc AS (
+  SELECT l.cls AS class,
+         count(*) FILTER (WHERE p.true_label = l.cls AND p.predicted_label = l.cls) AS tp,
+         count(*) FILTER (WHERE p.true_label <> l.cls AND p.predicted_label = l.cls) AS fp,
+         count(*) FILTER (WHERE p.true_label = l.cls AND p.predicted_label <> l.cls) AS fn,
+         count(*) FILTER (WHERE p.true_label = l.cls) AS support
+  FROM (VALUES ('ham'), ('spam')) l(cls), pt p GROUP BY l.cls),
+pcm AS (SELECT class, support, {d0('tp', 'tp + fp')} AS precision, {d0('tp', 'tp + fn')} AS recall,
+               {d0('2 * tp', '2 * tp + fp + fn')} AS f1_score FROM pc),
+av AS (SELECT avg(precision) AS macro_precision, avg(recall) AS macro_recall, avg(f1_score) AS macro_f1,
+              {d0('sum(precision * support)', 'sum(support)')} AS weighted_precision,
+              {d0('sum(recall * support)', 'sum(support)')} AS weighted_recall,
+              {d0('sum(f1_score * support)', 'sum(support)')} AS weighted_f1 FROM pcm)
+"""
+
+ORACLES["binary_metrics"] = ROW_PRED + _binary("pt") + "\n"
+
+ORACLES["averaged_metrics"] = ROW_PRED + PER_CLASS + f"""
+SELECT {r9('macro_precision')} AS macro_precision, {r9('macro_recall')} AS macro_recall, {r9('macro_f1')} AS macro_f1,
+       {r9('weighted_precision')} AS weighted_precision, {r9('weighted_recall')} AS weighted_recall,
+       {r9('weighted_f1')} AS weighted_f1 FROM av
+"""
+
+ORACLES["classification_report"] = ROW_PRED + PER_CLASS + f"""
+SELECT class, {r9('precision')} AS precision, {r9('recall')} AS recall, {r9('f1_score')} AS f1_score,
+       CAST(support AS BIGINT) AS support FROM pcm
+UNION ALL SELECT 'accuracy', NULL, NULL,
+       {r9(d0('count(*) FILTER (WHERE true_label = predicted_label)', 'count(*)'))}, CAST(count(*) AS BIGINT) FROM pt
+UNION ALL SELECT 'macro avg', {r9('macro_precision')}, {r9('macro_recall')}, {r9('macro_f1')},
+       (SELECT CAST(count(*) AS BIGINT) FROM pt) FROM av
+UNION ALL SELECT 'weighted avg', {r9('weighted_precision')}, {r9('weighted_recall')}, {r9('weighted_f1')},
+       (SELECT CAST(count(*) AS BIGINT) FROM pt) FROM av
+"""
+
+
+def _record(ctes: str, strategy: str) -> str:
+    body = _binary("pt").replace("SELECT ", "SELECT '" + strategy + "' AS evaluation_strategy, ", 1)
+    return ctes + PER_CLASS + f""", bm AS ({body})
+SELECT bm.*, {r9('macro_precision')} AS macro_precision, {r9('macro_recall')} AS macro_recall,
+       {r9('macro_f1')} AS macro_f1, {r9('weighted_precision')} AS weighted_precision,
+       {r9('weighted_recall')} AS weighted_recall, {r9('weighted_f1')} AS weighted_f1 FROM bm, av"""
+
+
+ORACLES["evaluation_comparison"] = (
+    "SELECT * FROM (" + _record(ROW_PRED, "row_stratified_split") + ")\nUNION ALL\nSELECT * FROM ("
+    + _record(GROUP_PRED, "group_shuffle_split_by_text") + ")\n"
+)
+
+ORACLES["error_examples"] = ROW_PRED + f"""
+SELECT row_id, true_label, predicted_label, spam_probability, is_correct, error_type,
+       {r9("CASE WHEN predicted_label = 'spam' THEN spam_probability ELSE 1 - spam_probability END")} AS confidence
+FROM pt WHERE error_type <> ''
+"""
+
+THRESH = """, sg AS (SELECT spam_probability AS score, count(*) FILTER (WHERE true_label = 'spam') AS pos,
+              count(*) FILTER (WHERE true_label <> 'spam') AS neg FROM pt GROUP BY spam_probability),
+cu AS (SELECT score, pos, neg, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp
+       FROM sg),
+tpos AS (SELECT count(*) FILTER (WHERE true_label = 'spam') AS P FROM pt)
+"""
+
+ORACLES["pr_curve"] = ROW_PRED + THRESH + f"""
+SELECT {r9('score')} AS threshold, {r9(d0('tp', 'tp + fp'))} AS precision,
+       {r9("CASE WHEN P = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) END")} AS recall FROM cu, tpos
+UNION ALL SELECT NULL, 1.0, 0.0
+"""
+
+ORACLES["average_precision"] = ROW_PRED + THRESH + f"""
+SELECT {r9(f"coalesce(sum(CAST(pos AS DOUBLE) / CAST(P AS DOUBLE) * {d0('tp', 'tp + fp')}), 0.0)")} AS average_precision
+FROM cu, tpos
+"""
+
+ORACLES["prevalence"] = ROW_PRED + f"""
+SELECT {r9("avg(CASE WHEN true_label = 'spam' THEN 1.0 ELSE 0.0 END)")} AS prevalence FROM pt
+"""

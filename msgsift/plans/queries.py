@@ -16,7 +16,11 @@ from msgsift.functions.labels import normalize_label
 from msgsift.functions.text import strip_ws, tokenize
 from msgsift.operators import corpus as C
 from msgsift.operators import quality as Q
+from msgsift.operators import splits as S
+from msgsift.operators import evaluate as EV
+from msgsift.plans.inputs import predictions, split_messages
 from msgsift.operators._util import round_doubles
+from msgsift.session import cut_lineage
 from msgsift.sources.tables import labelled_messages, labelled_raw, raw_messages, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +167,102 @@ def q_label_counts(spark, sf):
 @register("validation_summary")
 def q_validation_summary(spark, sf):
     return Q.validation_counts(labelled_raw(spark, sf), drop_duplicates=True)
+
+
+# -- §2.5 splits ---------------------------------------------------------------------------
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf):
+    return split_messages(spark, sf, "row").select("row_id", "label", "split")
+
+
+@register("grouped_split")
+def q_grouped_split(spark, sf):
+    return split_messages(spark, sf, "grouped").select("row_id", "label", "split")
+
+
+@register("split_leakage")
+def q_split_leakage(spark, sf):
+    return S.split_leakage(split_messages(spark, sf, "row"))
+
+
+@register("split_profile")
+def q_split_profile(spark, sf):
+    return S.split_profile(split_messages(spark, sf, "grouped"))
+
+
+@register("class_weights")
+def q_class_weights(spark, sf):
+    return round_doubles(S.class_weights(labelled_messages(spark, sf)).select("row_id", "label", "weight"), 9)
+
+
+@register("sample_messages")
+def q_sample_messages(spark, sf):
+    return S.sample_messages(labelled_messages(spark, sf), 100, seed=42).select("row_id", "label")
+
+
+# -- §2.6 evaluation (deterministic log-ratio predictions) ------------------------------
+
+
+def _pred(spark, sf, strategy="row"):
+    # Evaluation reads a materialised predictions table (as the stage boundary does
+    # in the batch flow): a reliable checkpoint in spark.checkpoint.dir.
+    return cut_lineage(EV.prediction_table(predictions(spark, sf, strategy)))
+
+
+@register("prediction_table")
+def q_prediction_table(spark, sf):
+    return _pred(spark, sf).drop("text")
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return EV.confusion_matrix(_pred(spark, sf))
+
+
+@register("binary_metrics")
+def q_binary_metrics(spark, sf):
+    return round_doubles(EV.binary_metrics(_pred(spark, sf)), 9)
+
+
+@register("averaged_metrics")
+def q_averaged_metrics(spark, sf):
+    return round_doubles(EV.averaged_metrics(_pred(spark, sf)), 9)
+
+
+@register("classification_report")
+def q_classification_report(spark, sf):
+    return round_doubles(EV.classification_report(_pred(spark, sf)), 9)
+
+
+@register("evaluation_comparison")
+def q_evaluation_comparison(spark, sf):
+    runs = {"row_stratified_split": _pred(spark, sf, "row"),
+            "group_shuffle_split_by_text": _pred(spark, sf, "grouped")}
+    return round_doubles(EV.evaluation_comparison(runs), 9)
+
+
+@register("error_examples")
+def q_error_examples(spark, sf):
+    return round_doubles(EV.error_examples(_pred(spark, sf)).drop("text"), 9)
+
+
+@register("pr_curve")
+def q_pr_curve(spark, sf):
+    return round_doubles(EV.pr_curve(_pred(spark, sf)), 9)
+
+
+@register("average_precision")
+def q_average_precision(spark, sf):
+    return round_doubles(EV.average_precision(_pred(spark, sf)), 9)
+
+
+@register("prevalence")
+def q_prevalence(spark, sf):
+    return round_doubles(EV.prevalence(_pred(spark, sf)), 9)
+
+
+@register("confusion_rates")
+def q_confusion_rates(spark, sf):
+    return round_doubles(EV.confusion_rates(_pred(spark, sf)), 9)
