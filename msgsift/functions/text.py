@@ -167,7 +167,11 @@ def word_analyzer(c: Column | str, *, accents: bool = True) -> Column:
 def ngram_range_terms(
     tokens: Column | str, *, max_n: int = 2, stopwords: Iterable[str] | None = None
 ) -> Column:
-    """Unigrams plus 2..max_n-grams; stopwords (if given) are removed first."""
+    """Unigrams plus 2..max_n-grams; stopwords (if given) are removed first.
+
+    Pass a column reference: the n-gram lambdas read ``tokens`` once per element, so
+    an expression (e.g. a filter) would be re-evaluated per element. With
+    ``stopwords`` prefer materialising ``stopword_filter`` as its own column."""
     t = _col(tokens)
     if stopwords is not None:
         t = stopword_filter(t, stopwords)

@@ -464,3 +464,130 @@ FROM cu, tpos
 ORACLES["prevalence"] = ROW_PRED + f"""
 SELECT {r9("avg(CASE WHEN true_label = 'spam' THEN 1.0 ELSE 0.0 END)")} AS prevalence FROM pt
 """
+
+
+# -- §2.2 more text functions ------------------------------------------------------------
+
+DOCS = f"""docs AS (SELECT CAST(doc_id AS BIGINT) AS row_id, text FROM documents)"""
+
+
+def norm_text(text: str, lowercase: bool = True) -> str:
+    e = strip(f"coalesce({text}, '')")
+    return f"lower({e})" if lowercase else e
+
+
+def raw_tokens(text: str) -> str:
+    return f"regexp_extract_all({norm_text(text)}, {sq(TOKEN_PATTERN)})"
+
+
+def stop_list() -> str:
+    from msgsift.functions.text import DEFAULT_STOPWORDS
+    return "[" + ", ".join(sq(w) for w in sorted(set(DEFAULT_STOPWORDS))) + "]"
+
+
+def summ(arr: str) -> str:
+    return f"CAST(len({arr}) AS INTEGER) AS n, md5(array_to_string({arr}, ' ')) AS md5"
+
+
+def words(text: str) -> str:
+    return f"regexp_extract_all(strip_accents(lower(coalesce({text}, ''))), {sq(WORD_PATTERN)})"
+
+
+def with_bigrams(arr: str) -> str:
+    return (f"list_concat({arr}, CASE WHEN len({arr}) >= 2 THEN list_transform(range(1, len({arr})), "
+            f"lambda i: {arr}[i] || ' ' || {arr}[i + 1]) ELSE [] END)")
+
+
+ORACLES["normalize_text"] = _with(DOCS) + f"""
+SELECT row_id, md5({norm_text('text')}) AS md5, CAST(length({norm_text('text', False)}) AS INTEGER) AS n_chars FROM docs
+"""
+
+ORACLES["filter_tokens"] = _with(DOCS, f"""t AS (SELECT row_id, list_filter({raw_tokens('text')},
+    lambda x: length(x) >= 3 AND NOT regexp_full_match(x, '[0-9]+') AND NOT list_contains({stop_list()}, x)) AS f FROM docs)""") + f"SELECT row_id, {summ('f')} FROM t\n"
+
+ORACLES["stopword_filter"] = _with(DOCS, f"""t AS (SELECT row_id, list_filter({tokens_expr('text')},
+    lambda x: NOT list_contains({stop_list()}, x)) AS f FROM docs)""") + f"SELECT row_id, {summ('f')} FROM t\n"
+
+ORACLES["make_ngrams"] = _with(DOCS, f"""t AS (SELECT row_id, {tokens_expr('text')} AS t FROM docs),
+g AS (SELECT row_id, CASE WHEN len(t) >= 3 THEN list_transform(range(1, len(t) - 1),
+    lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]) ELSE [] END AS g FROM t)""") + f"SELECT row_id, {summ('g')} FROM g\n"
+
+ORACLES["strip_accents"] = _with(DOCS) + "SELECT row_id, md5(strip_accents(lower(text))) AS md5 FROM docs\n"
+
+ORACLES["word_analyzer"] = _with(DOCS, f"w AS (SELECT row_id, {words('text')} AS w FROM docs)") + f"SELECT row_id, {summ('w')} FROM w\n"
+
+ORACLES["ngram_range_terms"] = _with(DOCS, f"w AS (SELECT row_id, {words('text')} AS w FROM docs)",
+                                     f"g AS (SELECT row_id, {with_bigrams('w')} AS g FROM w)") + f"SELECT row_id, {summ('g')} FROM g\n"
+
+
+# -- §2.4 features -----------------------------------------------------------------------
+
+TERMS = f"""terms AS (SELECT row_id, {with_bigrams('w')} AS terms FROM (SELECT row_id, {words('text')} AS w FROM msg)),
+tfx AS (SELECT row_id, unnest(terms) AS term FROM terms),
+tf AS (SELECT row_id, term, count(*) AS tf FROM tfx GROUP BY row_id, term),
+nd AS (SELECT count(*) AS n FROM msg),
+voc AS (SELECT term, count(*) AS df, sum(tf) AS tf_total FROM tf GROUP BY term HAVING count(*) >= 2),
+vocab AS (SELECT CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, term, CAST(df AS BIGINT) AS df,
+                 CAST(tf_total AS BIGINT) AS tf_total, ln((1.0 + n) / (1.0 + df)) + 1 AS idf FROM voc, nd)"""
+
+ORACLES["build_vocabulary"] = _with(MSG, TERMS) + f"SELECT idx, term, df, tf_total, {r9('idf')} AS idf FROM vocab\n"
+
+ORACLES["build_vocabulary_limited"] = _with(MSG, TERMS, """lim AS (SELECT * FROM voc ORDER BY tf_total DESC, term ASC LIMIT 500),
+vl AS (SELECT CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, term, CAST(df AS BIGINT) AS df,
+              CAST(tf_total AS BIGINT) AS tf_total, ln((1.0 + n) / (1.0 + df)) + 1 AS idf FROM lim, nd)""") + f"SELECT idx, term, df, tf_total, {r9('idf')} AS idf FROM vl\n"
+
+TFIDF = """w AS (SELECT t.row_id, t.term, (1 + ln(t.tf)) * v.idf AS w FROM tf t JOIN vocab v ON t.term = v.term),
+nrm AS (SELECT row_id, sqrt(sum(w * w)) AS nn FROM w GROUP BY row_id)"""
+
+ORACLES["tfidf_weights"] = _with(MSG, TERMS, TFIDF) + f"""
+SELECT w.row_id, w.term, {r9('w.w / nrm.nn')} AS weight FROM w JOIN nrm ON w.row_id = nrm.row_id
+UNION ALL SELECT row_id, NULL, NULL FROM msg WHERE row_id NOT IN (SELECT row_id FROM w)
+"""
+
+ORACLES["tfidf_transform"] = _with(MSG, TERMS, f"""bterms AS (SELECT CAST(item_id AS BIGINT) AS row_id,
+    {with_bigrams('w')} AS terms FROM (SELECT item_id, {words('text')} AS w FROM benchmark)),
+btx AS (SELECT row_id, unnest(terms) AS term FROM bterms),
+btf AS (SELECT row_id, term, count(*) AS tf FROM btx GROUP BY row_id, term),
+w AS (SELECT t.row_id, t.term, (1 + ln(t.tf)) * v.idf AS w FROM btf t JOIN vocab v ON t.term = v.term),
+nrm AS (SELECT row_id, sqrt(sum(w * w)) AS nn FROM w GROUP BY row_id)""") + f"""
+SELECT w.row_id, w.term, {r9('w.w / nrm.nn')} AS weight FROM w JOIN nrm ON w.row_id = nrm.row_id
+UNION ALL SELECT CAST(item_id AS BIGINT), NULL, NULL FROM benchmark WHERE CAST(item_id AS BIGINT) NOT IN (SELECT row_id FROM w)
+"""
+
+ORACLES["assemble_sparse"] = _with(MSG, TERMS, """lim AS (SELECT * FROM voc ORDER BY tf_total DESC, term ASC LIMIT 500),
+vocab2 AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1 AS idf FROM lim, nd),
+w AS (SELECT t.row_id, (1 + ln(t.tf)) * v.idf AS w FROM tf t JOIN vocab2 v ON t.term = v.term),
+nrm AS (SELECT row_id, count(*) AS nnz, sum(w * w) AS ss FROM w GROUP BY row_id)""") + """
+SELECT m.row_id, CAST(coalesce(nnz, 0) AS INTEGER) AS nnz,
+       round(CASE WHEN nnz IS NULL THEN 0.0 ELSE ss / ss END, 6) AS sq_norm
+FROM msg m LEFT JOIN nrm ON m.row_id = nrm.row_id
+"""
+
+ORACLES["l2_normalize"] = f"""
+WITH e AS (SELECT CAST(vec_id AS BIGINT) AS vec_id, embedding,
+                  sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS nn
+           FROM embeddings),
+x AS (SELECT vec_id, nn, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM e)
+SELECT vec_id, CAST(dim AS INTEGER) AS dim,
+       {r9('CASE WHEN nn = 0 THEN CAST(v AS DOUBLE) ELSE CAST(v AS DOUBLE) / nn END')} AS value FROM x
+"""
+
+ORACLES["training_metadata"] = _with(MSG, ROW_SPLIT) + """
+SELECT CAST(count(*) AS BIGINT) AS total_rows,
+       CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS train_rows,
+       CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) AS test_rows,
+       CAST(count(*) FILTER (WHERE label = 'ham') AS BIGINT) AS class_ham,
+       CAST(count(*) FILTER (WHERE label = 'ham' AND split = 'train') AS BIGINT) AS train_ham,
+       CAST(count(*) FILTER (WHERE label = 'ham' AND split = 'test') AS BIGINT) AS test_ham,
+       CAST(count(*) FILTER (WHERE label = 'spam') AS BIGINT) AS class_spam,
+       CAST(count(*) FILTER (WHERE label = 'spam' AND split = 'train') AS BIGINT) AS train_spam,
+       CAST(count(*) FILTER (WHERE label = 'spam' AND split = 'test') AS BIGINT) AS test_spam,
+       0.2 AS test_size, 42 AS random_state
+FROM sp
+"""
+
+ORACLES["corpus_fingerprint"] = _with(MSG, """h AS (SELECT md5(label || chr(9) || text) AS h FROM msg),
+s AS (SELECT count(*) AS n, sum(CAST(('0x' || substr(h, 1, 15)) AS BIGINT)) AS sa,
+             sum(CAST(('0x' || substr(h, 16, 15)) AS BIGINT)) AS sb FROM h)""") + """
+SELECT CAST(n AS BIGINT) AS rows, md5(CAST(n AS VARCHAR) || ':' || CAST(sa AS VARCHAR) || ':' || CAST(sb AS VARCHAR)) AS fingerprint FROM s
+"""

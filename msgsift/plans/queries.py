@@ -13,11 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgsift.functions.labels import normalize_label
-from msgsift.functions.text import strip_ws, tokenize
+from msgsift.functions.text import (
+    DEFAULT_STOPWORDS, filter_tokens, make_ngrams, ngram_range_terms, normalize_text, stopword_filter,
+    strip_accents, strip_ws, tokenize, word_analyzer,
+)
 from msgsift.operators import corpus as C
 from msgsift.operators import quality as Q
 from msgsift.operators import splits as S
 from msgsift.operators import evaluate as EV
+from msgsift.operators import features as FT
+from msgsift.operators import classify as CL
 from msgsift.plans.inputs import predictions, split_messages
 from msgsift.operators._util import round_doubles
 from msgsift.session import cut_lineage
@@ -266,3 +271,168 @@ def q_prevalence(spark, sf):
 @register("confusion_rates")
 def q_confusion_rates(spark, sf):
     return round_doubles(EV.confusion_rates(_pred(spark, sf)), 9)
+
+
+# -- §2.2 more text functions over all documents -------------------------------------
+
+
+def _docs(spark, sf):
+    return read_table(spark, sf, "documents").select(F.col("doc_id").cast("long").alias("row_id"), "text")
+
+
+def _arr_summary(df, col):
+    return df.select(
+        "row_id",
+        F.size(col).cast("int").alias("n"),
+        F.md5(F.array_join(col, " ")).alias("md5"),
+    )
+
+
+@register("normalize_text")
+def q_normalize_text(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("row_id", F.md5(normalize_text(F.col("text"))).alias("md5"),
+                    F.length(normalize_text(F.col("text"), lowercase=False)).cast("int").alias("n_chars"))
+
+
+@register("filter_tokens")
+def q_filter_tokens(spark, sf):
+    d = _docs(spark, sf).withColumn("t", tokenize(F.col("text"), filter_numeric_only=False))
+    d = d.withColumn("f", filter_tokens(F.col("t"), min_token_length=3, remove_stopwords=True))
+    return _arr_summary(d, "f")
+
+
+@register("stopword_filter")
+def q_stopword_filter(spark, sf):
+    d = _docs(spark, sf).withColumn("t", tokenize(F.col("text")))
+    return _arr_summary(d.withColumn("f", stopword_filter(F.col("t"), DEFAULT_STOPWORDS)), "f")
+
+
+@register("make_ngrams")
+def q_make_ngrams(spark, sf):
+    d = _docs(spark, sf).withColumn("t", tokenize(F.col("text")))
+    return _arr_summary(d.withColumn("g", make_ngrams(F.col("t"), 3)), "g")
+
+
+@register("strip_accents")
+def q_strip_accents(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("row_id", F.md5(strip_accents(F.lower(F.col("text")))).alias("md5"))
+
+
+@register("word_analyzer")
+def q_word_analyzer(spark, sf):
+    d = _docs(spark, sf).withColumn("w", word_analyzer(F.col("text")))
+    return _arr_summary(d, "w")
+
+
+@register("ngram_range_terms")
+def q_ngram_range_terms(spark, sf):
+    d = _docs(spark, sf).withColumn("w", word_analyzer(F.col("text")))
+    return _arr_summary(d.withColumn("g", ngram_range_terms(F.col("w"), max_n=2)), "g")
+
+
+# -- §2.4 features ----------------------------------------------------------------------
+
+
+def _terms(spark, sf):
+    return FT.with_terms(labelled_messages(spark, sf))
+
+
+@register("build_vocabulary")
+def q_build_vocabulary(spark, sf):
+    return round_doubles(FT.build_vocabulary(_terms(spark, sf), min_df=2).drop("n_docs"), 9)
+
+
+@register("build_vocabulary_limited")
+def q_build_vocabulary_limited(spark, sf):
+    return round_doubles(FT.build_vocabulary(_terms(spark, sf), min_df=2, max_features=500).drop("n_docs"), 9)
+
+
+@register("tfidf_weights")
+def q_tfidf_weights(spark, sf):
+    terms = _terms(spark, sf)
+    vocab = FT.build_vocabulary(terms, min_df=2)
+    return round_doubles(FT.tfidf_transform(terms, vocab).select("row_id", "term", "weight"), 9)
+
+
+@register("tfidf_transform")
+def q_tfidf_transform(spark, sf):
+    vocab = FT.build_vocabulary(_terms(spark, sf), min_df=2)
+    bench = FT.with_terms(read_table(spark, sf, "benchmark").select(
+        F.col("item_id").cast("long").alias("row_id"), "text"))
+    return round_doubles(FT.tfidf_transform(bench, vocab).select("row_id", "term", "weight"), 9)
+
+
+@register("assemble_sparse")
+def q_assemble_sparse(spark, sf):
+    terms = _terms(spark, sf)
+    vocab = FT.build_vocabulary(terms, min_df=2, max_features=500)
+    rows = FT.to_sparse_rows(FT.tfidf_transform(terms, vocab, broadcast_vocab=True), 500)
+    vec = FT.assemble_sparse(rows)
+    from pyspark.ml.functions import vector_to_array
+    arr = vector_to_array(F.col("features"))
+    return vec.select(
+        "row_id",
+        F.size("indices").cast("int").alias("nnz"),
+        F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"),
+    )
+
+
+@register("l2_normalize")
+def q_l2_normalize(spark, sf):
+    e = read_table(spark, sf, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    n = FT.with_l2_normalized(e, "embedding", "unit")
+    return round_doubles(n.select("vec_id", F.posexplode("unit").alias("dim", "value")), 9)
+
+
+@register("lsa_embed")
+def q_lsa_embed(spark, sf):
+    emb, _meta = FT.lsa_embed(labelled_messages(spark, sf), dimensions=20, max_features=500)
+    return emb.select("row_id", F.size("embedding").alias("dims"))
+
+
+@register("batch_embed")
+def q_batch_embed(spark, sf):
+    return FT.batch_embed(_docs(spark, sf), FT.hashing_embedder(64), batch_size=64).select(
+        "row_id", F.size("embedding").alias("dims"))
+
+
+# -- §2.5 classifier --------------------------------------------------------------------
+
+
+def _fit(spark, sf, strategy="row"):
+    sp = split_messages(spark, sf, strategy).cache()
+    clf = CL.fit_classifier(sp.filter(F.col("split") == "train"))
+    return clf, sp
+
+
+@register("fit_classifier")
+def q_fit_classifier(spark, sf):
+    clf, _ = _fit(spark, sf)
+    coef = clf.model.coefficients.toArray().tolist()
+    return spark.createDataFrame([(i, float(c)) for i, c in enumerate(coef)], "idx int, coefficient double")
+
+
+@register("score_messages")
+def q_score_messages(spark, sf):
+    clf, sp = _fit(spark, sf)
+    test = sp.filter(F.col("split") == "test")
+    return CL.score_messages(clf, test).join(test.select("row_id", F.col("label").alias("true_label")), "row_id")
+
+
+@register("predict_confidence")
+def q_predict_confidence(spark, sf):
+    clf, _ = _fit(spark, sf)
+    bench = read_table(spark, sf, "benchmark").select(F.col("item_id").cast("long").alias("row_id"), "text")
+    return CL.predict_confidence(clf, bench)
+
+
+@register("training_metadata")
+def q_training_metadata(spark, sf):
+    return CL.training_metadata(split_messages(spark, sf, "row"))
+
+
+@register("corpus_fingerprint")
+def q_corpus_fingerprint(spark, sf):
+    return CL.corpus_fingerprint(labelled_messages(spark, sf))
