@@ -591,3 +591,70 @@ s AS (SELECT count(*) AS n, sum(CAST(('0x' || substr(h, 1, 15)) AS BIGINT)) AS s
              sum(CAST(('0x' || substr(h, 16, 15)) AS BIGINT)) AS sb FROM h)""") + """
 SELECT CAST(n AS BIGINT) AS rows, md5(CAST(n AS VARCHAR) || ':' || CAST(sa AS VARCHAR) || ':' || CAST(sb AS VARCHAR)) AS fingerprint FROM s
 """
+
+
+# -- §2.7 clustering ------------------------------------------------------------------------
+
+EMB = """e AS (SELECT CAST(vec_id AS BIGINT) AS row_id, CAST(label AS INTEGER) AS given, embedding FROM embeddings),
+ex AS (SELECT row_id, given, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS dim FROM e)"""
+
+ORACLES["nearest_centroid"] = _with(EMB, """cen AS (SELECT given AS c, dim, avg(CAST(v AS DOUBLE)) AS m FROM ex GROUP BY given, dim),
+cidx AS (SELECT c, CAST(dense_rank() OVER (ORDER BY c) - 1 AS INTEGER) AS ci FROM (SELECT DISTINCT c FROM cen)),
+dd AS (SELECT ex.row_id, ex.given, cidx.ci, sqrt(sum((CAST(ex.v AS DOUBLE) - cen.m) * (CAST(ex.v AS DOUBLE) - cen.m))) AS d
+       FROM ex JOIN cen ON ex.dim = cen.dim JOIN cidx ON cen.c = cidx.c GROUP BY ex.row_id, ex.given, cidx.ci),
+best AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY d, ci) AS rn FROM dd)""") + f"""
+SELECT row_id, given, ci AS cluster_id, {r9('d')} AS distance_to_centroid FROM best WHERE rn = 1
+"""
+
+ORACLES["silhouette"] = _with(EMB, """u AS (SELECT row_id, given, dim, CAST(v AS DOUBLE) / sqrt(sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE)) OVER (PARTITION BY row_id)) AS u FROM ex),
+pr AS (SELECT a.row_id AS i, b.row_id AS j, b.given AS cj, 1 - sum(a.u * b.u) AS d
+       FROM u a JOIN u b ON a.dim = b.dim AND a.row_id <> b.row_id GROUP BY a.row_id, b.row_id, b.given),
+own AS (SELECT row_id, given FROM e),
+pc AS (SELECT pr.i, pr.cj, own.given AS ci, avg(d) AS md FROM pr JOIN own ON pr.i = own.row_id GROUP BY pr.i, pr.cj, own.given),
+sz AS (SELECT given, count(*) AS n FROM e GROUP BY given),
+si AS (SELECT o.row_id, sz.n,
+              (SELECT md FROM pc WHERE pc.i = o.row_id AND pc.cj = o.given) AS a,
+              (SELECT min(md) FROM pc WHERE pc.i = o.row_id AND pc.cj <> o.given) AS b
+       FROM own o JOIN sz ON o.given = sz.given)""") + f"""
+SELECT {r9("avg(CASE WHEN n <= 1 OR b IS NULL THEN 0.0 WHEN greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END)")} AS silhouette FROM si
+"""
+
+LANGC = """lm AS (SELECT m.row_id, m.label, m.text, d.lang, CAST(length(m.text) AS DOUBLE) AS n
+       FROM msg m JOIN documents d ON m.row_id = d.doc_id),
+lg AS (SELECT lang, avg(n) AS mean_n, CAST(dense_rank() OVER (ORDER BY lang) - 1 AS INTEGER) AS cluster_id FROM lm GROUP BY lang),
+asg AS (SELECT lm.row_id, lm.label, lm.text, lg.cluster_id, abs(lm.n - lg.mean_n) / lg.mean_n AS distance_to_centroid
+        FROM lm JOIN lg ON lm.lang = lg.lang),
+nr AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY distance_to_centroid, row_id) AS rank FROM asg)"""
+
+ORACLES["cluster_assignments"] = _with(MSG, LANGC) + f"SELECT row_id, label, cluster_id, {r9('distance_to_centroid')} AS distance_to_centroid FROM asg\n"
+
+ORACLES["cluster_overview"] = _with(MSG, LANGC) + f"""
+SELECT cluster_id, CAST(count(*) AS BIGINT) AS size, CAST(count(*) FILTER (WHERE label = 'ham') AS BIGINT) AS ham,
+       CAST(count(*) FILTER (WHERE label = 'spam') AS BIGINT) AS spam,
+       {r9("avg(CASE WHEN label = 'spam' THEN 1.0 ELSE 0.0 END)")} AS spam_rate FROM asg GROUP BY cluster_id
+"""
+
+ORACLES["cluster_representatives"] = _with(MSG, LANGC) + """
+SELECT cluster_id, CAST(rank AS INTEGER) AS rank, row_id, label, md5(replace(text, '|', '/')) AS text_md5 FROM nr WHERE rank <= 5
+"""
+
+
+def _has(words) -> str:
+    return "max(CASE WHEN " + " OR ".join(f"contains(lower(text), {sq(w)})" for w in words) + " THEN 1 ELSE 0 END)"
+
+
+def _theme_sql() -> str:
+    from msgsift.operators.cluster import (HAM_FALLBACK, HAM_THEMES, SPAM_FALLBACK, SPAM_THEMES, THEME_SAMPLE,
+                                           THEME_SPAM_RATE)
+    return _with(MSG, LANGC, f"""fl AS (SELECT cluster_id, {_has(SPAM_THEMES[0][0])} AS s0, {_has(SPAM_THEMES[1][0])} AS s1,
+       {_has(HAM_THEMES[0][0])} AS h0, {_has(HAM_THEMES[1][0])} AS h1 FROM nr WHERE rank <= {THEME_SAMPLE} GROUP BY cluster_id),
+rt AS (SELECT cluster_id, avg(CASE WHEN label = 'spam' THEN 1.0 ELSE 0.0 END) AS rate FROM asg GROUP BY cluster_id)""") + f"""
+SELECT rt.cluster_id, CASE WHEN rate >= {THEME_SPAM_RATE} THEN
+         (CASE WHEN s0 = 1 THEN {sq(SPAM_THEMES[0][1])} WHEN s1 = 1 THEN {sq(SPAM_THEMES[1][1])} ELSE {sq(SPAM_FALLBACK)} END)
+       ELSE (CASE WHEN h0 = 1 THEN {sq(HAM_THEMES[0][1])} WHEN h1 = 1 THEN {sq(HAM_THEMES[1][1])} ELSE {sq(HAM_FALLBACK)} END)
+       END AS theme
+FROM rt JOIN fl ON rt.cluster_id = fl.cluster_id
+"""
+
+
+ORACLES["cluster_theme"] = _theme_sql()

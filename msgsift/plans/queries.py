@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from msgsift.functions.labels import normalize_label
@@ -23,6 +23,7 @@ from msgsift.operators import splits as S
 from msgsift.operators import evaluate as EV
 from msgsift.operators import features as FT
 from msgsift.operators import classify as CL
+from msgsift.operators import cluster as K
 from msgsift.plans.inputs import predictions, split_messages
 from msgsift.operators._util import round_doubles
 from msgsift.session import cut_lineage
@@ -436,3 +437,94 @@ def q_training_metadata(spark, sf):
 @register("corpus_fingerprint")
 def q_corpus_fingerprint(spark, sf):
     return CL.corpus_fingerprint(labelled_messages(spark, sf))
+
+
+# -- §2.7 clustering ----------------------------------------------------------------------
+
+
+def _emb(spark, sf):
+    return read_table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("long").alias("row_id"), "embedding", F.col("label").cast("int").alias("given"))
+
+
+@register("nearest_centroid")
+def q_nearest_centroid(spark, sf):
+    e = _emb(spark, sf)
+    cents = K.label_centroids(e, "given")
+    return round_doubles(K.nearest_centroid(e, cents).select("row_id", "given", "cluster_id", "distance_to_centroid"), 9)
+
+
+@register("silhouette")
+def q_silhouette(spark, sf):
+    return round_doubles(K.silhouette_table(_emb(spark, sf), prediction="given"), 9)
+
+
+@register("kmeans_fit")
+def q_kmeans_fit(spark, sf):
+    e = K.with_vector(_emb(spark, sf))
+    model = K.kmeans_fit(e, 10, seed=42, n_init=20)
+    return model.transform(e).select("row_id", F.col("prediction").alias("cluster_id"))
+
+
+@register("select_k")
+def q_select_k(spark, sf):
+    e = K.with_vector(_emb(spark, sf))
+    k, s = K.select_k(e, "auto", seed=42)
+    return e.limit(1).select(F.lit(k).alias("cluster_count"), F.lit(s).alias("silhouette_score"))
+
+
+@register("project_2d")
+def q_project_2d(spark, sf):
+    return K.project_2d(K.with_vector(_emb(spark, sf))).select("row_id", "x", "y")
+
+
+def _lang_clusters(spark, sf):
+    """A given clustering of the labelled messages: cluster = language (dense index in
+    language order), distance = |length - cluster mean length| / mean length.
+    The per-language table is bounded by the number of languages (broadcast)."""
+    msgs = labelled_messages(spark, sf)
+    docs = read_table(spark, sf, "documents").select(F.col("doc_id").cast("long").alias("row_id"), "lang")
+    m = msgs.join(docs, "row_id").withColumn("n", F.length("text").cast("double"))
+    langs = m.groupBy("lang").agg(F.avg("n").alias("mean_n"))
+    langs = langs.withColumn("cluster_id", (F.dense_rank().over(Window.orderBy("lang")) - 1).cast("int"))
+    return m.join(F.broadcast(langs), "lang").withColumn(
+        "distance_to_centroid", F.abs(F.col("n") - F.col("mean_n")) / F.col("mean_n")
+    ).select("row_id", "label", "text", "cluster_id", "distance_to_centroid")
+
+
+@register("cluster_assignments")
+def q_cluster_assignments(spark, sf):
+    return round_doubles(K.cluster_assignments(_lang_clusters(spark, sf)).drop("text"), 9)
+
+
+@register("cluster_overview")
+def q_cluster_overview(spark, sf):
+    return round_doubles(K.cluster_overview(_lang_clusters(spark, sf)), 9)
+
+
+@register("cluster_representatives")
+def q_cluster_representatives(spark, sf):
+    return K.cluster_representatives(_lang_clusters(spark, sf), 5).select(
+        "cluster_id", "rank", "row_id", "label", F.md5("text").alias("text_md5"))
+
+
+@register("cluster_theme")
+def q_cluster_theme(spark, sf):
+    return K.cluster_theme(_lang_clusters(spark, sf))
+
+
+@register("cluster_metadata")
+def q_cluster_metadata(spark, sf):
+    e = _emb(spark, sf)
+    s = K.silhouette_table(e, prediction="given").first()["silhouette"]
+    return K.cluster_metadata(spark, provider="given-labels", model="embeddings.label", dimensions=64,
+                              k=e.select("given").distinct().count(), total=e.count(), silhouette_score=s)
+
+
+@register("provider_comparison")
+def q_provider_comparison(spark, sf):
+    e = _emb(spark, sf)
+    s = K.silhouette_table(e, prediction="given").first()["silhouette"]
+    meta = K.cluster_metadata(spark, provider="given-labels", model="embeddings.label", dimensions=64,
+                              k=e.select("given").distinct().count(), total=e.count(), silhouette_score=s)
+    return K.provider_comparison(meta, ["given-labels", "lsa-local", "remote-embeddings"])
