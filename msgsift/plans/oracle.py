@@ -658,3 +658,68 @@ FROM rt JOIN fl ON rt.cluster_id = fl.cluster_id
 
 
 ORACLES["cluster_theme"] = _theme_sql()
+
+
+# -- §2.8 -----------------------------------------------------------------------------------
+
+_W_US = 6 * 3600 * 1_000_000
+_R = 2
+
+RATE_LIMIT = f"""
+WITH RECURSIVE ev AS (
+  SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id, epoch_us(ts) AS t,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r(user_id, rn, event_id, t, allowed, retry_after, win) AS (
+  SELECT user_id, rn, event_id, t, true, CAST(0 AS BIGINT), [t] FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.user_id, e.rn, e.event_id, e.t,
+         len(list_filter(r.win, lambda x: x > e.t - {_W_US})) < {_R},
+         CASE WHEN len(list_filter(r.win, lambda x: x > e.t - {_W_US})) < {_R} THEN CAST(0 AS BIGINT)
+              ELSE CAST(greatest(1, floor(({_W_US} - (e.t - list_min(list_filter(r.win, lambda x: x > e.t - {_W_US}))))
+                                          / 1000000.0 + 0.999)) AS BIGINT) END,
+         CASE WHEN len(list_filter(r.win, lambda x: x > e.t - {_W_US})) < {_R}
+              THEN list_append(list_filter(r.win, lambda x: x > e.t - {_W_US}), e.t)
+              ELSE list_filter(r.win, lambda x: x > e.t - {_W_US}) END
+  FROM r JOIN ev e ON e.user_id = r.user_id AND e.rn = r.rn + 1)
+SELECT event_id, user_id, allowed, retry_after FROM r
+"""
+
+ORACLES["rate_limit_decisions"] = RATE_LIMIT
+ORACLES["rate_limit_stream"] = RATE_LIMIT
+
+_WS_OR = WHITESPACE_CLASS
+
+ORACLES["validate_requests"] = f"""
+WITH d AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS request_id, {strip("coalesce(text, '')")} AS clean FROM documents)
+SELECT request_id, reject_reason = '' AS accepted, reject_reason, CAST(length(clean) AS INTEGER) AS n_chars FROM (
+  SELECT request_id, clean, CASE WHEN length(clean) = 0 THEN 'empty_text' WHEN length(clean) > 10000 THEN 'text_too_long'
+                                 ELSE '' END AS reject_reason FROM d)
+"""
+
+ORACLES["top_words_chart"] = _with(MSG, TOK, RUNS, """st AS (
+  SELECT token, sum(tf) AS cnt, """ + FIRST + """ AS fs FROM runs GROUP BY token),
+top AS (SELECT *, row_number() OVER (ORDER BY cnt DESC, fs ASC) AS rk FROM st)""") + """
+SELECT token, CAST(cnt AS BIGINT) AS count FROM top WHERE rk <= 20
+"""
+
+ORACLES["vocabulary_chart"] = _with(MSG, TOK, RUNS, TERM_SCORES_CTE) + f"""
+SELECT token, {r9('log_rate_ratio_spam_vs_ham')} AS score, 'spam' AS label FROM (
+  SELECT *, row_number() OVER (ORDER BY log_rate_ratio_spam_vs_ham DESC, spam_count DESC, token ASC) AS rk FROM sc)
+WHERE rk <= 15
+UNION ALL
+SELECT token, {r9('log_rate_ratio_ham_vs_spam')} AS score, 'ham' AS label FROM (
+  SELECT *, row_number() OVER (ORDER BY log_rate_ratio_ham_vs_spam DESC, ham_count DESC, token ASC) AS rk FROM sc)
+WHERE rk <= 15
+"""
+
+ORACLES["ngram_chart"] = _with(MSG, TOK, NGRAMS_CTE) + """
+SELECT ngram, CAST(cnt AS BIGINT) AS count, CASE WHEN n = 2 THEN 'bigram' ELSE 'trigram' END AS kind
+FROM (SELECT gs.*, row_number() OVER (PARTITION BY gs.n ORDER BY cnt DESC, fs ASC) AS rk FROM gs)
+WHERE rk <= 10
+"""
+
+ORACLES["metrics_chart"] = "WITH cmp AS (" + ORACLES["evaluation_comparison"] + """)
+SELECT evaluation_strategy AS strategy, 'spam_precision' AS metric, spam_precision AS value FROM cmp
+UNION ALL SELECT evaluation_strategy, 'spam_recall', spam_recall FROM cmp
+UNION ALL SELECT evaluation_strategy, 'spam_f1', spam_f1 FROM cmp
+"""

@@ -528,3 +528,105 @@ def q_provider_comparison(spark, sf):
     meta = K.cluster_metadata(spark, provider="given-labels", model="embeddings.label", dimensions=64,
                               k=e.select("given").distinct().count(), total=e.count(), silhouette_score=s)
     return K.provider_comparison(meta, ["given-labels", "lsa-local", "remote-embeddings"])
+
+
+# -- §2.8 streaming re-aims -----------------------------------------------------------------
+
+LIMIT_REQUESTS = 2
+LIMIT_WINDOW_S = 6 * 3600.0
+
+
+@register("rate_limit_decisions")
+def q_rate_limit_decisions(spark, sf):
+    from msgsift.streaming.ratelimit import rate_limit_decisions
+    return rate_limit_decisions(read_table(spark, sf, "events"), requests=LIMIT_REQUESTS,
+                                window_seconds=LIMIT_WINDOW_S)
+
+
+@register("rate_limit_stream")
+def q_rate_limit_stream(spark, sf):
+    """Same decisions from a Structured Streaming query (file source, availableNow)."""
+    import tempfile
+    from msgsift.session import checkpoint_dir
+    from msgsift.streaming.ratelimit import rate_limit_stream
+
+    events = read_table(spark, sf, "events")
+    src = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    base = checkpoint_dir(spark).rstrip("/")
+    name = tempfile.mktemp(prefix="ratelimit-", dir="").strip("/")
+    out, ck = f"{base}/{name}/out", f"{base}/{name}/ck"
+    q = (rate_limit_stream(src, requests=LIMIT_REQUESTS, window_seconds=LIMIT_WINDOW_S)
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("validate_requests")
+def q_validate_requests(spark, sf):
+    from msgsift.streaming.requests import validate_requests
+    docs = read_table(spark, sf, "documents").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("request_id"), "text")
+    return validate_requests(docs).select("request_id", "accepted", "reject_reason",
+                                          F.length("clean_text").cast("int").alias("n_chars"))
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    """Fit on the labelled train side, then score `benchmark` + `documents` texts
+    arriving as a file stream; output equals batch scoring."""
+    import tempfile
+    from msgsift.session import checkpoint_dir
+    from msgsift.streaming.score import stream_score
+
+    clf, _ = _fit(spark, sf)
+    schema = "item_id long, text string"
+    src = spark.readStream.schema(schema).option("pathGlobFilter", "benchmark.parquet").parquet(sf).select(
+        F.concat(F.lit("item-"), F.col("item_id").cast("string")).alias("request_id"), "text")
+    base = checkpoint_dir(spark).rstrip("/")
+    name = tempfile.mktemp(prefix="score-", dir="").strip("/")
+    q = stream_score(clf, src, f"{base}/{name}/out", f"{base}/{name}/ck")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/{name}/out").drop("epoch_id")
+
+
+# -- §2.8 report-ready selections --------------------------------------------------------------
+
+
+@register("top_words_chart")
+def q_top_words_chart(spark, sf):
+    fw = C.frequent_words(_tokens(spark, sf), top_n=20)
+    return fw.select("token", "count").orderBy("count")
+
+
+@register("vocabulary_chart")
+def q_vocabulary_chart(spark, sf):
+    sc = C.term_scores(_tokens(spark, sf))
+    spam = C.typical_terms(sc, 15).select("token", F.col("log_rate_ratio_spam_vs_ham").alias("score"),
+                                          F.lit("spam").alias("label"))
+    ham = C.typical_terms(sc, 15, positive="ham", negative="spam").select(
+        "token", F.col("log_rate_ratio_ham_vs_spam").alias("score"), F.lit("ham").alias("label"))
+    return round_doubles(spam.unionByName(ham), 9)
+
+
+@register("ngram_chart")
+def q_ngram_chart(spark, sf):
+    ng = C.frequent_ngrams(_tokens(spark, sf), sizes=(2, 3), top_n=10)
+    return ng.select("ngram", "count", F.when(F.col("n") == 2, "bigram").otherwise("trigram").alias("kind"))
+
+
+@register("metrics_chart")
+def q_metrics_chart(spark, sf):
+    runs = {"row_stratified_split": _pred(spark, sf, "row"),
+            "group_shuffle_split_by_text": _pred(spark, sf, "grouped")}
+    cmp = EV.evaluation_comparison(runs)
+    long = cmp.select("evaluation_strategy", "spam_precision", "spam_recall", "spam_f1").unpivot(
+        ["evaluation_strategy"], ["spam_precision", "spam_recall", "spam_f1"], "metric", "value")
+    return round_doubles(long.withColumnRenamed("evaluation_strategy", "strategy"), 9)
+
+
+@register("cluster_points")
+def q_cluster_points(spark, sf):
+    e = K.with_vector(_emb(spark, sf))
+    pts = K.project_2d(e).withColumnRenamed("given", "cluster_id")
+    return S.sample_messages(pts, 300, seed=42).select("row_id", "x", "y", "cluster_id")
