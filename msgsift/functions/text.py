@@ -193,7 +193,7 @@ def with_token_runs(df: DataFrame, tokens_col: str, out: str = "runs") -> DataFr
     """
     s, st = f"_{out}_sorted", f"_{out}_starts"
     df = df.withColumn(
-        s, F.array_sort(F.transform(F.col(tokens_col), lambda x, i: F.struct(x.alias("token"), (i + 1).alias("pos"))))
+        s, F.sort_array(F.transform(F.col(tokens_col), lambda x, i: F.struct(x.alias("token"), (i + 1).alias("pos"))))
     )
     sc = F.col(s)
     n = F.size(sc)

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ class TextClassifier:
 
 def fit_classifier(train: DataFrame, *, positive: str = "spam", labels: Sequence[str] = DEFAULT_LABELS,
                    min_df: int = 2, max_iter: int = 1000, tol: float = 1e-4,
-                   penalize_intercept: bool = True) -> TextClassifier:
+                   penalize_intercept: bool = True, rows_per_partition: int = 20_000) -> TextClassifier:
     """Fit on (row_id, label, text) training rows only (vocabulary, idf and weights)."""
     terms = with_terms(train)
     vocab = build_vocabulary(terms, min_df=min_df).cache()
@@ -75,8 +76,14 @@ def fit_classifier(train: DataFrame, *, positive: str = "spam", labels: Sequence
         lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight", fitIntercept=True,
                                 standardization=False, regParam=1.0 / n, elasticNetParam=0.0, maxIter=max_iter,
                                 tol=tol)
-    model = lr.fit(data.select("features", "y", "weight").repartition(
-        int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    # Every L-BFGS iteration is one pass (a job) over the training data: size the
+    # partition count by data volume (rows_per_partition) instead of a fixed number,
+    # so small inputs do not pay per-task overhead ~200 times and large ones spread.
+    parts = max(1, min(int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4,
+                       -(-n // rows_per_partition)))
+    fit_data = data.select("features", "y", "weight").repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    model = lr.fit(fit_data)
+    fit_data.unpersist()
     return TextClassifier(vocab=vocab, model=model, size=size, labels=tuple(labels), positive=positive)
 
 

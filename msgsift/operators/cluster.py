@@ -78,7 +78,7 @@ def label_centroids(df: DataFrame, group_col: str, *, array_col: str = "embeddin
     """Mean vector per group (k x d, collected: bounded by the number of groups)."""
     ex = df.select(group_col, F.posexplode(array_col).alias("dim", "v"))
     means = ex.groupBy(group_col, "dim").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    rows = means.groupBy(group_col).agg(F.array_sort(F.collect_list(F.struct("dim", "m"))).alias("c")).orderBy(
+    rows = means.groupBy(group_col).agg(F.sort_array(F.collect_list(F.struct("dim", "m"))).alias("c")).orderBy(
         group_col).collect()
     return [[x["m"] for x in r["c"]] for r in rows]
 
@@ -105,7 +105,7 @@ def silhouette_table(df: DataFrame, *, prediction: str = "cluster_id", array_col
     ex = unit.select("_c", F.posexplode("_v").alias("dim", "v"))
     sums = ex.groupBy("_c", "dim").agg(F.sum("v").alias("s"))
     sizes = {r["_c"]: r["n"] for r in unit.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = sums.groupBy("_c").agg(F.array_sort(F.collect_list(F.struct("dim", "s"))).alias("a")).collect()
+    rows = sums.groupBy("_c").agg(F.sort_array(F.collect_list(F.struct("dim", "s"))).alias("a")).collect()
     cents = {r["_c"]: [x["s"] for x in r["a"]] for r in rows}
     ids = sorted(cents)
     sarr = F.array(*[F.array(*[F.lit(float(x)) for x in cents[c]]) for c in ids])

@@ -95,7 +95,7 @@ def tfidf_transform(df: DataFrame, vocab: DataFrame, *, terms_col: str = "terms"
 def to_sparse_rows(long_df: DataFrame, size: int | Column) -> DataFrame:
     """(row_id, size, indices, values) with indices ascending; one row per row_id."""
     g = long_df.groupBy("row_id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", "weight")))).alias("_e")
+        F.sort_array(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", "weight")))).alias("_e")
     )
     return g.select(
         "row_id",

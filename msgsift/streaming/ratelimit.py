@@ -110,7 +110,7 @@ def _carry_out(decisions: DataFrame, requests: int, window_us: int, chunk_us: in
     tail = decisions.filter(F.col("allowed") & (F.col("t_us") > end - F.lit(window_us)))
     tail = tail.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= requests)
     return tail.groupBy("client", (F.col("chunk") + 1).alias("chunk")).agg(
-        F.array_sort(F.collect_list("t_us")).alias("carry"))
+        F.sort_array(F.collect_list("t_us")).alias("carry"))
 
 
 def rate_limit_decisions(events: DataFrame, *, requests: int = 30, window_seconds: float = 60.0,
