@@ -723,3 +723,18 @@ SELECT evaluation_strategy AS strategy, 'spam_precision' AS metric, spam_precisi
 UNION ALL SELECT evaluation_strategy, 'spam_recall', spam_recall FROM cmp
 UNION ALL SELECT evaluation_strategy, 'spam_f1', spam_f1 FROM cmp
 """
+
+
+# -- file round trips ----------------------------------------------------------------------
+
+ORACLES["read_messages"] = """
+SELECT CAST(row_number() OVER (ORDER BY d.doc_id) AS BIGINT) AS row_id, CAST(l.toxic AS VARCHAR) AS label,
+       md5(d.text) AS text_md5
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+ORACLES["validate_dataset"] = _with(MSG) + """
+SELECT CAST(row_number() OVER (ORDER BY row_id) AS BIGINT) AS row_id, label, md5(text) AS text_md5 FROM msg
+"""
+
+ORACLES["write_report_tables"] = ORACLES["frequent_words"]

@@ -630,3 +630,71 @@ def q_cluster_points(spark, sf):
     e = K.with_vector(_emb(spark, sf))
     pts = K.project_2d(e).withColumnRenamed("given", "cluster_id")
     return S.sample_messages(pts, 300, seed=42).select("row_id", "x", "y", "cluster_id")
+
+
+# -- §2.1 / §2.3 / §2.5 file round trips (sources, sinks, persistence) -----------------------
+
+
+def _scratch(spark, prefix):
+    import tempfile
+    from msgsift.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{tempfile.mktemp(prefix=prefix, dir='').strip('/')}"
+
+
+def validate_dataset(spark, raw_path, out_path, *, quote_multiline=True, drop_duplicates=False):
+    """read -> resolve columns -> fail-fast quality -> normalise -> number rows in file
+    order -> (dedup) -> write -> load with contract check."""
+    from msgsift.sources.delimited import read_messages, resolve_columns
+    from msgsift.sources.sinks import load_messages, write_messages
+
+    raw, _opts = read_messages(spark, raw_path, quote_multiline=quote_multiline)
+    label_col, text_col = resolve_columns(raw)
+    valid, _bad = Q.enforce_quality(raw, label_col=label_col, text_col=text_col)
+    norm = valid.select(normalize_label(F.col(f"`{label_col}`")).alias("label"),
+                        strip_ws(F.col(f"`{text_col}`")).alias("text"), "_order")
+    numbered = Q.assign_row_id(norm, ["_order"]).drop("_order")
+    if drop_duplicates:
+        numbered = Q.dedup_keep_first(numbered)
+    write_messages(numbered, out_path)
+    return load_messages(spark, out_path)
+
+
+@register("read_messages")
+def q_read_messages(spark, sf):
+    """Labelled messages written as a quoted CSV with header (label,message), read back
+    through option sniffing + column resolution, in file order."""
+    from msgsift.sources.delimited import read_messages, resolve_columns
+    base = _scratch(spark, "raw-")
+    src = labelled_raw(spark, sf).orderBy("row_id").select(F.col("label"), F.col("text").alias("message"))
+    src.write.option("header", "true").option("quote", '"').option("escape", '"').csv(base)
+    raw, _ = read_messages(spark, base, quote_multiline=True)
+    lab, txt = resolve_columns(raw)
+    return Q.assign_row_id(raw, ["_order"]).select("row_id", F.col(lab).alias("label"), F.md5(txt).alias("text_md5"))
+
+
+@register("validate_dataset")
+def q_validate_dataset(spark, sf):
+    base = _scratch(spark, "validate-")
+    src = labelled_raw(spark, sf).orderBy("row_id").select(F.col("label").alias("v1"), F.col("text").alias("v2"))
+    src.write.option("header", "true").option("quote", '"').option("escape", '"').csv(f"{base}/raw")
+    out = validate_dataset(spark, f"{base}/raw", f"{base}/validated")
+    return out.select("row_id", "label", F.md5("text").alias("text_md5"))
+
+
+@register("write_report_tables")
+def q_write_report_tables(spark, sf):
+    from msgsift.sources.sinks import write_report_tables
+    m = _tokens(spark, sf).cache()
+    paths = write_report_tables({"frequent_words": C.frequent_words(m, 50),
+                                 "frequent_ngrams": C.frequent_ngrams(m, top_n=30)}, _scratch(spark, "reports-"))
+    return spark.read.parquet(paths["frequent_words"])
+
+
+@register("persist_model")
+def q_persist_model(spark, sf):
+    """Fit, persist, load (validated), score the held-out rows with the loaded model."""
+    clf, sp = _fit(spark, sf)
+    path = _scratch(spark, "model-")
+    CL.persist_model(clf, path, {"train_rows": sp.filter("split = 'train'").count()})
+    loaded = CL.load_model(spark, path)
+    return CL.score_messages(loaded, sp.filter(F.col("split") == "test"))
