@@ -68,6 +68,17 @@ def corpus_stats(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     ).withColumn("unique_tokens", unique)
 
 
+def _totals(stats: DataFrame):
+    """One scalar subquery over the aggregated token table that references every
+    aggregated column, so column pruning leaves its partial aggregate identical to the
+    main plan's and the shuffle is reused instead of recomputed."""
+    return stats.select(F.struct(
+        F.sum("count").alias("tokens"),
+        F.sum("document_count").alias("pairs"),
+        F.min("first_seen").alias("first"),
+    )).scalar()
+
+
 def frequent_words(df: DataFrame, top_n: int = 50, tokens_col: str = "tokens") -> DataFrame:
     """Top-N tokens by count, ties by first occurrence in corpus order.
 
@@ -77,7 +88,7 @@ def frequent_words(df: DataFrame, top_n: int = 50, tokens_col: str = "tokens") -
     if top_n < 1:
         raise TextAnalysisError("top counts must be at least 1")
     stats = token_statistics(df, tokens_col)
-    total_tokens = stats.select(F.sum("count")).scalar()
+    total_tokens = _totals(stats)["tokens"]
     total_messages = df.select(F.count(F.lit(1))).scalar()
     ranked = top_n_ranked(stats, [F.desc("count"), F.asc("first_seen")], top_n)
     return ranked.select(
@@ -165,9 +176,12 @@ def term_scores(
             F.sum(F.when(F.col("label") == n, F.col("tf")).otherwise(0)).cast("long").alias(f"{n}_count"),
         )
     )
-    vocab = per_token.select(F.count(F.lit(1)).cast("double")).scalar()
-    t_p = per_token.select(F.sum(f"{p}_count").cast("double")).scalar()
-    t_n = per_token.select(F.sum(f"{n}_count").cast("double")).scalar()
+    tot = per_token.select(F.struct(
+        F.count(F.lit(1)).cast("double").alias("v"),
+        F.sum(f"{p}_count").cast("double").alias("tp"),
+        F.sum(f"{n}_count").cast("double").alias("tn"),
+    )).scalar()
+    vocab, t_p, t_n = tot["v"], tot["tp"], tot["tn"]
     s = F.lit(float(smoothing))
     rate_p = (F.col(f"{p}_count") + s) / (t_p + s * vocab)
     rate_n = (F.col(f"{n}_count") + s) / (t_n + s * vocab)
