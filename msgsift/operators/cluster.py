@@ -40,17 +40,28 @@ def with_vector(df: DataFrame, array_col: str = "embedding", out: str = "feature
 
 
 def kmeans_fit(df: DataFrame, k: int, *, seed: int = 42, n_init: int = 20, features: str = "features",
-               max_iter: int = 300) -> KMeansModel:
+               max_iter: int = 300, parallel_fits: int = 4) -> KMeansModel:
     """Best (lowest training cost) of ``n_init`` KMeans fits with seeds seed.. ."""
     if k < 2:
         raise ClusteringError("Cluster count must be at least 2.")
+    from concurrent.futures import ThreadPoolExecutor
+
     data = df.select(features).cache()
-    best = None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=max_iter).fit(data)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+    data.count()
+
+    def fit(i: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=max_iter).fit(data)
+
+    # restarts are independent jobs over the cached vectors: submit them concurrently
+    # (Spark schedules concurrent jobs); the winner is the same as a sequential loop
+    # (lowest cost, ties -> lowest seed).
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel_fits, n_init))) as pool:
+        models = list(pool.map(fit, range(n_init)))
     data.unpersist()
+    best = None
+    for m in models:
+        if best is None or m.summary.trainingCost < best.summary.trainingCost:
+            best = m
     return best
 
 
