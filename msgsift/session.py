@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -55,6 +57,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the executors, once per application.
+
+    The sources go as one zip through the shared checkpoint folder to ``addPyFile``, so Python
+    tasks work wherever the driver was started and whatever ``PYTHONPATH`` the executors have.
+    """
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    if sc.applicationId in _shipped or not os.path.isdir(root):
+        return
+    blob = io.BytesIO()
+    with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join(os.path.basename(root), os.path.relpath(full, root)))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{os.path.basename(root)}-{sc.applicationId}.zip"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(blob.getvalue()))
+    out.close()
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from msgsift.functions.labels import normalize_label
 from msgsift.functions.text import strip_ws
+from msgsift.session import ship_package
 
 MESSAGE_COLUMNS = ("row_id", "label", "text")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
