@@ -7,13 +7,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from msgsift.session import checkpoint_dir
+from msgsift.session import checkpoint_dir, ship_package
 
 #: A side is broadcast only when it has been written and counted, and holds at most this many rows.
 BROADCAST_ROWS = 500_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

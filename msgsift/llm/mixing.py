@@ -58,15 +58,17 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
         "ratio", F.col("cap") / F.col("w"))
     caps = prefix_sum(capped, ["ratio", "rank"], "cap", "caps_before", "mix-caps")
     both = prefix_sum(caps, ["ratio", "rank"], "w", "w_before", "mix-lambda")
-    total = both.agg(F.sum("source_size").alias("total"), F.sum("w").alias("w_all"))
+    both = shared_table(both, "mix-levels")
+    total, w_all = both.agg(F.sum("source_size"), F.sum("w")).first()
     # A source is filled to its cap when lambda, computed as if it were the first unfilled one,
     # still exceeds its ratio; the first that is not fixes lambda for all that follow.
-    probe = both.join(F.broadcast(total)).withColumn(
-        "lam", (F.col("total") - F.col("caps_before")) / (F.col("w_all") - F.col("w_before")))
-    level = probe.where(F.col("lam") <= F.col("ratio")).agg(F.min(F.struct("ratio", "rank", "lam")).alias("m"))
-    shared = probe.join(F.broadcast(level)).withColumn(
-        "target", F.when(F.col("m").isNull() | (F.col("ratio") < F.col("m.ratio")), F.col("cap"))
-        .otherwise(F.least(F.col("cap"), F.col("m.lam") * F.col("w"))))
+    probe = both.withColumn("lam", (F.lit(total) - F.col("caps_before")) / (F.lit(w_all) - F.col("w_before")))
+    level = probe.where(F.col("lam") <= F.col("ratio")).agg(F.min(F.struct("ratio", "rank", "lam")).alias("m")).first()["m"]
+    if level is None:
+        shared = probe.withColumn("target", F.col("cap"))
+    else:
+        shared = probe.withColumn("target", F.when(F.col("ratio") < F.lit(level["ratio"]), F.col("cap")).otherwise(
+            F.least(F.col("cap"), F.lit(level["lam"]) * F.col("w"))))
     return shared.select("src", "source_size", "target", "start")
 
 

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgsift.llm import decontaminate, exact_dedup, line_dedup, mixing
+from msgsift.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from msgsift.llm._common import read_table
 
 
@@ -13,6 +24,24 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(read_table(spark, sf_dir, "documents"))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -21,13 +50,28 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.notices(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_simhash": op2_simhash,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_toxicity": op4_toxicity,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
+    "op10_license_scan": op10_license_scan,
 }
