@@ -50,6 +50,12 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _doubled(words: np.ndarray) -> np.ndarray:
+    """The bigrams of a word with itself as one class, by the power of two of their share."""
+    share = (words[1:] == words[:-1]).sum() / len(words)
+    return np.arange(int(np.log2(share * 1024 + 1)), dtype=np.uint64)
+
+
 def ngram_indicators(text: str | None, bits: int) -> np.ndarray:
     """Distinct hashed n-grams (words: 1 and 2, shape classes: 1 to 3) in ``2**bits`` slots."""
     words, shape = tokens(text)
@@ -58,7 +64,8 @@ def ngram_indicators(text: str | None, bits: int) -> np.ndarray:
     pairs = shape[:-1] * np.uint64(64) + shape[1:]
     grams = np.concatenate([
         _mix(words, 1), _mix(words[:-1] * np.uint64(3) + _mix(words[1:], 7), 2), _mix(np.unique(shape), 3),
-        _mix(np.unique(pairs), 4), _mix(np.unique(pairs[:-1] * np.uint64(64) + shape[2:]), 5)])
+        _mix(np.unique(pairs), 4), _mix(np.unique(pairs[:-1] * np.uint64(64) + shape[2:]), 5),
+        _mix(_doubled(words), 6)])
     return np.unique((grams >> np.uint64(64 - bits)).astype(np.int64))
 
 

@@ -34,6 +34,8 @@ MAX_TRAIN_ROWS = 20_000
 FEATURES = 2_000
 MIN_ROWS = 5
 GRADES = 4
+#: A row is called toxic from this P(grade > 0) on.
+TOXIC_AT = 0.3
 
 
 def association(df_pos: np.ndarray, df_neg: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
@@ -62,7 +64,7 @@ def _sigmoid(z):
 
 
 def fit_ordinal(indptr: np.ndarray, cols: np.ndarray, vals: np.ndarray, grades: np.ndarray, size: int,
-                weight: np.ndarray, l2: float = 1.0, rounds: int = 300) -> tuple[np.ndarray, np.ndarray]:
+                weight: np.ndarray, l2: float = 0.3, rounds: int = 300) -> tuple[np.ndarray, np.ndarray]:
     """(w, theta): penalised cumulative-link fit on a CSR matrix by Adam on the full likelihood.
 
     theta_0 is free and theta_k = theta_{k-1} + exp(d_k), so the thresholds stay ordered.
@@ -173,4 +175,4 @@ def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_c
 
     s = F.pandas_udf(exceed, "severity double, p_toxic double, grade int")(F.col(text_col))
     out = docs.select(F.col(id_col).alias("doc_id"), (fold(F.col(id_col)) == 0).alias("held_out"), s.alias("s"))
-    return out.select("doc_id", "held_out", "s.severity", "s.p_toxic", "s.grade", (F.col("s.p_toxic") >= 0.5).alias("toxic"))
+    return out.select("doc_id", "held_out", "s.severity", "s.p_toxic", "s.grade", (F.col("s.p_toxic") >= TOXIC_AT).alias("toxic"))
