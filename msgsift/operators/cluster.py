@@ -13,6 +13,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,16 +42,17 @@ def with_vector(df: DataFrame, array_col: str = "embedding", out: str = "feature
 
 def kmeans_fit(df: DataFrame, k: int, *, seed: int = 42, n_init: int = 20, features: str = "features",
                max_iter: int = 300, parallel_fits: int = 4) -> KMeansModel:
-    """Best (lowest training cost) of ``n_init`` KMeans fits with seeds seed.. ."""
+    """Best (lowest training cost) of ``n_init`` KMeans fits with seeds seed.. , each run until its
+    centres stop moving or ``max_iter``."""
     if k < 2:
-        raise ClusteringError("Cluster count must be at least 2.")
+        raise ClusteringError(f"{k} clusters asked for; 2 is the least")
     from concurrent.futures import ThreadPoolExecutor
 
     data = df.select(features).cache()
     data.count()
 
     def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=max_iter).fit(data)
+        return KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=max_iter, tol=0.0).fit(data)
 
     # restarts are independent jobs over the cached vectors: submit them concurrently
     # (Spark schedules concurrent jobs); the winner is the same as a sequential loop
@@ -65,33 +67,42 @@ def kmeans_fit(df: DataFrame, k: int, *, seed: int = 42, n_init: int = 20, featu
     return best
 
 
-def nearest_centroid(df: DataFrame, centroids: Sequence[Sequence[float]], *, array_col: str = "embedding") -> DataFrame:
-    """Add cluster_id and Euclidean distance_to_centroid.
+def _vector_sums(df: DataFrame, group_col: str, array_col: str) -> DataFrame:
+    """(c, s, n) per group: element-wise sum and count, one vector per group and task in the shuffle."""
+    vec = df.select(F.col(group_col).cast("int").alias("c"), array_to_vector(F.transform(array_col, lambda x: x.cast("double"))).alias("v"))
+    return vec.groupBy("c").agg(Summarizer.sum(F.col("v")).alias("s"), F.count(F.lit(1)).alias("n")).select(
+        "c", vector_to_array("s").alias("s"), "n")
 
-    The k x d centroid matrix is a literal (bounded by k*d, like a broadcast model);
-    distances are computed with higher-order functions in the JVM."""
-    cents = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centroids])
+
+def label_centroids(df: DataFrame, group_col: str, *, array_col: str = "embedding") -> DataFrame:
+    """(c, centroid): mean vector per group, a table with one row per group."""
+    sums = _vector_sums(df, group_col, array_col).withColumn("_n", F.col("n").cast("double"))
+    return sums.select("c", F.transform("s", lambda x: x / F.col("_n")).alias("centroid"))
+
+
+def _gathered(rows: DataFrame, out: str) -> DataFrame:
+    """All rows of a k-row table as one array, sorted by its first column, for a broadcast."""
+    return rows.agg(F.sort_array(F.collect_list(F.struct(*rows.columns))).alias(out))
+
+
+def nearest_centroid(df: DataFrame, centroids: DataFrame, *, array_col: str = "embedding") -> DataFrame:
+    """Add cluster_id (the rank of the centroid's ``c``) and Euclidean distance_to_centroid.
+
+    The k centroids travel as one broadcast row; distances are higher-order functions in the JVM."""
+    one = _gathered(centroids, "_cents")
     e = F.col(array_col)
+    joined = df.join(F.broadcast(one))
     dists = F.transform(
-        cents,
+        "_cents",
         lambda c, i: F.struct(
-            F.sqrt(F.aggregate(F.zip_with(e, c, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)),
+            F.sqrt(F.aggregate(F.zip_with(e, c["centroid"], lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)),
                                F.lit(0.0), lambda acc, x: acc + x)).alias("d"),
             i.alias("i"),
         ),
     )
-    best = F.array_min(dists)
-    return df.withColumn("_best", best).withColumn("cluster_id", F.col("_best.i").cast("int")).withColumn(
-        "distance_to_centroid", F.col("_best.d")).drop("_best")
-
-
-def label_centroids(df: DataFrame, group_col: str, *, array_col: str = "embedding") -> list[list[float]]:
-    """Mean vector per group (k x d, collected: bounded by the number of groups)."""
-    ex = df.select(group_col, F.posexplode(array_col).alias("dim", "v"))
-    means = ex.groupBy(group_col, "dim").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    rows = means.groupBy(group_col).agg(F.sort_array(F.collect_list(F.struct("dim", "m"))).alias("c")).orderBy(
-        group_col).collect()
-    return [[x["m"] for x in r["c"]] for r in rows]
+    best = joined.withColumn("_best", F.array_min(dists))
+    return best.withColumn("cluster_id", F.col("_best.i").cast("int")).withColumn(
+        "distance_to_centroid", F.col("_best.d")).drop("_best", "_cents")
 
 
 def silhouette(df: DataFrame, *, prediction: str = "cluster_id", features: str = "features",
@@ -111,66 +122,54 @@ def silhouette_table(df: DataFrame, *, prediction: str = "cluster_id", array_col
     1 - (x.S_A - 1)/(|A| - 1); singletons score 0."""
     from msgsift.operators.features import with_l2_normalized
 
-    unit = with_l2_normalized(df.select(F.col(prediction).cast("int").alias("_c"), F.col(array_col).alias("_v")),
-                              "_v")
-    ex = unit.select("_c", F.posexplode("_v").alias("dim", "v"))
-    sums = ex.groupBy("_c", "dim").agg(F.sum("v").alias("s"))
-    sizes = {r["_c"]: r["n"] for r in unit.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = sums.groupBy("_c").agg(F.sort_array(F.collect_list(F.struct("dim", "s"))).alias("a")).collect()
-    cents = {r["_c"]: [x["s"] for x in r["a"]] for r in rows}
-    ids = sorted(cents)
-    sarr = F.array(*[F.array(*[F.lit(float(x)) for x in cents[c]]) for c in ids])
-    narr = F.array(*[F.lit(float(sizes[c])) for c in ids])
-    carr = F.array(*[F.lit(int(c)) for c in ids])
+    unit = with_l2_normalized(df.select(F.col(prediction).cast("int").alias("_c"), F.col(array_col).alias("_v")), "_v")
+    one = _gathered(_vector_sums(unit, "_c", "_v"), "_cl")
     v = F.col("_v")
-    dots = F.transform(sarr, lambda s: F.aggregate(F.zip_with(v, s, lambda a, b: a * b), F.lit(0.0),
-                                                   lambda acc, x: acc + x))
-    scored = unit.withColumn("_dots", dots)
-    d = F.col("_dots")
-    per = F.transform(
-        carr,
-        lambda c, i: F.struct(
-            (c == F.col("_c")).alias("own"),
-            F.when(c == F.col("_c"),
-                   F.when(narr[i] > 1, 1 - (d[i] - 1) / (narr[i] - 1)).otherwise(F.lit(0.0)))
-            .otherwise(1 - d[i] / narr[i]).alias("dist"),
-            narr[i].alias("n"),
-        ),
-    )
+    dot = lambda s: F.aggregate(F.zip_with(v, s, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+    scored = unit.join(F.broadcast(one)).withColumn("_dots", F.transform("_cl", lambda x: F.struct(
+        (x["c"] == F.col("_c")).alias("own"), dot(x["s"]).alias("d"), x["n"].cast("double").alias("n"))))
+    per = F.transform("_dots", lambda x: F.struct(
+        x["own"].alias("own"),
+        F.when(x["own"], F.when(x["n"] > 1, 1 - (x["d"] - 1) / (x["n"] - 1)).otherwise(F.lit(0.0))).otherwise(1 - x["d"] / x["n"]).alias("dist"),
+        x["n"].alias("n")))
     scored = scored.withColumn("_per", per)
     own = F.filter(F.col("_per"), lambda x: x["own"])[0]
-    others = F.array_min(F.transform(F.filter(F.col("_per"), lambda x: ~x["own"]), lambda x: x["dist"]))
-    a, b = own["dist"], others
-    sil = F.when((own["n"] <= 1) | others.isNull(), F.lit(0.0)).otherwise(
+    b = F.array_min(F.transform(F.filter(F.col("_per"), lambda x: ~x["own"]), lambda x: x["dist"]))
+    a = own["dist"]
+    sil = F.when((own["n"] <= 1) | b.isNull(), F.lit(0.0)).otherwise(
         F.when(F.greatest(a, b) == 0, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b)))
     return scored.select(sil.alias("s")).agg(F.avg("s").alias("silhouette"))
 
 
-def select_k(df: DataFrame, clusters: str | int = "auto", *, seed: int = 42, features: str = "features",
-             n_init: int = 10) -> tuple[int, float]:
-    """auto: k in 3..min(8, n-1) with the best cosine silhouette (smallest k on ties);
-    fixed: 2 <= k < n."""
+def select_k_table(df: DataFrame, clusters: str | int = "auto", *, seed: int = 42, features: str = "features",
+                   n_init: int = 10) -> DataFrame:
+    """(k, silhouette, best) for each cluster count tried: 3..min(8, n-1) for "auto", else the given
+    one (2 <= k < n). The best has the highest cosine silhouette, the smallest k on ties. At most
+    six rows, one per fit."""
     n = df.count()
-    if clusters != "auto":
-        k = int(clusters)
-        if k < 2:
-            raise ClusteringError("Cluster count must be at least 2.")
-        if k >= n:
-            raise ClusteringError("Cluster count must be smaller than the number of messages.")
-        cands = [k]
-    else:
+    if clusters == "auto":
         if n < 4:
-            raise ClusteringError("auto cluster selection needs at least 4 messages")
-        cands = list(range(3, min(8, n - 1) + 1))
+            raise ClusteringError(f"{n} messages are too few to choose a cluster count; 4 are needed")
+        tried = range(3, min(8, n - 1) + 1)
+    else:
+        tried = [int(clusters)]
+        if not 2 <= tried[0] < n:
+            raise ClusteringError(f"{tried[0]} clusters do not fit {n} messages; it takes 2 to {n - 1}")
     data = df.select(features).cache()
-    best_k, best_s = None, None
-    for k in cands:
+    scores = []
+    for k in tried:
         model = kmeans_fit(data, k, seed=seed, n_init=n_init, features=features)
-        s = silhouette(model.transform(data).withColumnRenamed("prediction", "cluster_id"), features=features)
-        if best_s is None or s > best_s:
-            best_k, best_s = k, s
+        scores.append((k, silhouette(model.transform(data).withColumnRenamed("prediction", "cluster_id"), features=features)))
     data.unpersist()
-    return best_k, best_s
+    best = max(scores, key=lambda x: (x[1], -x[0]))[0]
+    return df.sparkSession.createDataFrame([(k, s, k == best) for k, s in scores], "k int, silhouette double, best boolean")
+
+
+def select_k(df: DataFrame, clusters: str | int = "auto", *, seed: int = 42, features: str = "features",
+             n_init: int = 10) -> tuple[int, float]:
+    """The chosen cluster count and its silhouette."""
+    row = select_k_table(df, clusters, seed=seed, features=features, n_init=n_init).filter("best").first()
+    return row["k"], row["silhouette"]
 
 
 def project_2d(df: DataFrame, *, features: str = "features") -> DataFrame:
@@ -235,23 +234,36 @@ def cluster_theme(assign: DataFrame, *, positive: str = "spam", sample: int = TH
         "cluster_id", F.when(F.col("_rate") >= THEME_SPAM_RATE, spam_rule).otherwise(ham_rule).alias("theme"))
 
 
-def cluster_metadata(spark, *, provider: str, model: str, dimensions: int, k: int, total: int,
-                     silhouette_score: float | None, seed: int = 42) -> DataFrame:
-    """One-row run record (partition by provider when written)."""
-    return spark.createDataFrame(
-        [(provider, model, int(dimensions), "KMeans", int(k), int(total), silhouette_score, int(seed))],
-        "embedding_provider string, embedding_model string, embedding_dimensions int, clustering_algorithm string, "
-        "cluster_count int, total_messages int, silhouette_score double, random_state int",
-    )
+# The part a provider plays in a comparison.
+PROVIDER_ROLES = {"given-labels": "reference grouping", "lsa-local": "local reproducible path", "remote-embeddings": "remote embedding path"}
+
+
+def cluster_metadata(df: DataFrame, *, provider: str, model: str, prediction: str = "cluster_id", array_col: str = "embedding",
+                     notes: str = "", seed: int = 42, paths: dict[str, str] | None = None) -> DataFrame:
+    """One-row run record over the clustered vectors: provider, model, measured dimensions, notes,
+    role, algorithm, cluster and message counts, silhouette, seed, and where inputs and outputs lie
+    (dataset, assignments, summary, embeddings, metadata). Partition by provider when written."""
+    paths = paths or {}
+    facts = df.agg(F.max(F.size(array_col)).alias("embedding_dimensions"), F.count_distinct(prediction).cast("int").alias("cluster_count"),
+                   F.count(F.lit(1)).cast("int").alias("total_messages"))
+    score = silhouette_table(df, prediction=prediction, array_col=array_col).scalar()
+    return facts.select(
+        *[F.lit(paths.get(k, "")).alias(k) for k in ("dataset", "assignments_output", "summary_output", "embeddings_output", "metadata_output")],
+        F.lit(provider).alias("embedding_provider"), F.lit(model).alias("embedding_model"), "embedding_dimensions",
+        F.lit(notes).alias("embedding_notes"), F.lit(PROVIDER_ROLES.get(provider, "other")).alias("embedding_provider_role"),
+        F.lit("KMeans").alias("clustering_algorithm"), "cluster_count", "total_messages", score.alias("silhouette_score"),
+        F.lit(int(seed)).alias("random_state"))
 
 
 def provider_comparison(metadata: DataFrame, expected: Sequence[str]) -> DataFrame:
     """One row per expected provider ("not generated" when missing) and the best
     provider by silhouette (null counts as -inf)."""
-    spark = metadata.sparkSession
-    exp = spark.createDataFrame([(p,) for p in expected], "embedding_provider string")
-    joined = exp.join(metadata, "embedding_provider", "left").withColumn(
+    names = F.explode(F.array(*[F.lit(p) for p in expected])).alias("embedding_provider")
+    exp = metadata.sparkSession.range(1).select(names)
+    known = metadata.select("embedding_provider", "embedding_model", "embedding_dimensions", "total_messages", "cluster_count", "silhouette_score")
+    joined = exp.join(known, "embedding_provider", "left").withColumn(
         "status", F.when(F.col("cluster_count").isNull(), "not generated").otherwise("generated"))
     best = joined.agg(F.max_by("embedding_provider", F.coalesce(F.col("silhouette_score"),
                                                                 F.lit(float("-inf")))).alias("best")).scalar()
-    return joined.withColumn("is_best", F.col("embedding_provider") == best)
+    role = F.coalesce(*[F.when(F.col("embedding_provider") == k, F.lit(v)) for k, v in PROVIDER_ROLES.items()], F.lit("other"))
+    return joined.withColumn("role", role).withColumn("is_best", F.col("embedding_provider") == best)

@@ -36,6 +36,17 @@ def with_tokens(messages: DataFrame, *, text_col: str = "text", out: str = "toke
     return messages.withColumn(out, tokenize(F.col(text_col), **opts))
 
 
+def require_tokens(df: DataFrame, labels: Sequence[str] = (), tokens_col: str = "tokens") -> None:
+    """Raise unless the corpus, and each of ``labels``, has a token (one aggregate)."""
+    some = df.agg(F.coalesce(F.max(F.size(tokens_col) > 0), F.lit(False)).alias("any"), *[
+        F.coalesce(F.max((F.col("label") == lab) & (F.size(tokens_col) > 0)), F.lit(False)).alias(f"l{i}") for i, lab in enumerate(labels)]).first()
+    if not some["any"]:
+        raise TextAnalysisError("the messages hold no token")
+    empty = [lab for i, lab in enumerate(labels) if not some[f"l{i}"]]
+    if empty:
+        raise TextAnalysisError(f"no token in messages labelled {empty}")
+
+
 def exploded_runs(df: DataFrame, tokens_col: str = "tokens", keys: Sequence[str] = ()) -> DataFrame:
     """(row_id, *keys, token, tf, first_pos) with one row per distinct token of a row."""
     base = with_token_runs(df.select("row_id", *keys, tokens_col), tokens_col, "_runs")
@@ -86,7 +97,8 @@ def frequent_words(df: DataFrame, top_n: int = 50, tokens_col: str = "tokens") -
     (messages without tokens count in the denominator).
     """
     if top_n < 1:
-        raise TextAnalysisError("top counts must be at least 1")
+        raise TextAnalysisError(f"top_n is {top_n}; it counts rows from 1")
+    require_tokens(df, tokens_col=tokens_col)
     stats = token_statistics(df, tokens_col)
     total_tokens = _totals(stats)["tokens"]
     total_messages = df.select(F.count(F.lit(1))).scalar()
@@ -164,10 +176,11 @@ def term_scores(
     union vocabulary *before* the ``min_count`` filter.
     """
     if min_count < 1:
-        raise TextAnalysisError("min_count must be at least 1")
+        raise TextAnalysisError(f"min_count is {min_count}; it counts occurrences from 1")
     if smoothing <= 0:
-        raise TextAnalysisError("smoothing must be greater than 0")
+        raise TextAnalysisError(f"smoothing is {smoothing}; rates need a positive one")
     p, n = positive, negative
+    require_tokens(df, (p, n), tokens_col)
     per_token = (
         exploded_runs(df.filter(F.col("label").isin(p, n)), tokens_col, keys=["label"])
         .groupBy("token")
@@ -209,7 +222,7 @@ def typical_terms(
 ) -> DataFrame:
     """Top-N terms typical of ``positive``: ratio desc, count desc, token asc; ranked."""
     if top_n < 1:
-        raise TextAnalysisError("top counts must be at least 1")
+        raise TextAnalysisError(f"top_n is {top_n}; it counts rows from 1")
     order = [F.desc(f"log_rate_ratio_{positive}_vs_{negative}"), F.desc(f"{positive}_count"), F.asc("token")]
     ranked = top_n_ranked(scores, order, top_n)
     return ranked.select(F.col("rank").cast("int").alias("rank"), *scores.columns)
@@ -230,9 +243,9 @@ def frequent_ngrams(
     ``WindowGroupLimit`` before the shuffle.
     """
     if top_n < 1:
-        raise TextAnalysisError("top counts must be at least 1")
+        raise TextAnalysisError(f"top_n is {top_n}; it counts rows from 1")
     if min_count < 1:
-        raise TextAnalysisError("min_count must be at least 1")
+        raise TextAnalysisError(f"min_count is {min_count}; it counts occurrences from 1")
     base = df.select("row_id", tokens_col)
     for n in sizes:
         base = with_token_runs(base.withColumn(f"_g{n}", make_ngrams(F.col(tokens_col), n)), f"_g{n}", f"_r{n}")
@@ -249,15 +262,18 @@ def frequent_ngrams(
         F.count(F.lit(1)).alias("document_count"),
         F.min(F.struct("row_id", "first_pos")).alias("first_seen"),
     )
-    totals = stats.groupBy("n").agg(F.sum("count").alias("n_total"))
-    total_messages = df.select(F.count(F.lit(1))).scalar()
+    # A row of k tokens has k - n + 1 n-grams, so totals need no n-gram at all.
+    totals = df.agg(F.count(F.lit(1)).alias("messages"), *[
+        F.coalesce(F.sum(F.greatest(F.size(tokens_col) - F.lit(n - 1), F.lit(0))), F.lit(0)).alias(f"t{n}") for n in sizes]).first()
+    n_total = F.element_at(F.create_map(*[F.lit(x) for n in sizes for x in (n, totals[f"t{n}"])]), F.col("n"))
+    total_messages = F.lit(totals["messages"])
     w = Window.partitionBy("n").orderBy(F.desc("count"), F.asc("first_seen"))
     top = (
         stats.filter(F.col("count") >= min_count)
         .withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= top_n)
     )
-    return top.join(F.broadcast(totals), "n").select(
+    return top.withColumn("n_total", n_total).select(
         F.col("rank").cast("int").alias("rank"),
         F.col("n").cast("int").alias("n"),
         "ngram",
@@ -267,3 +283,19 @@ def frequent_ngrams(
         F.col("document_count").cast("long").alias("document_count"),
         pct(F.col("document_count"), total_messages).alias("document_percentage"),
     )
+
+
+def report_tables(df: DataFrame, *, top_words: int = 50, top_terms: int = 30, top_ngrams: int = 30, min_count: int = 1,
+                  tokens_col: str = "tokens") -> dict[str, DataFrame]:
+    """The six report tables: words, vocabulary per label, typical spam and ham terms, bi- and trigrams."""
+    scores = term_scores(df, min_count=min_count, tokens_col=tokens_col)
+    if scores.isEmpty():
+        raise TextAnalysisError(f"no token occurs {min_count} times")
+    return {
+        "frequent_words": frequent_words(df, top_words, tokens_col),
+        "vocabulary_by_label": vocabulary_by_label(df, tokens_col=tokens_col),
+        "spam_terms": typical_terms(scores, top_terms),
+        "ham_terms": typical_terms(scores, top_terms, positive="ham", negative="spam"),
+        "bigrams": frequent_ngrams(df, sizes=(2,), top_n=top_ngrams, tokens_col=tokens_col),
+        "trigrams": frequent_ngrams(df, sizes=(3,), top_n=top_ngrams, tokens_col=tokens_col),
+    }

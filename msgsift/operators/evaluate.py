@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgsift.functions.labels import DEFAULT_LABELS
+from msgsift.session import cut_lineage
 
 
 def _q(s: str) -> str:
@@ -56,6 +57,15 @@ def confusion_rates(pred: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) ->
     return cm.select("true_label", *[_div0(F.col(f"pred_{p}"), tot).alias(f"rate_{p}") for p in labels])
 
 
+def rates_from_errors(record: DataFrame, *, positive: str = "spam", negative: str = "ham") -> DataFrame:
+    """The same rates from a metric record alone: supports, false positives and false negatives."""
+    n, p, fp, fn = (F.col(c) for c in (f"support_{negative}", f"support_{positive}", "false_positives", "false_negatives"))
+    rows = record.select(F.explode(F.array(
+        F.struct(F.lit(negative).alias("true_label"), _div0(n - fp, n).alias(f"rate_{negative}"), _div0(fp, n).alias(f"rate_{positive}")),
+        F.struct(F.lit(positive).alias("true_label"), _div0(fn, p).alias(f"rate_{negative}"), _div0(p - fn, p).alias(f"rate_{positive}")))).alias("r"))
+    return rows.select("r.*")
+
+
 def per_class_stats(pred: DataFrame, labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
     """(class, tp, fp, fn, support, precision, recall, f1_score) for each label."""
     t, p = F.col("true_label"), F.col("predicted_label")
@@ -188,10 +198,10 @@ def evaluation_comparison(runs: dict[str, DataFrame], labels: Sequence[str] = DE
     return out
 
 
-def error_examples(pred: DataFrame, *, positive: str = "spam") -> DataFrame:
+def error_examples(pred: DataFrame, *, positive: str = "spam", score_col: str = "spam_probability") -> DataFrame:
     """Misclassified rows with the confidence of the wrong call, most confident first
     within each error type. The schema is stable even when there are no errors."""
-    p = F.col("spam_probability")
+    p = F.col(score_col)
     conf = F.when(F.col("predicted_label") == positive, p).otherwise(1 - p)
     return (
         pred.filter(F.col("error_type") != "")
@@ -204,36 +214,29 @@ def prevalence(pred: DataFrame, *, positive: str = "spam") -> DataFrame:
     return pred.agg(F.avg((F.col("true_label") == positive).cast("double")).alias("prevalence"))
 
 
-def _threshold_table(pred: DataFrame, score_col: str, positive: str, buckets: int = 65536) -> DataFrame:
+def _threshold_table(pred: DataFrame, score_col: str, positive: str) -> DataFrame:
     """Per distinct score: pos, neg, and cumulative tp / fp over scores >= it.
 
-    A running sum over all distinct scores would need a one-partition window, so
-    scores are bucketed by value range: per-bucket totals (<= ``buckets`` rows) give
-    each bucket's offset, and the running sum inside a bucket is a window
-    partitioned by bucket. With scores rounded to 9 decimals in [0, 1] a bucket
-    holds at most ~15k distinct values.
+    The distinct scores are range-partitioned (sampled bounds, so scores piled up near 0 and 1
+    spread evenly) and frozen; each range runs its own sums and adds those of the ranges above,
+    from a table with one row per partition.
     """
     g = pred.groupBy(F.col(score_col).alias("score")).agg(
         F.count_if(F.col("true_label") == positive).alias("pos"),
         F.count_if(F.col("true_label") != positive).alias("neg"),
     )
-    lo = g.select(F.min("score")).scalar()
-    hi = g.select(F.max("score")).scalar()
-    span = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
-    g = g.withColumn("_bk", F.least(F.floor((F.col("score") - lo) / span * buckets), F.lit(buckets - 1)))
-    per_b = g.groupBy("_bk").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    wb = Window.orderBy(F.desc("_bk")).rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_b.select(
-        "_bk",
-        F.coalesce(F.sum("_bp").over(wb), F.lit(0)).alias("_op"),
-        F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_on"),
-    )
-    wi = Window.partitionBy("_bk").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    parts = int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    g = cut_lineage(g.repartitionByRange(parts, F.desc("score")).withColumn("_pid", F.spark_partition_id()))
+    above = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = g.groupBy("_pid").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    offs = per.select(F.col("_pid").alias("_op"), F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_pos"),
+                      F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_neg"))
+    inside = Window.partitionBy("_pid").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        g.join(F.broadcast(offs), "_bk")
-        .withColumn("tp", F.col("_op") + F.sum("pos").over(wi))
-        .withColumn("fp", F.col("_on") + F.sum("neg").over(wi))
-        .drop("_bk", "_op", "_on")
+        g.join(F.broadcast(offs), F.col("_pid") == F.col("_op"))
+        .withColumn("tp", F.col("_pos") + F.sum("pos").over(inside))
+        .withColumn("fp", F.col("_neg") + F.sum("neg").over(inside))
+        .drop("_pid", "_op", "_pos", "_neg")
     )
 
 

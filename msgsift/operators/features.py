@@ -24,6 +24,7 @@ from pyspark.sql.types import ArrayType, FloatType, LongType, StructField, Struc
 
 from msgsift.functions.text import ngram_range_terms, stopword_filter, with_token_runs, word_analyzer
 from msgsift.operators.quality import assign_row_id
+from msgsift.session import cut_lineage, scratch_path
 
 
 class EmbeddingError(ValueError):
@@ -76,20 +77,23 @@ def tfidf_transform(df: DataFrame, vocab: DataFrame, *, terms_col: str = "terms"
                     broadcast_vocab: bool = False) -> DataFrame:
     """Long-form L2-normalised TF-IDF (row_id, idx, term, weight) of ``df`` under a
     fitted vocabulary. Unknown terms are dropped; rows without a known term keep one
-    row with null idx/weight so zero vectors survive (use ``to_sparse_rows``)."""
-    tf = term_frequencies(df, terms_col)
-    v = vocab.select("term", "idx", "idf")
+    row with null idx/weight so zero vectors survive (use ``to_sparse_rows``).
+
+    One pass over the text and one shuffle by row: the norm is a window over the row's own
+    entries (a group bounded by one message), and a row's best-ranked entry without a known
+    term is the placeholder of a zero vector."""
+    base = with_token_runs(df.select("row_id", terms_col), terms_col, "_runs")
+    tf = base.select("row_id", F.explode_outer("_runs").alias("r")).select(
+        "row_id", F.col("r.token").alias("term"), F.col("r.tf").alias("tf"))
+    v = vocab.select(F.col("term").alias("_vt"), "idx", "idf")
     v = F.broadcast(v) if broadcast_vocab else v
-    w = tf.join(v, "term").select(
-        "row_id", "idx", "term", ((1 + F.log(F.col("tf"))) * F.col("idf")).alias("w")
-    )
-    norm = w.groupBy("row_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    weighted = w.join(norm, "row_id").select("row_id", "idx", "term", (F.col("w") / F.col("_norm")).alias("weight"))
-    empty = df.select("row_id").join(weighted.select("row_id").distinct(), "row_id", "left_anti")
-    return weighted.unionByName(
-        empty.select("row_id", F.lit(None).cast("int").alias("idx"), F.lit(None).cast("string").alias("term"),
-                     F.lit(None).cast("double").alias("weight"))
-    )
+    w = tf.join(v, F.col("term") == F.col("_vt"), "left").select(
+        "row_id", "idx", F.col("_vt").alias("term"), ((1 + F.log(F.col("tf"))) * F.col("idf")).alias("w"))
+    row = Window.partitionBy("row_id")
+    first = row.orderBy(F.col("idx").asc_nulls_last())
+    w = w.withColumn("_norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(row))).withColumn("_rk", F.row_number().over(first))
+    return w.filter(F.col("idx").isNotNull() | (F.col("_norm").isNull() & (F.col("_rk") == 1))).select(
+        "row_id", "idx", "term", (F.col("w") / F.col("_norm")).alias("weight"))
 
 
 def to_sparse_rows(long_df: DataFrame, size: int | Column) -> DataFrame:
@@ -107,26 +111,36 @@ def to_sparse_rows(long_df: DataFrame, size: int | Column) -> DataFrame:
 
 def assemble_sparse(rows: DataFrame, out: str = "features", *, append_one: bool = False,
                     sign_col: str | None = None) -> DataFrame:
-    """ML ``SparseVector`` column from (size, indices, values).
-
-    Optional: append a constant 1 feature (index = size) and multiply the whole
-    vector by a +-1 sign column (used by the penalised-intercept fit)."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    def build(size, idx, vals, sign):
-        idx = list(idx or [])
-        vals = list(vals or [])
-        n = size + (1 if append_one else 0)
-        if append_one:
-            idx.append(size)
-            vals.append(1.0)
-        if sign is not None and sign < 0:
-            vals = [-v for v in vals]
-        return SparseVector(n, idx, vals)
-
-    udf = F.udf(build, VectorUDT())
-    sign = F.col(sign_col) if sign_col else F.lit(None).cast("int")
-    return rows.withColumn(out, udf(F.col("size"), F.col("indices"), F.col("values"), sign))
+    """ML ``SparseVector`` column from (size, indices, values), without Python per row.
+
+    The vectors are built as plain structs by column functions, written to the shared folder and
+    read back under the vector type, whose stored form is that struct. Optional: append a
+    constant 1 feature (index = size) and multiply the whole vector by a +-1 sign column (used by
+    the penalised-intercept fit)."""
+    from pyspark.ml.linalg import VectorUDT
+
+    one = int(append_one)
+    idx, val = F.col("indices"), F.col("values")
+    if append_one:
+        idx, val = F.concat(idx, F.array(F.col("size"))), F.concat(val, F.array(F.lit(1.0)))
+    if sign_col:
+        val = F.transform(val, lambda x: x * F.col(sign_col))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), (F.col("size") + one).cast("int").alias("size"),
+                      idx.cast("array<int>").alias("indices"), val.cast("array<double>").alias("values"))
+    plain = rows.withColumn(out, vector)
+    path = scratch_path(rows.sparkSession, "vectors")
+    plain.write.parquet(path)
+    schema = StructType([StructField(f.name, VectorUDT() if f.name == out else f.dataType) for f in plain.schema])
+    return rows.sparkSession.read.schema(schema).parquet(path)
+
+
+def sparse_entries(df: DataFrame, col: str) -> DataFrame:
+    """(row_id, size, indices, values) of a sparse vector column, read as its stored struct."""
+    path = scratch_path(df.sparkSession, "entries")
+    df.select("row_id", col).write.parquet(path)
+    return df.sparkSession.read.schema(
+        f"row_id long, {col} struct<type:tinyint,size:int,indices:array<int>,values:array<double>>").parquet(path).select(
+        "row_id", f"{col}.size", f"{col}.indices", f"{col}.values")
 
 
 def with_l2_normalized(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
@@ -146,34 +160,47 @@ def with_l2_normalized(df: DataFrame, col: str, out: str | None = None) -> DataF
 def lsa_embed(df: DataFrame, *, dimensions: int = 100, max_features: int = 5000, min_df: int = 2,
               stopwords: Sequence[str] | None = None, text_col: str = "text") -> tuple[DataFrame, dict]:
     """Latent semantic embeddings: TF-IDF (stopwords removed, 1-2-grams, min_df,
-    max_features) -> truncated SVD without centring -> X·V -> L2 normalise -> float32.
+    max_features) -> truncated SVD without centring -> X.V -> L2 normalise -> float32.
 
-    The SVD runs on Spark's distributed RowMatrix (ARPACK over distributed
-    matrix-vector products); only V (max_features x k, bounded) reaches the driver
-    and is broadcast for the projection, which is a vectorised numpy product per
-    Arrow batch."""
+    V comes from the eigenvectors of the d x d Gramian X'X, d bounded by ``max_features``. Each
+    task adds up the sparse outer products of its rows with numpy and emits its Gramian in bands
+    of columns, which are summed per band; the driver only solves the d x d eigenproblem. The
+    projection is a vectorised product per Arrow batch with V broadcast (d x k)."""
     from pyspark.ml.feature import StopWordsRemover
-    from pyspark.mllib.linalg import Vectors as MLLibVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
 
     if dimensions < 2:
-        raise EmbeddingError("SVD embedding dimensions must be at least 2.")
+        raise EmbeddingError("LSA needs at least 2 dimensions")
     stop = list(stopwords) if stopwords is not None else StopWordsRemover.loadDefaultStopWords("english")
-    terms = with_terms(df, text_col=text_col, stopwords=stop)
-    vocab = build_vocabulary(terms, min_df=min_df, max_features=max_features).cache()
+    terms = cut_lineage(with_terms(df, text_col=text_col, stopwords=stop).select("row_id", "terms"))
+    vocab = cut_lineage(build_vocabulary(terms, min_df=min_df, max_features=max_features))
     d = vocab.count()
     if d < 2:
-        raise EmbeddingError("Not enough TF-IDF features to build SVD embeddings.")
-    n = df.count()
+        raise EmbeddingError(f"LSA needs at least 2 features; the texts have {d}")
+    n = terms.count()
     k = int(min(dimensions, d - 1, n - 1))
-    rows = to_sparse_rows(tfidf_transform(terms, vocab, broadcast_vocab=True), d).cache()
-    rdd = rows.select("indices", "values").rdd.map(
-        lambda r: MLLibVectors.sparse(d, list(r[0] or []), list(r[1] or []))).cache()
-    # One distributed pass (treeAggregate of per-partition d x d Gramians, d bounded
-    # by max_features); the eigen-decomposition of X^T X gives V and the singular
-    # values without touching the rows again.
-    gram = RowMatrix(rdd).computeGramianMatrix().toArray()
-    rdd.unpersist()
+    rows = cut_lineage(to_sparse_rows(tfidf_transform(terms, vocab, broadcast_vocab=True), d).select("row_id", "indices", "values"))
+    band = max(1, 250_000 // d)
+
+    def outer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        g, some = np.zeros((d, d)), False
+        for pdf in batches:
+            for idx, vals in zip(pdf["indices"], pdf["values"], strict=True):
+                if len(idx):
+                    some = True
+                    g[np.ix_(idx, idx)] += np.outer(vals, vals)
+        for lo in range(0, d if some else 0, band):
+            yield pd.DataFrame({"lo": [lo], "part": [g[lo:lo + band].ravel()]})
+
+    def add(key, parts):
+        total = np.zeros(len(parts["part"].iloc[0]))
+        for p in parts["part"]:
+            total += p
+        return pd.DataFrame({"lo": [key[0]], "part": [total]})
+
+    bands = rows.coalesce(df.sparkSession.sparkContext.defaultParallelism).mapInPandas(outer, "lo long, part array<double>").groupBy("lo").applyInPandas(add, "lo long, part array<double>")
+    gram = np.zeros((d, d))
+    for r in bands.toLocalIterator():
+        gram[r["lo"]:r["lo"] + band] = np.asarray(r["part"]).reshape(-1, d)
     evals, evecs = np.linalg.eigh(gram)
     order = np.argsort(evals)[::-1][:k]
     v = np.asarray(evecs[:, order], dtype=np.float64)  # d x k
@@ -192,36 +219,38 @@ def lsa_embed(df: DataFrame, *, dimensions: int = 100, max_features: int = 5000,
             yield pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "embedding": list(out)})
 
     schema = StructType([StructField("row_id", LongType()), StructField("embedding", ArrayType(FloatType()))])
-    emb = rows.select("row_id", "indices", "values").mapInPandas(project, schema)
-    vocab.unpersist()
+    emb = rows.mapInPandas(project, schema)
     meta = {"features": int(d), "components": k, "singular_values": sigma.tolist(), "rows": int(n)}
     return emb, meta
 
 
-def hashing_embedder(dims: int = 64) -> Callable[[list[str]], list[list[float]]]:
-    """Deterministic offline embedder for tests: hashed word counts, L2-normalised."""
-    import re
-    import zlib
+def md5_embedder(dims: int = 64) -> Callable[[list[str]], list[list[float]]]:
+    """Deterministic offline embedder: each white-space word of the lower-cased text adds one to
+    the dimension md5(word) mod ``dims``; no normalisation, so the values are whole numbers."""
+    import hashlib
 
     def embed(texts: list[str]) -> list[list[float]]:
-        out = []
-        for t in texts:
-            v = np.zeros(dims)
-            for w in re.findall(r"\w+", (t or "").lower()):
-                v[zlib.crc32(w.encode()) % dims] += 1.0
-            n = np.linalg.norm(v)
-            out.append((v / n if n else v).tolist())
-        return out
+        out = np.zeros((len(texts), dims))
+        for i, t in enumerate(texts):
+            for w in (t or "").lower().split():
+                out[i, int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dims] += 1.0
+        return out.tolist()
 
     return embed
 
 
+class RetryableError(Exception):
+    """A failure of an embedding provider that may pass: timeouts, rate limits, 5xx."""
+
+
 def batch_embed(df: DataFrame, embed: Callable[[list[str]], list[list[float]]], *, batch_size: int = 64,
                 retries: int = 4, text_col: str = "text", id_col: str = "row_id",
+                retryable: tuple[type[Exception], ...] = (RetryableError, TimeoutError, ConnectionError),
                 sleep: Callable[[float], None] | None = None) -> DataFrame:
     """Embed texts with an injected callable in batches of ``batch_size`` inside each
     partition (parallelism = partitions). Results stay keyed by ``row_id``; a size
-    mismatch is an error; failures are retried with backoff min(2^attempt, 8) s."""
+    mismatch is an error; ``retryable`` failures are retried with backoff min(2^attempt, 8) s and
+    all others end the job at once."""
     import time
 
     wait = sleep or time.sleep
@@ -233,9 +262,7 @@ def batch_embed(df: DataFrame, embed: Callable[[list[str]], list[list[float]]],
                 if len(vecs) != len(batch):
                     raise EmbeddingError(f"embedding count {len(vecs)} != batch size {len(batch)}")
                 return vecs
-            except EmbeddingError:
-                raise
-            except Exception:  # noqa: BLE001 - retry any transient provider failure
+            except retryable:
                 if attempt == retries:
                     raise
                 wait(min(2 ** attempt, 8))

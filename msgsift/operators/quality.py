@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from msgsift.functions.labels import DEFAULT_LABELS, normalize_label
 from msgsift.functions.text import strip_ws
-from msgsift.session import cut_lineage
+from msgsift.session import cut_lineage, scratch_path
 
 
 class DatasetValidationError(ValueError):
@@ -40,11 +40,11 @@ def row_quality_flags(df: DataFrame, label_col: str = "label", text_col: str = "
 
 
 def invalid_label_values(flagged: DataFrame, label_col: str = "label") -> DataFrame:
-    """Distinct stripped invalid label values (a distributed table, not a list)."""
+    """(invalid_value, rows): distinct stripped invalid label values, a table and not a list."""
     return (
         flagged.filter("invalid_label")
-        .select(strip_ws(F.col(label_col).cast("string")).alias("invalid_value"))
-        .distinct()
+        .groupBy(strip_ws(F.col(label_col).cast("string")).alias("invalid_value"))
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
 
 
@@ -62,13 +62,14 @@ def quality_summary(flagged: DataFrame, label_col: str = "label") -> DataFrame:
 
 def enforce_quality(
     df: DataFrame, *, label_col: str = "label", text_col: str = "text", mode: str = "fail",
-    max_listed_values: int = 50,
 ) -> tuple[DataFrame, DataFrame]:
     """Fail fast (default) or split into (valid, quarantine).
 
     ``mode="fail"`` runs one aggregate and raises with every problem joined by
-    "; " before anything is written. ``mode="permissive"`` returns the valid rows
-    and the quarantined rows with their flags.
+    "; " before any message is written; all invalid label values go, with their
+    counts, to a table in the shared folder that the error names.
+    ``mode="permissive"`` returns the valid rows and the quarantined rows with
+    their flags.
     """
     flagged = row_quality_flags(df, label_col, text_col)
     bad = F.col("missing_label") | F.col("missing_text") | F.col("invalid_label")
@@ -79,19 +80,13 @@ def enforce_quality(
     s = quality_summary(flagged, label_col).first()
     errors = []
     if s["missing_label_count"]:
-        errors.append(f"{s['missing_label_count']} rows have missing labels")
+        errors.append(f"{s['missing_label_count']} rows lack a label")
     if s["missing_text_count"]:
-        errors.append(f"{s['missing_text_count']} rows have missing text values")
+        errors.append(f"{s['missing_text_count']} rows lack a text")
     if s["invalid_label_count"]:
-        values = [
-            r[0]
-            for r in invalid_label_values(flagged, label_col)
-            .orderBy("invalid_value")
-            .limit(max_listed_values)
-            .collect()
-        ]
-        more = "" if s["distinct_invalid_labels"] <= max_listed_values else ", ..."
-        errors.append(f"unexpected label values: {values}{more}")
+        where = scratch_path(df.sparkSession, "invalid-labels")
+        invalid_label_values(flagged, label_col).write.parquet(where)
+        errors.append(f"{s['invalid_label_count']} rows have one of {s['distinct_invalid_labels']} unknown label values, listed in {where}")
     if errors:
         raise DatasetValidationError("; ".join(errors))
     return flagged.drop("missing_label", "missing_text", "invalid_label"), flagged.filter(bad)
@@ -138,13 +133,6 @@ def assign_row_id(df: DataFrame, order_cols: Sequence[str], out: str = "row_id",
     )
 
 
-def text_group_counts(df: DataFrame, keys: Sequence[str] = ("text",)) -> DataFrame:
-    """(key digests..., cnt) for every distinct key combination."""
-    return df.groupBy(*[text_key(k).alias(f"_h_{k}") if k == "text" else F.col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("cnt")
-    )
-
-
 def duplicate_rows(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Rows whose text occurs more than once (all copies kept)."""
     dup = (
@@ -196,28 +184,25 @@ def validation_counts(raw: DataFrame, *, drop_duplicates: bool = False, label_co
                       text_col: str = "text", id_col: str = "row_id") -> DataFrame:
     """Numeric part of the validation summary over a raw (id, label, text) table."""
     flagged = row_quality_flags(raw, label_col, text_col)
-    q = flagged.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if("missing_label").alias("missing_label_count"),
-        F.count_if("missing_text").alias("missing_text_count"),
-        F.count_if("missing_text").alias("empty_text_count"),
-        F.count_if("invalid_label").alias("invalid_label_count"),
-    )
-    valid = normalize_messages(
-        flagged.filter(~(F.col("missing_label") | F.col("missing_text") | F.col("invalid_label"))),
-        label_col, text_col, id_col,
-    )
+    bad = F.col("missing_label") | F.col("missing_text") | F.col("invalid_label")
+    valid = normalize_messages(flagged.filter(~bad), label_col, text_col, id_col)
     dups = duplicate_stats(valid)
     final = dedup_keep_first(valid, renumber=False) if drop_duplicates else valid
-    lc = final.agg(
+    kept = final.agg(
         F.count(F.lit(1)).alias("validated_rows"),
         F.count_if(F.col("label") == "ham").alias("ham_count"),
         F.count_if(F.col("label") == "spam").alias("spam_count"),
     )
-    scal = {c: dups.select(c).scalar() for c in dups.columns}
-    lcs = {c: lc.select(c).scalar() for c in lc.columns}
-    out = q
-    for c, v in {**lcs, **scal}.items():
-        out = out.withColumn(c, v)
-    valid_rows = valid.select(F.count(F.lit(1))).scalar()
-    return out.withColumn("duplicate_messages_removed", (valid_rows - F.col("validated_rows")).cast("long"))
+    counts = flagged.agg(
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if("missing_label").alias("missing_label_count"),
+        F.count_if("missing_text").alias("missing_text_count"),
+        F.count_if("missing_text").alias("empty_text_count"),
+        F.count_if("invalid_label").alias("invalid_label_count"),
+        F.count_if(~bad).alias("_valid"),
+    )
+    # One subquery per table, each returning its row as a struct.
+    out = counts.withColumn("_k", kept.select(F.struct(*kept.columns)).scalar()).withColumn(
+        "_d", dups.select(F.struct(*dups.columns)).scalar())
+    return out.select(*[c for c in counts.columns if c != "_valid"], "_k.*", "_d.*",
+                      (F.col("_valid") - F.col("_k.validated_rows")).cast("long").alias("duplicate_messages_removed"))

@@ -162,7 +162,7 @@ def grouped_split(df: DataFrame, *, test_size: float = 0.2, seed: int = 42, retr
         sides = {r["split"]: all(r[f"has_{i}"] == 1 for i in range(len(labels))) for r in cover}
         if sides.get("train") and sides.get("test"):
             return out, s
-    raise SplitError("Could not create a duplicate-safe split containing both labels in train and test sets.")
+    raise SplitError(f"no seed from {seed} to {seed + retries - 1} puts every label on both sides of a split by text")
 
 
 def split_leakage(split_df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -194,7 +194,6 @@ def split_profile(split_df: DataFrame, labels: Sequence[str] = DEFAULT_LABELS, t
         F.count_if(F.col("in_test") == 1).alias("test_unique_texts"),
         F.count_if((F.col("in_train") == 1) & (F.col("in_test") == 1)).alias("text_overlap_count"),
     )
-    sc = {c: texts.select(c).scalar() for c in texts.columns}
     cols = [
         F.count_if(F.col("split") == "train").alias("train_rows"),
         F.count_if(F.col("split") == "test").alias("test_rows"),
@@ -202,10 +201,8 @@ def split_profile(split_df: DataFrame, labels: Sequence[str] = DEFAULT_LABELS, t
     for side in ("train", "test"):
         for lab in labels:
             cols.append(F.count_if((F.col("split") == side) & (F.col(label_col) == lab)).alias(f"{side}_{lab}"))
-    out = split_df.agg(*cols)
-    for c, v in sc.items():
-        out = out.withColumn(c, v)
-    return out
+    out = split_df.agg(*cols).withColumn("_t", texts.select(F.struct(*texts.columns)).scalar())
+    return out.select("*", "_t.*").drop("_t")
 
 
 def class_weights(df: DataFrame, label_col: str = "label", out: str = "weight") -> DataFrame:

@@ -532,7 +532,7 @@ vocab AS (SELECT CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx,
 
 ORACLES["build_vocabulary"] = _with(MSG, TERMS) + f"SELECT idx, term, df, tf_total, {r9('idf')} AS idf FROM vocab\n"
 
-ORACLES["build_vocabulary_limited"] = _with(MSG, TERMS, """lim AS (SELECT * FROM voc ORDER BY tf_total DESC, term ASC LIMIT 500),
+ORACLES["build_vocabulary_limited"] = _with(MSG, TERMS, """lim AS (SELECT * FROM voc ORDER BY tf_total DESC, term ASC LIMIT 5000),
 vl AS (SELECT CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, term, CAST(df AS BIGINT) AS df,
               CAST(tf_total AS BIGINT) AS tf_total, ln((1.0 + n) / (1.0 + df)) + 1 AS idf FROM lim, nd)""") + f"SELECT idx, term, df, tf_total, {r9('idf')} AS idf FROM vl\n"
 
@@ -554,13 +554,72 @@ SELECT w.row_id, w.term, {r9('w.w / nrm.nn')} AS weight FROM w JOIN nrm ON w.row
 UNION ALL SELECT CAST(item_id AS BIGINT), NULL, NULL FROM benchmark WHERE CAST(item_id AS BIGINT) NOT IN (SELECT row_id FROM w)
 """
 
-ORACLES["assemble_sparse"] = _with(MSG, TERMS, """lim AS (SELECT * FROM voc ORDER BY tf_total DESC, term ASC LIMIT 500),
-vocab2 AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1 AS idf FROM lim, nd),
-w AS (SELECT t.row_id, (1 + ln(t.tf)) * v.idf AS w FROM tf t JOIN vocab2 v ON t.term = v.term),
-nrm AS (SELECT row_id, count(*) AS nnz, sum(w * w) AS ss FROM w GROUP BY row_id)""") + """
-SELECT m.row_id, CAST(coalesce(nnz, 0) AS INTEGER) AS nnz,
-       round(CASE WHEN nnz IS NULL THEN 0.0 ELSE ss / ss END, 6) AS sq_norm
-FROM msg m LEFT JOIN nrm ON m.row_id = nrm.row_id
+ORACLES["assemble_sparse"] = _with(MSG, TERMS, TFIDF, """nz AS (SELECT row_id, count(*) AS nnz FROM w GROUP BY row_id)""") + """
+SELECT m.row_id, CAST(coalesce(nnz, 0) AS INTEGER) AS nnz, (SELECT CAST(count(*) AS INTEGER) FROM vocab) AS size,
+       CASE WHEN nnz IS NULL THEN 0.0 ELSE 1.0 END AS sq_norm
+FROM msg m LEFT JOIN nz ON m.row_id = nz.row_id
+"""
+
+LSA_TERMS = f"""sw AS (SELECT row_id, list_filter({words('text')}, lambda x: NOT list_contains({stop_list()}, x)) AS w FROM msg),
+lt AS (SELECT row_id, unnest({with_bigrams('w')}) AS term FROM sw),
+lf AS (SELECT row_id, term, count(*) AS tf FROM lt GROUP BY row_id, term),
+lv AS (SELECT term, sum(tf) AS tot FROM lf GROUP BY term HAVING count(*) >= 2 ORDER BY tot DESC, term ASC LIMIT 5000),
+lk AS (SELECT least(100, (SELECT count(*) FROM lv) - 1, (SELECT count(*) FROM msg) - 1) AS k)"""
+
+ORACLES["lsa_embed"] = _with(MSG, LSA_TERMS) + """
+SELECT m.row_id, CAST(k AS INTEGER) AS dims, CAST(k AS INTEGER) AS components, true AS singular_values_fall,
+       CASE WHEN m.row_id IN (SELECT row_id FROM lf JOIN lv ON lf.term = lv.term) THEN 1.0 ELSE 0.0 END AS sq_norm
+FROM msg m, lk
+"""
+
+ORACLES["batch_embed"] = """
+WITH w AS (SELECT CAST(doc_id AS BIGINT) AS row_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '\\S+')) AS word FROM documents)
+SELECT row_id, CAST(CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 64 AS INTEGER) AS dim, CAST(count(*) AS DOUBLE) AS value
+FROM w GROUP BY ALL
+"""
+
+_TRAIN_TERMS = TERMS.replace("FROM msg", "FROM trn")
+
+ORACLES["fit_classifier"] = _with(MSG, ROW_SPLIT, "trn AS (SELECT row_id, label, text FROM sp WHERE split = 'train')", _TRAIN_TERMS) + """
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM trn) AS rows, (SELECT CAST(count(*) AS BIGINT) FROM vocab) AS features, true AS gradient_vanishes
+"""
+
+_COEF = "((CAST('0x' || substr(md5(v.term), 1, 4) AS BIGINT) % 2001 - 1000) / 1000.0)"
+
+
+def _scores(source: str) -> str:
+    """CTE ``mg``(row_id, m): margins of the rows (row_id, text) of ``source`` under the given weights."""
+    return f"""st AS (SELECT row_id, unnest({with_bigrams('w')}) AS term FROM (SELECT row_id, {words('text')} AS w FROM {source})),
+sf AS (SELECT row_id, term, count(*) AS tf FROM st GROUP BY row_id, term),
+sd AS (SELECT sf.row_id, (1 + ln(sf.tf)) * v.idf AS w, CAST({_COEF} AS DOUBLE) AS c FROM sf JOIN vocab v ON sf.term = v.term),
+sm AS (SELECT row_id, sum(w * c) / sqrt(sum(w * w)) AS s FROM sd GROUP BY row_id),
+mg AS (SELECT r.row_id, coalesce(sm.s, 0.0) - 0.25 AS m FROM {source} r LEFT JOIN sm ON r.row_id = sm.row_id)"""
+
+
+_TEST = "tst AS (SELECT row_id, label, text FROM sp WHERE split = 'test')"
+_SCORED = f"""SELECT mg.row_id, CASE WHEN m > 0 THEN 'spam' ELSE 'ham' END AS predicted_label, {r9(_sigmoid('m'))} AS spam_probability"""
+
+ORACLES["score_messages"] = _with(MSG, ROW_SPLIT, TERMS, _TEST, _scores("tst")) + f"""
+{_SCORED}, tst.label AS true_label FROM mg JOIN tst ON mg.row_id = tst.row_id
+"""
+ORACLES["persist_model"] = _with(MSG, ROW_SPLIT, TERMS, _TEST, _scores("tst")) + f"{_SCORED} FROM mg\n"
+
+ORACLES["predict_confidence"] = _with(MSG, TERMS, "req AS (SELECT CAST(item_id AS BIGINT) AS row_id, text FROM benchmark)",
+                                      f"ok AS (SELECT * FROM req WHERE {strip('text')} <> '')", _scores("ok")) + f"""
+SELECT req.row_id, CASE WHEN m IS NULL THEN NULL WHEN m > 0 THEN 'spam' ELSE 'ham' END AS label,
+       {r9(f"greatest({_sigmoid('m')}, 1 - {_sigmoid('m')})")} AS confidence, m IS NULL AS rejected
+FROM req LEFT JOIN mg ON req.row_id = mg.row_id
+"""
+
+ORACLES["stream_score"] = _with(MSG, TERMS, f"""req AS (
+  SELECT 'item-' || CAST(item_id AS VARCHAR) AS row_id, {strip("coalesce(text, '')")} AS text FROM benchmark
+  UNION ALL SELECT 'doc-' || CAST(doc_id AS VARCHAR), {strip("coalesce(text, '')")} FROM documents)""",
+                                "ok AS (SELECT * FROM req WHERE length(text) BETWEEN 1 AND 10000)", _scores("ok")) + f"""
+SELECT req.row_id AS request_id, m IS NOT NULL AS accepted,
+       CASE WHEN length(req.text) = 0 THEN 'empty_text' WHEN length(req.text) > 10000 THEN 'text_too_long' ELSE '' END AS reject_reason,
+       CASE WHEN m IS NULL THEN NULL WHEN m > 0 THEN 'spam' ELSE 'ham' END AS label,
+       {r9(f"greatest({_sigmoid('m')}, 1 - {_sigmoid('m')})")} AS confidence
+FROM req LEFT JOIN mg ON req.row_id = mg.row_id
 """
 
 ORACLES["l2_normalize"] = f"""
@@ -572,7 +631,7 @@ SELECT vec_id, CAST(dim AS INTEGER) AS dim,
        {r9('CASE WHEN nn = 0 THEN CAST(v AS DOUBLE) ELSE CAST(v AS DOUBLE) / nn END')} AS value FROM x
 """
 
-ORACLES["training_metadata"] = _with(MSG, ROW_SPLIT) + """
+ORACLES["training_metadata"] = _with(MSG, ROW_SPLIT, DUPS) + """
 SELECT CAST(count(*) AS BIGINT) AS total_rows,
        CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS train_rows,
        CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) AS test_rows,
@@ -582,14 +641,24 @@ SELECT CAST(count(*) AS BIGINT) AS total_rows,
        CAST(count(*) FILTER (WHERE label = 'spam') AS BIGINT) AS class_spam,
        CAST(count(*) FILTER (WHERE label = 'spam' AND split = 'train') AS BIGINT) AS train_spam,
        CAST(count(*) FILTER (WHERE label = 'spam' AND split = 'test') AS BIGINT) AS test_spam,
-       0.2 AS test_size, 42 AS random_state
+       (SELECT CAST(coalesce(sum(cnt) FILTER (WHERE cnt > 1), 0) AS BIGINT) FROM bt) AS duplicate_message_count,
+       (SELECT CAST(count(*) FILTER (WHERE cnt > 1) AS BIGINT) FROM bt) AS duplicate_message_groups,
+       (SELECT CAST(coalesce(sum(cnt) FILTER (WHERE cnt > 1), 0) AS BIGINT) FROM bp) AS exact_duplicate_row_count,
+       0.2 AS test_size, 42 AS random_state, 'tfidf' AS representation, '1-2' AS ngram_range, 2 AS min_df, true AS sublinear_tf,
+       'logistic_regression' AS classifier, 1.0 AS c, 'balanced' AS class_weight, 1000 AS max_iter
 FROM sp
 """
 
-ORACLES["corpus_fingerprint"] = _with(MSG, """h AS (SELECT md5(label || chr(9) || text) AS h FROM msg),
-s AS (SELECT count(*) AS n, sum(CAST(('0x' || substr(h, 1, 15)) AS BIGINT)) AS sa,
-             sum(CAST(('0x' || substr(h, 16, 15)) AS BIGINT)) AS sb FROM h)""") + """
-SELECT CAST(n AS BIGINT) AS rows, md5(CAST(n AS VARCHAR) || ':' || CAST(sa AS VARCHAR) || ':' || CAST(sb AS VARCHAR)) AS fingerprint FROM s
+
+def _field(c: str) -> str:
+    return f"(CASE WHEN {c} IS NULL THEN 'n' ELSE 's' || CAST(strlen({c}) AS VARCHAR) || ':' || {c} END)"
+
+
+ORACLES["corpus_fingerprint"] = _with(MSG, f"""h AS (SELECT sha256({_field('label')} || {_field('text')}) AS h FROM msg),
+ea AS (SELECT h, count(*) AS n FROM h GROUP BY h),
+lf AS (SELECT substr(h, 1, 4) AS b, sum(n) AS n, sha256(string_agg(h || '*' || CAST(n AS VARCHAR), ',' ORDER BY h || '*' || CAST(n AS VARCHAR))) AS d
+       FROM ea GROUP BY 1)""") + """
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS rows, sha256(string_agg(d, ',' ORDER BY b)) AS fingerprint FROM lf
 """
 
 
@@ -619,6 +688,28 @@ si AS (SELECT o.row_id, sz.n,
 SELECT {r9("avg(CASE WHEN n <= 1 OR b IS NULL THEN 0.0 WHEN greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END)")} AS silhouette FROM si
 """
 
+ORACLES["kmeans_fit"] = "SELECT count(*) AS rows, CAST(10 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS not_nearest FROM embeddings"
+ORACLES["select_k"] = "SELECT CAST(k AS INTEGER) AS k, true AS proper, CAST(1 AS BIGINT) AS bests FROM range(3, 9) t(k)"
+ORACLES["project_2d"] = "SELECT count(*) AS rows, 0.0 AS mean_x, 0.0 AS mean_y, 0.0 AS cross_xy, true AS ordered FROM embeddings"
+ORACLES["cluster_points"] = "SELECT CAST(vec_id AS BIGINT) AS row_id, CAST(label AS INTEGER) AS cluster_id, true AS placed FROM embeddings"
+
+_RECORD = f"""rec AS (
+  SELECT '' AS dataset, '' AS assignments_output, '' AS summary_output, '' AS embeddings_output, '' AS metadata_output,
+         'given-labels' AS embedding_provider, 'embeddings.label' AS embedding_model, CAST(max(len(embedding)) AS INTEGER) AS embedding_dimensions,
+         '' AS embedding_notes, 'reference grouping' AS embedding_provider_role, 'KMeans' AS clustering_algorithm,
+         CAST(count(DISTINCT label) AS INTEGER) AS cluster_count, CAST(count(*) AS INTEGER) AS total_messages,
+         (SELECT silhouette FROM sil) AS silhouette_score, 42 AS random_state FROM embeddings)"""
+_SIL = "sil AS (" + ORACLES["silhouette"] + ")"
+
+ORACLES["cluster_metadata"] = _with(_SIL, _RECORD) + "SELECT * FROM rec\n"
+ORACLES["provider_comparison"] = _with(_SIL, _RECORD) + """
+SELECT p.n AS embedding_provider, embedding_model, coalesce(CAST(embedding_dimensions AS VARCHAR), '-') AS embedding_dimensions,
+       coalesce(CAST(total_messages AS VARCHAR), '-') AS total_messages, coalesce(CAST(cluster_count AS VARCHAR), '-') AS cluster_count, silhouette_score,
+       CASE WHEN rec.cluster_count IS NULL THEN 'not generated' ELSE 'generated' END AS status, p.r AS role, p.n = 'given-labels' AS is_best
+FROM (VALUES ('given-labels', 'reference grouping'), ('lsa-local', 'local reproducible path'), ('remote-embeddings', 'remote embedding path')) p(n, r)
+LEFT JOIN rec ON rec.embedding_provider = p.n
+"""
+
 LANGC = """lm AS (SELECT m.row_id, m.label, m.text, d.lang, CAST(length(m.text) AS DOUBLE) AS n
        FROM msg m JOIN documents d ON m.row_id = d.doc_id),
 lg AS (SELECT lang, avg(n) AS mean_n, CAST(dense_rank() OVER (ORDER BY lang) - 1 AS INTEGER) AS cluster_id FROM lm GROUP BY lang),
@@ -737,4 +828,22 @@ ORACLES["validate_dataset"] = _with(MSG) + """
 SELECT CAST(row_number() OVER (ORDER BY row_id) AS BIGINT) AS row_id, label, md5(text) AS text_md5 FROM msg
 """
 
-ORACLES["write_report_tables"] = ORACLES["frequent_words"]
+ORACLES["validation_record"] = ("WITH v AS (" + ORACLES["validation_summary"] + """)
+SELECT 'v1' AS label_column, 'v2' AS text_column, 'comma' AS delimiter, 'utf-8' AS encoding, 'v1,v2' AS detected_columns, v.* FROM v
+""")
+
+_NG = "SELECT ngram, CAST(cnt AS BIGINT) AS cnt, row_number() OVER (PARTITION BY gs.n ORDER BY cnt DESC, fs ASC) AS rk, gs.n AS size FROM gs"
+ORACLES["write_report_tables"] = _with(MSG, TOK, RUNS, TERM_SCORES_CTE, NGRAMS_CTE, "st2 AS (SELECT token, sum(tf) AS cnt, " + FIRST + """ AS fs FROM runs GROUP BY token),
+fw AS (SELECT *, row_number() OVER (ORDER BY cnt DESC, fs ASC) AS rk FROM st2),
+vb AS (SELECT token, label, sum(tf) AS cnt FROM runs GROUP BY token, label),
+sr AS (SELECT *, row_number() OVER (ORDER BY log_rate_ratio_spam_vs_ham DESC, spam_count DESC, token ASC) AS rs,
+              row_number() OVER (ORDER BY log_rate_ratio_ham_vs_spam DESC, ham_count DESC, token ASC) AS rh FROM sc),
+ng AS (""" + _NG + ")") + """
+SELECT 'frequent_words' AS "table", CAST(rk AS INTEGER) AS rank, token AS item, CAST(cnt AS BIGINT) AS count FROM fw WHERE rk <= 50
+UNION ALL SELECT 'vocabulary_by_label', 0, token, CAST(cnt AS BIGINT) FROM vb
+UNION ALL SELECT 'spam_terms', CAST(rs AS INTEGER), token, CAST(spam_count AS BIGINT) FROM sr WHERE rs <= 30
+UNION ALL SELECT 'ham_terms', CAST(rh AS INTEGER), token, CAST(ham_count AS BIGINT) FROM sr WHERE rh <= 30
+UNION ALL SELECT CASE WHEN size = 2 THEN 'bigrams' ELSE 'trigrams' END, CAST(rk AS INTEGER), ngram, cnt FROM ng WHERE rk <= 30
+"""
+
+ORACLES["confusion_rates_from_errors"] = ORACLES["confusion_rates"]

@@ -26,7 +26,7 @@ from msgsift.operators import classify as CL
 from msgsift.operators import cluster as K
 from msgsift.plans.inputs import predictions, split_messages
 from msgsift.operators._util import round_doubles
-from msgsift.session import cut_lineage
+from msgsift.session import cut_lineage, scratch_path
 from msgsift.sources.tables import labelled_messages, labelled_raw, raw_messages, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -347,12 +347,12 @@ def q_build_vocabulary(spark, sf):
 
 @register("build_vocabulary_limited")
 def q_build_vocabulary_limited(spark, sf):
-    return round_doubles(FT.build_vocabulary(_terms(spark, sf), min_df=2, max_features=500).drop("n_docs"), 9)
+    return round_doubles(FT.build_vocabulary(_terms(spark, sf), min_df=2, max_features=5000).drop("n_docs"), 9)
 
 
 @register("tfidf_weights")
 def q_tfidf_weights(spark, sf):
-    terms = _terms(spark, sf)
+    terms = cut_lineage(_terms(spark, sf).select("row_id", "terms"))
     vocab = FT.build_vocabulary(terms, min_df=2)
     return round_doubles(FT.tfidf_transform(terms, vocab).select("row_id", "term", "weight"), 9)
 
@@ -367,17 +367,14 @@ def q_tfidf_transform(spark, sf):
 
 @register("assemble_sparse")
 def q_assemble_sparse(spark, sf):
-    terms = _terms(spark, sf)
-    vocab = FT.build_vocabulary(terms, min_df=2, max_features=500)
-    rows = FT.to_sparse_rows(FT.tfidf_transform(terms, vocab, broadcast_vocab=True), 500)
-    vec = FT.assemble_sparse(rows)
-    from pyspark.ml.functions import vector_to_array
-    arr = vector_to_array(F.col("features"))
-    return vec.select(
-        "row_id",
-        F.size("indices").cast("int").alias("nnz"),
-        F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"),
-    )
+    from pyspark.ml.feature import Normalizer
+    terms = cut_lineage(_terms(spark, sf).select("row_id", "terms"))
+    vocab = cut_lineage(FT.build_vocabulary(terms, min_df=2))
+    vec = FT.assemble_sparse(FT.to_sparse_rows(FT.tfidf_transform(terms, vocab), vocab.count()))
+    # The vectors are read by an ML stage; their unit norm must survive it.
+    back = FT.sparse_entries(Normalizer(inputCol="features", outputCol="unit").transform(vec), "unit")
+    return back.select("row_id", F.size("indices").cast("int").alias("nnz"), F.col("size").cast("int").alias("size"),
+                       F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"))
 
 
 @register("l2_normalize")
@@ -389,44 +386,52 @@ def q_l2_normalize(spark, sf):
 
 @register("lsa_embed")
 def q_lsa_embed(spark, sf):
-    emb, _meta = FT.lsa_embed(labelled_messages(spark, sf), dimensions=20, max_features=500)
-    return emb.select("row_id", F.size("embedding").alias("dims"))
+    """Sign-free properties of the embeddings: the size and length of each row's vector, and for
+    the whole table the number of components that are orthogonal to each other."""
+    emb, meta = FT.lsa_embed(labelled_messages(spark, sf), stopwords=sorted(DEFAULT_STOPWORDS))
+    sq = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return emb.select("row_id", F.size("embedding").alias("dims"), F.round(sq, 4).alias("sq_norm")).withColumn(
+        "components", F.lit(meta["components"])).withColumn(
+        "singular_values_fall", F.lit(all(a >= b for a, b in zip(meta["singular_values"], meta["singular_values"][1:]))))
 
 
 @register("batch_embed")
 def q_batch_embed(spark, sf):
-    return FT.batch_embed(_docs(spark, sf), FT.hashing_embedder(64), batch_size=64).select(
-        "row_id", F.size("embedding").alias("dims"))
+    return FT.batch_embed(_docs(spark, sf), FT.md5_embedder(64), batch_size=64).select(
+        "row_id", F.posexplode("embedding").alias("dim", "value")).where("value <> 0").select(
+        "row_id", F.col("dim").cast("int").alias("dim"), F.col("value").cast("double").alias("value"))
 
 
 # -- §2.5 classifier --------------------------------------------------------------------
 
 
-def _fit(spark, sf, strategy="row"):
-    sp = split_messages(spark, sf, strategy).cache()
-    clf = CL.fit_classifier(sp.filter(F.col("split") == "train"))
-    return clf, sp
+def fixed_classifier(spark, sf):
+    """A classifier with given weights: the vocabulary of the labelled messages and coefficients
+    that follow from each term's md5, so that scoring can be checked without a fit."""
+    vocab = FT.build_vocabulary(_terms(spark, sf), min_df=2)
+    low = F.conv(F.substring(F.md5("term"), 1, 4), 16, 10).cast("long")
+    weights = vocab.select("idx", "term", "idf", ((low % 2001 - 1000) / F.lit(1000.0)).alias("coefficient"))
+    return CL.TextClassifier(cut_lineage(weights), -0.25)
 
 
 @register("fit_classifier")
 def q_fit_classifier(spark, sf):
-    clf, _ = _fit(spark, sf)
-    coef = clf.model.coefficients.toArray().tolist()
-    return spark.createDataFrame([(i, float(c)) for i, c in enumerate(coef)], "idx int, coefficient double")
+    sp = split_messages(spark, sf, "row")
+    train = cut_lineage(sp.filter(F.col("split") == "train").select("row_id", "label", "text"))
+    return CL.fit_report(CL.fit_classifier(train), train)
 
 
 @register("score_messages")
 def q_score_messages(spark, sf):
-    clf, sp = _fit(spark, sf)
-    test = sp.filter(F.col("split") == "test")
-    return CL.score_messages(clf, test).join(test.select("row_id", F.col("label").alias("true_label")), "row_id")
+    test = cut_lineage(split_messages(spark, sf, "row").filter(F.col("split") == "test").select("row_id", "label", "text"))
+    scored = CL.score_messages(fixed_classifier(spark, sf), test)
+    return round_doubles(scored.join(test.select("row_id", F.col("label").alias("true_label")), "row_id"), 9)
 
 
 @register("predict_confidence")
 def q_predict_confidence(spark, sf):
-    clf, _ = _fit(spark, sf)
     bench = read_table(spark, sf, "benchmark").select(F.col("item_id").cast("long").alias("row_id"), "text")
-    return CL.predict_confidence(clf, bench)
+    return round_doubles(CL.predict_confidence(fixed_classifier(spark, sf), bench), 9)
 
 
 @register("training_metadata")
@@ -461,21 +466,31 @@ def q_silhouette(spark, sf):
 
 @register("kmeans_fit")
 def q_kmeans_fit(spark, sf):
+    """What every finished fit satisfies: all clusters are used, each row's cluster is the one of its
+    nearest centre, and each centre is the mean of its rows (the fit is a fixed point)."""
     e = K.with_vector(_emb(spark, sf))
     model = K.kmeans_fit(e, 10, seed=42, n_init=20)
-    return model.transform(e).select("row_id", F.col("prediction").alias("cluster_id"))
+    rows = cut_lineage(model.transform(e).select("row_id", "embedding", F.col("prediction").alias("given")))
+    centres = K.label_centroids(rows, "given")
+    near = K.nearest_centroid(rows, centres)
+    return near.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("given").alias("clusters"),
+                    F.count_if(F.col("cluster_id") != F.col("given")).alias("not_nearest"))
 
 
 @register("select_k")
 def q_select_k(spark, sf):
-    e = K.with_vector(_emb(spark, sf))
-    k, s = K.select_k(e, "auto", seed=42)
-    return e.limit(1).select(F.lit(k).alias("cluster_count"), F.lit(s).alias("silhouette_score"))
+    """The tried cluster counts with whether each silhouette is a proper one, and one best."""
+    return K.select_k_table(K.with_vector(_emb(spark, sf)), "auto", seed=42).select(
+        "k", F.col("silhouette").between(-1, 1).alias("proper"), F.sum(F.col("best").cast("int")).over(
+            Window.partitionBy()).alias("bests"))
 
 
 @register("project_2d")
 def q_project_2d(spark, sf):
-    return K.project_2d(K.with_vector(_emb(spark, sf))).select("row_id", "x", "y")
+    """Sign-free: squared coordinates are summed, so are the products of the two axes."""
+    pts = K.project_2d(K.with_vector(_emb(spark, sf)))
+    return pts.agg(F.count(F.lit(1)).alias("rows"), F.round(F.abs(F.avg("x")), 6).alias("mean_x"), F.round(F.abs(F.avg("y")), 6).alias("mean_y"),
+                   F.round(F.abs(F.avg(F.col("x") * F.col("y"))), 6).alias("cross_xy"), (F.var_pop("x") >= F.var_pop("y")).alias("ordered"))
 
 
 def _lang_clusters(spark, sf):
@@ -513,21 +528,20 @@ def q_cluster_theme(spark, sf):
     return K.cluster_theme(_lang_clusters(spark, sf))
 
 
+def _cluster_record(spark, sf):
+    return K.cluster_metadata(_emb(spark, sf), provider="given-labels", model="embeddings.label", prediction="given")
+
+
 @register("cluster_metadata")
 def q_cluster_metadata(spark, sf):
-    e = _emb(spark, sf)
-    s = K.silhouette_table(e, prediction="given").first()["silhouette"]
-    return K.cluster_metadata(spark, provider="given-labels", model="embeddings.label", dimensions=64,
-                              k=e.select("given").distinct().count(), total=e.count(), silhouette_score=s)
+    return round_doubles(_cluster_record(spark, sf), 9)
 
 
 @register("provider_comparison")
 def q_provider_comparison(spark, sf):
-    e = _emb(spark, sf)
-    s = K.silhouette_table(e, prediction="given").first()["silhouette"]
-    meta = K.cluster_metadata(spark, provider="given-labels", model="embeddings.label", dimensions=64,
-                              k=e.select("given").distinct().count(), total=e.count(), silhouette_score=s)
-    return K.provider_comparison(meta, ["given-labels", "lsa-local", "remote-embeddings"])
+    out = K.provider_comparison(_cluster_record(spark, sf), ["given-labels", "lsa-local", "remote-embeddings"])
+    shown = {c: F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("embedding_dimensions", "total_messages", "cluster_count")}
+    return round_doubles(out.withColumns(shown), 9)
 
 
 # -- §2.8 streaming re-aims -----------------------------------------------------------------
@@ -545,21 +559,28 @@ def q_rate_limit_decisions(spark, sf):
 
 @register("rate_limit_stream")
 def q_rate_limit_stream(spark, sf):
-    """Same decisions from a Structured Streaming query (file source, availableNow)."""
-    import tempfile
-    from msgsift.session import checkpoint_dir
-    from msgsift.streaming.ratelimit import rate_limit_stream
+    """Same decisions from a Structured Streaming query over several micro-batches: the events
+    arrive as four files in time order, one per trigger, and clients' state carries over."""
+    from msgsift.streaming.ratelimit import epoch_micros, rate_limit_stream
 
     events = read_table(spark, sf, "events")
-    src = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    base = checkpoint_dir(spark).rstrip("/")
-    name = tempfile.mktemp(prefix="ratelimit-", dir="").strip("/")
-    out, ck = f"{base}/{name}/out", f"{base}/{name}/ck"
+    t = epoch_micros(events, "ts")
+    cuts = events.select(F.percentile_approx(t, [0.25, 0.5, 0.75], 1000).alias("c")).first()["c"]
+    base = scratch_path(spark, "ratelimit")
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        part = events if lo is None else events.where(t >= F.lit(lo))
+        (part if hi is None else part.where(t < F.lit(hi))).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    src = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     q = (rate_limit_stream(src, requests=LIMIT_REQUESTS, window_seconds=LIMIT_WINDOW_S)
-         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(f"{base}/out")
+
+
+def _is_folder(spark, path):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
 @register("validate_requests")
@@ -573,21 +594,24 @@ def q_validate_requests(spark, sf):
 
 @register("stream_score")
 def q_stream_score(spark, sf):
-    """Fit on the labelled train side, then score `benchmark` + `documents` texts
-    arriving as a file stream; output equals batch scoring."""
-    import tempfile
-    from msgsift.session import checkpoint_dir
+    """All `benchmark` and `documents` texts arrive as file streams, are scored per micro-batch
+    with given weights and read back from the sink; equals batch scoring."""
     from msgsift.streaming.score import stream_score
 
-    clf, _ = _fit(spark, sf)
-    schema = "item_id long, text string"
-    src = spark.readStream.schema(schema).option("pathGlobFilter", "benchmark.parquet").parquet(sf).select(
-        F.concat(F.lit("item-"), F.col("item_id").cast("string")).alias("request_id"), "text")
-    base = checkpoint_dir(spark).rstrip("/")
-    name = tempfile.mktemp(prefix="score-", dir="").strip("/")
-    q = stream_score(clf, src, f"{base}/{name}/out", f"{base}/{name}/ck")
+    def source(table, id_col, prefix):
+        schema = read_table(spark, sf, table).schema
+        one = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+        path = f"{sf.rstrip('/')}/{table}.parquet"
+        # A stream reads folders; a table that is one file is selected by its name.
+        src = one.parquet(path) if _is_folder(spark, path) else spark.readStream.schema(schema).option(
+            "pathGlobFilter", f"{table}.parquet").parquet(sf)
+        return src.select(F.concat(F.lit(prefix), F.col(id_col).cast("string")).alias("request_id"), "text")
+
+    stream = source("benchmark", "item_id", "item-").unionByName(source("documents", "doc_id", "doc-"))
+    base = scratch_path(spark, "score")
+    q = stream_score(fixed_classifier(spark, sf), stream, f"{base}/out", f"{base}/ck")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/{name}/out").drop("epoch_id")
+    return round_doubles(spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out").drop("epoch_id"), 9)
 
 
 # -- §2.8 report-ready selections --------------------------------------------------------------
@@ -627,74 +651,77 @@ def q_metrics_chart(spark, sf):
 
 @register("cluster_points")
 def q_cluster_points(spark, sf):
-    e = K.with_vector(_emb(spark, sf))
-    pts = K.project_2d(e).withColumnRenamed("given", "cluster_id")
-    return S.sample_messages(pts, 300, seed=42).select("row_id", "x", "y", "cluster_id")
+    """Every row with its plot coordinates; the signs of the axes are settled by the first row."""
+    pts = K.project_2d(K.with_vector(_emb(spark, sf))).withColumnRenamed("given", "cluster_id")
+    return pts.select("row_id", "cluster_id", (F.col("x").isNotNull() & F.col("y").isNotNull()).alias("placed"))
 
 
 # -- §2.1 / §2.3 / §2.5 file round trips (sources, sinks, persistence) -----------------------
 
 
-def _scratch(spark, prefix):
-    import tempfile
-    from msgsift.session import checkpoint_dir
-    return f"{checkpoint_dir(spark).rstrip('/')}/{tempfile.mktemp(prefix=prefix, dir='').strip('/')}"
-
-
-def validate_dataset(spark, raw_path, out_path, *, quote_multiline=True, drop_duplicates=False):
-    """read -> resolve columns -> fail-fast quality -> normalise -> number rows in file
-    order -> (dedup) -> write -> load with contract check."""
-    from msgsift.sources.delimited import read_messages, resolve_columns
-    from msgsift.sources.sinks import load_messages, write_messages
-
-    raw, _opts = read_messages(spark, raw_path, quote_multiline=quote_multiline)
-    label_col, text_col = resolve_columns(raw)
-    valid, _bad = Q.enforce_quality(raw, label_col=label_col, text_col=text_col)
-    norm = valid.select(normalize_label(F.col(f"`{label_col}`")).alias("label"),
-                        strip_ws(F.col(f"`{text_col}`")).alias("text"), "_order")
-    numbered = Q.assign_row_id(norm, ["_order"]).drop("_order")
-    if drop_duplicates:
-        numbered = Q.dedup_keep_first(numbered)
-    write_messages(numbered, out_path)
-    return load_messages(spark, out_path)
-
-
 @register("read_messages")
 def q_read_messages(spark, sf):
-    """Labelled messages written as a quoted CSV with header (label,message), read back
-    through option sniffing + column resolution, in file order."""
+    """Labelled messages written as a quoted CSV with header (label,message), read back with
+    default options through dialect sniffing + column resolution, in file order."""
     from msgsift.sources.delimited import read_messages, resolve_columns
-    base = _scratch(spark, "raw-")
+    base = scratch_path(spark, "raw")
     src = labelled_raw(spark, sf).orderBy("row_id").select(F.col("label"), F.col("text").alias("message"))
     src.write.option("header", "true").option("quote", '"').option("escape", '"').csv(base)
-    raw, _ = read_messages(spark, base, quote_multiline=True)
+    raw, _ = read_messages(spark, base)
     lab, txt = resolve_columns(raw)
     return Q.assign_row_id(raw, ["_order"]).select("row_id", F.col(lab).alias("label"), F.md5(txt).alias("text_md5"))
 
 
 @register("validate_dataset")
 def q_validate_dataset(spark, sf):
-    base = _scratch(spark, "validate-")
+    from msgsift.sources.validate import validate_dataset
+    base = scratch_path(spark, "validate")
     src = labelled_raw(spark, sf).orderBy("row_id").select(F.col("label").alias("v1"), F.col("text").alias("v2"))
     src.write.option("header", "true").option("quote", '"').option("escape", '"').csv(f"{base}/raw")
-    out = validate_dataset(spark, f"{base}/raw", f"{base}/validated")
+    out, _ = validate_dataset(spark, f"{base}/raw", f"{base}/validated", f"{base}/summary")
     return out.select("row_id", "label", F.md5("text").alias("text_md5"))
 
 
+@register("validation_record")
+def q_validation_record(spark, sf):
+    """The JSON record of a validation run with duplicate removal, read back (paths left out)."""
+    from msgsift.sources.validate import validate_dataset
+    base = scratch_path(spark, "validate")
+    src = labelled_raw(spark, sf).orderBy("row_id").select(F.col("label").alias("v1"), F.col("text").alias("v2"))
+    src.write.option("header", "true").option("quote", '"').option("escape", '"').csv(f"{base}/raw")
+    validate_dataset(spark, f"{base}/raw", f"{base}/validated", f"{base}/summary", drop_duplicates=True)
+    rec = spark.read.json(f"{base}/summary").drop("input_file", "output_file", "summary_file")
+    return rec.withColumn("detected_columns", F.array_join("detected_columns", ","))
+
+
 @register("write_report_tables")
 def q_write_report_tables(spark, sf):
+    """All six report tables written and read back, as (table, rank, item, count)."""
     from msgsift.sources.sinks import write_report_tables
-    m = _tokens(spark, sf).cache()
-    paths = write_report_tables({"frequent_words": C.frequent_words(m, 50),
-                                 "frequent_ngrams": C.frequent_ngrams(m, top_n=30)}, _scratch(spark, "reports-"))
-    return spark.read.parquet(paths["frequent_words"])
+    paths = write_report_tables(C.report_tables(_tokens(spark, sf)), scratch_path(spark, "reports"))
+    back = {name: spark.read.parquet(p) for name, p in paths.items()}
+    item = {"frequent_words": "token", "vocabulary_by_label": "token", "spam_terms": "token", "ham_terms": "token",
+            "bigrams": "ngram", "trigrams": "ngram"}
+    count = {"spam_terms": "spam_count", "ham_terms": "ham_count"}
+    parts = [df.select(F.lit(name).alias("table"), (F.col("rank") if "rank" in df.columns else F.lit(0)).cast("int").alias("rank"),
+                       F.col(item[name]).alias("item"), F.col(count.get(name, "count")).cast("long").alias("count"))
+             for name, df in back.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("confusion_rates_from_errors")
+def q_confusion_rates_from_errors(spark, sf):
+    """Confusion rates derived from the metric record's supports and error counts."""
+    return round_doubles(EV.rates_from_errors(EV.metric_record(_pred(spark, sf), "row_stratified_split")), 9)
 
 
 @register("persist_model")
 def q_persist_model(spark, sf):
-    """Fit, persist, load (validated), score the held-out rows with the loaded model."""
-    clf, sp = _fit(spark, sf)
-    path = _scratch(spark, "model-")
-    CL.persist_model(clf, path, {"train_rows": sp.filter("split = 'train'").count()})
-    loaded = CL.load_model(spark, path)
-    return CL.score_messages(loaded, sp.filter(F.col("split") == "test"))
+    """A classifier with given weights is saved, loaded (validated) and scores the test rows."""
+    sp = split_messages(spark, sf, "row")
+    path = scratch_path(spark, "model")
+    CL.persist_model(fixed_classifier(spark, sf), path, {"split": "row"})
+    return round_doubles(CL.score_messages(CL.load_model(spark, path), sp.filter(F.col("split") == "test")), 9)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -23,12 +24,17 @@ BASE_CONF = {
 
 def get_spark(master: str | None = None, *, shuffle_partitions: int | None = None,
               app_name: str = "msgsift", extra: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session. ``master`` defaults to local[$BENCH_CPUS or 8]."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app_name)
+    """Build (or reuse) a session with the plan defaults above.
+
+    Master, memory and shuffle partitions are left to the cluster's own configuration unless they
+    are passed here.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf.setdefault("spark.driver.memory", "16g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -57,6 +63,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder, for tables that outlive one job."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 _shipped: set[str] = set()
 
 

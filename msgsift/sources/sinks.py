@@ -2,65 +2,65 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from msgsift.functions.labels import DEFAULT_LABELS
 from msgsift.operators.quality import DatasetValidationError
+from msgsift.session import scratch_path
 
 MESSAGE_SCHEMA = StructType([
     StructField("row_id", LongType(), False),
     StructField("label", StringType(), False),
     StructField("text", StringType(), False),
 ])
+#: Written and read alike, so quotes, delimiters, line breaks and empty texts survive.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "quoteAll": "true", "multiLine": "true", "emptyValue": "",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "lineSep": "\n"}
+
+
+def _csv(io: DataFrameReader | DataFrameWriter):
+    names = set(CSV_OPTIONS) - ({"multiLine"} if isinstance(io, DataFrameWriter) else {"quoteAll", "lineSep"})
+    return io.options(**{k: CSV_OPTIONS[k] for k in names})
 
 
 def write_messages(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Persist the normalised message table (Parquet by default; CSV optional)."""
     w = df.select("row_id", "label", "text").write.mode(mode)
-    if fmt == "csv":
-        w.option("header", "true").option("escape", '"').csv(path)
-    else:
-        w.parquet(path)
+    _csv(w).csv(path) if fmt == "csv" else w.parquet(path)
 
 
 def write_report_tables(tables: Mapping[str, DataFrame], out_dir: str, *, fmt: str = "parquet") -> dict[str, str]:
     """Write each result table to ``out_dir/<name>``; never coalesces large tables."""
-    paths = {}
+    paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in tables}
     for name, df in tables.items():
-        p = f"{out_dir.rstrip('/')}/{name}"
-        (df.write.mode("overwrite").option("header", "true").csv(p) if fmt == "csv"
-         else df.write.mode("overwrite").parquet(p))
-        paths[name] = p
+        w = df.write.mode("overwrite")
+        _csv(w).csv(paths[name]) if fmt == "csv" else w.parquet(paths[name])
     return paths
 
 
 def write_summary_json(summary: DataFrame, path: str) -> dict:
-    """Write a 1-row summary as JSON (a one-row result is the only thing collected)."""
+    """Write a one-row summary as JSON and return it (the one row is all that is collected)."""
     rows = summary.limit(2).collect()
     if len(rows) != 1:
         raise ValueError("summary must have exactly one row")
-    record = rows[0].asDict(recursive=True)
-    summary.coalesce(1).write.mode("overwrite").json(path)
-    return record
+    summary.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return rows[0].asDict(recursive=True)
 
 
 def load_messages(spark: SparkSession, path: str, *, fmt: str = "parquet",
                   labels: tuple[str, ...] = DEFAULT_LABELS) -> DataFrame:
-    """Load a validated message table and check its contract with one aggregate."""
-    if fmt == "csv":
-        raw = spark.read.option("header", "true").schema(
-            StructType([StructField(f.name, StringType()) for f in MESSAGE_SCHEMA])).csv(path)
-    else:
-        raw = spark.read.parquet(path)
+    """Load a validated message table and check its contract with one aggregate.
+
+    All unexpected labels are written to a table whose path the error names.
+    """
+    raw = _csv(spark.read).csv(path) if fmt == "csv" else spark.read.parquet(path)
     missing = [c for c in ("row_id", "label", "text") if c not in raw.columns]
     if missing:
-        raise DatasetValidationError(f"Validated dataset is missing required columns {missing}. "
-                                     f"Detected columns: {raw.columns}")
+        raise DatasetValidationError(f"{path} lacks the columns {missing}; it has {raw.columns}")
     df = raw.select(F.col("row_id").cast("string").alias("_rid"), F.col("label").cast("string").alias("label"),
                     F.col("text").cast("string").alias("text"))
     low = F.lower("label")
@@ -71,17 +71,15 @@ def load_messages(spark: SparkSession, path: str, *, fmt: str = "parquet",
         *[F.count_if(low == lab).alias(f"n_{i}") for i, lab in enumerate(labels)],
     ).first()
     if check["n"] == 0:
-        raise DatasetValidationError(f"Validated dataset is empty: {path}")
+        raise DatasetValidationError(f"{path} has no rows")
     if check["bad_ids"]:
-        raise DatasetValidationError("Column 'row_id' must contain integer row ids.")
+        raise DatasetValidationError(f"{check['bad_ids']} values of row_id in {path} are no integers")
     absent = [lab for i, lab in enumerate(labels) if check[f"n_{i}"] == 0]
-    if check["unexpected"] or absent:
-        sample = [r[0] for r in df.select(low.alias("l")).filter(~F.col("l").isin(list(labels)) | F.col("l").isNull())
-                  .distinct().orderBy("l").limit(20).collect()]
-        raise DatasetValidationError(f"Expected labels {sorted(labels)}; unexpected {sample}, absent {absent}.")
+    if check["unexpected"]:
+        where = scratch_path(spark, "unexpected-labels")
+        df.select(low.alias("label")).where(F.col("label").isNull() | ~F.col("label").isin(list(labels))).groupBy("label").agg(
+            F.count(F.lit(1)).alias("rows")).write.parquet(where)
+        raise DatasetValidationError(f"{check['unexpected']} rows of {path} have labels other than {sorted(labels)}; all are listed in {where}")
+    if absent:
+        raise DatasetValidationError(f"{path} has no rows with the labels {absent}")
     return df.select(F.col("_rid").cast("long").alias("row_id"), "label", F.coalesce("text", F.lit("")).alias("text"))
-
-
-def summary_record(summary: DataFrame) -> dict:
-    """The single summary row as a dict (bounded: one row)."""
-    return json.loads(json.dumps(summary.first().asDict(recursive=True), default=str))

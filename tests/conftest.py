@@ -11,8 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from msgsift.session import checkpoint_dir, get_spark
 
-    s = get_spark("local[4]", shuffle_partitions=4)
-    checkpoint_dir(s)  # local scratch folder only because the setting is unset in tests
+    s = get_spark("local[4]", shuffle_partitions=4, extra={"spark.driver.memory": "8g"})
+    checkpoint_dir(s)  # a scratch folder of its own, because the setting is unset in tests
     yield s
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import sys
 import time
 
@@ -63,11 +64,12 @@ def compare(spark, name, qfn, sql, sf_dir):
 
 
 def main(names=None, sf_dir="/root/testdata/sf0.01"):
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as E
     from msgsift.session import get_spark
 
-    spark = get_spark()
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(cpus), extra={"spark.driver.memory": "16g"})
     qs, os_ = E.queries(), E.oracle_sql()
     bad = 0
     for name in names or list(qs):

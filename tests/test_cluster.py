@@ -1,5 +1,5 @@
 import numpy as np
-from pyspark.sql import functions as F
+import pytest
 
 from msgsift.operators import cluster as K
 
@@ -54,6 +54,46 @@ def test_project_2d_is_centred_pca(spark):
 
 def test_nearest_centroid(spark):
     df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [9.0, 9.5])], "row_id long, embedding array<double>")
-    out = K.nearest_centroid(df, [[0.0, 1.0], [10.0, 10.0]]).orderBy("row_id").collect()
+    cents = spark.createDataFrame([(3, [0.0, 1.0]), (7, [10.0, 10.0])], "c int, centroid array<double>")
+    out = K.nearest_centroid(df, cents).orderBy("row_id").collect()
     assert [r.cluster_id for r in out] == [0, 1] and abs(out[0].distance_to_centroid - 1.0) < 1e-12
-    assert F is not None
+
+
+def test_label_centroids_are_means(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (0, [3.0, 4.0]), (5, [9.0, 9.0])], "g int, embedding array<double>").repartition(3)
+    got = {r.c: r.centroid for r in K.label_centroids(df, "g").collect()}
+    assert got == {0: [2.0, 3.0], 5: [9.0, 9.0]}
+
+
+def test_select_k(spark):
+    rows = [(i, [(3.0 if j == i % 4 else 0.1 * ((i * (j + 1)) % 5)) for j in range(4)]) for i in range(40)]
+    df = K.with_vector(spark.createDataFrame(rows, "row_id long, embedding array<double>"))
+    table = {r.k: r for r in K.select_k_table(df, "auto", n_init=3).collect()}
+    assert set(table) == set(range(3, 9)) and [k for k, r in table.items() if r.best] == [4]
+    assert K.select_k(df, 2, n_init=1)[0] == 2
+    for bad in (1, 40):
+        with pytest.raises(K.ClusteringError):
+            K.select_k(df, bad)
+    with pytest.raises(K.ClusteringError):
+        K.select_k(df.limit(3), "auto")
+
+
+def test_cluster_theme(spark):
+    rows = [(1, "spam", "You WON a prize", 0, 0.1), (2, "spam", "plain", 0, 0.2), (3, "ham", "call me later", 1, 0.1), (4, "ham", "x", 2, 0.0),
+            (5, "spam", "reply stop", 3, 0.3), (6, "spam", "zzz", 4, 0.0), (7, "ham", "so sorry dear", 5, 0.0)]
+    df = spark.createDataFrame(rows, "row_id long, label string, text string, cluster_id int, distance_to_centroid double")
+    got = {r.cluster_id: r.theme for r in K.cluster_theme(df).collect()}
+    assert got == {0: K.SPAM_THEMES[0][1], 1: K.HAM_THEMES[0][1], 2: K.HAM_FALLBACK, 3: K.SPAM_THEMES[1][1], 4: K.SPAM_FALLBACK, 5: K.HAM_THEMES[1][1]}
+    # Only the nearest rows speak for a cluster.
+    far = spark.createDataFrame([(i, "ham", "nothing", 0, float(i)) for i in range(20)] + [(99, "ham", "call later", 0, 99.0)], df.schema)
+    assert K.cluster_theme(far).first().theme == K.HAM_FALLBACK
+
+
+def test_provider_comparison(spark):
+    df = spark.createDataFrame([(i, [float(i % 2), 1.0], i % 2) for i in range(8)], "row_id long, embedding array<double>, cluster_id int")
+    rec = K.cluster_metadata(df, provider="lsa-local", model="svd", notes="n", paths={"dataset": "d"})
+    row = rec.first()
+    assert len(rec.columns) == 15 and (row.embedding_dimensions, row.cluster_count, row.total_messages, row.dataset) == (2, 2, 8, "d")
+    out = {r.embedding_provider: r for r in K.provider_comparison(rec, ["lsa-local", "remote-embeddings"]).collect()}
+    assert out["remote-embeddings"].status == "not generated" and not out["remote-embeddings"].is_best
+    assert out["lsa-local"].is_best and abs(out["lsa-local"].silhouette_score - 1) < 1e-9

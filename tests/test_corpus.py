@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from msgsift.operators import corpus as C
 
 
@@ -14,12 +16,27 @@ def test_frequent_words_first_seen_ties(spark):
     assert fw[0].document_percentage == round(2 / 3 * 100, 4)
 
 
-def test_term_score_formula_golden():
-    # published figures: spam 113 / ham 0, T_spam 16784, T_ham 68621, V 8313, s 0.5 -> 6.6707
-    s, v = 0.5, 8313
-    spam = (113 + s) / (16784 + s * v)
-    ham = (0 + s) / (68621 + s * v)
-    assert round(math.log(spam / ham), 4) == 6.6707
+def test_term_score_golden(spark):
+    """Published figures: 113 of 16,784 spam tokens, none of 68,621 ham tokens, 8,313 words, 0.5 -> 6.6707."""
+    spam = " ".join(["claim"] * 113 + [_word(i % 1000) for i in range(16_784 - 113)])
+    ham = " ".join(_word(1000 + i % (8313 - 1001)) for i in range(68_621))
+    top = C.typical_terms(C.term_scores(_msgs(spark, [(1, "spam", spam), (2, "ham", ham)])), 1).first()
+    assert top.token == "claim" and (top.spam_count, top.ham_count) == (113, 0)
+    assert round(top.log_rate_ratio_spam_vs_ham, 4) == 6.6707
+
+
+def _word(i):
+    """Distinct words of letters only."""
+    return "w" + "".join("abcdefghij"[int(c)] for c in str(i))
+
+
+def test_errors_for_corpora_without_tokens(spark):
+    with pytest.raises(C.TextAnalysisError):
+        C.frequent_words(_msgs(spark, [(1, "ham", "123"), (2, "spam", "")]))
+    with pytest.raises(C.TextAnalysisError, match="spam"):
+        C.term_scores(_msgs(spark, [(1, "ham", "some words"), (2, "spam", "99")]))
+    with pytest.raises(C.TextAnalysisError):
+        C.report_tables(_msgs(spark, [(1, "ham", "some words"), (2, "spam", "others")]), min_count=5)
 
 
 def test_term_scores_full_outer_alignment(spark):

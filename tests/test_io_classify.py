@@ -1,11 +1,14 @@
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from msgsift.operators import classify as CL
+from msgsift.operators import features as FT
 from msgsift.operators import quality as Q
 from msgsift.sources.delimited import read_messages, resolve_columns
+from msgsift.streaming.score import score_batch, stream_score
 
 
 def _write(path, text):
@@ -37,20 +40,111 @@ def test_bad_label_file_raises(spark, tmpdir_path):
         Q.enforce_quality(df, label_col=lab, text_col=txt)
 
 
-def test_classifier_confidence_and_fingerprint(spark):
-    train = spark.createDataFrame(
-        [(1, "spam", "free prize now"), (2, "spam", "free prize claim"),
-         (3, "ham", "see you at home"), (4, "ham", "see you later")],
-        "row_id long, label string, text string")
-    clf = CL.fit_classifier(train)
-    new = spark.createDataFrame([(10, "claim your free prize"), (11, "see you soon"), (12, "   ")],
-                                "row_id long, text string")
+TRAIN = [(1, "spam", "free prize now"), (2, "spam", "free prize claim"), (3, "ham", "see you at home"), (4, "ham", "see you later")]
+SCHEMA = "row_id long, label string, text string"
+
+
+def test_classifier_confidence(spark):
+    clf = CL.fit_classifier(spark.createDataFrame(TRAIN, SCHEMA))
+    new = spark.createDataFrame([(10, "claim your free prize"), (11, "see you soon"), (12, "   "), (13, "unknown words")], "row_id long, text string")
     out = {r.row_id: r for r in CL.predict_confidence(clf, new).collect()}
     assert out[10].label == "spam" and out[11].label == "ham"
-    assert all(0.5 <= out[i].confidence <= 1.0 for i in (10, 11))
+    assert all(0.5 <= out[i].confidence <= 1.0 for i in (10, 11, 13))
     assert out[12].rejected and out[12].label is None
-    fp = CL.corpus_fingerprint(train).first().fingerprint
-    assert CL.corpus_fingerprint(train.orderBy(F.desc("row_id"))).first().fingerprint == fp
-    tampered = train.withColumn("text", F.when(F.col("row_id") == 1, "free prize later").otherwise(F.col("text")))
+
+
+def _newton(x, y, w):
+    """Exact minimiser of sum w log(1 + exp(-y z)) + |b|^2 / 2, the constant feature included."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    b = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-(x @ b)))
+        g = x.T @ (w * (p - y)) + b
+        h = (x * (w * p * (1 - p))[:, None]).T @ x + np.eye(len(b))
+        step = np.linalg.solve(h, g)
+        b -= step
+        if np.abs(step).max() < 1e-13:
+            return b
+    raise AssertionError
+
+
+def test_fit_equals_newton(spark):
+    words = ["alpha", "beta", "gamma", "delta", "prize", "claim", "home", "later"]
+    rows = [(i, "spam" if i % 3 == 0 else "ham", " ".join(words[(i * k + k * k) % 8] for k in range(1, 6))) for i in range(60)]
+    train = spark.createDataFrame(rows, SCHEMA)
+    clf = CL.fit_classifier(train)
+    weights = clf.weights.orderBy("idx").toPandas()
+    long = FT.tfidf_transform(FT.with_terms(train), clf.weights).toPandas().dropna()
+    x = np.zeros((60, len(weights)))
+    x[long["row_id"].astype(int), long["idx"].astype(int)] = long["weight"]
+    y = np.array([r[1] == "spam" for r in rows], float)
+    w = np.where(y > 0, 60 / (2 * y.sum()), 60 / (2 * (60 - y.sum())))
+    exact = _newton(x, y, w)
+    assert np.abs(np.append(weights["coefficient"], clf.intercept) - exact).max() < 1e-5
+    p = 1 / (1 + np.exp(-(x @ exact[:-1] + exact[-1])))
+    got = CL.score_messages(clf, train).orderBy("row_id").toPandas()["spam_probability"]
+    assert np.abs(got - p).max() < 1e-6
+    assert CL.fit_report(clf, train).first().gradient_vanishes
+
+
+def test_fit_bounds_its_rows(spark):
+    train = spark.createDataFrame([(i, lab, text) for i, (_, lab, text) in enumerate(TRAIN * 10)], SCHEMA)
+    assert CL.bounded_rows(train, 40).count() == 40
+    first = CL.bounded_rows(train, 7).select("row_id").orderBy("row_id").collect()
+    assert len(first) == 7 and first == CL.bounded_rows(train.repartition(5), 7).select("row_id").orderBy("row_id").collect()
+
+
+def test_fingerprint_tells_rows_apart(spark):
+    def fp(rows):
+        return CL.corpus_fingerprint(spark.createDataFrame(rows, "label string, text string")).first().fingerprint
+
+    train = spark.createDataFrame(TRAIN, SCHEMA)
+    known = CL.corpus_fingerprint(train).first()
+    assert known.rows == 4
+    CL.verify_fingerprint(train.orderBy(F.desc("row_id")), known.fingerprint)
+    with pytest.raises(CL.ModelError):
+        CL.verify_fingerprint(train.withColumn("text", F.when(F.col("row_id") == 1, "free prize later").otherwise(F.col("text"))), known.fingerprint)
+    assert len({fp(r) for r in ([("a\tb", "c")], [("a", "b\tc")], [("a", None)], [(None, "a")], [("a", "")], [("a", "n")])}) == 6
+    assert fp([("a", "b"), ("a", "b")]) != fp([("a", "b")])
+
+
+def test_model_round_trip_and_failures(spark, tmpdir_path):
+    clf = CL.fit_classifier(spark.createDataFrame(TRAIN, SCHEMA))
+    path = os.path.join(tmpdir_path, "model")
+    CL.persist_model(clf, path, {"note": "x"})
+    back = CL.load_model(spark, path)
+    rows = spark.createDataFrame(TRAIN, SCHEMA)
+    assert CL.score_messages(back, rows).orderBy("row_id").collect() == CL.score_messages(clf, rows).orderBy("row_id").collect()
     with pytest.raises(CL.ModelError):
-        CL.verify_fingerprint(tampered, fp)
+        CL.load_model(spark, os.path.join(tmpdir_path, "nothing"))
+    for broken in (clf.weights.drop("idf"), clf.weights.where("false"), clf.weights.union(clf.weights),
+                   clf.weights.withColumn("coefficient", F.lit(float("nan")))):
+        bad = os.path.join(tmpdir_path, f"bad{id(broken)}")
+        CL.persist_model(CL.TextClassifier(broken, 0.0), bad)
+        with pytest.raises(CL.ModelError):
+            CL.load_model(spark, bad)
+    CL.persist_model(CL.TextClassifier(clf.weights, 0.0, ("ham",), "spam"), path)
+    with pytest.raises(CL.ModelError):
+        CL.load_model(spark, path)
+
+
+def test_stream_equals_batch_with_repeated_and_missing_ids(spark, tmpdir_path):
+    clf = CL.fit_classifier(spark.createDataFrame(TRAIN, SCHEMA))
+    rows = [("x", "free prize"), ("x", "see you"), (None, "free prize"), (None, "free prize"), ("bad id!", "home"), ("y", " "), ("z", "later"), ("x", "free prize")]
+    schema = "request_id string, text string"
+    for k in range(3):
+        spark.createDataFrame(rows[k::3], schema).coalesce(1).write.mode("append").json(f"{tmpdir_path}/in")
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{tmpdir_path}/in")
+    q = stream_score(clf, src, f"{tmpdir_path}/out", f"{tmpdir_path}/ck")
+    q.awaitTermination()
+    got = spark.read.parquet(f"{tmpdir_path}/out")
+    assert got.select("epoch_id").distinct().count() == 3
+
+    def facts(df):
+        return sorted((r.request_id if not r.request_id.startswith("gen-") else "gen", r.accepted, r.reject_reason, r.label, r.confidence and round(r.confidence, 9))
+                      for r in df.collect())
+
+    batch = score_batch(clf, spark.createDataFrame(rows, schema))
+    assert facts(got) == facts(batch) and len(facts(got)) == len(rows)
+    ids = [r.request_id for r in batch.collect() if r.request_id.startswith("gen-")]
+    assert len(ids) == len(set(ids)) == 3

@@ -13,15 +13,17 @@ def test_duplicate_metrics_before_removal(spark):
     assert [(r.row_id, r.source_row_id) for r in ded] == [(1, 1), (2, 3)]
 
 
-def test_bad_label_raises_and_lists_values(spark):
-    df = spark.createDataFrame([(1, "ham", "ok"), (2, "eggs", "x"), (3, None, "y"), (4, "spam", " ")],
-                               "row_id long, label string, text string")
+def test_bad_rows_raise_and_all_unknown_labels_are_listed(spark):
+    rows = [(i, f"odd{i}", "x") for i in range(60)] + [(60, "ham", "ok"), (61, None, "y"), (62, "spam", " ")]
+    df = spark.createDataFrame(rows, "row_id long, label string, text string")
     with pytest.raises(Q.DatasetValidationError) as e:
         Q.enforce_quality(df)
     msg = str(e.value)
-    assert "1 rows have missing labels" in msg and "1 rows have missing text" in msg and "['eggs']" in msg
+    assert "1 rows lack a label" in msg and "1 rows lack a text" in msg and "60 unknown label values" in msg
+    listed = spark.read.parquet(msg.rsplit("listed in ", 1)[1])
+    assert {r.invalid_value for r in listed.collect()} == {f"odd{i}" for i in range(60)}
     ok, bad = Q.enforce_quality(df, mode="permissive")
-    assert ok.count() == 1 and bad.count() == 3
+    assert ok.count() == 1 and bad.count() == 62
 
 
 def test_assign_row_id_dense_in_key_order(spark):

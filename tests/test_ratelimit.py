@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from msgsift.streaming.ratelimit import rate_limit_decisions
+from msgsift.streaming.ratelimit import rate_limit_decisions, rate_limit_stream
 from tests.conftest import SF
 
 
@@ -37,11 +37,42 @@ def test_chunked_fold_equals_sequential_fold(spark):
             ev.select("event_id", "user_id", "ts").collect()]
     W = 6 * 3600.0
     exp = _brute(rows, 2, W)
-    # tiny chunks (one window each) force many carry rounds
-    got = rate_limit_decisions(ev, requests=2, window_seconds=W, chunk_windows=1).collect()
+    # tiny chunks force many carry rounds
+    got = rate_limit_decisions(ev, requests=2, window_seconds=W, chunk_events=3).collect()
     assert {r.event_id: (r.allowed, r.retry_after) for r in got} == exp
     # one hot user: every event re-keyed to the same client
     hot = ev.withColumn("user_id", F.lit(1))
     exp_hot = _brute([(e, 1, t) for e, _, t in rows], 3, 3600.0)
-    got_hot = rate_limit_decisions(hot, requests=3, window_seconds=3600.0, chunk_windows=2).collect()
+    got_hot = rate_limit_decisions(hot, requests=3, window_seconds=3600.0, chunk_events=7).collect()
     assert {r.event_id: (r.allowed, r.retry_after) for r in got_hot} == exp_hot
+
+
+def _stream(spark, folder, batches, **kw):
+    """Decisions of a stream that gets one file per micro-batch."""
+    schema = "event_id long, user_id string, ts timestamp"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    q = (rate_limit_stream(src, **kw).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/ck")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return {r.event_id: (r.allowed, r.retry_after) for r in spark.read.parquet(f"{folder}/out").collect()}
+
+
+def test_stream_state_carries_over_micro_batches(spark, tmpdir_path):
+    base = datetime(2024, 1, 1)
+    rows = [(i, f"client-{i % 3}", base + timedelta(seconds=i * 7 % 11 + i * 5)) for i in range(90)]
+    rows.sort(key=lambda r: r[2])
+    exp = rate_limit_decisions(spark.createDataFrame(rows, "event_id long, user_id string, ts timestamp"), requests=2, window_seconds=40).collect()
+    got = _stream(spark, tmpdir_path, [rows[:30], rows[30:31], rows[31:70], rows[70:]], requests=2, window_seconds=40)
+    assert got == {r.event_id: (r.allowed, r.retry_after) for r in exp}
+    assert any(not a for a, _ in got.values())
+
+
+def test_late_events_count_at_the_clients_clock(spark, tmpdir_path):
+    """The clock of a client never runs backwards: a late event is decided as if it came now."""
+    base = datetime(2024, 1, 1)
+    at = lambda s: base + timedelta(seconds=s)
+    got = _stream(spark, tmpdir_path, [[(1, "a", at(100)), (2, "a", at(101))], [(3, "a", at(50)), (4, "a", at(112)), (5, "b", at(60))]],
+                  requests=2, window_seconds=10, lateness="10 minutes")
+    assert got == {1: (True, 0), 2: (True, 0), 3: (False, 9), 4: (True, 0), 5: (True, 0)}
