@@ -115,6 +115,10 @@ SELECT st.label, token, CAST(cnt AS BIGINT) AS count, {pct('cnt', 'nt')} AS perc
 FROM st JOIN tot ON st.label = tot.label
 """
 
+_ROLES = f"""msg AS (SELECT CAST(conv_id * 1000000 + turn AS BIGINT) AS row_id, lower({strip('role')}) AS label, {strip('text')} AS text FROM conversations)"""
+ORACLES["vocabulary_by_role"] = ORACLES["vocabulary_by_label"].replace(MSG, _ROLES).replace(
+    "WHERE label IN ('ham', 'spam')", "WHERE label IN ('system', 'user', 'assistant')")
+
 ORACLES["vocabulary_overlap"] = _with(MSG, TOK, RUNS, """pt AS (
   SELECT token, max(CASE WHEN label = 'ham' THEN 1 ELSE 0 END) AS in_a,
          max(CASE WHEN label = 'spam' THEN 1 ELSE 0 END) AS in_b FROM runs GROUP BY token)""") + """

@@ -27,7 +27,7 @@ from msgsift.operators import cluster as K
 from msgsift.plans.inputs import predictions, split_messages
 from msgsift.operators._util import round_doubles
 from msgsift.session import cut_lineage, scratch_path
-from msgsift.sources.tables import labelled_messages, labelled_raw, raw_messages, read_table
+from msgsift.sources.tables import conversation_messages, labelled_messages, labelled_raw, raw_messages, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,6 +90,12 @@ def q_label_token_totals(spark, sf):
     return C.label_token_totals(_tokens(spark, sf))
 
 
+@register("vocabulary_by_role")
+def q_vocabulary_by_role(spark, sf):
+    """The same statistics for the three classes of the conversations."""
+    return C.vocabulary_by_label(C.with_tokens(conversation_messages(spark, sf)), labels=("system", "user", "assistant"))
+
+
 @register("vocabulary_by_label")
 def q_vocabulary_by_label(spark, sf):
     return C.vocabulary_by_label(_tokens(spark, sf))

@@ -35,15 +35,6 @@ def labelled_messages(spark: SparkSession, sf_dir: str, label_column: str = "tox
     )
 
 
-def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unlabelled message view over all of ``documents`` (label is null)."""
-    return read_table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("long").alias("row_id"),
-        F.lit(None).cast("string").alias("label"),
-        strip_ws(F.col("text")).alias("text"),
-    )
-
-
 def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-class corpus: label = role, row_id = conv_id * 1_000_000 + turn."""
     conv = read_table(spark, sf_dir, "conversations")
@@ -54,15 +45,6 @@ def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def benchmark_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unseen texts for transform / scoring."""
-    return read_table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").cast("long").alias("row_id"),
-        F.lit(None).cast("string").alias("label"),
-        F.col("text"),
-    )
-
-
 def raw_messages(spark: SparkSession, sf_dir: str, label_column: str = "toxic") -> DataFrame:
     """documents ⟕ labels as raw strings: (row_id, label, text), label null when unlabelled."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
