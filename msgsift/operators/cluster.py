@@ -81,17 +81,17 @@ def label_centroids(df: DataFrame, group_col: str, *, array_col: str = "embeddin
 
 
 def _gathered(rows: DataFrame, out: str) -> DataFrame:
-    """All rows of a k-row table as one array, sorted by its first column, for a broadcast."""
+    """All rows of a k-row table as one array, sorted by its first column, for a scalar subquery."""
     return rows.agg(F.sort_array(F.collect_list(F.struct(*rows.columns))).alias(out))
 
 
 def nearest_centroid(df: DataFrame, centroids: DataFrame, *, array_col: str = "embedding") -> DataFrame:
     """Add cluster_id (the rank of the centroid's ``c``) and Euclidean distance_to_centroid.
 
-    The k centroids travel as one broadcast row; distances are higher-order functions in the JVM."""
+    The k centroids are one scalar subquery; distances are higher-order functions in the JVM."""
     one = _gathered(centroids, "_cents")
     e = F.col(array_col)
-    joined = df.join(F.broadcast(one))
+    joined = df.withColumn("_cents", one.scalar())
     dists = F.transform(
         "_cents",
         lambda c, i: F.struct(
@@ -126,7 +126,7 @@ def silhouette_table(df: DataFrame, *, prediction: str = "cluster_id", array_col
     one = _gathered(_vector_sums(unit, "_c", "_v"), "_cl")
     v = F.col("_v")
     dot = lambda s: F.aggregate(F.zip_with(v, s, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    scored = unit.join(F.broadcast(one)).withColumn("_dots", F.transform("_cl", lambda x: F.struct(
+    scored = unit.withColumn("_cl", one.scalar()).withColumn("_dots", F.transform("_cl", lambda x: F.struct(
         (x["c"] == F.col("_c")).alias("own"), dot(x["s"]).alias("d"), x["n"].cast("double").alias("n"))))
     per = F.transform("_dots", lambda x: F.struct(
         x["own"].alias("own"),
