@@ -1,10 +1,10 @@
 """Substring deduplication by hashed paragraphs: the earliest ranked occurrence stays.
 
-A text's paragraphs are its lines. A line is cut further before each sentence of at least
-``MIN_SENTENCE`` words, so that a passage pasted into a line is still found: a unit is such a
-sentence with the shorter ones that follow it. Units are normalised (white space runs become one
-space, trimmed, lower-cased) and hashed to 128 bits over all documents; blank units are skipped.
-The occurrence with the smallest (doc id, offset) is the one that stays.
+A text's paragraphs are its lines. A line is cut further into sentences, so that a passage pasted
+into a line is still found: a unit is a sentence of at least ``MIN_SENTENCE`` words, or a run of
+shorter ones between two such. Units are normalised (white space runs become one space, trimmed,
+lower-cased) and hashed to 128 bits over all documents; blank units are skipped. The occurrence
+with the smallest (doc id, offset) is the one that stays.
 
 Neighbouring repeated units (nothing but white space between) form a span; a span is removed
 when it has at least ``min_words`` words, so single stock phrases stay. Offsets are code points
@@ -36,7 +36,7 @@ from msgsift.llm._common import fresh, shared_table, small_or_shuffled
 MIN_SENTENCE = 5
 MIN_WORDS = 25
 _LINE = re.compile(r"[^\n]+")
-_SENTENCE = re.compile(r"\S(?:[^.!?]|[.!?](?!\s))*(?:[.!?]+|$)")
+_SENTENCE = re.compile(r"\S[^.!?]*(?:[.!?]+(?=\S)[^.!?]*)*(?:[.!?]+|$)")
 
 
 def units(text: str | None) -> list[tuple[int, int, int, bytes]]:
@@ -44,17 +44,18 @@ def units(text: str | None) -> list[tuple[int, int, int, bytes]]:
     out: list[tuple[int, int, int, bytes]] = []
     for line in _LINE.finditer(text or ""):
         s, base = line.group(), line.start()
-        cuts = [0]
+        parts: list[tuple[int, int, list[str], bool]] = []  # start, end, words, long
         for m in _SENTENCE.finditer(s):
-            if len(m.group().split()) >= MIN_SENTENCE and m.start() > cuts[-1]:
-                cuts.append(m.start())
-        for a, b in zip(cuts, [*cuts[1:], len(s)], strict=True):
-            words = s[a:b].split()
-            if words:
-                norm = " ".join(words).lower()
-                a += len(s[a:b]) - len(s[a:b].lstrip())
-                b = a + len(s[a:b].rstrip())
-                out.append((base + a, base + b, len(words), blake2b(norm.encode("utf-8", "surrogatepass"), digest_size=16).digest()))
+            words = m.group().split()
+            is_long = len(words) >= MIN_SENTENCE
+            if parts and not is_long and not parts[-1][3]:
+                a, _, before, _ = parts[-1]
+                parts[-1] = (a, m.end(), before + words, False)
+            else:
+                parts.append((m.start(), m.end(), words, is_long))
+        for a, b, words, _ in parts:
+            norm = " ".join(words).lower().encode("utf-8", "surrogatepass")
+            out.append((base + a, base + b, len(words), blake2b(norm, digest_size=16).digest()))
     return out
 
 
@@ -92,7 +93,8 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     seen = all_units.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     seen = shared_table(seen.select(F.col("digest").alias("d"), F.col("first.doc").alias("keep"),
                                     F.col("first.sig").alias("ks"), F.col("first.pos").alias("kp")), "sub-first")
-    met = all_units.join(small_or_shuffled(seen, bound=200_000), F.col("digest") == F.col("d"))
+    # Repeated digests grow with the corpus: the join is a shuffle at every size.
+    met = all_units.join(seen.hint("merge"), F.col("digest") == F.col("d"))
     first = F.col("doc").eqNullSafe(F.col("keep")) & (F.col("sig") == F.col("ks")) & (F.col("pos") == F.col("kp"))
     return met.where(~first).select("doc", "sig", "pos", "start", "stop", "words", "keep", F.col("kp").alias("keep_pos"))
 
