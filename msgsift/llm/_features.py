@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,3 +109,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     chosen = ids.orderBy(F.xxhash64(F.col("i").cast("string")), "i").limit(max_rows)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return base.join(F.broadcast(chosen), F.col("id") == F.col("i")).select("id", "text", "y")
+
+
+def collected(sample: DataFrame, pack: Callable[[str | None], tuple[bytes, bytes]]) -> list[tuple[int, bytes, bytes]]:
+    """(label, packed features) of a bounded sample on the driver, in an order that no plan changes.
+
+    Features travel as packed numbers: a few kilobytes a row, and no Python object per number.
+    """
+    def run(batches):
+        for b in batches:
+            packed = [pack(t) for t in b["text"]]
+            yield pd.DataFrame({"y": b["y"], "x": [x for x, _ in packed], "k": [k for _, k in packed]})
+
+    rows = sample.select("text", "y").mapInPandas(run, "y int, x binary, k binary").collect()
+    return sorted((int(r["y"]), bytes(r["x"]), bytes(r["k"])) for r in rows)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from msgsift.llm._features import fold, labelled_sample, ngram_indicators
+from msgsift.llm._features import collected, fold, labelled_sample, ngram_indicators
 
 BITS = 20
 MAX_TRAIN_ROWS = 8_000
@@ -38,17 +38,20 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, size: int, alpha: fl
     return np.log((p / p.sum()) / (q / q.sum()))
 
 
-def dual_coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int, c: np.ndarray,
+def dual_coordinate_descent(rows: list[np.ndarray], values, y: np.ndarray, size: int, c: np.ndarray,
                             epochs: int = 20, seed: int = 0, tol: float = 1e-3) -> tuple[np.ndarray, float]:
-    """L1-loss linear SVM: min |w|^2/2 + sum c_i max(0, 1 - y_i (w x_i + b)); b as a constant feature."""
+    """L1-loss linear SVM: min |w|^2/2 + sum c_i max(0, 1 - y_i (w x_i + b)); b as a constant feature.
+
+    ``rows`` are the slots of each row and ``values(i)`` the row's entries there.
+    """
     w, b = np.zeros(size), 0.0
     a = np.zeros(len(rows))
-    norm = np.array([v @ v + 1.0 for _, v in rows])
+    norm = np.array([values(i) @ values(i) + 1.0 for i in range(len(rows))])
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         worst = 0.0
         for i in rng.permutation(len(rows)):
-            x, v = rows[i]
+            x, v = rows[i], values(i)
             g = y[i] * (w[x] @ v + b) - 1.0
             step = min(max(a[i] - g / norm[i], 0.0), c[i]) - a[i]
             if step:
@@ -108,11 +111,11 @@ def train(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, c: float
     else:
         used = order[len(rows) // 5:]
     r = log_count_ratios([rows[i] for i in used], labels[used], size)
-    scaled = [(rows[i], r[rows[i]] / np.sqrt(max(len(rows[i]), 1))) for i in used]
+    fitted = [rows[i] for i in used]
     y = np.where(labels[used] > 0, 1.0, -1.0)
     # Classes weigh the same in total.
     weight = np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum()))
-    w, bias = dual_coordinate_descent(scaled, y, size, c * weight, seed=seed)
+    w, bias = dual_coordinate_descent(fitted, lambda i: r[fitted[i]] / np.sqrt(max(len(fitted[i]), 1)), y, size, c * weight, seed=seed)
     model = QualityModel(w * r, bias, 1.0, 0.0, bits)
     model.a, model.b = platt(np.array([model.margin(rows[i]) for i in held]), labels[held])
     return model
@@ -122,15 +125,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
         id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> QualityModel:
     """Fit from the bounded labelled sample; only its hashed features reach the driver."""
     sample = labelled_sample(docs, labels, label, max_rows, id_col, text_col)
-
-    def features(batches):
-        for b in batches:
-            yield pd.DataFrame({"id": b["id"], "y": b["y"], "x": [ngram_indicators(t, bits).astype(np.int32) for t in b["text"]]})
-
-    schema = f"id {sample.schema['id'].dataType.simpleString()}, y int, x array<int>"
-    table = sample.mapInPandas(features, schema).toPandas()
-    table = table.assign(k=[x.sum() if len(x) else 0 for x in table["x"]]).sort_values(["id", "k"])
-    return train([np.asarray(x, np.int64) for x in table["x"]], table["y"].to_numpy(), bits)
+    rows = collected(sample, lambda t: (ngram_indicators(t, bits).astype("<i4").tobytes(), b""))
+    return train([np.frombuffer(x, "<i4") for _, x, _ in rows], np.array([y for y, _, _ in rows], int), bits)
 
 
 def score_udf(model: QualityModel, spark):
