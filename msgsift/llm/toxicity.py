@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgsift.llm._features import fold, labelled_sample, word_counts
+from msgsift.llm._features import collected, fold, labelled_sample, word_counts
 
 BITS = 22
 MAX_TRAIN_ROWS = 20_000
@@ -35,7 +35,7 @@ FEATURES = 2_000
 MIN_ROWS = 5
 GRADES = 4
 #: A row is called toxic from this P(grade > 0) on.
-TOXIC_AT = 0.3
+TOXIC_AT = 0.2
 
 
 def association(df_pos: np.ndarray, df_neg: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
@@ -150,17 +150,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     """Fit from the bounded labelled sample; only its hashed word counts reach the driver."""
     sample = labelled_sample(docs, labels, label, max_rows, id_col, text_col)
 
-    def features(batches):
-        for b in batches:
-            counts = [word_counts(t, bits) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "y": b["y"], "x": [s.astype(np.int32) for s, _ in counts],
-                                "k": [k.astype(np.int32) for _, k in counts]})
-
-    schema = f"id {sample.schema['id'].dataType.simpleString()}, y int, x array<int>, k array<int>"
-    table = sample.mapInPandas(features, schema).toPandas()
-    table = table.assign(o=[int(np.sum(x)) for x in table["x"]]).sort_values(["id", "o"])
-    rows = [(np.asarray(x, np.int64), np.asarray(k, np.int64)) for x, k in zip(table["x"], table["k"], strict=True)]
-    return train(rows, table["y"].to_numpy(), bits)
+    def pack(text):
+        slots, counts = word_counts(text, bits)
+        return slots.astype("<i4").tobytes(), counts.astype("<i4").tobytes()
+
+    rows = collected(sample, pack)
+    return train([(np.frombuffer(x, "<i4"), np.frombuffer(k, "<i4")) for _, x, k in rows], np.array([y for y, _, _ in rows], int), bits)
 
 
 def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
