@@ -90,8 +90,7 @@ def test_mix_repeats_and_limits(spark):
     report = mixing.mix_report(df).toPandas()
     taken = mix.groupBy().agg(F.sum(mixing.word_count(F.col("text")))).first()[0]
     assert taken == report["taken"].sum()
-    per = report
-    assert (per["taken"] <= 3 * per["size"]).all()
+    assert (report["taken"] <= 3 * report["size"]).all()
     by = report.groupby("target")["taken"].sum()
     for target, words in by.items():
         assert abs(target - words) <= 7
