@@ -22,23 +22,30 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return star.unionByName(low.select(F.col("w").alias("u"), F.col("m").alias("v")))
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Every child has one parent, and no parent is a child: the edges are (node, root)."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
+        edges.select(F.col("v").alias("n"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
+    per = ends.groupBy("n").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+    return per.where((F.col("child") > 1) | ((F.col("child") > 0) & (F.col("parent") > 0))).isEmpty()
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v); the root is the smallest node reachable.
 
     Every round is written to the shared folder and the one before it deleted. A hub's
     neighbours are combined before the shuffle, and its join is left to adaptive skew splitting.
-    The rounds (about log2 of the longest chain) end when the edges no longer change.
+    The rounds (about log2 of the longest chain) end as soon as the edges are stars: each star's
+    centre is then the smallest node of its component.
     """
-    current = shared_table(edges.where(F.col("u") != F.col("v")).distinct(), "components")
-    seen = None
+    current = shared_table(edges.where(F.col("u") != F.col("v")).select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
     for _ in range(max_rounds):
+        if _is_star_forest(current):
+            leaves = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return leaves.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         step = _small_star(_large_star(current)).where(F.col("u") != F.col("v")).distinct()
         following = shared_table(step, "components")
         drop_shared(current)
         current = following
-        state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state == seen:
-            leaves = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
-            return leaves.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = state
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
