@@ -169,10 +169,10 @@ def link(prints: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET_LIM
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
-    """(doc_id, fp, root, component_id) per row; ``fp`` is a signed long, ``root`` the fingerprint
-    that names the component (ids may be null)."""
-    prints = shared_table(
-        df.select(F.col(id_col).alias("doc_id"), fingerprint_udf(shingle)(F.col(text_col)).alias("fp")), "sim-prints")
+    """(doc_id, sig, fp, root, component_id) per row; ``fp`` is a signed long, ``root`` the
+    fingerprint that names the component (ids may be null), ``sig`` a hash of the text."""
+    prints = shared_table(df.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("sig"),
+                                    fingerprint_udf(shingle)(F.col(text_col)).alias("fp")), "sim-prints")
     distinct = shared_table(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("rows")), "sim-distinct")
     roots = components(link(distinct.select("fp"), radius, bucket_limit))
     tree = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
@@ -183,7 +183,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col("fp").alias("mfp"), F.col("root").alias("mroot"), "component")
     map_ = shared_table(map_, "sim-map")
     out = prints.join(small_or_shuffled(map_), F.col("fp") == F.col("mfp"), "left")
-    return out.select("doc_id", "fp", F.coalesce("mroot", "fp").alias("root"),
+    return out.select("doc_id", "sig", "fp", F.coalesce("mroot", "fp").alias("root"),
                       F.when(F.col("mfp").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
@@ -196,22 +196,19 @@ def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
              radius: int = RADIUS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
-    """The columns of ``df``, one row of each group: the smallest id, then the smallest fingerprint.
-
-    Rows that share that id and fingerprint differ in text at most by the radius; one of them
-    stays.
-    """
-    groups = near_duplicates(df, id_col, text_col, shingle, radius, bucket_limit)
-    groups = shared_table(groups, "sim-groups")
-    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp")).alias("k"))
-    first = first.select(F.col("k.doc_id").alias("doc_id"), F.col("k.fp").alias("fp"))
-    repeated = groups.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("rows"))
-    winners = first.join(repeated.withColumnRenamed("doc_id", "rd").withColumnRenamed("fp", "rf"),
-                         F.col("doc_id").eqNullSafe(F.col("rd")) & (F.col("fp") == F.col("rf")))
-    names = [fresh(df, s) for s in ("sim_doc", "sim_fp", "sim_rows")]
-    winners = shared_table(winners.select("doc_id", "fp", "rows"), "sim-winners").toDF(*names)
+    """The columns of ``df``, one row of each group: the smallest id, nulls last, then the
+    smallest text hash. Of repeated rows with that id and text one stays. Fingerprints are
+    computed once; rows are found again by id and text hash."""
+    groups = shared_table(near_duplicates(df, id_col, text_col, shingle, radius, bucket_limit), "sim-groups")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sig")
+    first = groups.groupBy("root").agg(F.min(rank).alias("k")).select("root", "k.doc_id", "k.sig")
+    repeated = groups.groupBy("root", "doc_id", "sig").agg(F.count(F.lit(1)).alias("rows"))
+    winners = first.join(repeated.toDF("rr", "rd", "rs", "rows"), (F.col("root") == F.col("rr"))
+                         & F.col("doc_id").eqNullSafe(F.col("rd")) & (F.col("sig") == F.col("rs")))
+    names = [fresh(df, s) for s in ("sim_doc", "sim_sig", "sim_rows")]
+    winners = shared_table(winners.select("doc_id", "sig", "rows"), "sim-winners").toDF(*names)
     own = fresh(df, "sim_own")
-    marked = df.withColumn(own, fingerprint_udf(shingle)(F.col(text_col)))
+    marked = df.withColumn(own, F.xxhash64(F.col(text_col)))
     once = winners.where(F.col(names[2]) == 1)
     kept = marked.join(small_or_shuffled(once), null_safe(marked, once, [(id_col, names[0]), (own, names[1])]), "left_semi")
     many = winners.where(F.col(names[2]) > 1)
