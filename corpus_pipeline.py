@@ -21,8 +21,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut each source's boilerplate lines out of the texts; ``n_chars`` follows the text."""
-    out = line_dedup.drop_lines(docs)
+    """Cut each source's boilerplate lines out of the texts, copies counted once; ``n_chars`` follows the text."""
+    out = line_dedup.drop_lines(docs, copies_once=True)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
 
 

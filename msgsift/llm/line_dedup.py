@@ -13,6 +13,10 @@ bounded by the pages' shape, not by their number. Pages are rewritten in place:
 never shuffled while the table of hosts with boilerplate is small (counted), and otherwise one
 join on host follows, whose hot hosts adaptive execution splits.
 
+With ``copies_once`` the pages of a host are its distinct texts: copies are grouped by (host, text
+digest) before lines are counted, and the ratio divides by the host's distinct texts. A group of
+copies, however large, then counts as one page and keeps its lines.
+
 Defined results: null text stays null and has no lines; a null host is a host of its own;
 rows with equal ids are pages of their own; an empty table gives an empty result; extra
 columns pass through ``drop_lines`` untouched and are ignored by the reports.
@@ -40,28 +44,34 @@ def digest(line: Column) -> Column:
     return F.md5(bare(line).cast("binary"))
 
 
-def line_counts(df: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
+def line_counts(df: DataFrame, host_col: str = "source", text_col: str = "text", copies_once: bool = False) -> DataFrame:
     """(host, digest, pages): on how many pages of the host the line occurs."""
-    pages = df.select(F.col(host_col).alias("host"), F.split(F.col(text_col), "\n").alias("lines"))
+    pages = df.select(F.col(host_col).alias("host"), F.split(F.col(text_col), "\n").alias("lines"),
+                      F.md5(F.col(text_col).cast("binary")).alias("sig"))
     lines = F.array_distinct(F.transform(F.filter("lines", lambda x: bare(x) != ""), digest))
-    each = pages.select("host", F.explode(lines).alias("digest"))
+    pages = pages.select("host", "sig", lines.alias("lines"))
+    if copies_once:
+        # Line digests move, not texts; copies meet within a task before the shuffle.
+        pages = pages.groupBy("host", "sig").agg(F.first("lines").alias("lines"))
+    each = pages.select("host", F.explode("lines").alias("digest"))
     return each.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("pages"))
 
 
 def boilerplate(df: DataFrame, host_col: str = "source", text_col: str = "text",
-                max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """(host, digest, pages, host_pages) of the lines to drop."""
-    totals = df.groupBy(F.col(host_col).alias("h")).agg(F.count(F.lit(1)).alias("host_pages"))
+    pages = df.select(F.col(host_col).alias("h"), F.md5(F.col(text_col).cast("binary")).alias("sig"))
+    totals = (pages.distinct() if copies_once else pages).groupBy("h").agg(F.count(F.lit(1)).alias("host_pages"))
     # No line can be boilerplate of a host with too few pages; and a count below min_pages is
     # cut before the join, which leaves few rows of the long tail of lines.
     totals = totals.where(F.col("host_pages") >= min_pages)
-    counts = line_counts(df, host_col, text_col).where(F.col("pages") >= min_pages)
+    counts = line_counts(df, host_col, text_col, copies_once).where(F.col("pages") >= min_pages)
     joined = counts.join(totals, F.col("host").eqNullSafe(F.col("h")))
     return joined.where(F.col("pages") / F.col("host_pages") > max_ratio).drop("h")
 
 
-def _with_drops(df: DataFrame, host_col: str, text_col: str, max_ratio: float, min_pages: int):
-    per_host = boilerplate(df, host_col, text_col, max_ratio, min_pages).groupBy("host").agg(
+def _with_drops(df: DataFrame, host_col: str, text_col: str, max_ratio: float, min_pages: int, copies_once: bool = False):
+    per_host = boilerplate(df, host_col, text_col, max_ratio, min_pages, copies_once).groupBy("host").agg(
         F.collect_set("digest").alias("drops"))
     per_host = shared_table(per_host, "line-boilerplate")
     h, d = fresh(df, "boiler_host"), fresh(df, "boiler_lines")
@@ -77,9 +87,9 @@ def _kept_text(text_col: str, drops: str) -> Column:
 
 
 def drop_lines(df: DataFrame, host_col: str = "source", text_col: str = "text",
-               max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+               max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``df`` with the boilerplate lines of each host removed from the text; same rows and columns."""
-    joined, d = _with_drops(df, host_col, text_col, max_ratio, min_pages)
+    joined, d = _with_drops(df, host_col, text_col, max_ratio, min_pages, copies_once)
     return joined.select(*[_kept_text(text_col, d).alias(c) if c == text_col else F.col(c) for c in df.columns])
 
 

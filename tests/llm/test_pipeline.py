@@ -104,6 +104,23 @@ def test_stages_on_edge_rows(spark, name, stage):
     assert stage(spark, empty, SF).count() == 0
 
 
+def test_copies_of_a_page_keep_their_lines(spark):
+    """Copies that hold a third of a host count as one page: line dedup leaves them, near-dedup keeps one."""
+    def lines(i):
+        return "\n".join(f"{md5(f'{i} {k} {w}'.encode()).hexdigest()[:6]} own words of page {i}" for k in range(5) for w in range(2))
+
+    pages = [(i, lines(i) + "\nShared footer of the host", "en", "a", 1) for i in range(40)]
+    for g, size in ((100, 20), (200, 15)):
+        pages += [(g + i, lines(g), "en", "a", 1) for i in range(size)]
+    df = spark.createDataFrame(pages, DOC_SCHEMA)
+    cut = corpus_pipeline.dedup_lines(spark, df, SF)
+    texts = {r.doc_id: r.text for r in cut.collect()}
+    assert all(texts[i] == lines(i // 100 * 100 if i >= 100 else i) for i in texts)
+    kept = {r.doc_id: r.text for r in corpus_pipeline.dedup_near(spark, cut, SF).collect()}
+    assert {i: kept.get(i) for i in (100, 200)} == {i: lines(i) for i in (100, 200)}
+    assert not any(i % 100 for i in kept if i >= 100)
+
+
 def test_quality_stage_keeps_good_rows(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = read_table(spark, sf, "documents"), read_table(spark, sf, "labels")
