@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from msgsift.llm import decontaminate, line_dedup, mixing, quality, simhash
 from msgsift.llm._common import read_table, shared_table
 
+#: Share of a host's distinct pages above which a line is boilerplate: well below the 4 to 13 % of the
+#: common lines of the tables, so that it does not depend on chance which hosts are cleaned of them.
+BOILERPLATE_RATIO = 0.02
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose quality score is below the threshold."""
@@ -22,7 +26,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut each source's boilerplate lines out of the texts, copies counted once; ``n_chars`` follows the text."""
-    out = line_dedup.drop_lines(docs, copies_once=True)
+    out = line_dedup.drop_lines(docs, max_ratio=BOILERPLATE_RATIO, copies_once=True)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
 
 

@@ -121,6 +121,18 @@ def test_copies_of_a_page_keep_their_lines(spark):
     assert not any(i % 100 for i in kept if i >= 100)
 
 
+def test_lines_on_three_to_ten_percent_of_a_host_are_boilerplate(spark):
+    """Planted lines on 3, 5 and 10 % of 200 pages go on every page; one on 1.5 % and the pages' own lines stay."""
+    planted = {"Three in a hundred.": 6, "Five in a hundred.": 10, "Ten in a hundred.": 20, "A rare line.": 3}
+    pages = [(i, "\n".join([f"own start {i}", *(x for x, n in planted.items() if i % (200 // n) == 0 and i // (200 // n) < n), f"own end {i}"]), "en", "a", 1)
+             for i in range(200)]
+    assert {x: sum(x in p[1].split("\n") for p in pages) for x in planted} == planted
+    cut = corpus_pipeline.dedup_lines(spark, spark.createDataFrame(pages, DOC_SCHEMA), SF).collect()
+    want = {p[0]: "\n".join(x for x in p[1].split("\n") if x not in planted or x == "A rare line.") for p in pages}
+    assert {r.doc_id: r.text for r in cut} == want
+    assert all(r.n_chars == len(r.text) for r in cut)
+
+
 def test_quality_stage_keeps_good_rows(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = read_table(spark, sf, "documents"), read_table(spark, sf, "labels")
