@@ -2,12 +2,12 @@
 
 A text's paragraphs are its lines. A line is cut further into sentences, so that a passage pasted
 into a line is still found: a unit is a sentence of at least ``MIN_SENTENCE`` words, or a run of
-shorter ones between two such. Units are normalised (white space runs become one space, trimmed,
+shorter ones between two such. In scripts without spaces two characters count as a word. Units are normalised (white space runs become one space, trimmed,
 lower-cased) and hashed to 128 bits over all documents; blank units are skipped. The occurrence
 with the smallest (doc id, offset) is the one that stays.
 
-Neighbouring repeated units (nothing but white space between) form a span; a span is removed
-when it has at least ``min_words`` words, so single stock phrases stay. Offsets are code points
+Neighbouring repeated units (nothing but white space between) form a span; every later occurrence
+of a unit is removed. ``min_words`` above 1 keeps the spans of fewer words. Offsets are code points
 of the original text; the cleaned text keeps the offsets of the pieces it is made of.
 
 Each unit digest is grouped with partial aggregation for its first occurrence and count, so a
@@ -34,9 +34,16 @@ from pyspark.sql import functions as F
 from msgsift.llm._common import fresh, shared_table, small_or_shuffled
 
 MIN_SENTENCE = 5
-MIN_WORDS = 25
+MIN_WORDS = 1
 _LINE = re.compile(r"[^\n]+")
-_SENTENCE = re.compile(r"\S[^.!?]*(?:[.!?]+(?=\S)[^.!?]*)*(?:[.!?]+|$)")
+_SENTENCE = re.compile(r"[^\s。！？][^.!?。！？]*(?:[.!?]+(?=[^\s。！？])[^.!?。！？]*)*(?:[.!?。！？]+|$)|[。！？]+")
+#: Thai to Khmer, kana, CJK ideographs: written without spaces between words.
+_SPACELESS = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
+
+
+def is_sentence(words: list[str]) -> bool:
+    """Whether the words are enough for a unit of their own."""
+    return len(words) >= MIN_SENTENCE or sum(len(_SPACELESS.findall(w)) for w in words) >= 2 * MIN_SENTENCE
 
 
 def units(text: str | None) -> list[tuple[int, int, int, bytes]]:
@@ -47,7 +54,7 @@ def units(text: str | None) -> list[tuple[int, int, int, bytes]]:
         parts: list[tuple[int, int, list[str], bool]] = []  # start, end, words, long
         for m in _SENTENCE.finditer(s):
             words = m.group().split()
-            is_long = len(words) >= MIN_SENTENCE
+            is_long = is_sentence(words)
             if parts and not is_long and not parts[-1][3]:
                 a, _, before, _ = parts[-1]
                 parts[-1] = (a, m.end(), before + words, False)

@@ -170,6 +170,28 @@ def test_planted_passage_is_cut_and_offsets_kept(spark):
     assert "".join(texts[1][p.start:p.end] for p in out[1].kept_offsets) == out[1].text
 
 
+@pytest.mark.parametrize("n_words", [50, 65, 80])
+def test_short_passage_pasted_mid_sentence_is_cut(spark, n_words):
+    """Passages of 50 to 80 words that begin and end inside sentences and run over two lines: their whole sentences go."""
+    inner, ends = (10, (n_words - 20) // 2) if n_words == 50 else (11, (n_words - 22) // 2)
+    first, second = (" ".join(f"{w}{i}" for i in range(inner - 1)) + f" {w}end." for w in ("one", "two"))
+    head, tail = (" ".join(f"{w}{i}" for i in range(ends)) for w in ("head", "tail"))
+    passage = f"{head}. {first}\n{second} {tail}"
+    texts = [f"{own} own opening words go {passage} and {own} ends it here." for own in ("pear", "plum")]
+    df = spark.createDataFrame([*enumerate(texts), (2, "A clean document of other words.")], "doc_id long, text string")
+    spans = substring_dedup.report(df).collect()
+    assert [(r.doc_id, r.keep_ids, texts[1][r.start:r.end], r.n_words) for r in spans] == [(1, [0], f"{first}\n{second}", 2 * inner)]
+    out = {r.doc_id: r.text for r in substring_dedup.remove_repeats(df).collect()}
+    assert out[0] == texts[0] and first not in out[1] and second not in out[1]
+
+
+def test_sentences_without_spaces_are_units(spark):
+    shared = "这是一句没有空格的句子内容很长。"
+    texts = [f"第一篇文章自己的开头文字在这里。{shared}短。", f"另外一篇完全不同的开头文字在此。{shared}"]
+    spans = substring_dedup.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [(r.doc_id, texts[1][r.start:r.end]) for r in spans] == [(1, shared)]
+
+
 def test_substring_edge_rows(spark):
     df = to_spark(spark, documents(), DOC_SCHEMA)
     out = substring_dedup.remove_repeats(df, min_words=10)
