@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
@@ -173,7 +174,8 @@ def select_k(df: DataFrame, clusters: str | int = "auto", *, seed: int = 42, fea
 
 
 def project_2d(df: DataFrame, *, features: str = "features") -> DataFrame:
-    """Centred PCA to two coordinates x, y (2-D input passes through unchanged)."""
+    """Centred PCA to two coordinates x, y (2-D input passes through unchanged). The sign of an axis is
+    fixed: its loading of the largest absolute value, the first on ties, is positive."""
     first = df.select(features).first()
     if first is not None and first[0].size == 2:
         arr = vector_to_array(F.col(features))
@@ -182,7 +184,9 @@ def project_2d(df: DataFrame, *, features: str = "features") -> DataFrame:
     pca = PCA(k=2, inputCol="_centred", outputCol="_pc").fit(centred)
     out = pca.transform(centred)
     arr = vector_to_array(F.col("_pc"))
-    return out.withColumn("x", arr[0]).withColumn("y", arr[1]).drop("_centred", "_pc")
+    axes = pca.pc.toArray()
+    sign = [1.0 if a[np.argmax(np.abs(a) > np.abs(a).max() * (1 - 1e-9))] > 0 else -1.0 for a in axes.T]
+    return out.withColumn("x", arr[0] * F.lit(sign[0])).withColumn("y", arr[1] * F.lit(sign[1])).drop("_centred", "_pc")
 
 
 def cluster_assignments(df: DataFrame, cols: Sequence[str] = ("row_id", "label", "text", "cluster_id",

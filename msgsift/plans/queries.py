@@ -485,12 +485,19 @@ def q_kmeans_fit(spark, sf):
 
 @register("select_k")
 def q_select_k(spark, sf):
-    """The tried cluster counts with whether each silhouette is a proper one, and one best."""
+    """The facts of ``silhouette_by_k`` that SQL can state: the tried cluster counts with whether each
+    silhouette is a proper one, and one best."""
     return K.select_k_table(K.with_vector(_emb(spark, sf)), "auto", seed=42).select(
         "k", F.col("silhouette").between(-1, 1).alias("proper"), F.sum(F.col("best").cast("int")).over(
             Window.partitionBy()).alias("bests"))
 
 
+@register("silhouette_by_k")
+def q_silhouette_by_k(spark, sf):
+    """(k, silhouette, best) for each cluster count tried."""
+    return K.select_k_table(K.with_vector(_emb(spark, sf)), "auto", seed=42)
+
+
 @register("project_2d")
 def q_project_2d(spark, sf):
     """Sign-free: squared coordinates are summed, so are the products of the two axes."""
@@ -655,11 +662,20 @@ def q_metrics_chart(spark, sf):
     return round_doubles(long.withColumnRenamed("evaluation_strategy", "strategy"), 9)
 
 
+def _points(spark, sf):
+    return K.project_2d(K.with_vector(_emb(spark, sf))).withColumnRenamed("given", "cluster_id")
+
+
 @register("cluster_points")
 def q_cluster_points(spark, sf):
-    """Every row with its plot coordinates; the signs of the axes are settled by the first row."""
-    pts = K.project_2d(K.with_vector(_emb(spark, sf))).withColumnRenamed("given", "cluster_id")
-    return pts.select("row_id", "cluster_id", (F.col("x").isNotNull() & F.col("y").isNotNull()).alias("placed"))
+    """The facts of ``cluster_coordinates`` that SQL can state: every row is placed."""
+    return _points(spark, sf).select("row_id", "cluster_id", (F.col("x").isNotNull() & F.col("y").isNotNull()).alias("placed"))
+
+
+@register("cluster_coordinates")
+def q_cluster_coordinates(spark, sf):
+    """Every row with its plot coordinates; the largest loading of an axis is positive."""
+    return _points(spark, sf).select("row_id", "cluster_id", "x", "y")
 
 
 # -- §2.1 / §2.3 / §2.5 file round trips (sources, sinks, persistence) -----------------------

@@ -2,6 +2,8 @@ import numpy as np
 import pytest
 
 from msgsift.operators import cluster as K
+from msgsift.plans.queries import QUERIES
+from tests.conftest import SF
 
 
 def test_silhouette_closed_form_matches_evaluator_and_brute_force(spark):
@@ -52,6 +54,42 @@ def test_project_2d_is_centred_pca(spark):
         assert np.allclose(np.abs(got[:, j]), np.abs(ref[:, j]), atol=1e-8)
 
 
+def _vectors(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()
+    return [r.vec_id for r in rows], [r.label for r in rows], np.array([r.embedding for r in rows], dtype=float)
+
+
+def test_cluster_coordinates_equal_numpy(spark):
+    """Every row's x and y, signs included."""
+    ids, labels, X = _vectors(spark)
+    Xc = X - X.mean(axis=0)
+    _, _, vt = np.linalg.svd(Xc, full_matrices=False)
+    ref = Xc @ np.array([a * np.sign(a[np.argmax(np.abs(a))]) for a in vt[:2]]).T
+    out = QUERIES["cluster_coordinates"](spark, SF).orderBy("row_id").collect()
+    assert [(r.row_id, r.cluster_id) for r in out] == list(zip(ids, labels, strict=True))
+    assert np.allclose([[r.x, r.y] for r in out], ref, atol=1e-8)
+
+
+def test_silhouette_by_k_equals_numpy(spark):
+    """The silhouette of each k against all pairs, on the clusters of the same fits."""
+    _, _, X = _vectors(spark)
+    got = {r.k: r for r in QUERIES["silhouette_by_k"](spark, SF).collect()}
+    assert sorted(got) == list(range(3, 9))
+    assert [k for k, r in got.items() if r.best] == [max(got, key=lambda k: (got[k].silhouette, -k))]
+    df = K.with_vector(spark.read.parquet(f"{SF}/embeddings.parquet"))
+    U = X / np.linalg.norm(X, axis=1, keepdims=True)
+    D = 1 - U @ U.T
+    for k in (3, 8):
+        lab = np.array([r.prediction for r in K.kmeans_fit(df, k, n_init=10).transform(df).orderBy("vec_id").collect()])
+        s = []
+        for i in range(len(lab)):
+            own = lab == lab[i]
+            a = D[i, own].sum() / max(own.sum() - 1, 1)
+            b = min(D[i, lab == c].mean() for c in set(lab) if c != lab[i])
+            s.append((b - a) / max(a, b) if own.sum() > 1 else 0.0)
+        assert abs(got[k].silhouette - np.mean(s)) < 1e-6
+
+
 def test_nearest_centroid(spark):
     df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [9.0, 9.5])], "row_id long, embedding array<double>")
     cents = spark.createDataFrame([(3, [0.0, 1.0]), (7, [10.0, 10.0])], "c int, centroid array<double>")
