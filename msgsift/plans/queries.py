@@ -573,7 +573,8 @@ def q_rate_limit_decisions(spark, sf):
 @register("rate_limit_stream")
 def q_rate_limit_stream(spark, sf):
     """Same decisions from a Structured Streaming query over several micro-batches: the events
-    arrive as four files in time order, one per trigger, and clients' state carries over."""
+    arrive in four parts in time order, each of as many files as it has partitions; a run takes one
+    part and goes on from the checkpoint, so clients' state carries over."""
     from msgsift.streaming.ratelimit import epoch_micros, rate_limit_stream
 
     events = read_table(spark, sf, "events")
@@ -582,12 +583,13 @@ def q_rate_limit_stream(spark, sf):
     base = scratch_path(spark, "ratelimit")
     for lo, hi in zip([None, *cuts], [*cuts, None]):
         part = events if lo is None else events.where(t >= F.lit(lo))
-        (part if hi is None else part.where(t < F.lit(hi))).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    src = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    q = (rate_limit_stream(src, requests=LIMIT_REQUESTS, window_seconds=LIMIT_WINDOW_S)
-         .writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+        part = part if hi is None else part.where(t < F.lit(hi))
+        part.repartition("user_id").write.mode("append").parquet(f"{base}/in")
+        src = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        q = (rate_limit_stream(src, requests=LIMIT_REQUESTS, window_seconds=LIMIT_WINDOW_S)
+             .writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 

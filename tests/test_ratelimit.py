@@ -76,3 +76,18 @@ def test_late_events_count_at_the_clients_clock(spark, tmpdir_path):
     got = _stream(spark, tmpdir_path, [[(1, "a", at(100)), (2, "a", at(101))], [(3, "a", at(50)), (4, "a", at(112)), (5, "b", at(60))]],
                   requests=2, window_seconds=10, lateness="10 minutes")
     assert got == {1: (True, 0), 2: (True, 0), 3: (False, 9), 4: (True, 0), 5: (True, 0)}
+
+
+def test_stream_parts_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    """A part of the events arrives in several files, not through one task; the decisions are the batch ones."""
+    from msgsift.plans import queries
+    from tests.conftest import SF
+    monkeypatch.setattr(queries, "scratch_path", lambda *a: str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.event_id: (r.user_id, r.allowed, r.retry_after) for r in queries.QUERIES["rate_limit_stream"](spark, SF).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = queries.QUERIES["rate_limit_decisions"](spark, SF).collect()
+    assert got == {r.event_id: (r.user_id, r.allowed, r.retry_after) for r in want}
+    assert len(list((tmp_path / "in").glob("part-*.parquet"))) > 4
