@@ -100,3 +100,24 @@ SELECT doc_id, size, source_size, target,
        (size * (ep + CASE WHEN size * n > 0 AND before + size * n / 2::DOUBLE <= target - ep * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM o, range(o.n)
 """
+
+ORACLES["op11_hard_negatives"] = r"""
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, list_dot_product(a.q, v.q)::BIGINT AS score
+  FROM r a JOIN r v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS "rank"
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT * FROM n WHERE "rank" <= 10
+"""

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from msgsift.llm import (
     decontaminate,
     exact_dedup,
+    hard_negatives,
     html_extract,
     license_scan,
     line_dedup,
     mixing,
     quality,
     simhash,
+    spelling,
     substring_dedup,
+    token_counts,
     toxicity,
 )
 from msgsift.llm._common import read_table
@@ -63,6 +68,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.notices(read_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the ids divisible by 100; ids divisible by 7 carry the next label (of ten) first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run starts from an empty cache of its own, so its figures are those of the whole work."""
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
@@ -74,4 +94,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_token_counts": op12_token_counts,
+    "op13_spelling_variants": op13_spelling_variants,
 }
