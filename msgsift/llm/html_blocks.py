@@ -8,18 +8,38 @@ from typing import NamedTuple
 
 # Element kinds of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object select button noembed noframes".split())
+#: Their contents are no markup of the page; they end at their own close tag.
+RAW = frozenset("script style textarea title noscript template iframe".split())
+#: Controls and drawings inside a line of text: skipped with their contents if they close within the block.
+CONTROLS = frozenset("button select svg".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data dfn em font i img ins kbd label mark q s samp small span strike strong "
-    "sub sup time tt u var del ruby rt rp wbr nobr".split())
+    "a abbr acronym b bdi bdo big cite code data dfn em i img ins kbd label mark q s samp small span strike strong "
+    "sub sup time tt u var del ruby rt rp wbr nobr font math mi mn mo ms mrow msup msub mfrac msqrt mtext bdo meter output "
+    "progress object".split())
+BLOCKS = frozenset(
+    "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements that an opening tag of the same group closes, up to the nearest container.
 CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
           "tr": ("tr td th", ("table", "tbody", "thead", "tfoot")), "td": ("td th", ("tr",)), "th": ("td th", ("tr",)),
           "option": ("option", ("select",))}
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|<[!?][^>]*>", re.S)
+# Quotes delimit a value only after an equals sign; other values end at white space or ">".
+_TAG = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))*+)>|<[!?/][^>]*>""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|aria-label|itemprop|style|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _PART = re.compile(r"[a-z]+|\d+")
-_RAW_END = {name: re.compile(rf"</{name}[^>]*>", re.I) for name in RAW}
+_CLOSE = {name: re.compile(rf"</{name}(?![^\s/>])[^>]*>", re.I) for name in RAW | CONTROLS}
+
+
+def _control_end(html: str, name: str, at: int) -> int | None:
+    """Where a control that starts at ``at`` has closed, if no block begins or ends before."""
+    m = _CLOSE[name].search(html, at)
+    if m is None:
+        return None
+    for tag in _TAG.finditer(html, at, m.start()):
+        inner = (tag.group(2) or "").lower()
+        if inner in BLOCKS:
+            return None
+    return m.end()
 
 
 class Block(NamedTuple):
@@ -47,7 +67,8 @@ def _marks(name: str, attrs: str) -> tuple[str, ...]:
 
 def leaf_blocks(html: str | None) -> list[Block]:
     """Blocks in page order. Unclosed, misnested and unknown tags are taken as browsers do in the
-    common cases; the contents of scripts, styles, controls and comments are no text."""
+    common cases; the contents of scripts, styles and comments, and of controls that close within
+    their block, are no text. An element that never closes takes no text of the page with it."""
     if not html:
         return []
     blocks: list[Block] = []
@@ -87,7 +108,7 @@ def leaf_blocks(html: str | None) -> list[Block]:
         if m.group(1):
             if name == "a":
                 anchor = max(0, anchor - 1)
-            if name in INLINE:
+            if name in INLINE or name in CONTROLS:
                 continue
             if any(x == name for x, _ in stack):
                 flush()
@@ -98,9 +119,17 @@ def leaf_blocks(html: str | None) -> list[Block]:
                 flush()
             continue
         if name in RAW:
-            if not m.group(3).endswith("/"):
-                end = _RAW_END[name].search(html, at)
-                at = end.end() if end else n
+            end = None if m.group(3).endswith("/") and name != "script" else _CLOSE[name].search(html, at)
+            if end:
+                at = end.end()
+            elif name in ("script", "style"):
+                # Never closed: what stands before the next tag is code, the page goes on after it.
+                after = _TAG.search(html, at)
+                at = after.start() if after else n
+            pieces.append(" ")
+            continue
+        if name in CONTROLS:
+            at = _control_end(html, name, at) or at
             pieces.append(" ")
             continue
         if name == "br":

@@ -7,7 +7,8 @@ bidirectional LSTM runs over the whole sequence, so every block is classified wi
 the entire document, and the blocks labelled as content are joined in page order.
 
 Training: there are no labelled pages, so the model is fitted at query time on (a) a bounded,
-documented sample of the table's own pages (``SAMPLE_PAGES`` in hash order) labelled by what
+documented sample of the table's own pages (``SAMPLE_PAGES`` of at most ``SAMPLE_CHARS`` characters,
+in hash order) labelled by what
 their HTML5 elements say (inside ``article``/``main``, outside ``nav``, ``aside``, ``footer``
 ...), and (b) generated layouts that put sentences of that sample into many common templates -
 semantic, class-named and plain - with menus, notices, adverts, forms, related links and reader
@@ -35,7 +36,7 @@ from msgsift.llm.html_blocks import Block, leaf_blocks
 
 PATH_SLOTS, WORD_SLOTS = 2048, 4096
 PATH_DIM, WORD_DIM, HIDDEN = 24, 12, 24
-SAMPLE_PAGES = 200
+SAMPLE_PAGES, SAMPLE_CHARS = 200, 100_000
 LAYOUTS = 600
 EPOCHS = 6
 #: Pages labelled together; only similar lengths share a group.
@@ -392,8 +393,8 @@ def training_pages(html: list[str], layouts: int = LAYOUTS, seed: int = 0) -> li
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE_PAGES,
         layouts: int = LAYOUTS, epochs: int = EPOCHS) -> Labeller:
-    """Fit from at most ``sample`` pages in hash order of their html."""
-    rows = pages.where(F.length(html_col) > 0).select(F.xxhash64(html_col).alias("h"), F.col(html_col).alias("t"))
+    """Fit from at most ``sample`` pages of up to ``SAMPLE_CHARS`` characters, in hash order of their html."""
+    rows = pages.where(F.length(html_col).between(1, SAMPLE_CHARS)).select(F.xxhash64(html_col).alias("h"), F.col(html_col).alias("t"))
     chosen = rows.select("h").distinct().orderBy("h").limit(sample)
     taken = rows.join(F.broadcast(chosen), "h").dropDuplicates(["h"]).orderBy("h").limit(sample).collect()
     return train(training_pages([r["t"] for r in taken], layouts), epochs)
