@@ -3,11 +3,13 @@
 Candidate blocks are runs of sentences that hold a licence cue (gaps of up to ``GAP`` sentences
 are bridged, for long notices). Each block is compressed with zstandard on its own and with every
 template as a raw-content dictionary; a template that shares wording makes the block smaller, and
-templates are ranked by that saving. The ``TOP`` ranked templates are then compared word by word:
-the template is aligned in the block, and missing, changed and inserted words are listed. The
-winner is the template with the highest share of its words found in order, and it is confirmed
-when that share is at least ``MIN_SHARE`` and no version or clause word (digits, by, nc, nd, sa,
-lesser, affero ...) differs.
+templates are ranked by that saving. From the largest saving down, every template with a
+positive one is compared word by word, unless it shares too few words with the block to reach
+``MIN_SHARE`` in any order: the template is aligned in the block, and missing, changed and inserted
+words are listed. A template is confirmed when the share of its words found in order is at least
+``MIN_SHARE`` and no binding word differs: the name of a licence, a Creative Commons clause, or a
+number that stands with ``version`` or a licence's name. Numbers of lists do not bind. Of the
+confirmed templates the one with most words found, less the differences, wins.
 
 A block that holds several notices is cut at the confirmed notice, and the rests are scanned
 again until nothing more is confirmed. Every row and whole text is read; templates are code, so
@@ -20,6 +22,7 @@ row per notice and row); an empty table gives an empty result; extra columns are
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -30,17 +33,19 @@ from pyspark.sql import functions as F
 
 from msgsift.llm.license_templates import CUES, TEMPLATES
 
-TOP = 4
 MIN_SHARE = 0.8
 GAP = 2
 LEVEL = 3
 #: Words that change which licence a notice names.
-CLAUSES = frozenset("by nc nd sa lesser affero general mit apache bsd mozilla gnu noncommercial sharealike attribution".split())
+NAMES = frozenset("lesser affero general mit apache bsd mozilla gnu noncommercial sharealike attribution noderivatives".split())
+#: Clauses of a Creative Commons licence, and words before a number that make it a version.
+CLAUSES = frozenset("by nc nd sa".split())
+VERSIONED = NAMES | CLAUSES | frozenset("version v license licence cc cc0 gpl lgpl agpl mpl public".split())
 _CUE = re.compile(rf"\b(?:{'|'.join(CUES)})|\"as is\"", re.I)
 _SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=\s|$)|\n|$)")
 _WORD = re.compile(r"[A-Za-z0-9]+(?:\.[0-9]+)*")
 
-_compilers: list[tuple[zstd.ZstdCompressor, list[str]]] = []
+_compilers: list[tuple[zstd.ZstdCompressor, list[str], Counter]] = []
 
 
 def _words(text: str) -> list[str]:
@@ -48,11 +53,12 @@ def _words(text: str) -> list[str]:
 
 
 def _templates():
-    """(compressor with the template as raw dictionary, its words), built once per worker."""
+    """(compressor with the template as raw dictionary, its words, their counts), built once per worker."""
     if not _compilers:
         for _, wording in TEMPLATES:
-            raw = zstd.ZstdCompressionDict(" ".join(_words(wording)).encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT)
-            _compilers.append((zstd.ZstdCompressor(level=LEVEL, dict_data=raw), _words(wording)))
+            words = _words(wording)
+            raw = zstd.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT)
+            _compilers.append((zstd.ZstdCompressor(level=LEVEL, dict_data=raw), words, Counter(words)))
     return _compilers
 
 
@@ -89,11 +95,19 @@ def rank_templates(words: list[str]) -> list[tuple[int, int]]:
     """(saved bytes, template) from the largest saving down."""
     block = " ".join(words).encode()
     alone = len(_plain.compress(block))
-    return sorted(((alone - len(c.compress(block)), k) for k, (c, _) in enumerate(_templates())), key=lambda x: (-x[0], x[1]))
+    return sorted(((alone - len(c.compress(block)), k) for k, (c, _, _) in enumerate(_templates())), key=lambda x: (-x[0], x[1]))
 
 
-def wording(template: list[str], words: list[str]) -> tuple[float, list[str], int, int]:
-    """(share of the template found in order, differences, first, last matched word of the block)."""
+def _binds(words: list[str], i: int) -> bool:
+    """Whether the word names a licence, one of its clauses or its version."""
+    w, before, after = words[i], words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""
+    if w in CLAUSES:
+        return before in CLAUSES or before == "cc" or after in CLAUSES or "." in after
+    return w in NAMES or w[0].isdigit() and (before in VERSIONED or after == "clause")
+
+
+def wording(template: list[str], words: list[str]) -> tuple[int, list[str], bool, int, int]:
+    """(template words found in order, differences, whether one binds, first and last matched word of the block)."""
     pairs = SequenceMatcher(None, template, words, autojunk=False).get_matching_blocks()[:-1]
     # Stray single words far from the notice would stretch it: keep the densest neighbourhood.
     best, run = [], []
@@ -104,18 +118,19 @@ def wording(template: list[str], words: list[str]) -> tuple[float, list[str], in
         if sum(x.size for x in run) > sum(x.size for x in best):
             best = list(run)
     if not best:
-        return 0.0, [], 0, 0
+        return 0, [], True, 0, 0
+    missing, inserted = [], []
     differ: list[str] = []
     a, b = 0, best[0].b
     for p in best:
+        missing += range(a, p.a)
+        inserted += range(b, p.b)
         differ += [f"-{w}" for w in template[a:p.a]] + [f"+{w}" for w in words[b:p.b]]
         a, b = p.a + p.size, p.b + p.size
+    missing += range(a, len(template))
     differ += [f"-{w}" for w in template[a:]]
-    return sum(p.size for p in best) / len(template), differ, best[0].b, b
-
-
-def _binding(differ: list[str]) -> bool:
-    return any(w[1:] in CLAUSES or w[1].isdigit() for w in differ)
+    binds = any(_binds(template, i) for i in missing) or any(_binds(words, i) for i in inserted)
+    return sum(p.size for p in best), differ, binds, best[0].b, b
 
 
 def scan(text: str | None) -> list[tuple[int, int, int, float, float, list[str]]]:
@@ -130,15 +145,17 @@ def scan(text: str | None) -> list[tuple[int, int, int, float, float, list[str]]
             continue
         ranked = rank_templates(words)
         alone = max(len(_plain.compress(" ".join(words).encode())), 1)
-        # Ties and near ties in savings are all compared; exact wording decides between them.
-        least = ranked[min(TOP, len(ranked)) - 1][0]
+        has = Counter(words)
         best = None
-        for saved, k in (r for r in ranked if r[0] >= max(least - 2, 1)):
-            share, differ, lo, hi = wording(_templates()[k][1], words)
-            if share >= MIN_SHARE and not _binding(differ):
-                rank = (-len(differ) / len(_templates()[k][1]), len(_templates()[k][1]), saved, -k)
+        for saved, k in (r for r in ranked if r[0] > 0):
+            _, template, counts = _templates()[k]
+            if sum(min(n, has[w]) for w, n in counts.items()) < MIN_SHARE * len(template):
+                continue
+            hit, differ, binds, lo, hi = wording(template, words)
+            if hit >= MIN_SHARE * len(template) and not binds:
+                rank = (hit - len(differ), saved, -k)
                 if best is None or rank > best[0]:
-                    best = (rank, k, saved, share, differ, lo, hi)
+                    best = (rank, k, saved, hit / len(template), differ, lo, hi)
         if best is None:
             # A notice may hide in a long block: look at its sentences one by one.
             cut = [(m.start(), m.end()) for m in _SENTENCE.finditer(text, a, b) if m.end() > m.start()]

@@ -25,6 +25,13 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
                    "OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
                    "limitations under the License."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+                "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later "
+                "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+                "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
+                "details. You should have received a copy of the GNU General Public License along with this program; if not, write to "
+                "the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
@@ -33,6 +40,25 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
                 "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
                 "GNU General Public License for more details. You should have received a copy of the GNU General Public License "
                 "along with this program. If not, see <https://www.gnu.org/licenses/>."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                 "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+                 "any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+                 "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public "
+                 "License for more details. You should have received a copy of the GNU Lesser General Public License along with this "
+                 "library; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA "
+                 "02110-1301 USA."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+                 "any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+                 "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public "
+                 "License for more details. You should have received a copy of the GNU Lesser General Public License along with this "
+                 "program. If not, see <https://www.gnu.org/licenses/>."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+                 "any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+                 "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public "
+                 "License for more details. You should have received a copy of the GNU Affero General Public License along with this "
+                 "program. If not, see <https://www.gnu.org/licenses/>."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
@@ -44,6 +70,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
                      "other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names "
                      "of its contributors may be used to endorse or promote products derived from this software without specific "
                      "prior written permission."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+                     "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+                     "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+                     "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+                     "other materials provided with the distribution."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
                 "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
