@@ -6,12 +6,17 @@ empty text) and gets a 64-bit hash ``h`` and its SHA-256. One pass writes the en
 (h, sha256), so a text with any number of copies is one index record.
 
 The directory is a table of slots: the leading ``depth`` bits of ``h`` point to a bucket.
-While a bucket holds more than ``capacity`` records the directory doubles: only the
-overfull buckets split on the next bit, the others keep their local depth. The records are
-then written once, in range order of (bucket, h), so each owner task holds whole buckets of a
-contiguous key range. Inside a bucket the records that share ``h`` form a chain; the bytes of
-the texts of every chain with more than one entry are compared by grouping on the texts
-themselves (combined on the map side, so copies meet before the shuffle).
+While a bucket holds more than ``capacity`` digests the directory doubles: only the
+overfull buckets split on the next bit, the others keep their local depth. A running sum over
+the directory cuts the key range at bucket bounds into owners of about equal size, so a bucket
+is never divided. Each owner task gets the records of its whole buckets (at most ``SALTS`` per
+digest, however many copies there are) and builds the chains: inside a bucket, the records that
+share ``h``. Size and survivor of a group come from its chain. The owners write the index, sorted
+by bucket and chain, to the shared folder.
+
+Bytes decide: the texts of every chain that stands for more than one row go, one for each
+different text of a digest (copies meet before the shuffle), to the owner of the chain, which
+counts the different texts behind each digest.
 
 Defined results: a null text equals the empty text; a null id is larger than any id; rows
 that repeat an id and a text count as members, and exactly one of them is kept; an empty
@@ -20,7 +25,7 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgsift.llm._common import shared_table, small_or_shuffled
@@ -28,6 +33,8 @@ from msgsift.llm._common import shared_table, small_or_shuffled
 #: ASCII white space of the contract.
 SPACE = r"[ \t-\r]+"
 MAX_DEPTH = 48
+#: Digests of one bucket, depth of the first directory, and records that the copies of a text are folded into.
+CAPACITY, INITIAL_DEPTH, SALTS = 8192, 4, 16
 
 
 def normalised(text: Column) -> Column:
@@ -41,13 +48,14 @@ def prefix(h: Column, depth: int | Column) -> Column:
     return F.expr(f"shiftrightunsigned(h, cast(64 - {depth} as int))")
 
 
-def build_directory(records: DataFrame, capacity: int, initial_depth: int) -> DataFrame:
+def build_directory(digests: DataFrame, capacity: int, initial_depth: int) -> DataFrame:
     """The buckets (depth, slot, n): leaves of the split tree over the leading bits of ``h``.
 
-    ``records`` has one row per distinct (h, sha256). The loop ends at the first level with
-    no overfull bucket; a level costs one aggregation of the records that are still in
-    overfull buckets, and levels grow with log2(records / capacity).
+    ``digests`` has one row per distinct (h, sha256). The loop ends at the first level with
+    no overfull bucket; a level costs one aggregation of the digests that are still in
+    overfull buckets, and levels grow with log2(digests / capacity).
     """
+    records = digests
     depth = initial_depth
     level = records.groupBy(prefix(F.col("h"), depth).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     level = shared_table(level.select(F.lit(depth).alias("depth"), "slot", "n"), "exact-directory")
@@ -68,57 +76,74 @@ def build_directory(records: DataFrame, capacity: int, initial_depth: int) -> Da
     return leaves.unionByName(over)
 
 
-def place(records: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Give each record its bucket: one equi-join per local depth in use (at most 48)."""
-    depths = [r["depth"] for r in leaves.select("depth").distinct().collect()]
+def owners(leaves: DataFrame, parts: int) -> DataFrame:
+    """The directory with the owner of each bucket: whole buckets in key order, about equally many
+    digests for each of ``parts`` owners. The running sum is over one row per bucket."""
+    first = F.expr("shiftleft(slot, cast(63 - depth as int))")  # the unsigned order of h, without its last bit
+    total = leaves.agg(F.sum("n")).first()[0] or 1
+    before = F.sum("n").over(Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1))
+    return leaves.withColumn("owner", F.floor(F.coalesce(before, F.lit(0)) * parts / F.lit(total)).cast("int"))
+
+
+def place(records: DataFrame, directory: DataFrame) -> DataFrame:
+    """Give each record its bucket and owner: one equi-join per local depth in use (at most 48)."""
+    depths = [r["depth"] for r in directory.select("depth").distinct().collect()]
     placed = None
     for d in sorted(depths):
-        here = leaves.where(F.col("depth") == d).select(F.col("slot").alias("s"))
+        here = directory.where(F.col("depth") == d).select(F.col("slot").alias("s"), "owner")
         part = records.withColumn("s", prefix(F.col("h"), d)).join(
             small_or_shuffled(here), "s").withColumn("depth", F.lit(d)).withColumnRenamed("s", "slot")
         placed = part if placed is None else placed.unionByName(part)
     if placed is None:
-        return records.withColumn("slot", F.lit(0).cast("long")).withColumn("depth", F.lit(0))
+        return records.withColumn("slot", F.lit(0).cast("long")).withColumn("owner", F.lit(0)).withColumn("depth", F.lit(0))
     return placed
 
 
-def build_index(df: DataFrame, id_col: str, text_col: str, capacity: int = 100_000,
-                initial_depth: int = 4) -> tuple[DataFrame, DataFrame]:
-    """(entries, records): entries (id, h, sha, copies) and the bucketed records on shared files.
+def build_index(df: DataFrame, id_col: str, text_col: str, capacity: int = CAPACITY,
+                initial_depth: int = INITIAL_DEPTH) -> tuple[DataFrame, DataFrame]:
+    """(entries, index): entries (id, h, sha, copies) and the chains on shared files.
 
-    A record is (depth, slot, h, sha, n, keep): ``n`` rows have this digest and ``keep`` is the
-    smallest id among them.
+    An index row is (owner, depth, slot, h, sha, n, keep, chain): ``n`` rows have this digest, ``keep``
+    is the smallest id among them, and the chain of ``h`` stands for ``chain`` rows.
     """
     norm = normalised(F.col(text_col))
     base = df.select(F.col(id_col).alias("id"), norm.alias("t"))
     rows = base.select("id", F.xxhash64("t").alias("h"), F.unhex(F.sha2(F.col("t").cast("binary"), 256)).alias("sha"))
     entries = shared_table(
         rows.groupBy("h", "sha", "id").agg(F.count(F.lit(1)).alias("copies")), "exact-entries")
-    records = shared_table(
-        entries.groupBy("h", "sha").agg(F.sum("copies").alias("n"), F.min("id").alias("keep")), "exact-records")
-    placed = place(records, build_directory(records, capacity, initial_depth))
+    # Copies of one text are folded into a bounded number of records before they meet at the owner.
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
+    records = shared_table(entries.groupBy("h", "sha", salt.alias("salt")).agg(
+        F.sum("copies").alias("n"), F.min("id").alias("keep")), "exact-records")
+    digests = shared_table(records.select("h", "sha").distinct(), "exact-digests")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The unsigned order of h is the order of its leading bits: buckets are contiguous ranges.
-    owned = placed.repartitionByRange(parts, prefix(F.col("h"), 63), "h").sortWithinPartitions("slot", "h")
-    return entries, shared_table(owned, "exact-index")
+    directory = shared_table(owners(build_directory(digests, capacity, initial_depth), parts), "exact-owners")
+    owned = place(records, directory).repartition(parts, "owner")
+    # Both steps run inside the owner's task: its rows are not moved again.
+    nodes = owned.groupBy("owner", "depth", "slot", "h", "sha").agg(F.sum("n").alias("n"), F.min("keep").alias("keep"))
+    chains = nodes.withColumn("chain", F.sum("n").over(Window.partitionBy("owner", "depth", "slot", "h")))
+    order = F.expr("shiftleft(slot, cast(63 - depth as int))")
+    return entries, shared_table(chains.sortWithinPartitions(order, "h"), "exact-index")
 
 
 def compare_bytes(df: DataFrame, text_col: str, index: DataFrame) -> DataFrame:
     """(h, sha, texts): how many different texts hide behind each digest of a chain.
 
-    Only texts whose ``h`` occurs more than once take part. They are grouped by their whole
-    bytes; partial aggregation folds the copies of a task into one row before the shuffle.
+    Only texts whose chain stands for more than one row take part. They are folded by their whole
+    bytes, on the map side first, and what is left meets at the owner of the chain.
     """
-    chains = index.groupBy("h").agg(F.sum("n").alias("m")).where(F.col("m") > 1).select(F.col("h").alias("ch"))
-    chains = shared_table(chains, "exact-chains")
+    chains = index.where(F.col("chain") > 1).groupBy("h").agg(F.min("owner").alias("owner"))
+    chains = shared_table(chains.select(F.col("h").alias("ch"), "owner"), "exact-chains")
     texts = df.select(normalised(F.col(text_col)).alias("t")).withColumn("h", F.xxhash64("t"))
-    texts = texts.join(small_or_shuffled(chains), F.col("h") == F.col("ch"), "left_semi")
+    texts = texts.join(small_or_shuffled(chains), F.col("h") == F.col("ch"))
     texts = texts.withColumn("sha", F.unhex(F.sha2(F.col("t").cast("binary"), 256)))
-    return texts.groupBy("h", "sha", "t").agg(F.count(F.lit(1)).alias("c"))
+    different = texts.groupBy("owner", "h", "sha", "t").agg(F.count(F.lit(1)).alias("c"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return different.repartition(parts, "owner").groupBy("owner", "h", "sha").agg(F.count("t").alias("texts"))
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                capacity: int = 100_000, initial_depth: int = 4) -> DataFrame:
+                capacity: int = CAPACITY, initial_depth: int = INITIAL_DEPTH) -> DataFrame:
     """One row per row of ``df``: id, keep_id, group_size, kept, text_sha256.
 
     Of equal texts the row with the smallest id stays. Equality is decided by the compared
@@ -126,8 +151,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by grouping its rows on the text itself.
     """
     entries, index = build_index(df, id_col, text_col, capacity, initial_depth)
-    compared = compare_bytes(df, text_col, index)
-    nodes = shared_table(compared.groupBy("h", "sha").agg(F.count(F.lit(1)).alias("texts")), "exact-nodes")
+    nodes = shared_table(compare_bytes(df, text_col, index), "exact-nodes")
     clashes = nodes.where(F.col("texts") > 1).select("h", "sha")
     n_clash = clashes.count()
     groups = index.where(F.col("n") > 1).select(

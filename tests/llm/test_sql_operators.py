@@ -48,6 +48,19 @@ def test_index_splits_overfull_buckets(spark):
     assert index.agg(F.max("depth")).first()[0] > 1
 
 
+def test_an_owner_holds_whole_buckets(spark):
+    """Every bucket lies in one file, several files hold buckets, and the buckets of a file are neighbours."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    _, index = exact_dedup.build_index(df, "doc_id", "text", capacity=40, initial_depth=2)
+    rows = index.select("depth", "slot", "owner", F.input_file_name().alias("f")).distinct().collect()
+    assert len({(r.depth, r.slot) for r in rows}) == len(rows) > 20
+    assert len({r.f for r in rows}) > 1
+    runs = [r.owner for r in sorted(rows, key=lambda r: r.slot << (63 - r.depth))]
+    assert runs == sorted(runs)
+    folded = index.agg(F.sum("n")).first()[0]
+    assert folded == df.count()
+
+
 def test_colliding_hashes_are_told_apart_by_bytes(spark, monkeypatch):
     """With a constant digest every text collides; the bytes still decide."""
     docs = documents()
