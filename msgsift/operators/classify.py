@@ -1,16 +1,9 @@
 """Linear classifier on TF-IDF features: fit, score, confidence, persistence,
 training metadata and corpus fingerprint.
 
-The fit reproduces an L2-regularised logistic regression with C=1, balanced class
-weights and a *penalised* intercept:
-
-* balanced weights ``n / (K * n_c)`` sum to n, so Spark's objective
-  ``(1/sum w) * sum w_i * loss_i + regParam/2 * |b|^2`` equals the C=1 objective
-  scaled by 1/n when ``regParam = 1/n``;
-* the intercept is an appended constant feature (so it is penalised like any
-  weight). Spark ignores zero-variance features, so for a deterministic half of the
-  rows the whole vector (constant included) is negated and the label flipped - the
-  logistic loss of that row is unchanged, and the constant column now varies.
+The fit is an L2-regularised logistic regression with C=1, balanced class weights
+``n / (K * n_c)`` and a *penalised* intercept, which is an appended constant feature. It is solved
+by a trust-region Newton method over all partitions (``newton.py``).
 
 A fitted model is a table (idx, term, idf, coefficient) and an intercept. Scoring is a
 join of a row's terms with that table and one sum per row; no vector is assembled and no
@@ -20,17 +13,21 @@ Python runs per row.
 from __future__ import annotations
 
 import json
+import math
+import uuid
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgsift.functions.labels import DEFAULT_LABELS
 from msgsift.functions.text import strip_ws, with_token_runs
-from msgsift.operators.features import assemble_sparse, build_vocabulary, tfidf_transform, to_sparse_rows, with_terms
+from msgsift.operators import newton
+from msgsift.operators.features import build_vocabulary, tfidf_transform, to_sparse_rows, with_terms
+from msgsift.operators.row_blocks import pack_rows
 from msgsift.operators.splits import class_weights
 from msgsift.session import cut_lineage
 
@@ -49,6 +46,7 @@ class TextClassifier:
     intercept: float
     labels: tuple[str, ...] = DEFAULT_LABELS
     positive: str = "spam"
+    passes: int = 0           # of the fit over its rows
 
     @property
     def negative(self) -> str:
@@ -65,33 +63,28 @@ def bounded_rows(train: DataFrame, max_rows: int) -> DataFrame:
 
 
 def fit_classifier(train: DataFrame, *, positive: str = "spam", labels: Sequence[str] = DEFAULT_LABELS,
-                   min_df: int = 2, max_iter: int = 1000, tol: float = 1e-12,
+                   min_df: int = 2, max_passes: int = 1000, tol: float = 5e-7,
                    max_rows: int = MAX_TRAIN_ROWS) -> TextClassifier:
     """Fit on (row_id, label, text) training rows only (vocabulary, idf and weights).
 
-    The texts are analysed once; terms, vocabulary and vectors are reliable checkpoints. The
-    optimiser's passes run over all partitions of the cached vectors.
+    The texts are analysed once; terms, vocabulary and packed vectors lie on shared files. ``passes`` of
+    the result is the number of passes that the solver made over them.
     """
     spark = train.sparkSession
     terms = cut_lineage(with_terms(bounded_rows(train, max_rows)).select("row_id", "label", "terms"))
     vocab = cut_lineage(build_vocabulary(terms, min_df=min_df))
-    size, n = vocab.count(), terms.count()
+    size = vocab.count()
     if size == 0:
         raise ModelError("empty vocabulary: no term reaches min_df")
     weighted = class_weights(terms.select("row_id", "label"))
-    flip = F.xxhash64("row_id") % 2 == 0
-    y = (F.col("label") == positive).cast("double")
-    rows = to_sparse_rows(tfidf_transform(terms, vocab), size).join(weighted, "row_id")
-    rows = rows.withColumn("sign", F.when(flip, -1.0).otherwise(1.0)).withColumn("y", F.when(flip, 1 - y).otherwise(y))
-    data = assemble_sparse(rows, append_one=True, sign_col="sign").select("features", "y", "weight")
-    data = data.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
-    lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight", fitIntercept=False,
-                            standardization=False, regParam=1.0 / n, elasticNetParam=0.0, maxIter=max_iter, tol=tol)
-    coefficients = lr.fit(data).coefficients.toArray()
-    data.unpersist()
+    one = F.array(F.lit(1.0))  # the constant feature has the last index
+    rows = to_sparse_rows(tfidf_transform(terms, vocab), size).join(weighted, "row_id").select(
+        F.concat("indices", F.array(F.lit(size))).alias("indices"), F.concat("values", one).alias("values"),
+        (F.col("label") == positive).cast("double").alias("y"), F.col("weight").alias("s"))
+    coefficients, passes = newton.fit(pack_rows(rows), size + 1, tol=tol, max_passes=max_passes)
     table = spark.createDataFrame(list(enumerate(coefficients[:-1].tolist())), "idx int, coefficient double")
     weights = cut_lineage(vocab.join(table, "idx").select("idx", "term", "idf", "coefficient"))
-    return TextClassifier(weights, float(coefficients[-1]), tuple(labels), positive)
+    return TextClassifier(weights, float(coefficients[-1]), tuple(labels), positive, passes)
 
 
 def margins(clf: TextClassifier, df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -109,6 +102,39 @@ def margins(clf: TextClassifier, df: DataFrame, text_col: str = "text") -> DataF
     return sums.select("row_id", (F.when(F.col("q") > 0, F.col("s") / F.sqrt("q")).otherwise(0.0) + F.lit(clf.intercept)).alias("margin"))
 
 
+_tables: dict[str, dict[str, tuple[float, float]]] = {}
+
+
+def margin_in_row(clf: TextClassifier, terms) -> Column:
+    """The margin of a row from its array of terms, without a join or an aggregation.
+
+    The weight table (bounded by the rows of the fit) is sent to the tasks once; each worker process
+    keeps it as a dictionary. For plans that cannot shuffle: streams and pipeline stages.
+    """
+    spark = clf.weights.sparkSession
+    sent = spark.sparkContext.broadcast(clf.weights.select("term", "idf", "coefficient").toArrow())
+    name, intercept = uuid.uuid4().hex, clf.intercept
+
+    def run(rows: pd.Series) -> pd.Series:
+        if name not in _tables:
+            _tables.clear()
+            t = sent.value
+            _tables[name] = dict(zip(t["term"].to_pylist(), zip(t["idf"].to_pylist(), t["coefficient"].to_pylist(), strict=True), strict=True))
+        table, out = _tables[name], []
+        for row in rows:
+            total = square = 0.0
+            for term, n in Counter(() if row is None else row).items():
+                if term in table:
+                    idf, coefficient = table[term]
+                    w = (1.0 + math.log(n)) * idf
+                    total += w * coefficient
+                    square += w * w
+            out.append((total / math.sqrt(square) if square else 0.0) + intercept)
+        return pd.Series(out, dtype="float64")
+
+    return F.pandas_udf(run, "double")(terms)
+
+
 def probability(margin) -> F.Column:
     """Logistic function in the form that does not overflow on either side."""
     e = F.exp(-F.abs(margin))
@@ -176,6 +202,11 @@ def load_model(spark: SparkSession, path: str) -> TextClassifier:
         meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
     except Exception as exc:  # noqa: BLE001
         raise ModelError(f"no readable model at {path}") from exc
+    return checked_model(weights, meta, path)
+
+
+def checked_model(weights: DataFrame, meta: dict, path: str) -> TextClassifier:
+    """A classifier from a stored table and record, or ``ModelError`` naming ``path``."""
     missing = {"idx", "term", "idf", "coefficient"} - set(weights.columns)
     if missing:
         raise ModelError(f"the weight table at {path} lacks {sorted(missing)}")

@@ -18,12 +18,14 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, LongType, StructField, StructType
 
 from msgsift.functions.text import ngram_range_terms, stopword_filter, with_token_runs, word_analyzer
 from msgsift.operators.quality import assign_row_id
+from msgsift.operators.row_blocks import Block, pack_rows, summed
 from msgsift.session import cut_lineage, scratch_path
 
 
@@ -157,15 +159,57 @@ def with_l2_normalized(df: DataFrame, col: str, out: str | None = None) -> DataF
     ).drop("_l2")
 
 
+def _gram_times(block: Block, out: list[np.ndarray], q: np.ndarray) -> None:
+    """Add X'(X q) of the block's rows."""
+    w = out[0].reshape(q.shape)
+    ends = np.cumsum(block.sizes)
+    for lo, hi in zip((ends - block.sizes).tolist(), ends.tolist(), strict=True):
+        if hi > lo:
+            i, x = block.indices[lo:hi], block.entries[lo:hi]
+            w[i] += np.outer(x, x @ q[i])
+
+
+def truncated_svd(blocks: DataFrame, d: int, k: int, *, oversample: int = 20, tol: float = 1e-11, max_passes: int = 60,
+                  seed: int = 42) -> tuple[np.ndarray, np.ndarray, int]:
+    """(V, singular values, passes): the ``k`` largest of the packed rows X with ``d`` columns.
+
+    A randomised range finder: a random d x (k + oversample) block is multiplied by X'X again and
+    again, one pass over the rows each, and the blocks so found are made orthonormal one after the
+    other. Each pass gives the Rayleigh-Ritz values of the space so far; it ends when the residuals
+    of the ``k`` largest vanish or nothing new is found. A task holds one such
+    block, the driver the few blocks and their products, never a d x d array.
+    """
+    width = min(k + oversample, d)
+    rng = np.random.default_rng(seed)
+    basis, images = np.zeros((d, 0)), np.zeros((d, 0))
+    q = np.linalg.qr(rng.standard_normal((d, width)))[0]
+    for passes in range(1, max_passes + 1):
+        image = summed(blocks, _gram_times, [q.size], q)[0].reshape(q.shape)
+        basis, images = np.hstack([basis, q]), np.hstack([images, image])
+        small = basis.T @ images
+        values, ritz = np.linalg.eigh((small + small.T) / 2)
+        values, ritz = values[::-1][:k], ritz[:, ::-1][:, :k]
+        residual = np.linalg.norm(images @ ritz - (basis @ ritz) * values, axis=0).max(initial=0.0)
+        if residual <= tol * max(values[0], 1e-300) or basis.shape[1] >= d:
+            break
+        # What the image adds to the space; twice, for orthogonality in floating point.
+        fresh = image - basis @ (basis.T @ image)
+        fresh -= basis @ (basis.T @ fresh)
+        u, size, _ = np.linalg.svd(fresh, full_matrices=False)
+        q = u[:, size > 1e-13 * max(values[0], 1e-300)][:, :d - basis.shape[1]]
+        if not q.shape[1]:
+            break
+        q = np.linalg.qr(q - basis @ (basis.T @ q))[0]
+    return basis @ ritz, np.sqrt(np.clip(values, 0.0, None)), passes
+
+
 def lsa_embed(df: DataFrame, *, dimensions: int = 100, max_features: int = 5000, min_df: int = 2,
               stopwords: Sequence[str] | None = None, text_col: str = "text") -> tuple[DataFrame, dict]:
     """Latent semantic embeddings: TF-IDF (stopwords removed, 1-2-grams, min_df,
     max_features) -> truncated SVD without centring -> X.V -> L2 normalise -> float32.
 
-    V comes from the eigenvectors of the d x d Gramian X'X, d bounded by ``max_features``. Each
-    task adds up the sparse outer products of its rows with numpy and emits its Gramian in bands
-    of columns, which are summed per band; the driver only solves the d x d eigenproblem. The
-    projection is a vectorised product per Arrow batch with V broadcast (d x k)."""
+    The SVD works on packed rows of all partitions (``truncated_svd``); the projection is a
+    vectorised product per Arrow batch with V broadcast (d x k)."""
     from pyspark.ml.feature import StopWordsRemover
 
     if dimensions < 2:
@@ -179,32 +223,9 @@ def lsa_embed(df: DataFrame, *, dimensions: int = 100, max_features: int = 5000,
     n = terms.count()
     k = int(min(dimensions, d - 1, n - 1))
     rows = cut_lineage(to_sparse_rows(tfidf_transform(terms, vocab, broadcast_vocab=True), d).select("row_id", "indices", "values"))
-    band = max(1, 250_000 // d)
-
-    def outer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g, some = np.zeros((d, d)), False
-        for pdf in batches:
-            for idx, vals in zip(pdf["indices"], pdf["values"], strict=True):
-                if len(idx):
-                    some = True
-                    g[np.ix_(idx, idx)] += np.outer(vals, vals)
-        for lo in range(0, d if some else 0, band):
-            yield pd.DataFrame({"lo": [lo], "part": [g[lo:lo + band].ravel()]})
-
-    def add(key, parts):
-        total = np.zeros(len(parts["part"].iloc[0]))
-        for p in parts["part"]:
-            total += p
-        return pd.DataFrame({"lo": [key[0]], "part": [total]})
-
-    bands = rows.coalesce(df.sparkSession.sparkContext.defaultParallelism).mapInPandas(outer, "lo long, part array<double>").groupBy("lo").applyInPandas(add, "lo long, part array<double>")
-    gram = np.zeros((d, d))
-    for r in bands.toLocalIterator():
-        gram[r["lo"]:r["lo"] + band] = np.asarray(r["part"]).reshape(-1, d)
-    evals, evecs = np.linalg.eigh(gram)
-    order = np.argsort(evals)[::-1][:k]
-    v = np.asarray(evecs[:, order], dtype=np.float64)  # d x k
-    sigma = np.sqrt(np.clip(evals[order], 0.0, None))
+    blocks = pack_rows(rows.select("indices", "values", F.lit(0.0).alias("y"), F.lit(0.0).alias("s"))).persist(StorageLevel.MEMORY_AND_DISK)
+    v, sigma, passes = truncated_svd(blocks, d, k)
+    blocks.unpersist()
     bv = df.sparkSession.sparkContext.broadcast(v)
 
     def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -220,7 +241,7 @@ def lsa_embed(df: DataFrame, *, dimensions: int = 100, max_features: int = 5000,
 
     schema = StructType([StructField("row_id", LongType()), StructField("embedding", ArrayType(FloatType()))])
     emb = rows.mapInPandas(project, schema)
-    meta = {"features": int(d), "components": k, "singular_values": sigma.tolist(), "rows": int(n)}
+    meta = {"features": int(d), "components": k, "singular_values": sigma.tolist(), "rows": int(n), "passes": passes}
     return emb, meta
 
 

@@ -440,6 +440,53 @@ def q_predict_confidence(spark, sf):
     return round_doubles(CL.predict_confidence(fixed_classifier(spark, sf), bench), 9)
 
 
+def _fitted(spark, sf):
+    """(the classifier fitted on the training side of the row split, the test side)."""
+    sp = split_messages(spark, sf, "row")
+    train = cut_lineage(sp.filter(F.col("split") == "train").select("row_id", "label", "text"))
+    return CL.fit_classifier(train), cut_lineage(sp.filter(F.col("split") == "test").select("row_id", "label", "text"))
+
+
+@register("fit_then_score")
+def q_fit_then_score(spark, sf):
+    """Fit on the training rows, score the test rows."""
+    clf, test = _fitted(spark, sf)
+    return CL.score_messages(clf, test).join(test.select("row_id", F.col("label").alias("true_label")), "row_id")
+
+
+@register("fit_then_predict")
+def q_fit_then_predict(spark, sf):
+    """Label and confidence of every benchmark text by the fitted classifier."""
+    clf, _ = _fitted(spark, sf)
+    bench = read_table(spark, sf, "benchmark").select(F.col("item_id").cast("long").alias("row_id"), "text")
+    return CL.predict_confidence(clf, bench)
+
+
+@register("fit_then_load")
+def q_fit_then_load(spark, sf):
+    """The classifier as an ML pipeline: fitted, saved, loaded again, and applied to the test rows."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from msgsift.operators.stage import TextClassifierStage
+    sp = split_messages(spark, sf, "row")
+    train = cut_lineage(sp.filter(F.col("split") == "train").select("row_id", "label", "text"))
+    path = scratch_path(spark, "pipeline-model")
+    Pipeline(stages=[TextClassifierStage()]).fit(train).save(path)
+    return PipelineModel.load(path).transform(sp.filter(F.col("split") == "test")).select(
+        "row_id", "predicted_label", "spam_probability", F.col("label").alias("true_label"))
+
+
+@register("fit_then_stream")
+def q_fit_then_stream(spark, sf):
+    """All documents arrive as a file stream and are scored by the fitted classifier."""
+    from msgsift.streaming.score import stream_score
+    clf, _ = _fitted(spark, sf)
+    base = scratch_path(spark, "fit-stream")
+    q = stream_score(clf, _text_stream(spark, sf, "documents", "doc_id", "doc-"), f"{base}/out", f"{base}/ck")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 @register("training_metadata")
 def q_training_metadata(spark, sf):
     return CL.training_metadata(split_messages(spark, sf, "row"))
@@ -607,26 +654,28 @@ def q_validate_requests(spark, sf):
                                           F.length("clean_text").cast("int").alias("n_chars"))
 
 
+def _text_stream(spark, sf, table, id_col, prefix):
+    """(request_id, text) of a table as a file stream."""
+    schema = read_table(spark, sf, table).schema
+    one = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    path = f"{sf.rstrip('/')}/{table}.parquet"
+    # A stream reads folders; a table that is one file is selected by its name.
+    src = one.parquet(path) if _is_folder(spark, path) else spark.readStream.schema(schema).option(
+        "pathGlobFilter", f"{table}.parquet").parquet(sf)
+    return src.select(F.concat(F.lit(prefix), F.col(id_col).cast("string")).alias("request_id"), "text")
+
+
 @register("stream_score")
 def q_stream_score(spark, sf):
-    """All `benchmark` and `documents` texts arrive as file streams, are scored per micro-batch
+    """All `benchmark` and `documents` texts arrive as file streams, are scored in their rows
     with given weights and read back from the sink; equals batch scoring."""
     from msgsift.streaming.score import stream_score
 
-    def source(table, id_col, prefix):
-        schema = read_table(spark, sf, table).schema
-        one = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-        path = f"{sf.rstrip('/')}/{table}.parquet"
-        # A stream reads folders; a table that is one file is selected by its name.
-        src = one.parquet(path) if _is_folder(spark, path) else spark.readStream.schema(schema).option(
-            "pathGlobFilter", f"{table}.parquet").parquet(sf)
-        return src.select(F.concat(F.lit(prefix), F.col(id_col).cast("string")).alias("request_id"), "text")
-
-    stream = source("benchmark", "item_id", "item-").unionByName(source("documents", "doc_id", "doc-"))
+    stream = _text_stream(spark, sf, "benchmark", "item_id", "item-").unionByName(_text_stream(spark, sf, "documents", "doc_id", "doc-"))
     base = scratch_path(spark, "score")
     q = stream_score(fixed_classifier(spark, sf), stream, f"{base}/out", f"{base}/ck")
     q.awaitTermination()
-    return round_doubles(spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out").drop("epoch_id"), 9)
+    return round_doubles(spark.read.parquet(f"{base}/out"), 9)
 
 
 # -- §2.8 report-ready selections --------------------------------------------------------------

@@ -8,7 +8,11 @@ from msgsift.operators import classify as CL
 from msgsift.operators import features as FT
 from msgsift.operators import quality as Q
 from msgsift.sources.delimited import read_messages, resolve_columns
-from msgsift.streaming.score import score_batch, stream_score
+from msgsift.operators.stage import TextClassifierStage, TextScorer
+from msgsift.plans import queries
+from msgsift.sources.tables import read_table
+from msgsift.streaming.score import score_requests, stream_score
+from tests.conftest import SF
 
 
 def _write(path, text):
@@ -128,23 +132,142 @@ def test_model_round_trip_and_failures(spark, tmpdir_path):
         CL.load_model(spark, path)
 
 
+def _exact_model(spark, train):
+    """(terms -> index, idf, weights with the intercept last) by dense Newton steps in numpy."""
+    terms = [(r.row_id, r.label, r.terms) for r in FT.with_terms(train).select("row_id", "label", "terms").collect()]
+    n, df = len(terms), {}
+    for _, _, t in terms:
+        for x in set(t):
+            df[x] = df.get(x, 0) + 1
+    index = {t: i for i, t in enumerate(sorted(t for t, c in df.items() if c >= 2))}
+    idf = np.array([np.log((1 + n) / (1 + df[t])) + 1 for t in index])
+    x = np.array([_row(t, index, idf) for _, _, t in terms])
+    y = np.array([lab == "spam" for _, lab, _ in terms], float)
+    w = np.where(y > 0, n / (2 * y.sum()), n / (2 * (n - y.sum())))
+    # The dual form keeps the system as small as the number of rows.
+    xb = np.hstack([x, np.ones((n, 1))])
+    gram, m = xb @ xb.T, np.zeros(n)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-m))
+        d = w * p * (1 - p)
+        a = np.linalg.solve(np.eye(n) + d[:, None] * gram, d * m - w * (p - y))
+        new = gram @ a
+        if np.abs(new - m).max() < 1e-12:
+            return index, idf, xb.T @ a
+        m = new
+    raise AssertionError
+
+
+def _row(terms, index, idf):
+    v = np.zeros(len(index))
+    for t in terms:
+        if t in index:
+            v[index[t]] += 1
+    v = np.where(v > 0, 1 + np.log(np.where(v > 0, v, 1)), 0) * idf
+    return v / (np.linalg.norm(v) or 1.0)
+
+
+def test_fitted_queries_equal_numpy(spark):
+    """Fit-then-score, -predict, -load and -stream against margins of exact weights."""
+    sp = queries.split_messages(spark, SF, "row")
+    index, idf, b = _exact_model(spark, sp.where("split = 'train'").select("row_id", "label", "text"))
+
+    def margins(df):
+        rows = FT.with_terms(df).collect()
+        return {r[0]: float(_row(r.terms, index, idf) @ b[:-1] + b[-1]) for r in rows}
+
+    test = margins(sp.where("split = 'test'").select("row_id", "text"))
+    for name in ("fit_then_score", "fit_then_load"):
+        got = queries.QUERIES[name](spark, SF).collect()
+        assert sorted(r.row_id for r in got) == sorted(test) and {r.true_label for r in got} == {"ham", "spam"}
+        assert all(abs(r.spam_probability - 1 / (1 + np.exp(-test[r.row_id]))) < 1e-6 for r in got)
+        assert all(r.predicted_label == ("spam" if test[r.row_id] > 0 else "ham") for r in got)
+    bench = margins(read_table(spark, SF, "benchmark").select(F.col("item_id").alias("row_id"), "text"))
+    got = queries.QUERIES["fit_then_predict"](spark, SF).collect()
+    assert len(got) == len(bench)
+    assert all(abs(r.confidence - 1 / (1 + np.exp(-abs(bench[r.row_id])))) < 1e-6 for r in got)
+    docs = margins(read_table(spark, SF, "documents").select(F.concat(F.lit("doc-"), "doc_id").alias("row_id"), "text"))
+    got = queries.QUERIES["fit_then_stream"](spark, SF).collect()
+    assert sorted(r.request_id for r in got) == sorted(docs)
+    assert all(abs(r.confidence - 1 / (1 + np.exp(-abs(docs[r.request_id])))) < 1e-6 for r in got if r.accepted)
+    assert sum(r.accepted for r in got) > len(got) / 2
+
+
+def test_fit_needs_few_passes(spark):
+    train = queries.split_messages(spark, "/root/testdata/sf0.01", "row").where("split = 'train'").select("row_id", "label", "text")
+    clf = CL.fit_classifier(train)
+    assert clf.passes < 60 and clf.weights.count() > 10_000
+
+
+def test_pipeline_stage_round_trip_and_damage(spark, tmpdir_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    model = Pipeline(stages=[TextClassifierStage(predictionCol="said", minDF=1)]).fit(spark.createDataFrame(TRAIN, SCHEMA))
+    path = os.path.join(tmpdir_path, "pipe")
+    model.save(path)
+    new = spark.createDataFrame([(1, "free prize"), (2, "see you"), (3, None), (4, "")], "row_id long, text string")
+    other = spark.newSession()
+    back = PipelineModel.load(path)
+    want = model.transform(new).orderBy("row_id").collect()
+    assert back.transform(other.createDataFrame(new.collect(), new.schema)).orderBy("row_id").collect() == want
+    assert [r.said for r in want][:2] == ["spam", "ham"] and want[0].asDict().keys() == {"row_id", "text", "spam_probability", "said"}
+    clf = model.stages[0].classifier
+    for k, broken in enumerate((clf.weights.drop("idf"), clf.weights.where("false"), clf.weights.union(clf.weights),
+                                clf.weights.withColumn("coefficient", F.lit(None).cast("double")))):
+        TextScorer(CL.TextClassifier(broken, 0.0)).save(f"{tmpdir_path}/bad{k}")
+        with pytest.raises(CL.ModelError):
+            TextScorer.load(f"{tmpdir_path}/bad{k}")
+    TextScorer(CL.TextClassifier(clf.weights, 0.0, ("ham",))).save(f"{tmpdir_path}/bad9")
+    for damaged in (f"{tmpdir_path}/bad9", f"{tmpdir_path}/none"):
+        with pytest.raises(CL.ModelError):
+            TextScorer.load(damaged)
+
+
+REQUESTS = [("x", "free prize"), ("x", "see you"), (None, "free prize"), (None, "free prize"), ("bad id!", "home"), ("y", " "), ("z", "later"),
+            ("x", "free prize")]
+REQUEST_SCHEMA = "request_id string, text string"
+
+
+def _facts(df):
+    return sorted((r.request_id if not r.request_id.startswith("gen-") else "gen", r.accepted, r.reject_reason, str(r.label), r.confidence and round(r.confidence, 9))
+                  for r in df.collect())
+
+
 def test_stream_equals_batch_with_repeated_and_missing_ids(spark, tmpdir_path):
     clf = CL.fit_classifier(spark.createDataFrame(TRAIN, SCHEMA))
-    rows = [("x", "free prize"), ("x", "see you"), (None, "free prize"), (None, "free prize"), ("bad id!", "home"), ("y", " "), ("z", "later"), ("x", "free prize")]
-    schema = "request_id string, text string"
     for k in range(3):
-        spark.createDataFrame(rows[k::3], schema).coalesce(1).write.mode("append").json(f"{tmpdir_path}/in")
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{tmpdir_path}/in")
+        spark.createDataFrame(REQUESTS[k::3], REQUEST_SCHEMA).coalesce(1).write.mode("append").json(f"{tmpdir_path}/in")
+    src = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{tmpdir_path}/in")
     q = stream_score(clf, src, f"{tmpdir_path}/out", f"{tmpdir_path}/ck")
     q.awaitTermination()
     got = spark.read.parquet(f"{tmpdir_path}/out")
-    assert got.select("epoch_id").distinct().count() == 3
+    assert len([f for f in os.listdir(f"{tmpdir_path}/ck/commits") if f.isdigit()]) == 3
+    batch = score_requests(clf, spark.createDataFrame(REQUESTS, REQUEST_SCHEMA))
+    assert _facts(got) == _facts(batch) and len(_facts(got)) == len(REQUESTS)
+    # The join with the weight table, used on batches, gives the same.
+    texts = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(REQUESTS) if t.strip()], "row_id long, text string")
+    joined = sorted(round(max(r.spam_probability, 1 - r.spam_probability), 9) for r in CL.score_messages(clf, texts).collect())
+    assert joined == sorted(r[4] for r in _facts(batch) if r[1])
+    ids = [r.request_id for r in got.collect() if r.request_id.startswith("gen-")]
+    assert len(ids) == len(set(ids)) == 3
+    plan = score_requests(clf, spark.createDataFrame(REQUESTS, REQUEST_SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
-    def facts(df):
-        return sorted((r.request_id if not r.request_id.startswith("gen-") else "gen", r.accepted, r.reject_reason, r.label, r.confidence and round(r.confidence, 9))
-                      for r in df.collect())
 
-    batch = score_batch(clf, spark.createDataFrame(rows, schema))
-    assert facts(got) == facts(batch) and len(facts(got)) == len(rows)
-    ids = [r.request_id for r in batch.collect() if r.request_id.startswith("gen-")]
-    assert len(ids) == len(set(ids)) == 3
+def test_a_restarted_stream_loses_and_repeats_nothing(spark, tmpdir_path):
+    """The query dies after the sink took a micro-batch and before it was logged as done."""
+    clf = CL.fit_classifier(spark.createDataFrame(TRAIN, SCHEMA))
+
+    def run():
+        src = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{tmpdir_path}/in")
+        stream_score(clf, src, f"{tmpdir_path}/out", f"{tmpdir_path}/ck").awaitTermination()
+
+    for k in range(2):
+        spark.createDataFrame(REQUESTS[k::3], REQUEST_SCHEMA).coalesce(1).write.mode("append").json(f"{tmpdir_path}/in")
+    run()
+    for name in ("1", ".1.crc"):
+        if os.path.exists(f"{tmpdir_path}/ck/commits/{name}"):
+            os.remove(f"{tmpdir_path}/ck/commits/{name}")
+    spark.createDataFrame(REQUESTS[2::3], REQUEST_SCHEMA).coalesce(1).write.mode("append").json(f"{tmpdir_path}/in")
+    run()
+    batch = score_requests(clf, spark.createDataFrame(REQUESTS, REQUEST_SCHEMA))
+    assert _facts(spark.read.parquet(f"{tmpdir_path}/out")) == _facts(batch)
