@@ -6,13 +6,15 @@ from msgsift.functions.text import (
     TOKEN_PATTERN,
     WORD_PATTERN,
     filter_tokens,
+    counted,
     make_ngrams,
     ngram_range_terms,
+    occurrences,
+    row_counts,
     normalize_text,
     stopword_filter,
     strip_accents,
     strip_ws,
-    with_token_runs,
     tokenize,
     word_analyzer,
 )
@@ -23,14 +25,16 @@ __all__ = [
     "TOKEN_PATTERN",
     "WORD_PATTERN",
     "filter_tokens",
+    "counted",
     "make_ngrams",
     "ngram_range_terms",
+    "occurrences",
+    "row_counts",
     "normalize_label",
     "normalize_text",
     "stopword_filter",
     "strip_accents",
     "strip_ws",
-    "with_token_runs",
     "tokenize",
     "word_analyzer",
 ]

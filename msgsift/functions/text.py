@@ -76,7 +76,7 @@ def filter_tokens(
 ) -> Column:
     """Drop short tokens, then all-digit tokens, then stopwords (in that order)."""
     if min_token_length < 1:
-        raise ValueError("min_token_length must be at least 1")
+        raise ValueError(f"min_token_length is {min_token_length}; tokens have 1 or more characters")
     stop = sorted({w.lower() for w in stopwords}) if remove_stopwords else []
     stop_arr = F.array(*[F.lit(w) for w in stop]).cast("array<string>") if stop else None
 
@@ -106,7 +106,7 @@ def tokenize(
     separators, exactly as in the analysed pipeline.
     """
     if min_token_length < 1:
-        raise ValueError("min_token_length must be at least 1")
+        raise ValueError(f"min_token_length is {min_token_length}; tokens have 1 or more characters")
     # Stripping surrounding whitespace cannot change which tokens match, so the
     # tokenizer skips the strip pass (one regex scan per message instead of two).
     text = F.coalesce(_col(c).cast("string"), F.lit(""))
@@ -132,15 +132,14 @@ def stopword_filter(tokens: Column | str, stopwords: Iterable[str] = DEFAULT_STO
 def make_ngrams(tokens: Column | str, n: int) -> Column:
     """Space-joined contiguous n-grams; fewer than n tokens -> empty array."""
     if n < 1:
-        raise ValueError("n must be at least 1")
+        raise ValueError(f"n is {n}; an n-gram has 1 or more tokens")
     t = _col(tokens)
-    if n == 1:
-        return t
-    grams = F.transform(
-        F.sequence(F.lit(1), F.size(t) - F.lit(n - 1)),
-        lambda i: F.array_join(F.slice(t, i, n), " "),
-    )
-    return F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>"))
+    grams = t
+    for k in range(2, n + 1):
+        # A k-gram is a (k-1)-gram and the token k - 1 places after its first.
+        left = F.size(t) - F.lit(k - 1)
+        grams = F.zip_with(F.slice(grams, 1, left), F.slice(t, k, left), lambda a, b: F.concat_ws(" ", a, b))
+    return t if n == 1 else F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
 def _strip_accents_py(s: str | None) -> str | None:
@@ -182,41 +181,32 @@ def ngram_range_terms(
     return F.concat(*parts) if len(parts) > 1 else t
 
 
-def with_token_runs(df: DataFrame, tokens_col: str, out: str = "runs") -> DataFrame:
-    """Add per-row term frequencies without a shuffle.
-
-    ``out`` is ``array<struct<token, tf, first_pos>>`` with one entry per distinct
-    token of the row: the row's (token, position) pairs are sorted inside the row
-    and run-length encoded. ``first_pos`` is the 1-based first position. This is the
-    map-side pre-aggregation every corpus statistic starts from.
+def occurrences(df: DataFrame, arrays: dict[int, str], keys: Iterable[str] = ()) -> DataFrame:
+    """(row_id, *keys, n, one, pos, token): the elements of the array columns ``arrays`` (by their tag n).
 
-    The sorted array and the run starts are materialised as their own columns so
-    that lambdas only ever reference a column (a lambda that references an
-    expression re-evaluates it per element).
+    Every element is a row with ``one`` = 1; every different element of a row is once more a row with
+    ``one`` = 0, in order of first occurrence. So counts, row counts and first positions come from one
+    ``groupBy(token)`` over primitive columns (a hash aggregate with map-side combine), and nothing
+    is shuffled per (row, token).
     """
-    s, st = f"_{out}_sorted", f"_{out}_starts"
-    df = df.withColumn(
-        s, F.sort_array(F.transform(F.col(tokens_col), lambda x, i: F.struct(x.alias("token"), (i + 1).alias("pos"))))
-    )
-    sc = F.col(s)
-    n = F.size(sc)
-    df = df.withColumn(
-        st,
-        F.filter(
-            F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-            lambda i: (i <= n)
-            & F.when(i == 1, F.lit(True)).otherwise(
-                F.element_at(sc, i)["token"] != F.element_at(sc, F.greatest(i - 1, F.lit(1)))["token"]
-            ),
-        ),
-    )
-    stc = F.col(st)
-    runs = F.transform(
-        stc,
-        lambda p, k: F.struct(
-            F.element_at(sc, p)["token"].alias("token"),
-            (F.coalesce(F.try_element_at(stc, k + 2), n + 1) - p).cast("long").alias("tf"),
-            F.element_at(sc, p)["pos"].alias("first_pos"),
-        ),
-    )
-    return df.withColumn(out, runs).drop(s, st)
+    kinds = [F.struct(F.lit(n).alias("n"), F.lit(one).alias("one"), (F.col(c) if one else F.array_distinct(c)).alias("a"))
+             for n, c in arrays.items() for one in (1, 0)]
+    # explode_outer: the optimizer would infer a filter on the size of the arrays from explode and
+    # compute them once more for it.
+    flat = df.select("row_id", *keys, F.explode_outer(F.array(*kinds)).alias("k"))
+    return flat.select("row_id", *keys, "k.n", "k.one", F.posexplode("k.a").alias("pos", "token"))
+
+
+def counted(rows: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """(*keys, count, document_count, first_seen) of ``occurrences``; row ids are unique, and
+    ``first_seen`` orders by row and by place among the row's different elements."""
+    row = F.when(F.col("one") == 0, F.col("row_id"))
+    stats = rows.groupBy(*keys).agg(F.sum("one").alias("count"), F.count(row).alias("document_count"),
+                                    F.min(row).alias("_row"), F.min_by("pos", row).alias("_pos"))
+    return stats.select(*keys, "count", "document_count", F.struct(F.col("_row").alias("row_id"), F.col("_pos").alias("pos")).alias("first_seen"))
+
+
+def row_counts(df: DataFrame, terms_col: str, keys: Iterable[str] = ()) -> DataFrame:
+    """(row_id, *keys, term, tf) of each row's different terms; a row without terms keeps a null one."""
+    each = df.select("row_id", *keys, F.explode_outer(terms_col).alias("term"))
+    return each.groupBy("row_id", *keys, "term").agg(F.count("term").alias("tf"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgsift.functions.labels import DEFAULT_LABELS
-from msgsift.functions.text import strip_ws, with_token_runs
+from msgsift.functions.text import row_counts, strip_ws
 from msgsift.operators import newton
 from msgsift.operators.features import build_vocabulary, tfidf_transform, to_sparse_rows, with_terms
 from msgsift.operators.row_blocks import pack_rows
@@ -93,9 +93,7 @@ def margins(clf: TextClassifier, df: DataFrame, text_col: str = "text") -> DataF
     Rows without a known term keep the intercept as their margin.
     """
     terms = with_terms(df.select("row_id", F.col(text_col).alias("text")))
-    runs = with_token_runs(terms.select("row_id", "terms"), "terms", "_runs")
-    tf = runs.select("row_id", F.explode_outer("_runs").alias("r")).select(
-        "row_id", F.col("r.token").alias("term"), F.col("r.tf").alias("tf"))
+    tf = row_counts(terms, "terms")
     w = (1 + F.log("tf")) * F.col("idf")
     known = tf.join(clf.weights.select(F.col("term").alias("_t"), "idf", "coefficient"), F.col("term") == F.col("_t"), "left")
     sums = known.groupBy("row_id").agg(F.sum(w * F.col("coefficient")).alias("s"), F.sum(w * w).alias("q"))

@@ -3,16 +3,14 @@
 Plan shape shared by every operator here:
 
 1. tokenize (narrow projection, regex in the JVM),
-2. pre-aggregate *inside each row* with :func:`token_runs` (sort + run-length
-   encode the row's tokens) -> one entry per (row, token) with tf and first
-   position, no shuffle,
-3. explode and ``groupBy(token)``: partial aggregation on the map side, so even a
-   token present in every message costs one row per map partition in the shuffle,
-4. corpus totals as scalar subqueries (computed once, shared exchange), per-label
-   totals as a join against a table bounded by the number of labels.
-
-"First seen" tie-breaks use ``min(struct(row_id, first_pos))``: corpus order is
-row order, i.e. ascending ``row_id``.
+2. explode every token, and every different token of a row once more, and ``groupBy(token)``
+   over primitive columns: partial aggregation on the map side, so even a token present in
+   every message costs one row per map partition in the shuffle,
+3. corpus totals as scalar subqueries (computed once, shared exchange), per-label
+   totals as a join against a table bounded by the number of wanted labels.
+
+"First seen" tie-breaks use (row_id, place in the row): corpus order is row order, i.e.
+ascending ``row_id``.
 """
 
 from __future__ import annotations
@@ -23,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgsift.functions.labels import DEFAULT_LABELS
-from msgsift.functions.text import make_ngrams, tokenize, with_token_runs
+from msgsift.functions.text import counted, make_ngrams, occurrences, tokenize
 from msgsift.operators._util import label_order, pct, top_n_ranked
 
 
@@ -37,41 +35,28 @@ def with_tokens(messages: DataFrame, *, text_col: str = "text", out: str = "toke
 
 
 def require_tokens(df: DataFrame, labels: Sequence[str] = (), tokens_col: str = "tokens") -> None:
-    """Raise unless the corpus, and each of ``labels``, has a token (one aggregate)."""
-    some = df.agg(F.coalesce(F.max(F.size(tokens_col) > 0), F.lit(False)).alias("any"), *[
-        F.coalesce(F.max((F.col("label") == lab) & (F.size(tokens_col) > 0)), F.lit(False)).alias(f"l{i}") for i, lab in enumerate(labels)]).first()
-    if not some["any"]:
+    """Raise unless the corpus, and each of ``labels``, has a token. Reads up to the first one only."""
+    some = df.where(F.size(tokens_col) > 0)
+    empty = [lab for lab in labels if some.where(F.col("label") == lab).isEmpty()]
+    if len(empty) == len(labels) and some.isEmpty():
         raise TextAnalysisError("the messages hold no token")
-    empty = [lab for i, lab in enumerate(labels) if not some[f"l{i}"]]
     if empty:
         raise TextAnalysisError(f"no token in messages labelled {empty}")
 
 
-def exploded_runs(df: DataFrame, tokens_col: str = "tokens", keys: Sequence[str] = ()) -> DataFrame:
-    """(row_id, *keys, token, tf, first_pos) with one row per distinct token of a row."""
-    base = with_token_runs(df.select("row_id", *keys, tokens_col), tokens_col, "_runs")
-    # explode_outer + null filter: plain explode makes the optimizer infer a
-    # size(_runs) > 0 filter and push it below the projections, which would inline
-    # the sort into every lambda call.
-    return (
-        base.select("row_id", *keys, F.explode_outer("_runs").alias("r"))
-        .filter(F.col("r").isNotNull())
-        .select("row_id", *keys, "r.token", "r.tf", "r.first_pos")
-    )
+def exploded_tokens(df: DataFrame, tokens_col: str = "tokens", keys: Sequence[str] = ()) -> DataFrame:
+    """(*keys, token): one row per token."""
+    return df.select(*keys, F.explode_outer(tokens_col).alias("token")).where(F.col("token").isNotNull())
 
 
 def token_statistics(df: DataFrame, tokens_col: str = "tokens", keys: Sequence[str] = ()) -> DataFrame:
     """(*keys, token, count, document_count, first_seen) over all rows."""
-    return exploded_runs(df, tokens_col, keys).groupBy(*keys, "token").agg(
-        F.sum("tf").alias("count"),
-        F.count(F.lit(1)).alias("document_count"),
-        F.min(F.struct("row_id", "first_pos")).alias("first_seen"),
-    )
+    return counted(occurrences(df, {1: tokens_col}, keys), [*keys, "token"])
 
 
 def corpus_stats(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """One row: total_messages, messages_with_tokens, total_tokens, unique_tokens."""
-    unique = token_statistics(df, tokens_col).select(F.count(F.lit(1))).scalar()
+    unique = exploded_tokens(df, tokens_col).distinct().select(F.count(F.lit(1))).scalar()
     return df.agg(
         F.count(F.lit(1)).alias("total_messages"),
         F.count_if(F.size(tokens_col) > 0).alias("messages_with_tokens"),
@@ -129,8 +114,9 @@ def vocabulary_by_label(
     Ordered by label (given order), count desc, first occurrence within the label.
     The per-label totals table has one row per label (bounded) and is broadcast.
     """
-    stats = token_statistics(df.filter(F.col("label").isin(list(labels))), tokens_col, keys=["label"])
-    totals = label_token_totals(df, tokens_col)
+    wanted = df.filter(F.col("label").isin(list(labels)))
+    stats = token_statistics(wanted, tokens_col, keys=["label"])
+    totals = label_token_totals(wanted, tokens_col)
     out = stats.join(F.broadcast(totals), "label").select(
         "label",
         "token",
@@ -148,7 +134,7 @@ def vocabulary_overlap(
 ) -> DataFrame:
     """One row: size of the union and of the intersection of the label vocabularies."""
     a, b = labels[0], labels[1]
-    per_token = exploded_runs(df, tokens_col, keys=["label"]).groupBy("token").agg(
+    per_token = exploded_tokens(df, tokens_col, keys=["label"]).groupBy("token").agg(
         F.max((F.col("label") == a).cast("int")).alias("in_a"),
         F.max((F.col("label") == b).cast("int")).alias("in_b"),
     )
@@ -182,12 +168,9 @@ def term_scores(
     p, n = positive, negative
     require_tokens(df, (p, n), tokens_col)
     per_token = (
-        exploded_runs(df.filter(F.col("label").isin(p, n)), tokens_col, keys=["label"])
+        exploded_tokens(df.filter(F.col("label").isin(p, n)), tokens_col, keys=["label"])
         .groupBy("token")
-        .agg(
-            F.sum(F.when(F.col("label") == p, F.col("tf")).otherwise(0)).cast("long").alias(f"{p}_count"),
-            F.sum(F.when(F.col("label") == n, F.col("tf")).otherwise(0)).cast("long").alias(f"{n}_count"),
-        )
+        .agg(F.count_if(F.col("label") == p).alias(f"{p}_count"), F.count_if(F.col("label") == n).alias(f"{n}_count"))
     )
     tot = per_token.select(F.struct(
         F.count(F.lit(1)).cast("double").alias("v"),
@@ -248,20 +231,9 @@ def frequent_ngrams(
         raise TextAnalysisError(f"min_count is {min_count}; it counts occurrences from 1")
     base = df.select("row_id", tokens_col)
     for n in sizes:
-        base = with_token_runs(base.withColumn(f"_g{n}", make_ngrams(F.col(tokens_col), n)), f"_g{n}", f"_r{n}")
-    def tag(n: int):
-        # one-argument lambda: Spark treats a second parameter as the element index
-        return F.transform(F.col(f"_r{n}"), lambda r: r.withField("n", F.lit(n)))
-
-    tagged = F.concat(*[tag(n) for n in sizes])
-    runs = base.select("row_id", F.explode_outer(tagged).alias("r")).filter(F.col("r").isNotNull()).select(
-        "row_id", "r.n", F.col("r.token").alias("ngram"), "r.tf", "r.first_pos"
-    )
-    stats = runs.groupBy("n", "ngram").agg(
-        F.sum("tf").alias("count"),
-        F.count(F.lit(1)).alias("document_count"),
-        F.min(F.struct("row_id", "first_pos")).alias("first_seen"),
-    )
+        base = base.withColumn(f"_g{n}", make_ngrams(F.col(tokens_col), n))
+    grams = occurrences(base, {n: f"_g{n}" for n in sizes}).withColumnRenamed("token", "ngram")
+    stats = counted(grams, ["n", "ngram"])
     # A row of k tokens has k - n + 1 n-grams, so totals need no n-gram at all.
     totals = df.agg(F.count(F.lit(1)).alias("messages"), *[
         F.coalesce(F.sum(F.greatest(F.size(tokens_col) - F.lit(n - 1), F.lit(0))), F.lit(0)).alias(f"t{n}") for n in sizes]).first()

@@ -3,7 +3,7 @@ external embeddings.
 
 TF-IDF is computed in long form ``(row_id, idx, term, weight)``:
 
-* term frequencies come from the per-row run-length encoding (no shuffle),
+* term frequencies are counts by (row, term),
 * the vocabulary is ``groupBy(term)`` with partial aggregation (document
   frequency, total term frequency), filtered by ``min_df`` and optionally cut to the
   ``max_features`` most frequent terms (a bounded table, then broadcast),
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, LongType, StructField, StructType
 
-from msgsift.functions.text import ngram_range_terms, stopword_filter, with_token_runs, word_analyzer
+from msgsift.functions.text import counted, ngram_range_terms, occurrences, row_counts, stopword_filter, word_analyzer
 from msgsift.operators.quality import assign_row_id
 from msgsift.operators.row_blocks import Block, pack_rows, summed
 from msgsift.session import cut_lineage, scratch_path
@@ -45,24 +45,14 @@ def with_terms(df: DataFrame, *, text_col: str = "text", out: str = "terms", max
     return df.withColumn(out, ngram_range_terms(F.col(tmp), max_n=max_n)).drop(tmp)
 
 
-def term_frequencies(df: DataFrame, terms_col: str = "terms") -> DataFrame:
-    """(row_id, term, tf) - one row per distinct term of a row, built without a shuffle."""
-    base = with_token_runs(df.select("row_id", terms_col), terms_col, "_runs")
-    return (
-        base.select("row_id", F.explode_outer("_runs").alias("r"))
-        .filter(F.col("r").isNotNull())
-        .select("row_id", F.col("r.token").alias("term"), F.col("r.tf").alias("tf"))
-    )
-
-
 def build_vocabulary(df: DataFrame, *, terms_col: str = "terms", min_df: int = 2,
                      max_features: int | None = None) -> DataFrame:
     """(idx, term, df, tf_total, idf, n_docs): terms with document frequency >= min_df,
     optionally the max_features with the largest total term frequency (ties by term);
     indices follow term order. idf = ln((1+n)/(1+df)) + 1."""
-    tf = term_frequencies(df, terms_col)
     n_docs = df.select(F.count(F.lit(1))).scalar()
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf_total"))
+    stats = counted(occurrences(df, {1: terms_col}), ["token"]).select(
+        F.col("token").alias("term"), F.col("document_count").alias("df"), F.col("count").alias("tf_total"))
     stats = stats.filter(F.col("df") >= min_df)
     if max_features is not None:
         stats = stats.orderBy(F.desc("tf_total"), F.asc("term")).limit(max_features)
@@ -81,12 +71,10 @@ def tfidf_transform(df: DataFrame, vocab: DataFrame, *, terms_col: str = "terms"
     fitted vocabulary. Unknown terms are dropped; rows without a known term keep one
     row with null idx/weight so zero vectors survive (use ``to_sparse_rows``).
 
-    One pass over the text and one shuffle by row: the norm is a window over the row's own
+    One pass over the text: the norm is a window over the row's own
     entries (a group bounded by one message), and a row's best-ranked entry without a known
     term is the placeholder of a zero vector."""
-    base = with_token_runs(df.select("row_id", terms_col), terms_col, "_runs")
-    tf = base.select("row_id", F.explode_outer("_runs").alias("r")).select(
-        "row_id", F.col("r.token").alias("term"), F.col("r.tf").alias("tf"))
+    tf = row_counts(df, terms_col)
     v = vocab.select(F.col("term").alias("_vt"), "idx", "idf")
     v = F.broadcast(v) if broadcast_vocab else v
     w = tf.join(v, F.col("term") == F.col("_vt"), "left").select(

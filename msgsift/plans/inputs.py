@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from msgsift.functions.text import row_counts
 from msgsift.operators import corpus as C
 from msgsift.operators import splits as S
 from msgsift.operators._util import round_half_up
@@ -34,7 +35,7 @@ def ratio_predictions(split_df: DataFrame) -> DataFrame:
     train, test = tok.filter(F.col("split") == "train"), tok.filter(F.col("split") == "test")
     ratios = C.term_scores(train).select("token", F.col("log_rate_ratio_spam_vs_ham").alias("ratio"))
     per_row = (
-        C.exploded_runs(test)
+        row_counts(test, "tokens").withColumnRenamed("term", "token")
         .join(ratios, "token", "left")
         .groupBy("row_id")
         .agg(F.sum(F.col("tf") * F.coalesce(F.col("ratio"), F.lit(0.0))).alias("s"))
