@@ -63,11 +63,24 @@ cov AS (
   SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(pos, pos + n)) AS p FROM hits) GROUP BY k),
 its AS (
   SELECT k, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
-  FROM (SELECT DISTINCT k, item_id::VARCHAR AS i FROM hits WHERE item_id IS NOT NULL) GROUP BY k)
+  FROM (SELECT DISTINCT k, item_id::VARCHAR AS i FROM hits WHERE item_id IS NOT NULL) GROUP BY k),
+near_sets AS (SELECT DISTINCT item_id, list_sort(list_distinct(list_slice(w, s, s + n - 1))) AS words FROM ws),
+sets AS (SELECT words, row_number() OVER () AS sid FROM (SELECT DISTINCT words FROM near_sets)),
+freq AS (SELECT t, count(*) AS f FROM flat GROUP BY t),
+rare AS (
+  SELECT sid, arg_min(u.t, coalesce(f, 0)) AS t
+  FROM (SELECT sid, unnest(words) AS t FROM sets) u LEFT JOIN freq ON freq.t = u.t GROUP BY sid),
+tries AS (
+  SELECT flat.k, r.sid, unnest(range(greatest(flat.pos - 19, 1), flat.pos + 1)) AS s FROM flat JOIN rare r ON flat.t = r.t),
+close AS (
+  SELECT DISTINCT tr.k, tr.sid FROM tries tr JOIN dw ON dw.k = tr.k JOIN sets ON sets.sid = tr.sid
+  WHERE list_has_all(list_slice(dw.w, tr.s, tr.s + 19), sets.words)),
+nears AS (
+  SELECT c.k, count(DISTINCT n.item_id) AS n_near FROM close c JOIN sets USING (sid) JOIN near_sets n ON n.words = sets.words GROUP BY c.k)
 SELECT dw.doc_id, len(dw.w)::BIGINT AS n_words, coalesce(cov.n_hit, 0)::BIGINT AS n_hit,
        coalesce(its.n_items, 0)::BIGINT AS n_items, sha256(coalesce(its.ids, '')) AS items_sha256,
-       coalesce(cov.n_hit, 0) > 0 AS contaminated
-FROM dw LEFT JOIN cov ON dw.k = cov.k LEFT JOIN its ON dw.k = its.k
+       coalesce(cov.n_hit, 0) > 0 AS contaminated, coalesce(nears.n_near, 0)::BIGINT AS n_near
+FROM dw LEFT JOIN cov ON dw.k = cov.k LEFT JOIN its ON dw.k = its.k LEFT JOIN nears ON dw.k = nears.k
 """
 
 ORACLES["op9_mixing"] = r"""
