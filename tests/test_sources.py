@@ -122,3 +122,47 @@ def test_numbers_follow_the_file(spark, tmpdir_path):
     raw = _file(tmpdir_path, "many.tsv", "".join(f"{'ham' if i % 2 else 'spam'}\ttext {i:04d}\n" for i in range(500)))
     out, _ = validate_dataset(spark, raw, f"{tmpdir_path}/many")
     assert out.where(F.col("text") != F.concat(F.lit("text "), F.lpad((F.col("row_id") - 1).cast("string"), 4, "0"))).count() == 0
+
+
+def _messy(n, seed, sep=",", end="\n"):
+    """Records with quotes, doubled quotes, delimiters and line breaks in fields, and stray quotes in plain ones."""
+    import random
+    rng = random.Random(seed)
+    parts = ["free", "prize", '""', sep, "\n", "\n\n", end, "é", "漢字", " ", "it's", '""x""']
+    rows = []
+    for i in range(n):
+        label = rng.choice(["ham", "spam", '"ham"'])
+        if rng.random() < 0.6:
+            text = '"' + "".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) + '"'
+        else:
+            text = rng.choice(["plain words", 'a "stray" quote', "", 'ends with "', "tab\there" if sep != "\t" else "x", f"number {i}"])
+        rows.append(f"{label}{sep}{text}")
+    return rows
+
+
+@pytest.mark.parametrize("sep,end,header", [(",", "\n", True), (";", "\r\n", True), ("\t", "\n", False)])
+@pytest.mark.parametrize("split", [64, 1000, 10_000_000])
+def test_split_quoted_files_equal_the_multiline_read(spark, tmpdir_path, sep, end, header, split):
+    from msgsift.sources.delimited import ReadOptions
+    folder = os.path.join(tmpdir_path, "in")
+    os.makedirs(folder)
+    for k in range(2):
+        rows = ([f"label{sep}text"] if header else []) + _messy(150, k, sep, end)
+        _file(folder, f"part-{k}.csv", end.join(rows) + (end if k else ""))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    reader = spark.read.option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", "true").schema("label string, text string")
+    want = sorted(map(tuple, reader.option("header", str(header).lower()).csv(folder).collect()), key=repr)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df, _ = read_messages(spark, folder, options=ReadOptions(sep, header, "utf-8"))
+        got = df.orderBy("_order").collect()
+        splits = len({(r._order.file, r._order.block) for r in got})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    assert sorted(((r.label, r.text) for r in got), key=repr) == want
+    assert splits > 20 if split == 64 else splits >= 2
+    one = [(r.label, r.text) for r in got if r._order.file.endswith("part-1.csv")]
+    single = reader.option("header", str(header).lower()).csv(os.path.join(folder, "part-1.csv")).collect()
+    assert one == [tuple(r) for r in single]  # one file is read in order
