@@ -129,14 +129,14 @@ def intersect(postings: DataFrame, picked: DataFrame, anchors: int) -> DataFrame
 
 def neighbours(postings: DataFrame, picked: DataFrame, span: int) -> DataFrame:
     """(win, doc, sig, start): positions of a window's rarest term with its second one less than
-    ``span`` words away. The second list is dealt into blocks of ``span`` words, so the join is one
-    of equal keys."""
+    ``span`` words away. The lists are dealt into blocks of ``span`` words, so the join is one of equal
+    keys; a position may come up in several blocks."""
     block = F.floor(F.col("pos") / F.lit(span))
     one = picked.select("win", F.col("b")[0]["term"].alias("at"))
-    first = _looked_up(postings, one, F.col("pos").alias("start"), block.alias("block"))
+    near = F.explode(F.array(block - 1, block, block + 1)).alias("block")  # of the rarer list
+    first = _looked_up(postings, one, F.col("pos").alias("start"), near)
     two = picked.where(F.size("b") > 1).select("win", F.col("b")[1]["term"].alias("at"))
-    near = F.explode(F.array(block - 1, block, block + 1)).alias("block")
-    second = _looked_up(postings, two, F.col("pos").alias("other"), near)
+    second = _looked_up(postings, two, F.col("pos").alias("other"), block.alias("block"))
     met = first.alias("l").join(second.alias("r"), _same("l", "r", "block") & (F.abs(F.col("l.start") - F.col("r.other")) < span), "left_semi")
     alone = first.join(picked.where(F.size("b") < 2).select("win"), "win", "left_semi")
     return met.unionByName(alone).drop("block")
