@@ -1,8 +1,8 @@
 """Clustering of embedded messages and cluster reports.
 
-Vectors stay a distributed column; KMeans, the cosine silhouette (closed form,
-O(n*k*d), never pairwise) and PCA are Spark ML jobs over the cached vectors. Only
-k x d centroids and a d x 2 projection reach the driver.
+Vectors stay a distributed column; the cosine silhouette (closed form, O(n*k*d), never
+pairwise) and PCA are Spark ML jobs over the cached vectors, KMeans runs all its models in the
+same passes (``kmeans.py``). Only centres and a d x 2 projection reach the driver.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,6 +17,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from msgsift.operators.kmeans import Clustering, fit_all
+
 # Theme rules (spam-rate cut-off, sample size, keyword sets in priority order).
 THEME_SPAM_RATE = 0.65
 THEME_SAMPLE = 20
@@ -42,30 +43,12 @@ def with_vector(df: DataFrame, array_col: str = "embedding", out: str = "feature
 
 
 def kmeans_fit(df: DataFrame, k: int, *, seed: int = 42, n_init: int = 20, features: str = "features",
-               max_iter: int = 300, parallel_fits: int = 4) -> KMeansModel:
-    """Best (lowest training cost) of ``n_init`` KMeans fits with seeds seed.. , each run until its
-    centres stop moving or ``max_iter``."""
+               max_iter: int = 300) -> Clustering:
+    """Best (lowest cost) of ``n_init`` restarts, each run until its centres stop moving or
+    ``max_iter``; all restarts share their passes."""
     if k < 2:
         raise ClusteringError(f"{k} clusters asked for; 2 is the least")
-    from concurrent.futures import ThreadPoolExecutor
-
-    data = df.select(features).cache()
-    data.count()
-
-    def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=max_iter, tol=0.0).fit(data)
-
-    # restarts are independent jobs over the cached vectors: submit them concurrently
-    # (Spark schedules concurrent jobs); the winner is the same as a sequential loop
-    # (lowest cost, ties -> lowest seed).
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel_fits, n_init))) as pool:
-        models = list(pool.map(fit, range(n_init)))
-    data.unpersist()
-    best = None
-    for m in models:
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+    return fit_all(df, [k], n_init=n_init, seed=seed, features=features, max_iter=max_iter)[k]
 
 
 def _vector_sums(df: DataFrame, group_col: str, array_col: str) -> DataFrame:
@@ -146,7 +129,7 @@ def select_k_table(df: DataFrame, clusters: str | int = "auto", *, seed: int = 4
                    n_init: int = 10) -> DataFrame:
     """(k, silhouette, best) for each cluster count tried: 3..min(8, n-1) for "auto", else the given
     one (2 <= k < n). The best has the highest cosine silhouette, the smallest k on ties. At most
-    six rows, one per fit."""
+    six rows; all fits share their passes."""
     n = df.count()
     if clusters == "auto":
         if n < 4:
@@ -157,10 +140,8 @@ def select_k_table(df: DataFrame, clusters: str | int = "auto", *, seed: int = 4
         if not 2 <= tried[0] < n:
             raise ClusteringError(f"{tried[0]} clusters do not fit {n} messages; it takes 2 to {n - 1}")
     data = df.select(features).cache()
-    scores = []
-    for k in tried:
-        model = kmeans_fit(data, k, seed=seed, n_init=n_init, features=features)
-        scores.append((k, silhouette(model.transform(data).withColumnRenamed("prediction", "cluster_id"), features=features)))
+    models = fit_all(data, list(tried), n_init=n_init, seed=seed, features=features)
+    scores = [(k, silhouette(models[k].transform(data, "cluster_id"), features=features)) for k in tried]
     data.unpersist()
     best = max(scores, key=lambda x: (x[1], -x[0]))[0]
     return df.sparkSession.createDataFrame([(k, s, k == best) for k, s in scores], "k int, silhouette double, best boolean")

@@ -25,7 +25,7 @@ from pyspark.sql.types import ArrayType, FloatType, LongType, StructField, Struc
 
 from msgsift.functions.text import counted, ngram_range_terms, occurrences, row_counts, stopword_filter, word_analyzer
 from msgsift.operators.quality import assign_row_id
-from msgsift.operators.row_blocks import Block, pack_rows, summed
+from msgsift.operators.row_blocks import Block, pack_rows, partitions, summed
 from msgsift.session import cut_lineage, scratch_path
 
 
@@ -167,12 +167,12 @@ def truncated_svd(blocks: DataFrame, d: int, k: int, *, oversample: int = 20, to
     of the ``k`` largest vanish or nothing new is found. A task holds one such
     block, the driver the few blocks and their products, never a d x d array.
     """
-    width = min(k + oversample, d)
+    width, tasks = min(k + oversample, d), partitions(blocks)
     rng = np.random.default_rng(seed)
     basis, images = np.zeros((d, 0)), np.zeros((d, 0))
     q = np.linalg.qr(rng.standard_normal((d, width)))[0]
     for passes in range(1, max_passes + 1):
-        image = summed(blocks, _gram_times, [q.size], q)[0].reshape(q.shape)
+        image = summed(blocks, _gram_times, [q.size], q, tasks=tasks)[0].reshape(q.shape)
         basis, images = np.hstack([basis, q]), np.hstack([images, image])
         small = basis.T @ images
         values, ritz = np.linalg.eigh((small + small.T) / 2)

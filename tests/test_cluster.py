@@ -77,10 +77,11 @@ def test_silhouette_by_k_equals_numpy(spark):
     assert sorted(got) == list(range(3, 9))
     assert [k for k, r in got.items() if r.best] == [max(got, key=lambda k: (got[k].silhouette, -k))]
     df = K.with_vector(spark.read.parquet(f"{SF}/embeddings.parquet"))
+    models = K.fit_all(df, range(3, 9), n_init=10, seed=42)
     U = X / np.linalg.norm(X, axis=1, keepdims=True)
     D = 1 - U @ U.T
     for k in (3, 8):
-        lab = np.array([r.prediction for r in K.kmeans_fit(df, k, n_init=10).transform(df).orderBy("vec_id").collect()])
+        lab = np.array([r.prediction for r in models[k].transform(df).orderBy("vec_id").collect()])
         s = []
         for i in range(len(lab)):
             own = lab == lab[i]
@@ -135,3 +136,28 @@ def test_provider_comparison(spark):
     out = {r.embedding_provider: r for r in K.provider_comparison(rec, ["lsa-local", "remote-embeddings"]).collect()}
     assert out["remote-embeddings"].status == "not generated" and not out["remote-embeddings"].is_best
     assert out["lsa-local"].is_best and abs(out["lsa-local"].silhouette_score - 1) < 1e-9
+
+
+def test_kmeans_is_a_fixed_point_and_no_worse_than_separate_fits(spark):
+    """Centres are the means of their rows, and the cost is at most that of twenty separate library fits."""
+    from pyspark.ml.clustering import KMeans
+    _, _, X = _vectors(spark)
+    df = K.with_vector(spark.read.parquet(f"{SF}/embeddings.parquet")).cache()
+    models = K.fit_all(df, [3, 10], n_init=20)
+    for k, m in models.items():
+        d = ((X[:, None, :] - m.centres[None]) ** 2).sum(axis=2)
+        lab = d.argmin(axis=1)
+        assert len(set(lab)) == k and abs(d.min(axis=1).sum() - m.cost) < 1e-6
+        assert np.allclose(m.centres, [X[lab == c].mean(axis=0) for c in range(k)], atol=1e-9)
+        assert m.transform(df).orderBy("vec_id").toPandas()["prediction"].tolist() == lab.tolist()
+    # Ten separate fits of the library from other seeds, the best of them.
+    apart = min(KMeans(k=10, seed=s, maxIter=300, tol=0.0).fit(df).summary.trainingCost for s in range(42, 52))
+    assert models[10].cost <= apart * 1.005
+
+
+def test_kmeans_edges(spark):
+    same = K.with_vector(spark.createDataFrame([(i, [1.0, 2.0]) for i in range(6)], "row_id long, embedding array<double>"))
+    m = K.kmeans_fit(same, 3, n_init=2)
+    assert m.cost == 0 and {r.prediction for r in m.transform(same).collect()} == {0}
+    two = K.with_vector(spark.createDataFrame([(1, [0.0]), (2, [5.0]), (3, [5.0])], "row_id long, embedding array<double>"))
+    assert K.kmeans_fit(two, 2, n_init=3).cost == 0
