@@ -252,25 +252,47 @@ class RetryableError(Exception):
     """A failure of an embedding provider that may pass: timeouts, rate limits, 5xx."""
 
 
-def batch_embed(df: DataFrame, embed: Callable[[list[str]], list[list[float]]], *, batch_size: int = 64,
+def placed(response: Sequence, n: int) -> list[list[float]]:
+    """The vectors of a response in the order of its request.
+
+    A response is a list of vectors in that order, or of (index, vector) pairs in any order; each
+    index of the request must come exactly once."""
+    if response and isinstance(response[0], tuple):
+        out: list[list[float] | None] = [None] * n
+        for index, vector in response:
+            if not 0 <= index < n or out[index] is not None:
+                raise EmbeddingError(f"index {index} of a response for {n} texts is repeated or out of range")
+            out[index] = vector
+        absent = [i for i, v in enumerate(out) if v is None]
+        if absent:
+            raise EmbeddingError(f"embedding count {n - len(absent)} != batch size {n}; no vector for the indices {absent[:10]}")
+        return out
+    if len(response) != n:
+        raise EmbeddingError(f"embedding count {len(response)} != batch size {n}")
+    return list(response)
+
+
+def batch_embed(df: DataFrame, embed: Callable[[list[str]], Sequence], *, batch_size: int = 64,
                 retries: int = 4, text_col: str = "text", id_col: str = "row_id",
                 retryable: tuple[type[Exception], ...] = (RetryableError, TimeoutError, ConnectionError),
-                sleep: Callable[[float], None] | None = None) -> DataFrame:
-    """Embed texts with an injected callable in batches of ``batch_size`` inside each
-    partition (parallelism = partitions). Results stay keyed by ``row_id``; a size
-    mismatch is an error; ``retryable`` failures are retried with backoff min(2^attempt, 8) s and
-    all others end the job at once."""
+                sleep: Callable[[float], None] | None = None, in_flight: int = 1) -> DataFrame:
+    """Embed texts with an injected callable in batches of ``batch_size`` inside each partition.
+
+    A partition keeps at most ``in_flight`` requests under way (threads: the callable waits for a
+    remote service) and takes their results in the order of its rows, so results stay keyed by
+    ``row_id``, whatever order requests end in and responses have (``placed``). Wrong responses
+    are errors; ``retryable`` failures are retried with backoff min(2^attempt, 8) s and all others
+    end the job at once. Requests that have not begun then are given up."""
     import time
+    from collections import deque
+    from concurrent.futures import ThreadPoolExecutor
 
     wait = sleep or time.sleep
 
     def call(batch: list[str]) -> list[list[float]]:
         for attempt in range(retries + 1):
             try:
-                vecs = embed(batch)
-                if len(vecs) != len(batch):
-                    raise EmbeddingError(f"embedding count {len(vecs)} != batch size {len(batch)}")
-                return vecs
+                return placed(embed(batch), len(batch))
             except retryable:
                 if attempt == retries:
                     raise
@@ -278,13 +300,22 @@ def batch_embed(df: DataFrame, embed: Callable[[list[str]], list[list[float]]],
         raise AssertionError("unreachable")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = pdf[text_col].fillna("").astype(str).tolist()
-            vecs: list[list[float]] = []
-            for s in range(0, len(texts), batch_size):
-                vecs.extend(call(texts[s:s + batch_size]))
-            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(),
-                                "embedding": [np.asarray(v, dtype=np.float32) for v in vecs]})
+        pool = ThreadPoolExecutor(max_workers=in_flight)
+        try:
+            for pdf in batches:
+                texts = pdf[text_col].fillna("").astype(str).tolist()
+                vecs: list[list[float]] = []
+                window: deque = deque()
+                for s in range(0, len(texts), batch_size):
+                    if len(window) == in_flight:
+                        vecs.extend(window.popleft().result())
+                    window.append(pool.submit(call, texts[s:s + batch_size]))
+                while window:
+                    vecs.extend(window.popleft().result())
+                yield pd.DataFrame({id_col: pdf[id_col].to_numpy(),
+                                    "embedding": [np.asarray(v, dtype=np.float32) for v in vecs]})
+        finally:
+            pool.shutdown(wait=True, cancel_futures=True)
 
     schema = StructType([StructField(id_col, LongType()), StructField("embedding", ArrayType(FloatType()))])
     return df.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInPandas(run, schema)

@@ -63,20 +63,26 @@ def quality_summary(flagged: DataFrame, label_col: str = "label") -> DataFrame:
 def enforce_quality(
     df: DataFrame, *, label_col: str = "label", text_col: str = "text", mode: str = "fail",
 ) -> tuple[DataFrame, DataFrame]:
-    """Fail fast (default) or split into (valid, quarantine).
+    """Fail fast (default) or split into (valid, quarantine). To check in the pass that writes the
+    messages, use ``sinks.write_checked``.
 
     ``mode="fail"`` runs one aggregate and raises with every problem joined by
     "; " before any message is written; all invalid label values go, with their
     counts, to a table in the shared folder that the error names.
     ``mode="permissive"`` returns the valid rows and the quarantined rows with
-    their flags.
+    their flags. ``mode="in_plan"`` returns rows that raise when a bad one is read: no scan of its
+    own, but a plan that stops anywhere in the middle.
     """
     flagged = row_quality_flags(df, label_col, text_col)
     bad = F.col("missing_label") | F.col("missing_text") | F.col("invalid_label")
     if mode == "permissive":
         return flagged.filter(~bad).drop("missing_label", "missing_text", "invalid_label"), flagged.filter(bad)
+    if mode == "in_plan":
+        why = F.concat(F.lit("a row lacks a label or a text, or has an unknown label: "), F.coalesce(F.col(label_col).cast("string"), F.lit("null")))
+        checked = flagged.withColumn(label_col, F.when(bad, F.raise_error(why).cast("string")).otherwise(F.col(label_col)))
+        return checked.drop("missing_label", "missing_text", "invalid_label"), flagged.filter(bad)
     if mode != "fail":
-        raise ValueError("mode must be 'fail' or 'permissive'")
+        raise ValueError("mode must be 'fail', 'permissive' or 'in_plan'")
     s = quality_summary(flagged, label_col).first()
     errors = []
     if s["missing_label_count"]:

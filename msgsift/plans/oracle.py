@@ -851,3 +851,33 @@ UNION ALL SELECT CASE WHEN size = 2 THEN 'bigrams' ELSE 'trigrams' END, CAST(rk
 """
 
 ORACLES["confusion_rates_from_errors"] = ORACLES["confusion_rates"]
+
+_JSON = f"""
+WITH d AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS request_id, doc_id % 12 AS m, {strip("coalesce(text, '')")} AS clean FROM documents),
+r AS (
+  SELECT request_id, m, clean, CASE
+    WHEN m = 0 THEN 'invalid_json' WHEN m = 1 THEN 'extra_keys' WHEN m = 2 THEN 'missing_text'
+    WHEN m IN (3, 5) THEN 'text_not_a_string' WHEN m IN (4, 6) THEN 'not_an_object'
+    WHEN length(clean) = 0 THEN 'empty_text' WHEN length(clean) > 10000 THEN 'text_too_long' ELSE '' END AS reject_reason FROM d)
+SELECT request_id, reject_reason = '' AS accepted, reject_reason,
+       CAST(CASE WHEN m <= 6 THEN 0 ELSE length(clean) END AS INTEGER) AS n_chars FROM r
+"""
+ORACLES["validate_json_requests"] = _JSON
+ORACLES["validate_json_stream"] = _JSON
+
+_ODD = """
+WITH o AS (
+  SELECT d.doc_id AS row_id, d.text, CASE WHEN d.doc_id % 7 = 0 THEN ' odd' || CAST(d.doc_id % 5 AS VARCHAR)
+    WHEN d.doc_id % 11 = 0 THEN 'Toxic?' ELSE CAST(l.toxic AS VARCHAR) END AS label
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+ORACLES["invalid_label_values"] = _ODD + """
+SELECT trim(label) AS invalid_value, CAST(count(*) AS BIGINT) AS rows FROM o WHERE label NOT IN ('0', '1') GROUP BY 1
+"""
+ORACLES["write_checked"] = _ODD + f""",
+f AS (SELECT row_id, label, text, coalesce(label, '') NOT IN ('0', '1') OR {strip("coalesce(text, '')")} = '' AS bad FROM o)
+SELECT row_id, CASE WHEN bad THEN 'quarantine' ELSE 'message' END AS place,
+       CASE WHEN bad THEN label WHEN label = '1' THEN 'spam' ELSE 'ham' END AS label,
+       CASE WHEN bad THEN md5(text) ELSE md5({strip('text')}) END AS text_md5,
+       (SELECT count(*) FROM f) AS raw_rows, (SELECT count(*) FROM f WHERE bad) AS bad_rows
+FROM f
+"""

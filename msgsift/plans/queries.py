@@ -142,6 +142,29 @@ def q_quality_summary(spark, sf):
     return Q.quality_summary(Q.row_quality_flags(raw_messages(spark, sf)))
 
 
+def _odd_labels(spark, sf):
+    """The raw messages with some labels replaced by unknown ones."""
+    odd = F.when(F.col("row_id") % 7 == 0, F.concat(F.lit(" odd"), F.col("row_id") % 5)).when(F.col("row_id") % 11 == 0, F.lit("Toxic?"))
+    return raw_messages(spark, sf).withColumn("label", F.coalesce(odd, F.col("label")))
+
+
+@register("invalid_label_values")
+def q_invalid_label_values(spark, sf):
+    """Every unknown label value with its rows, over messages with planted labels."""
+    return Q.invalid_label_values(Q.row_quality_flags(_odd_labels(spark, sf)))
+
+
+@register("write_checked")
+def q_write_checked(spark, sf):
+    """Messages and quarantined rows of one permissive pass, read back with the counts of the pass."""
+    from msgsift.sources.sinks import write_checked
+    base = scratch_path(spark, "checked")
+    facts = write_checked(_odd_labels(spark, sf), f"{base}/messages", f"{base}/quarantine", permissive=True)
+    good = spark.read.parquet(f"{base}/messages").select("row_id", F.lit("message").alias("place"), "label", F.md5("text").alias("text_md5"))
+    bad = spark.read.parquet(f"{base}/quarantine").select("row_id", F.lit("quarantine").alias("place"), "label", F.md5("text").alias("text_md5"))
+    return good.unionByName(bad).withColumn("raw_rows", F.lit(facts["raw_rows"]).cast("long")).withColumn("bad_rows", F.lit(facts["bad_count"]).cast("long"))
+
+
 @register("normalize_messages")
 def q_normalize_messages(spark, sf):
     return Q.normalize_messages(labelled_raw(spark, sf))
@@ -654,6 +677,37 @@ def q_validate_requests(spark, sf):
                                           F.length("clean_text").cast("int").alias("n_chars"))
 
 
+def _bodies(spark, sf):
+    """(request_id, body): every document as a JSON request, some of them wrong in one of seven ways."""
+    text = F.coalesce("text", F.lit(""))
+    wrong = ['{"text":', None, '{"phone": "+431"}', '{"text": 5}', '["a", "b"]', '{"text": null}', '"text"']
+    kind, body = F.col("doc_id") % 12, F.to_json(F.struct(text.alias("text")))
+    for k, w in enumerate(wrong):
+        body = F.when(kind == k, F.lit(w) if w else F.to_json(F.struct(text.alias("text"), F.lit("+431").alias("phone")))).otherwise(body)
+    return read_table(spark, sf, "documents").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("request_id"), body.alias("body"))
+
+
+def _validated(df):
+    from msgsift.streaming.requests import validate_json_requests
+    return validate_json_requests(df).select("request_id", "accepted", "reject_reason", F.length("clean_text").cast("int").alias("n_chars"))
+
+
+@register("validate_json_requests")
+def q_validate_json_requests(spark, sf):
+    return _validated(_bodies(spark, sf))
+
+
+@register("validate_json_stream")
+def q_validate_json_stream(spark, sf):
+    """The same bodies as a file stream."""
+    base = scratch_path(spark, "json-requests")
+    _bodies(spark, sf).write.parquet(f"{base}/in")
+    src = spark.readStream.schema("request_id string, body string").parquet(f"{base}/in")
+    _validated(src).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck").trigger(
+        availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 def _text_stream(spark, sf, table, id_col, prefix):
     """(request_id, text) of a table as a file stream."""
     schema = read_table(spark, sf, table).schema

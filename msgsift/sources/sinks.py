@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from msgsift.functions.labels import DEFAULT_LABELS
-from msgsift.operators.quality import DatasetValidationError
+from msgsift.functions.labels import DEFAULT_LABELS, normalize_label
+from msgsift.functions.text import strip_ws
+from msgsift.operators.quality import DatasetValidationError, row_quality_flags
 from msgsift.session import scratch_path
 
 MESSAGE_SCHEMA = StructType([
@@ -33,6 +34,33 @@ def write_messages(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str
     _csv(w).csv(path) if fmt == "csv" else w.parquet(path)
 
 
+def write_checked(raw: DataFrame, messages_path: str, quarantine_path: str, *, permissive: bool = False) -> dict:
+    """Check and write (row_id, label, text) rows in one pass; returns the counts.
+
+    The flagged rows are written once, good and bad ones apart, while an ``Observation`` counts
+    them. Then the quarantined rows (with their flags) are put in place, and after them the
+    normalised messages. Bad rows stop that, unless ``permissive``: then no messages are written and
+    the error says how many rows are wrong and where they are.
+    """
+    spark = raw.sparkSession
+    flagged = row_quality_flags(raw).withColumn("bad", F.col("missing_label") | F.col("missing_text") | F.col("invalid_label"))
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("raw_rows"), *[F.count_if(c).alias(f"{c}_count") for c in ("missing_label", "missing_text", "invalid_label", "bad")]]
+    rows = flagged.withColumn("message_label", normalize_label(F.col("label"))).withColumn("message_text", strip_ws(F.col("text")))
+    staged = scratch_path(spark, "checked")
+    rows.observe(seen, *counts).write.partitionBy("bad").parquet(staged)
+    facts = {k: int(v) for k, v in seen.get.items()}
+    written = spark.read.schema(rows.schema).parquet(staged)
+    if facts["bad_count"]:
+        written.where("bad").select("row_id", "label", "text", "missing_label", "missing_text", "invalid_label").write.mode("overwrite").parquet(quarantine_path)
+        if not permissive:
+            raise DatasetValidationError(f"{facts['missing_label_count']} rows lack a label, {facts['missing_text_count']} a text and "
+                                         f"{facts['invalid_label_count']} have unknown labels; all are listed in {quarantine_path}")
+    good = written.where("NOT bad").select("row_id", F.col("message_label").alias("label"), F.col("message_text").alias("text"))
+    write_messages(good, messages_path)
+    return facts
+
+
 def write_report_tables(tables: Mapping[str, DataFrame], out_dir: str, *, fmt: str = "parquet") -> dict[str, str]:
     """Write each result table to ``out_dir/<name>``; never coalesces large tables."""
     paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in tables}

@@ -27,6 +27,38 @@ def test_wrong_number_of_vectors_is_an_error(spark):
         FT.batch_embed(_texts(spark), lambda batch: [[1.0]], batch_size=2).collect()
 
 
+def test_requests_in_flight_and_shuffled_responses(spark, tmpdir_path):
+    """Responses come as (index, vector) pairs in any order, requests end in any order; rows keep theirs."""
+    log = f"{tmpdir_path}/log"
+
+    def embed(batch):
+        import random
+        import threading
+        import time
+        with open(log, "a") as f:
+            f.write(f"+{threading.get_ident()}\n")
+        time.sleep(random.random() * 0.05)
+        out = [(i, [float(t.split()[0][4:])]) for i, t in enumerate(batch)]
+        random.shuffle(out)
+        with open(log, "a") as f:
+            f.write(f"-{threading.get_ident()}\n")
+        return out
+
+    got = FT.batch_embed(_texts(spark, 60), embed, batch_size=4, in_flight=5).collect()
+    assert [(r.row_id, r.embedding) for r in got] == [(i, [float(i)]) for i in range(60)]
+    now = most = 0
+    for line in open(log):
+        now += 1 if line[0] == "+" else -1
+        most = max(most, now)
+    assert 1 < most <= 5
+    for wrong in ([(0, [1.0])], [(0, [1.0]), (0, [2.0])], [(0, [1.0]), (2, [2.0])], [(1, [1.0]), (-1, [2.0])]):
+        with pytest.raises(FT.EmbeddingError):
+            FT.placed(wrong, 2)
+    assert FT.placed([], 0) == [] and FT.placed([(1, [1.0]), (0, [0.0])], 2) == [[0.0], [1.0]]
+    with pytest.raises(PythonException, match="no vector for the indices"):
+        FT.batch_embed(_texts(spark), lambda b: [(0, [1.0])], batch_size=2, in_flight=3).collect()
+
+
 def test_only_listed_failures_are_retried(spark):
     def flaky(fails, error):
         left = [fails]
