@@ -27,6 +27,7 @@ from msgsift.functions.labels import DEFAULT_LABELS
 from msgsift.functions.text import row_counts, strip_ws
 from msgsift.operators import newton
 from msgsift.operators.features import build_vocabulary, tfidf_transform, to_sparse_rows, with_terms
+from msgsift.operators.merkle import leaf_digests
 from msgsift.operators.row_blocks import pack_rows
 from msgsift.operators.splits import class_weights
 from msgsift.session import cut_lineage
@@ -243,23 +244,11 @@ def training_metadata(split_df: DataFrame, labels: Sequence[str] = DEFAULT_LABEL
 def corpus_fingerprint(df: DataFrame, label_col: str = "label", text_col: str = "text") -> DataFrame:
     """Order-independent provenance digest (rows, fingerprint) of a (label, text) multiset.
 
-    A row's digest is the SHA-256 of its two fields, each with its length in bytes and a mark for
-    null, so no two different rows share an encoding. Rows are dealt to 256 buckets by digest
-    prefix; distinct digests with their counts are sorted and hashed per (bucket, next prefix)
-    leaf, and the leaves' digests are hashed once more. Leaves split with the prefix, 65,536 in
-    all, so no group holds the corpus."""
-
-    def field(c: str) -> F.Column:
-        v = F.col(c).cast("string")
-        return F.when(v.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.octet_length(v).cast("string"), F.lit(":"), v))
-
-    row = df.select(F.sha2(F.concat(field(label_col), field(text_col)).cast("binary"), 256).alias("h"))
-    each = row.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    leaf = each.groupBy(F.substring("h", 1, 4).alias("b")).agg(
-        F.sum("n").alias("n"), F.sort_array(F.collect_list(F.concat_ws("*", "h", "n"))).alias("x"))
-    leaf = leaf.select("n", F.struct("b", F.sha2(F.array_join("x", ",").cast("binary"), 256).alias("d")).alias("l"))
-    return leaf.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"), F.sha2(F.array_join(F.transform(F.sort_array(
-        F.collect_list("l")), lambda x: x["d"]), ",").cast("binary"), 256).alias("fingerprint"))
+    Rows are dealt to 65,536 leaves by digest prefix (``merkle.py``); the leaves' digests are hashed
+    once more, so no group holds the corpus."""
+    leaf = leaf_digests(df, label_col, text_col).select("rows", F.struct("prefix", "digest").alias("l"))
+    return leaf.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"), F.sha2(F.array_join(F.transform(F.sort_array(
+        F.collect_list("l")), lambda x: x["digest"]), ",").cast("binary"), 256).alias("fingerprint"))
 
 
 def verify_fingerprint(df: DataFrame, expected: str, **kw) -> None:

@@ -219,7 +219,7 @@ def class_weights(df: DataFrame, label_col: str = "label", out: str = "weight")
 def sample_messages(df: DataFrame, k: int, *, seed: int = 42, id_col: str = "row_id") -> DataFrame:
     """Seeded sample without replacement of min(k, n) rows, ordered by row_id."""
     if k < 2:
-        raise SplitError("sample_size must be at least 2.")
+        raise SplitError(f"a sample of {k} rows was asked for; 2 is the least")
     keyed = df.withColumn("_key", md5_order(seed, id_col))
     tk, tt = cut_threshold(keyed, "_key", id_col, F.lit(k).cast("long"))
     return keyed.filter(_below("_key", id_col, tk, tt)).drop("_key").orderBy(id_col)

@@ -666,6 +666,30 @@ SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS rows, sha256(string_agg(d, ',' ORD
 """
 
 
+def _tree(rows: str, name: str) -> str:
+    """CTEs of the digest tree of a (label, text) relation; the last one is ``name``."""
+    levels = [f"""{name}h AS (SELECT sha256({_field('label')} || {_field('text')}) AS h FROM {rows}),
+{name}e AS (SELECT h, count(*) AS n FROM {name}h GROUP BY h),
+{name}4 AS (SELECT substr(h, 1, 4) AS prefix, CAST(sum(n) AS BIGINT) AS rows,
+       sha256(string_agg(h || '*' || CAST(n AS VARCHAR), ',' ORDER BY h || '*' || CAST(n AS VARCHAR))) AS digest FROM {name}e GROUP BY 1)"""]
+    for k in (3, 2, 1):
+        levels.append(f"""{name}{k} AS (SELECT substr(prefix, 1, {k}) AS prefix, CAST(sum(rows) AS BIGINT) AS rows,
+       sha256(string_agg(prefix || ':' || digest, ',' ORDER BY prefix)) AS digest FROM {name}{k + 1} GROUP BY 1)""")
+    levels.append(f"""{name}0 AS (SELECT '' AS prefix, CAST(coalesce(sum(rows), 0) AS BIGINT) AS rows,
+       sha256(coalesce(string_agg(prefix || ':' || digest, ',' ORDER BY prefix), '')) AS digest FROM {name}1)""")
+    return ",\n".join(levels)
+
+
+ORACLES["fingerprint_tree"] = _with(MSG, _tree("msg", "t")) + " UNION ALL ".join(
+    f"SELECT CAST({k} AS INTEGER) AS level, prefix, rows, digest FROM t{k}" for k in range(5))
+ORACLES["fingerprint_difference"] = _with(MSG, """ch AS (
+  SELECT label, CASE WHEN row_id % 97 = 0 THEN text || ' changed' ELSE text END AS text FROM msg WHERE row_id % 89 <> 0
+  UNION ALL SELECT label, 'added' FROM msg WHERE row_id % 83 = 0)""", _tree("msg", "t"), _tree("ch", "u")) + """
+SELECT coalesce(t4.prefix, u4.prefix) AS prefix, coalesce(t4.rows, 0) AS rows, coalesce(u4.rows, 0) AS other_rows
+FROM t4 FULL JOIN u4 ON t4.prefix = u4.prefix WHERE t4.digest IS DISTINCT FROM u4.digest
+"""
+
+
 # -- §2.7 clustering ------------------------------------------------------------------------
 
 EMB = """e AS (SELECT CAST(vec_id AS BIGINT) AS row_id, CAST(label AS INTEGER) AS given, embedding FROM embeddings),

@@ -106,6 +106,20 @@ def q_vocabulary_overlap(spark, sf):
     return C.vocabulary_overlap(_tokens(spark, sf))
 
 
+@register("token_sketches")
+def q_token_sketches(spark, sf):
+    """Unique tokens of every language, label and of all messages, merged from one stored table of
+    sketches per language and label; estimates, with the exact numbers of messages and tokens."""
+    docs = read_table(spark, sf, "documents").select(F.col("doc_id").cast("long").alias("row_id"), "lang")
+    path = scratch_path(spark, "sketches")
+    C.token_sketches(_tokens(spark, sf).join(docs, "row_id"), ["lang", "label"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    out = C.merged_unique_tokens(stored).select(F.lit("all").alias("part"), F.lit("").alias("value"), "*")
+    for key in ("lang", "label"):
+        out = out.unionByName(C.merged_unique_tokens(stored, [key]).withColumnRenamed(key, "value").withColumn("part", F.lit(key)))
+    return out
+
+
 @register("term_scores")
 def q_term_scores(spark, sf):
     return round_doubles(C.term_scores(_tokens(spark, sf)), 9)
@@ -520,6 +534,28 @@ def q_corpus_fingerprint(spark, sf):
     return CL.corpus_fingerprint(labelled_messages(spark, sf))
 
 
+@register("fingerprint_tree")
+def q_fingerprint_tree(spark, sf):
+    """Every node of the corpus's digest tree."""
+    from msgsift.operators.merkle import digest_tree
+    return digest_tree(labelled_messages(spark, sf))
+
+
+@register("fingerprint_difference")
+def q_fingerprint_difference(spark, sf):
+    """The leaves in which the corpus differs from one with changed, added and removed rows, found by
+    descending two stored trees."""
+    from msgsift.operators.merkle import differing_leaves, digest_tree, write_tree
+    base = scratch_path(spark, "trees")
+    one = cut_lineage(labelled_messages(spark, sf))
+    text = F.when(F.col("row_id") % 97 == 0, F.concat("text", F.lit(" changed"))).otherwise(F.col("text"))
+    other = one.where(F.col("row_id") % 89 != 0).withColumn("text", text)
+    other = other.unionByName(one.where(F.col("row_id") % 83 == 0).withColumn("text", F.lit("added")))
+    write_tree(digest_tree(one), f"{base}/one")
+    write_tree(digest_tree(other), f"{base}/other")
+    return differing_leaves(spark, f"{base}/one", f"{base}/other")
+
+
 # -- §2.7 clustering ----------------------------------------------------------------------
 
 

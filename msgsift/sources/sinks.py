@@ -70,6 +70,12 @@ def write_report_tables(tables: Mapping[str, DataFrame], out_dir: str, *, fmt: s
     return paths
 
 
+def write_run_record(record: DataFrame, path: str, provider_col: str = "embedding_provider") -> None:
+    """Store run records by provider: a run replaces the records of its own providers only (dynamic
+    partition overwrite), and ``spark.read.parquet(path)`` is the global table of the latest runs."""
+    record.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(provider_col).parquet(path)
+
+
 def write_summary_json(summary: DataFrame, path: str) -> dict:
     """Write a one-row summary as JSON and return it (the one row is all that is collected)."""
     rows = summary.limit(2).collect()

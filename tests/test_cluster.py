@@ -161,3 +161,17 @@ def test_kmeans_edges(spark):
     assert m.cost == 0 and {r.prediction for r in m.transform(same).collect()} == {0}
     two = K.with_vector(spark.createDataFrame([(1, [0.0]), (2, [5.0]), (3, [5.0])], "row_id long, embedding array<double>"))
     assert K.kmeans_fit(two, 2, n_init=3).cost == 0
+
+
+def test_run_records_replace_their_own_provider_only(spark, tmpdir_path):
+    from msgsift.sources.sinks import write_run_record
+    df = spark.createDataFrame([(i, [float(i % 3), 1.0], i % 2) for i in range(8)], "row_id long, embedding array<double>, c int")
+
+    def record(provider, notes):
+        return K.cluster_metadata(df, provider=provider, model="m", prediction="c", notes=notes)
+
+    for provider, notes in (("one", "first"), ("two", "other"), ("one", "again")):
+        write_run_record(record(provider, notes), f"{tmpdir_path}/runs")
+    got = {r.embedding_provider: (r.embedding_notes, r.total_messages) for r in spark.read.parquet(f"{tmpdir_path}/runs").collect()}
+    assert got == {"one": ("again", 8), "two": ("other", 8)}
+    assert {r.status for r in K.provider_comparison(spark.read.parquet(f"{tmpdir_path}/runs"), ["one", "two"]).collect()} == {"generated"}

@@ -57,3 +57,25 @@ def test_ngrams_single_token_message(spark):
     bi = {r.ngram: r["count"] for r in ng if r.n == 2}
     assert bi == {"a b": 2, "b a": 1}
     assert all(r.document_percentage == 50.0 for r in ng)
+
+
+def test_merged_sketches_are_near_the_exact_counts(spark, tmpdir_path):
+    """Every union of stored sketches, against exact distinct counts; equal where all tokens fit."""
+    from itertools import combinations
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    msgs = C.with_tokens(docs.selectExpr("doc_id AS row_id", "lang", "source AS label", "text"))
+    C.token_sketches(msgs, ["lang", "label"]).write.parquet(f"{tmpdir_path}/s")
+    stored = spark.read.parquet(f"{tmpdir_path}/s").cache()
+    words = {}
+    for r in msgs.select("lang", "tokens").collect():
+        words.setdefault(r.lang, set()).update(r.tokens)
+    for n in range(1, len(words) + 1):
+        for langs in combinations(sorted(words), n):
+            got = C.merged_unique_tokens(stored.where(stored.lang.isin(*langs))).first()
+            exact = len(set().union(*[words[x] for x in langs]))
+            assert abs(got.unique_tokens / exact - 1) < 0.05
+    total = C.merged_unique_tokens(stored).first()
+    assert total.messages == docs.count() and total.tokens == sum(len(r.tokens) for r in msgs.select("tokens").collect())
+    few = C.token_sketches(_msgs(spark, [(1, "ham", "a b a"), (2, None, "b c"), (3, "spam", "")]), ["label"])
+    assert {r.label: r.unique_tokens for r in C.merged_unique_tokens(few, ["label"]).collect()} == {"ham": 2, None: 2, "spam": 0}
+    assert C.merged_unique_tokens(few).first().unique_tokens == 3

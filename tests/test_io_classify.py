@@ -112,6 +112,24 @@ def test_fingerprint_tells_rows_apart(spark):
     assert fp([("a", "b"), ("a", "b")]) != fp([("a", "b")])
 
 
+def test_tree_descent_finds_changed_rows(spark, tmpdir_path):
+    from msgsift.operators import merkle as M
+    rows = [(i, "ham" if i % 2 else "spam", f"text {i // 2}") for i in range(300)] + [(900, None, None), (901, None, None)]
+    one = spark.createDataFrame(rows, SCHEMA)
+    other = spark.createDataFrame([(i, lab, "new" if i == 7 else text) for i, lab, text in rows if i not in (20, 900)] + [(999, "ham", "added")], SCHEMA)
+    for name, df in (("a", one), ("b", other), ("c", one.orderBy(F.desc("row_id"))), ("none", one.where("false"))):
+        M.write_tree(M.digest_tree(df), f"{tmpdir_path}/{name}")
+    assert M.differing_leaves(spark, f"{tmpdir_path}/a", f"{tmpdir_path}/c").count() == 0
+    leaves = M.differing_leaves(spark, f"{tmpdir_path}/a", f"{tmpdir_path}/b")
+    gone = {r.row_id for r in M.rows_in(one, leaves).collect()} - {r.row_id for r in M.rows_in(other, leaves).collect()}
+    assert gone == {20, 900}
+    digests = {r.h[:4] for r in M.row_digests(one.where("row_id IN (7, 20, 900)").unionByName(other.where("row_id IN (7, 999)"))).collect()}
+    assert {r.prefix for r in leaves.collect()} == digests
+    assert M.differing_leaves(spark, f"{tmpdir_path}/a", f"{tmpdir_path}/none").agg(F.sum("rows")).first()[0] == 302
+    root = spark.read.parquet(f"{tmpdir_path}/none").collect()
+    assert [(r.level, r.rows) for r in root] == [(0, 0)]
+
+
 def test_model_round_trip_and_failures(spark, tmpdir_path):
     clf = CL.fit_classifier(spark.createDataFrame(TRAIN, SCHEMA))
     path = os.path.join(tmpdir_path, "model")
