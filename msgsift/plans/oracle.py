@@ -806,6 +806,20 @@ SELECT event_id, user_id, allowed, retry_after FROM r
 ORACLES["rate_limit_decisions"] = RATE_LIMIT
 ORACLES["rate_limit_stream"] = RATE_LIMIT
 
+# Every 97th event of the first half arrives after all others, more than an hour behind them.
+LATE = f"""facts AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+late AS (SELECT events.*, epoch_us(ts) AS t_us FROM events, facts
+         WHERE event_id % 97 = 0 AND epoch_us(ts) < least((lo + hi) // 2, hi - 3600001000))"""
+
+ORACLES["rate_limit_stateful"] = RATE_LIMIT.replace("WITH RECURSIVE ev", "WITH RECURSIVE " + LATE + ",\nev", 1).replace(
+    "AS rn FROM events)", "AS rn FROM events WHERE event_id NOT IN (SELECT event_id FROM late))", 1).replace(
+    "SELECT event_id, user_id, allowed, retry_after FROM r", """SELECT event_id, user_id, allowed, retry_after, false AS late FROM r
+UNION ALL SELECT event_id, user_id, false, 0, true FROM late""", 1)
+
+ORACLES["late_event_counts"] = "WITH " + LATE + """
+SELECT user_id, count(*) AS late_events, min(t_us) AS first_t_us, max(t_us) AS last_t_us FROM late GROUP BY user_id
+"""
+
 _WS_OR = WHITESPACE_CLASS
 
 ORACLES["validate_requests"] = f"""

@@ -699,6 +699,56 @@ def q_rate_limit_stream(spark, sf):
     return spark.read.parquet(f"{base}/out")
 
 
+#: Events of one micro-batch: a client's share of them is what one task holds.
+TRIGGER_EVENTS = 5_000_000
+LATENESS_S = 3600
+
+
+def _limited(spark, sf):
+    """Decisions and dead letters of the stateful limiter over all events: they arrive in time order, in
+    parts of about ``TRIGGER_EVENTS`` (at least four), but for every 97th event of the first half, which
+    comes after all others and so behind the watermark."""
+    from msgsift.streaming.limiter_state import rate_limit_stateful, rocksdb_state
+    from msgsift.streaming.ratelimit import epoch_micros
+
+    events = read_table(spark, sf, "events")
+    t = epoch_micros(events, "ts")
+    facts = events.agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi")).first()
+    parts = max(4, -(-facts["n"] // TRIGGER_EVENTS))
+    cuts = events.select(F.percentile_approx(t, [i / parts for i in range(1, parts)], 20 * parts + 1000).alias("c")).first()["c"] or []
+    until = min(((facts["lo"] or 0) + (facts["hi"] or 0)) // 2, (facts["hi"] or 0) - (LATENESS_S * 1_000_000 + 1_000))
+    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<bigint>")
+    held_back = (F.col("event_id") % 97 == 0) & (t < F.lit(until))
+    part = F.when(held_back, F.lit(parts)).otherwise(F.size(F.filter(bounds, lambda c: c <= t)))
+    base = scratch_path(spark, "limiter-state")
+    events.withColumn("part", part).repartition("part", "user_id").write.partitionBy("part").parquet(f"{base}/parts")
+    staged = spark.read.parquet(f"{base}/parts")
+    with rocksdb_state(spark):
+        for i in range(parts + 1):
+            staged.where(F.col("part") == i).drop("part").write.mode("append").parquet(f"{base}/in")
+            src = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+            q = (rate_limit_stateful(src, requests=LIMIT_REQUESTS, window_seconds=LIMIT_WINDOW_S, lateness=f"{LATENESS_S} seconds")
+                 .writeStream.format("parquet").partitionBy("late").option("path", f"{base}/out")
+                 .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start())
+            q.awaitTermination()
+    kind = events.schema["user_id"].dataType.simpleString()
+    return spark.read.schema(f"event_id long, user_id {kind}, t_us long, allowed boolean, retry_after long, late boolean").parquet(f"{base}/out")
+
+
+@register("rate_limit_stateful")
+def q_rate_limit_stateful(spark, sf):
+    """Every event with its decision; a late one counts as not allowed, without a time to wait."""
+    return _limited(spark, sf).select("event_id", "user_id", F.coalesce("allowed", F.lit(False)).alias("allowed"),
+                                      F.coalesce("retry_after", F.lit(0)).cast("long").alias("retry_after"), "late")
+
+
+@register("late_event_counts")
+def q_late_event_counts(spark, sf):
+    """The dead letters counted by client."""
+    from msgsift.streaming.limiter_state import late_counts
+    return late_counts(_limited(spark, sf))
+
+
 def _is_folder(spark, path):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()

@@ -1,8 +1,13 @@
 from collections import deque
 from datetime import datetime, timedelta
 
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from msgsift.streaming.limiter_state import decide, late_counts, rate_limit_stateful, rocksdb_state
 from msgsift.streaming.ratelimit import rate_limit_decisions, rate_limit_stream
 from tests.conftest import SF
 
@@ -91,3 +96,69 @@ def test_stream_parts_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
     want = queries.QUERIES["rate_limit_decisions"](spark, SF).collect()
     assert got == {r.event_id: (r.user_id, r.allowed, r.retry_after) for r in want}
     assert len(list((tmp_path / "in").glob("part-*.parquet"))) > 4
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 60), max_size=40), st.integers(1, 4), st.integers(1, 15), st.integers(0, 40))
+def test_decide_equals_a_fold_however_it_is_cut(seconds, requests, window, cut):
+    t = np.sort(np.asarray(seconds, np.int64)) * 1_000_000
+    want = _brute([(i, 0, int(x) // 1_000_000) for i, x in enumerate(t)], requests, window)
+    a, ra, held = decide(t[:cut], [], requests, window * 1_000_000)
+    b, rb, held = decide(t[cut:], held, requests, window * 1_000_000)
+    got = list(zip([*a, *b], [*ra, *rb], strict=True))
+    assert got == [want[i] for i in range(len(t))] and len(held) <= requests
+
+
+SCHEMA = "event_id long, user_id string, ts timestamp"
+
+
+def _stateful(spark, folder, batches, schema=SCHEMA, **kw):
+    with rocksdb_state(spark):
+        for rows in batches:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+            src = spark.readStream.schema(schema).parquet(f"{folder}/in")
+            q = (rate_limit_stateful(src, **kw).writeStream.format("parquet").partitionBy("late").option("path", f"{folder}/out")
+                 .option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start())
+            q.awaitTermination()
+    kind = spark.createDataFrame([], schema).schema["user_id"].dataType.simpleString()
+    return spark.read.schema(f"event_id long, user_id {kind}, t_us long, allowed boolean, retry_after long, late boolean").parquet(f"{folder}/out")
+
+
+def _state(spark, folder, name):
+    rows = spark.read.format("statestore").option("stateVarName", name).load(f"{folder}/ck").collect()
+    return sorted({str(r.key[0]) for r in rows})
+
+
+def test_stateful_limiter_lists_late_events_and_ends_with_empty_state(spark, tmpdir_path):
+    base = datetime(2024, 1, 1)
+    at = lambda s: base + timedelta(seconds=s)
+    batches = [[(1, "a", at(100)), (2, "a", at(101)), (11, "c", None)],
+               [(3, "a", at(50)), (4, "a", at(112)), (5, "b", at(60)), (9, "a", at(100)), (9, "a", at(100))],
+               [(7, "z", at(5000)), (8, None, at(5001))],
+               [(10, "a", at(112)), (12, "z", at(5002))]]
+    out = _stateful(spark, tmpdir_path, batches, requests=2, window_seconds=10, lateness="30 seconds")
+    got = [(r.event_id, r.user_id, r.allowed, r.retry_after, r.late) for r in out.orderBy("event_id").collect()]
+    assert got == [(1, "a", True, 0, False), (2, "a", True, 0, False), (3, "a", None, None, True), (4, "a", True, 0, False),
+                   (5, "b", None, None, True), (7, "z", True, 0, False), (8, None, True, 0, False), (9, "a", False, 9, False),
+                   (9, "a", False, 9, False), (10, "a", None, None, True), (12, "z", True, 0, False)]
+    assert {r.user_id: r.late_events for r in late_counts(out).collect()} == {"a": 2, "b": 1}
+    # The window of clients a and b has passed: only the last two clients still hold state.
+    for name in ("allowed_us", "clock_us"):
+        assert _state(spark, tmpdir_path, name) == ["None", "z"]
+
+
+def test_stateful_limiter_with_a_hot_client_equals_the_batch_operator(spark, tmpdir_path):
+    """One client holds a third of all events; its events come in several micro-batches of bounded size."""
+    rows = [(i, 1 if i % 3 == 0 else i % 17, datetime(2024, 1, 1) + timedelta(seconds=i // 2)) for i in range(3000)]
+    schema = "event_id long, user_id int, ts timestamp"
+    out = _stateful(spark, tmpdir_path, [rows[i:i + 600] for i in range(0, 3000, 600)], schema, requests=3, window_seconds=45)
+    want = rate_limit_decisions(spark.createDataFrame(rows, schema), requests=3, window_seconds=45).collect()
+    assert not out.where("late").count()
+    got = {r.event_id: (r.user_id, r.allowed, r.retry_after) for r in out.collect()}
+    assert len(got) == out.count() == 3000
+    assert got == {r.event_id: (r.user_id, r.allowed, r.retry_after) for r in want}
+
+
+def test_stateful_limiter_needs_a_positive_quota(spark):
+    with pytest.raises(ValueError, match="requests is 0"):
+        rate_limit_stateful(spark.readStream.format("rate").load(), requests=0, client_col="value", time_col="timestamp", id_col="value")
