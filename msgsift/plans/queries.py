@@ -722,15 +722,22 @@ def _limited(spark, sf):
     part = F.when(held_back, F.lit(parts)).otherwise(F.size(F.filter(bounds, lambda c: c <= t)))
     base = scratch_path(spark, "limiter-state")
     events.withColumn("part", part).repartition("part", "user_id").write.partitionBy("part").parquet(f"{base}/parts")
-    staged = spark.read.parquet(f"{base}/parts")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(f"{base}/in"))
+    src = spark.readStream.schema(events.withColumn("part", F.lit(0)).schema).parquet(f"{base}/in")
     with rocksdb_state(spark):
-        for i in range(parts + 1):
-            staged.where(F.col("part") == i).drop("part").write.mode("append").parquet(f"{base}/in")
-            src = spark.readStream.schema(events.schema).parquet(f"{base}/in")
-            q = (rate_limit_stateful(src, requests=LIMIT_REQUESTS, window_seconds=LIMIT_WINDOW_S, lateness=f"{LATENESS_S} seconds")
-                 .writeStream.format("parquet").partitionBy("late").option("path", f"{base}/out")
-                 .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start())
-            q.awaitTermination()
+        q = (rate_limit_stateful(src, requests=LIMIT_REQUESTS, window_seconds=LIMIT_WINDOW_S, lateness=f"{LATENESS_S} seconds")
+             .writeStream.format("parquet").partitionBy("late").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/ck").start())
+        try:
+            for i in range(parts + 1):
+                # A part arrives by one rename of its folder, so that a micro-batch sees all of it.
+                if fs.exists(path(f"{base}/parts/part={i}")):
+                    fs.rename(path(f"{base}/parts/part={i}"), path(f"{base}/in/part={i}"))
+                    q.processAllAvailable()
+        finally:
+            q.stop()
     kind = events.schema["user_id"].dataType.simpleString()
     return spark.read.schema(f"event_id long, user_id {kind}, t_us long, allowed boolean, retry_after long, late boolean").parquet(f"{base}/out")
 
