@@ -6,11 +6,14 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
 from msgsift.session import checkpoint_dir, ship_package
 
 #: A side is broadcast only when it has been written and counted, and holds at most this many rows.
 BROADCAST_ROWS = 500_000
+#: A side with texts or arrays must also be weighed: all its values together take at most this many bytes.
+BROADCAST_BYTES = 64 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +54,25 @@ def small_or_shuffled(df: DataFrame, rows: int | None = None, bound: int = BROAD
     return F.broadcast(df) if n <= bound else df.hint("merge")
 
 
+def value_bytes(col: Column, kind: DataType) -> Column:
+    """Bytes that a value takes in a row, without its slot's padding; null counts 8."""
+    if isinstance(kind, ArrayType):
+        return F.lit(16) + F.coalesce(F.aggregate(col, F.lit(0).cast("long"), lambda a, x: a + value_bytes(x, kind.elementType)), F.lit(0))
+    if isinstance(kind, StructType):
+        return sum((value_bytes(col[f.name], f.dataType) for f in kind.fields), F.lit(8).cast("long"))
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.lit(16) + F.coalesce(F.octet_length(col), F.lit(0))
+    return F.lit(8).cast("long")
+
+
+def light_or_shuffled(df: DataFrame, bound: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``small_or_shuffled`` for a written table whose rows have no size bound of their own: the hint
+    needs at most ``bound`` rows and ``max_bytes`` bytes, both from one pass over the table."""
+    weight = sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16).cast("long"))
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
+    return F.broadcast(df) if n <= bound and size <= max_bytes else df.hint("merge")
+
+
 def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     cond = None
     for a, b in pairs:

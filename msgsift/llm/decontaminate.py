@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from msgsift.llm._common import fresh, shared_table, small_or_shuffled
+from msgsift.llm._common import fresh, light_or_shuffled, shared_table, small_or_shuffled
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -175,7 +175,7 @@ def found_windows(documents: DataFrame, bench: DataFrame, doc_id: str = "doc_id"
         found = found.unionByName(neighbours(postings, picked, span).withColumn("near", F.lit(True)))
     # Word-for-word check: the candidates of a document meet its words once. Only documents with
     # candidates take part, so a shuffle moves their words and no others.
-    texts = found.join(small_or_shuffled(wins), "win").groupBy("doc", "sig").agg(
+    texts = found.join(light_or_shuffled(wins), "win").groupBy("doc", "sig").agg(
         F.collect_set(F.struct("start", "near", "win", "words")).alias("c"))
     texts = shared_table(texts, "decon-check").withColumnRenamed("doc", "cd").withColumnRenamed("sig", "cs")
     met = _with_candidates(docs, texts)
@@ -219,7 +219,7 @@ def contamination(documents: DataFrame, bench: DataFrame, doc_id: str = "doc_id"
     both = hit.alias("h").join(named.alias("n"), F.col("h.doc").eqNullSafe(F.col("n.doc")) & (F.col("h.sig") == F.col("n.sig")))
     result = shared_table(both.select(F.col("h.doc").alias("rd"), F.col("h.sig").alias("rs"), "n_hit", "found", "n_near"), "decon-result")
     docs = documents.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(doc_text)).alias("sig"), word_count(F.col(doc_text)).alias("n_words"))
-    joined = docs.join(small_or_shuffled(result), F.col("doc").eqNullSafe(F.col("rd")) & (F.col("sig") == F.col("rs")), "left")
+    joined = docs.join(light_or_shuffled(result), F.col("doc").eqNullSafe(F.col("rd")) & (F.col("sig") == F.col("rs")), "left")
     found = F.coalesce("found", F.array().cast("array<string>"))
     return joined.select(
         F.col("doc").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),

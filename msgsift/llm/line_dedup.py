@@ -10,7 +10,7 @@ The plan counts (host, line digest) with partial aggregation over the distinct l
 page, so a line on every page costs one row per task. The boilerplate digests come back as one
 array per host. A host has fewer than (lines per page / max_ratio) of them, so the array is
 bounded by the pages' shape, not by their number. Pages are rewritten in place: page texts are
-never shuffled while the table of hosts with boilerplate is small (counted), and otherwise one
+never shuffled while the table of hosts with boilerplate is small (counted and weighed), and otherwise one
 join on host follows, whose hot hosts adaptive execution splits.
 
 With ``copies_once`` the pages of a host are its distinct texts: copies are grouped by (host, text
@@ -27,11 +27,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from msgsift.llm._common import fresh, shared_table, small_or_shuffled
+from msgsift.llm._common import fresh, light_or_shuffled, shared_table
 
 MAX_RATIO = 0.1
 MIN_PAGES = 5
-#: Hosts with boilerplate that may be broadcast: each row carries at most a few thousand digests.
+#: Hosts with boilerplate that may be broadcast, if all their digests together are light enough.
 BROADCAST_HOSTS = 2_000
 
 
@@ -76,7 +76,7 @@ def _with_drops(df: DataFrame, host_col: str, text_col: str, max_ratio: float, m
     per_host = shared_table(per_host, "line-boilerplate")
     h, d = fresh(df, "boiler_host"), fresh(df, "boiler_lines")
     per_host = per_host.toDF(h, d)
-    joined = df.join(small_or_shuffled(per_host, bound=BROADCAST_HOSTS), F.col(host_col).eqNullSafe(F.col(h)), "left")
+    joined = df.join(light_or_shuffled(per_host, bound=BROADCAST_HOSTS), F.col(host_col).eqNullSafe(F.col(h)), "left")
     return joined, d
 
 

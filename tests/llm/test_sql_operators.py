@@ -107,3 +107,28 @@ def test_mix_repeats_and_limits(spark):
     by = report.groupby("target")["taken"].sum()
     for target, words in by.items():
         assert abs(target - words) <= 7
+
+
+def test_heavy_rows_are_not_broadcast(spark):
+    """Few rows with long arrays weigh too much for the hint; nulls, nested values and no rows are weighed too."""
+    from msgsift.llm._common import light_or_shuffled
+    rows = [(1, ["x" * 100] * 1000, (1, "a")), (2, None, None)]
+    df = spark.createDataFrame(rows, "k long, words array<string>, s struct<n: long, t: string>")
+    other = spark.range(10)
+    plan = lambda d: other.join(d, other["id"] == d["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan(light_or_shuffled(df, max_bytes=120_000))
+    assert "strategy=merge" in plan(light_or_shuffled(df, max_bytes=100_000))
+    assert "strategy=merge" in plan(light_or_shuffled(df, bound=1))
+    assert "strategy=broadcast" in plan(light_or_shuffled(df.where("k > 5"), max_bytes=0))
+
+
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op7_decontamination"])
+def test_shuffled_joins_give_the_same_rows(spark, name, monkeypatch):
+    """Whatever is too heavy to broadcast is shuffled: same rows, null keys included."""
+    for module in (line_dedup, decontaminate):
+        real = module.light_or_shuffled
+        monkeypatch.setattr(module, "light_or_shuffled", lambda df, _real=real, **kw: _real(df, **{**kw, "max_bytes": 0}))
+    docs = documents()
+    out = RUNS[name](to_spark(spark, docs, DOC_SCHEMA), to_spark(spark, benchmark(), BENCH_SCHEMA))
+    assert rows_of(out.toPandas()) == rows_of(expected(name, docs))
+    assert digest(QUERIES[name](spark, SF).toPandas()) == digest(duck(ORACLES[name], SF))
