@@ -3,7 +3,7 @@ import unicodedata
 
 from pyspark.sql import functions as F
 
-from msgsift.functions import make_ngrams, normalize_label, strip_ws, tokenize, word_analyzer
+from msgsift.functions import make_ngrams, normalize_label, strip_accents, strip_ws, tokenize, word_analyzer
 
 
 def _one(spark, expr, value):
@@ -49,3 +49,23 @@ def test_word_analyzer_matches_python_regex(spark):
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     got = [r[0] for r in df.select(word_analyzer(F.col("v"))).collect()]
     assert got == [_py_words(t) for t in texts]
+
+
+def _assigned(lo, hi):
+    return [c for c in range(lo, hi) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+
+
+def test_strip_accents_needs_no_python_worker(spark):
+    """Every assigned character alone, as unicodedata has it, and long mixed texts; the plan stays in the JVM."""
+    rows = [(c, f"a{chr(c)}b") for c in _assigned(0, 0x110000)] + [(-1, None), (-2, ""), (-3, "e\u0301\u0323x \ufb01 " * 5000)]
+    df = spark.createDataFrame(rows, "c long, v string").select("c", "v", strip_accents(F.col("v")).alias("r"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    for r in df.collect():
+        want = None if r.v is None else "".join(x for x in unicodedata.normalize("NFKD", r.v) if not unicodedata.combining(x))
+        assert r.r == want, hex(r.c)
+
+
+def test_strip_removes_what_python_strips(spark):
+    rows = [(c, f"{chr(c)} a{chr(c)}b {chr(c)}\n") for c in _assigned(0, 0x3100)] + [(-1, " \t\u3000"), (-2, None)]
+    for r in spark.createDataFrame(rows, "c long, v string").select("c", "v", strip_ws("v").alias("r")).collect():
+        assert r.r == (None if r.v is None else r.v.strip()), hex(r.c)
