@@ -1,7 +1,7 @@
 """The text classifier as stages of an ML ``Pipeline`` that can be saved and loaded.
 
 ``TextClassifierStage`` is the estimator; its model ``TextScorer`` holds vocabulary, idf and weights
-as a table and scores inside the row, so it also works on streams. A saved stage is a folder with
+as a table. A small table scores inside the row, so it also works on streams; a larger one is joined. A saved stage is a folder with
 the usual metadata record and the weight table as Parquet.
 """
 
@@ -38,10 +38,16 @@ class TextScorer(Model, _Columns, MLReadable, MLWritable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         text, label, p = (self.getOrDefault(c) for c in ("textCol", "predictionCol", "probabilityCol"))
-        terms = "_scorer_terms"
-        rows = with_terms(dataset, text_col=text, out=terms)
-        margin = CL.margin_in_row(self.classifier, F.col(terms))
-        rows = rows.withColumn(p, CL.probability(margin)).drop(terms)
+        if CL.fits_in_row(self.classifier):
+            terms = "_scorer_terms"
+            rows = with_terms(dataset, text_col=text, out=terms)
+            margin = CL.margin_in_row(self.classifier, F.col(terms))
+            rows = rows.withColumn(p, CL.probability(margin)).drop(terms)
+        elif dataset.isStreaming:
+            raise CL.ModelError(f"the weight table has more than {CL.IN_ROW_TERMS} terms; score the stream by stream_score")
+        else:
+            rows = CL.with_margin(self.classifier, dataset, text, "_scorer_margin")
+            rows = rows.withColumn(p, CL.probability(F.col("_scorer_margin"))).drop("_scorer_margin")
         positive, negative = self.classifier.positive, self.classifier.negative
         return rows.withColumn(label, F.when(F.col(p) > 0.5, F.lit(positive)).otherwise(F.lit(negative)))
 

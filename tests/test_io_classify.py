@@ -11,7 +11,7 @@ from msgsift.sources.delimited import read_messages, resolve_columns
 from msgsift.operators.stage import TextClassifierStage, TextScorer
 from msgsift.plans import queries
 from msgsift.sources.tables import read_table
-from msgsift.streaming.score import score_requests, stream_score
+from msgsift.streaming.score import read_scores, score_requests, stream_score
 from tests.conftest import SF
 
 
@@ -289,3 +289,31 @@ def test_a_restarted_stream_loses_and_repeats_nothing(spark, tmpdir_path):
     run()
     batch = score_requests(clf, spark.createDataFrame(REQUESTS, REQUEST_SCHEMA))
     assert _facts(spark.read.parquet(f"{tmpdir_path}/out")) == _facts(batch)
+
+
+def test_large_weight_tables_are_joined(spark, tmpdir_path, monkeypatch):
+    """Above ``IN_ROW_TERMS`` no worker holds the table; streams, a restart and stages give the same results."""
+    clf = CL.fit_classifier(spark.createDataFrame(TRAIN, SCHEMA))
+    batch = _facts(score_requests(clf, spark.createDataFrame(REQUESTS, REQUEST_SCHEMA)))
+    new = spark.createDataFrame([(1, "free prize"), (1, "see you"), (None, None), (4, "")], "row_id long, text string")
+    stage = [tuple(r) for r in TextScorer(clf).transform(new).collect()]
+    monkeypatch.setattr(CL, "IN_ROW_TERMS", 2)
+    plan = score_requests(clf, spark.createDataFrame(REQUESTS, REQUEST_SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Python" not in plan
+
+    def run():
+        src = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{tmpdir_path}/in")
+        stream_score(clf, src, f"{tmpdir_path}/out", f"{tmpdir_path}/ck").awaitTermination()
+
+    for k in range(2):
+        spark.createDataFrame(REQUESTS[k::3], REQUEST_SCHEMA).coalesce(1).write.mode("append").json(f"{tmpdir_path}/in")
+    run()
+    for name in ("1", ".1.crc"):
+        if os.path.exists(f"{tmpdir_path}/ck/commits/{name}"):
+            os.remove(f"{tmpdir_path}/ck/commits/{name}")
+    spark.createDataFrame(REQUESTS[2::3], REQUEST_SCHEMA).coalesce(1).write.mode("append").json(f"{tmpdir_path}/in")
+    run()
+    assert _facts(read_scores(spark, f"{tmpdir_path}/out")) == batch
+    joined = [tuple(r) for r in TextScorer(clf).transform(new).collect()]
+    key = lambda r: (str(r[0]), str(r[1]), r[3], round(r[2], 12))
+    assert sorted(map(key, joined)) == sorted(map(key, stage))
