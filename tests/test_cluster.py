@@ -175,3 +175,20 @@ def test_run_records_replace_their_own_provider_only(spark, tmpdir_path):
     got = {r.embedding_provider: (r.embedding_notes, r.total_messages) for r in spark.read.parquet(f"{tmpdir_path}/runs").collect()}
     assert got == {"one": ("again", 8), "two": ("other", 8)}
     assert {r.status for r in K.provider_comparison(spark.read.parquet(f"{tmpdir_path}/runs"), ["one", "two"]).collect()} == {"generated"}
+
+
+def test_driver_gets_one_copy_of_large_sums(spark, monkeypatch):
+    """Eight tasks with 320 kB each are added by tasks: one band reaches the driver, not eight."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    from msgsift.operators.row_blocks import summed_rows
+    got, collect = [], Classic.collect
+    monkeypatch.setattr(Classic, "collect", lambda self: got.append(collect(self)) or got[-1])
+    rows = spark.range(0, 800, 1, 8).select(F.array(F.col("id").cast("double")).alias("x"))
+
+    def add(x, out):
+        out[0] += x.sum()
+
+    total = summed_rows(rows, add, [40_000], tasks=8)[0]
+    assert (total == 800 * 799 / 2).all() and [len(r) for r in got] == [1]

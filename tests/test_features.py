@@ -122,3 +122,16 @@ def test_lsa_of_a_table_equals_numpy_svd(spark):
     want = np.where(norm > 1e-9, want / np.where(norm > 0, norm, 1), 0)
     have = np.array([got[r] for r in ids])
     assert np.abs(have @ have.T - want @ want.T).max() < 1e-6 and meta["passes"] < 30
+
+
+def test_rows_that_share_an_id_are_added_in_few_shuffles(spark):
+    rows = [(1, ["a", "a", "b"]), (1, ["a", "c"]), (2, ["zzz"]), (2, []), (None, ["b"]), (3, None)]
+    df = spark.createDataFrame(rows, "row_id long, terms array<string>")
+    vocab = spark.createDataFrame([(0, "a", 1.0), (1, "b", 2.0)], "idx int, term string, idf double")
+    out = FT.tfidf_transform(df, vocab)
+    got = {(r.row_id, r.term): r.weight for r in out.collect()}
+    wa, wb = 1 + np.log(3), 2.0
+    norm = np.hypot(wa, wb)
+    want = {(1, "a"): wa / norm, (1, "b"): wb / norm, (2, None): None, (None, "b"): 1.0, (3, None): None}
+    assert got.keys() == want.keys() and all(want[k] is None and got[k] is None or abs(got[k] - want[k]) < 1e-12 for k in want)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 0

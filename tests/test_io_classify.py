@@ -317,3 +317,25 @@ def test_large_weight_tables_are_joined(spark, tmpdir_path, monkeypatch):
     joined = [tuple(r) for r in TextScorer(clf).transform(new).collect()]
     key = lambda r: (str(r[0]), str(r[1]), r[3], round(r[2], 12))
     assert sorted(map(key, joined)) == sorted(map(key, stage))
+
+
+def test_terms_of_unlabelled_rows_stay_in_the_model(spark):
+    rows = [*TRAIN, (5, None, "lonely words"), (6, None, "lonely words")]
+    weights = {r.term: r.coefficient for r in CL.fit_classifier(spark.createDataFrame(rows, SCHEMA)).weights.collect()}
+    assert weights["lonely words"] == 0.0 and weights["free prize"] > 0
+
+
+def test_fit_sends_no_vector_of_the_vocabulary_to_the_driver(spark, monkeypatch):
+    """Passes return one number per row, whatever the number of terms."""
+    from msgsift.operators import newton
+    lengths, summed = [], newton.summed_columns
+
+    def spy(blocks, parts, sizes, *arrays, **kw):
+        lengths.append((sum(sizes), max(a.size for a in arrays)))
+        return summed(blocks, parts, sizes, *arrays, **kw)
+
+    monkeypatch.setattr(newton, "summed_columns", spy)
+    rows = [(i, ("spam", "ham")[i % 2], " ".join(f"w{(i // 2 + k) % 400}" for k in range(200))) for i in range(20)]
+    clf = CL.fit_classifier(spark.createDataFrame(rows, SCHEMA))
+    assert clf.weights.count() > 400 and max(max(x) for x in lengths) <= 20 * 20
+    assert CL.fit_report(clf, spark.createDataFrame(rows, SCHEMA)).first().gradient_vanishes
