@@ -71,3 +71,31 @@ def test_average_precision_matches_brute_force(spark):
     assert abs(ap - brute) < 1e-12 and len(order) == 300
     curve = EV.pr_curve(pred).collect()
     assert len(curve) == len(np.unique(s)) + 1
+
+
+def test_predictions_read_the_texts_once(spark):
+    """The plan of the predictions starts at stored tokens; scores are those of a plain sum, without a text too."""
+    from msgsift.plans.inputs import ratio_predictions
+    rows = [(1, "spam", "win win now", "train"), (2, "ham", "hello you", "train"), (3, "spam", "win you now now", "test"),
+            (4, "ham", "", "test"), (5, "ham", "unseen hello", "test"), (5, "ham", "hello", "test")]
+    df = spark.createDataFrame(rows, "row_id long, label string, text string, split string")
+    out = ratio_predictions(df, text=False)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "text" not in out.columns
+    a = {w: math.log(((s + .5) / (3 + .5 * 4)) / ((h + .5) / (2 + .5 * 4))) for w, s, h in
+         (("win", 2, 0), ("now", 1, 0), ("hello", 0, 1), ("you", 0, 1))}
+    want = {3: a["win"] + a["you"] + 2 * a["now"], 4: 0.0, 5: 2 * a["hello"]}
+    got = out.collect()
+    assert sorted(r.row_id for r in got) == [3, 4, 5, 5]
+    assert all(abs(r.spam_probability - 1 / (1 + math.exp(-want[r.row_id]))) < 1e-8 for r in got)
+    assert sorted(r.text for r in ratio_predictions(df).collect()) == ["", "hello", "unseen hello", "win you now now"]
+
+
+def test_grouped_split_cuts_a_table_of_keys(spark):
+    """Attempts look at keys and labels only: the texts are read for them and for the sides; a null text is a group."""
+    rows = [(i, "spam" if i % 3 == 0 else "ham", None if i % 40 == 3 else f"msg {i % 40}") for i in range(1, 200)]
+    df = spark.createDataFrame(rows, "row_id long, label string, text string")
+    sp, seed = S.grouped_split(df)
+    once = S.grouped_split_once(df, seed=seed)
+    assert sorted(map(tuple, sp.collect()), key=str) == sorted(map(tuple, once.collect()), key=str)
+    assert 0 < once.where("split = 'test'").count() < 199
