@@ -17,12 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from msgsift.functions.labels import DEFAULT_LABELS
 from msgsift.functions.text import counted, make_ngrams, occurrences, tokenize
 from msgsift.operators._util import label_order, pct, top_n_ranked
+from msgsift.session import on_files
 
 
 class TextAnalysisError(ValueError):
@@ -236,6 +237,54 @@ def typical_terms(
     return ranked.select(F.col("rank").cast("int").alias("rank"), *scores.columns)
 
 
+def _ngram_hash(gram: Column) -> Column:
+    return F.xxhash64(gram)
+
+
+def _ngrams_at(df: DataFrame, n: int, tokens_col: str, keep: Sequence[str]) -> DataFrame:
+    """(*keep, pos, n, h, ngram): the n-grams of every row with their places and 64-bit hashes."""
+    at = df.select(*keep, F.col(tokens_col).alias("_t"), F.posexplode(tokens_col).alias("pos", "ngram"))
+    gram = F.col("ngram")
+    for k in range(1, n):
+        gram = F.concat_ws(" ", gram, F.get("_t", F.col("pos") + F.lit(k)))
+    at = at.where(F.col("pos") + F.lit(n) <= F.size("_t")).select(*keep, "pos", gram.alias("ngram"))
+    return at.select(*keep, "pos", F.lit(n).alias("n"), _ngram_hash(F.col("ngram")).alias("h"), "ngram")
+
+
+def _ngram_candidates(df: DataFrame, sizes: Sequence[int], top_n: int, min_count: int, tokens_col: str) -> DataFrame:
+    """(n, h, count, known, row, rank) of the hashes that can hold one of the ``top_n`` n-grams.
+
+    Counted by hash, an aggregate over numbers alone. A hash has at least the count and at most the
+    first row of each of its n-grams, so it ranks no lower; hashes tied in the last place all stay.
+    """
+    hashes = [_ngrams_at(df, n, tokens_col, ["row_id"]).select("n", "h", "row_id") for n in sizes]
+    rows = hashes[0]
+    for h in hashes[1:]:
+        rows = rows.unionAll(h)
+    stats = rows.groupBy("n", "h").agg(F.count(F.lit(1)).alias("count"), F.min(F.when(F.col("row_id").isNull(), 0).otherwise(1)).alias("known"),
+                                       F.min("row_id").alias("row"))
+    w = Window.partitionBy("n").orderBy(F.desc("count"), F.asc("known"), F.asc("row"))
+    return stats.where(F.col("count") >= min_count).withColumn("rank", F.rank().over(w)).where(F.col("rank") <= top_n)
+
+
+def _exact_ngrams(df: DataFrame, sizes: Sequence[int], candidates: DataFrame, tokens_col: str) -> DataFrame:
+    """(n, ngram, count, document_count, first_seen) of all n-grams with a hash in ``candidates``."""
+    tagged = df.select("row_id", tokens_col, F.monotonically_increasing_id().alias("_r"))
+    wanted = F.broadcast(candidates.select("n", "h"))
+    found = [_ngrams_at(tagged, n, tokens_col, ["row_id", "_r"]).join(wanted, ["n", "h"]) for n in sizes]
+    rows = found[0]
+    for f in found[1:]:
+        rows = rows.unionAll(f)
+    per_row = rows.groupBy("n", "ngram", "_r").agg(F.count(F.lit(1)).alias("c"), F.min("pos").alias("pos"), F.min("row_id").alias("row_id"))
+    stats = per_row.groupBy("n", "ngram").agg(F.sum("c").alias("count"), F.count("row_id").alias("document_count"), F.min("row_id").alias("_row"),
+                                              F.min_by("pos", "row_id").alias("_pos"))
+    return stats.select("n", "ngram", "count", "document_count", F.struct(F.col("_row").alias("row_id"), F.col("_pos").alias("pos")).alias("first_seen"))
+
+
+def _hash_order(count: int, row) -> tuple:
+    return (-count, row is not None, 0 if row is None else row)
+
+
 def frequent_ngrams(
     df: DataFrame,
     *,
@@ -243,33 +292,43 @@ def frequent_ngrams(
     top_n: int = 30,
     min_count: int = 1,
     tokens_col: str = "tokens",
+    stored: bool = False,
 ) -> DataFrame:
     """Top-N n-grams per size with counts, document counts and percentages.
 
-    All sizes are aggregated in one pass with ``n`` as a grouping key; top-N per
-    ``n`` uses a ranked window that Spark turns into a per-partition
-    ``WindowGroupLimit`` before the shuffle.
+    All n-grams are first counted by a 64-bit hash, then those under the leading hashes by
+    themselves. That is exact if ``top_n`` of them rank no lower than the last of these hashes; else
+    (n-grams that share a hash) all are counted by themselves. ``stored``: ``df`` is a table on
+    files already, so the tokens needn't be written for the passes.
     """
     if top_n < 1:
         raise TextAnalysisError(f"top_n is {top_n}; it counts rows from 1")
     if min_count < 1:
         raise TextAnalysisError(f"min_count is {min_count}; it counts occurrences from 1")
-    base = df.select("row_id", tokens_col)
-    for n in sizes:
-        base = base.withColumn(f"_g{n}", make_ngrams(F.col(tokens_col), n))
-    grams = occurrences(base, {n: f"_g{n}" for n in sizes}).withColumnRenamed("token", "ngram")
-    stats = counted(grams, ["n", "ngram"])
+    df = df.select("row_id", tokens_col)
+    df = df if stored else on_files(df, "tokens")
+    sizes = list(dict.fromkeys(sizes))
     # A row of k tokens has k - n + 1 n-grams, so totals need no n-gram at all.
     totals = df.agg(F.count(F.lit(1)).alias("messages"), *[
         F.coalesce(F.sum(F.greatest(F.size(tokens_col) - F.lit(n - 1), F.lit(0))), F.lit(0)).alias(f"t{n}") for n in sizes]).first()
     n_total = F.element_at(F.create_map(*[F.lit(x) for n in sizes for x in (n, totals[f"t{n}"])]), F.col("n"))
     total_messages = F.lit(totals["messages"])
+    candidates = on_files(_ngram_candidates(df, sizes, top_n, min_count, tokens_col), "ngram-hashes")
+    # At most top_n hashes and those of one more row that tie with the last.
+    stats = on_files(_exact_ngrams(df, sizes, candidates, tokens_col), "ngrams").where(F.col("count") >= min_count)
     w = Window.partitionBy("n").orderBy(F.desc("count"), F.asc("first_seen"))
-    top = (
-        stats.filter(F.col("count") >= min_count)
-        .withColumn("rank", F.row_number().over(w))
-        .filter(F.col("rank") <= top_n)
-    )
+    last = {r["n"]: (r["hashes"], _hash_order(*r["last"])) for r in candidates.groupBy("n").agg(
+        F.count(F.lit(1)).alias("hashes"), F.max_by(F.struct("count", F.when(F.col("known") == 1, F.col("row"))), "rank").alias("last")).collect()}
+    leading = stats.withColumn("rank", F.row_number().over(w)).where(F.col("rank") == top_n).collect()
+    reached = {r["n"]: _hash_order(r["count"], r["first_seen"]["row_id"]) for r in leading}
+    # Fewer hashes than top_n are all hashes there are.
+    if any(n not in reached or reached[n] > order for n, (hashes, order) in last.items() if hashes >= top_n):
+        base = df
+        for n in sizes:
+            base = base.withColumn(f"_g{n}", make_ngrams(F.col(tokens_col), n))
+        grams = occurrences(base, {n: f"_g{n}" for n in sizes}).withColumnRenamed("token", "ngram")
+        stats = counted(grams, ["n", "ngram"]).filter(F.col("count") >= min_count)
+    top = stats.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
     return top.withColumn("n_total", n_total).select(
         F.col("rank").cast("int").alias("rank"),
         F.col("n").cast("int").alias("n"),
@@ -284,8 +343,10 @@ def frequent_ngrams(
 
 def report_tables(df: DataFrame, *, top_words: int = 50, top_terms: int = 30, top_ngrams: int = 30, min_count: int = 1,
                   tokens_col: str = "tokens") -> dict[str, DataFrame]:
-    """The six report tables: words, vocabulary per label, typical spam and ham terms, bi- and trigrams."""
-    scores = term_scores(df, min_count=min_count, tokens_col=tokens_col)
+    """The six report tables: words, vocabulary per label, typical spam and ham terms, bi- and trigrams.
+    The tokens and the term scores are written once to the shared folder and read by all of them."""
+    df = on_files(df.select("row_id", "label", tokens_col), "report-tokens")
+    scores = on_files(term_scores(df, min_count=min_count, tokens_col=tokens_col), "report-scores")
     if scores.isEmpty():
         raise TextAnalysisError(f"no token occurs {min_count} times")
     return {
@@ -293,6 +354,6 @@ def report_tables(df: DataFrame, *, top_words: int = 50, top_terms: int = 30, to
         "vocabulary_by_label": vocabulary_by_label(df, tokens_col=tokens_col),
         "spam_terms": typical_terms(scores, top_terms),
         "ham_terms": typical_terms(scores, top_terms, positive="ham", negative="spam"),
-        "bigrams": frequent_ngrams(df, sizes=(2,), top_n=top_ngrams, tokens_col=tokens_col),
-        "trigrams": frequent_ngrams(df, sizes=(3,), top_n=top_ngrams, tokens_col=tokens_col),
+        "bigrams": frequent_ngrams(df, sizes=(2,), top_n=top_ngrams, tokens_col=tokens_col, stored=True),
+        "trigrams": frequent_ngrams(df, sizes=(3,), top_n=top_ngrams, tokens_col=tokens_col, stored=True),
     }

@@ -79,3 +79,48 @@ def test_merged_sketches_are_near_the_exact_counts(spark, tmpdir_path):
     few = C.token_sketches(_msgs(spark, [(1, "ham", "a b a"), (2, None, "b c"), (3, "spam", "")]), ["label"])
     assert {r.label: r.unique_tokens for r in C.merged_unique_tokens(few, ["label"]).collect()} == {"ham": 2, None: 2, "spam": 0}
     assert C.merged_unique_tokens(few).first().unique_tokens == 3
+
+
+@pytest.mark.parametrize("buckets", [None, 7])
+def test_ngrams_counted_by_hash_equal_a_plain_count(spark, monkeypatch, buckets):
+    """Also with hashes that many n-grams share, repeated and null ids and ties in the last place."""
+    if buckets:
+        monkeypatch.setattr(C, "_ngram_hash", lambda gram: C.F.abs(C.F.xxhash64(gram)) % buckets)
+    rows = [(None if i == 5 else i % 17, "ham", " ".join(f"w{(i * j * j + j) % 11}x" for j in range(i % 9))) for i in range(40)]
+    m = _msgs(spark, rows)
+    for least in (1, 3):
+        got = C.frequent_ngrams(m, sizes=(2, 3), top_n=6, min_count=least).collect()
+        for n in (2, 3):
+            count, docs, first = {}, {}, {}
+            for row, _, text in rows:
+                t = text.split()
+                grams = [" ".join(t[k:k + n]) for k in range(len(t) - n + 1)]
+                for g in grams:
+                    count[g] = count.get(g, 0) + 1
+                for g in set(grams):
+                    docs[g] = docs.get(g, 0) + (row is not None)
+                    if row is not None:
+                        first[g] = min(first.get(g, 99), row)
+            best = sorted((c for c in count.values() if c >= least), reverse=True)[:6]
+            mine = sorted((r for r in got if r.n == n), key=lambda r: r["rank"])
+            assert [r["count"] for r in mine] == best and len({r.ngram for r in mine}) == len(best)
+            assert all((r["count"], r.document_count) == (count[r.ngram], docs[r.ngram]) for r in mine)
+            keys = [(-r["count"], first.get(r.ngram, -1)) for r in mine]
+            assert keys == sorted((-c, first.get(g, -1)) for g, c in count.items() if c >= least)[:6]
+
+
+def test_ngrams_are_shuffled_as_numbers(spark, tmp_path):
+    """The pass over all n-grams groups by a hash, and the tokens come from a table."""
+    m = _msgs(spark, [(1, "ham", "a b a b"), (2, "ham", "b a")])
+    stats = C._ngram_candidates(m, (2, 3), 5, 1, "tokens")
+    assert {f.dataType.typeName() for f in stats.schema if f.name in ("n", "h", "count", "row")} <= {"integer", "long"}
+    plan = C.frequent_ngrams(m)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+
+
+def test_report_tables_read_stored_tokens(spark):
+    m = _msgs(spark, [(1, "ham", "some words some"), (2, "spam", "other words here")])
+    tables = C.report_tables(m)
+    for name, df in tables.items():
+        assert "regexp_extract_all" not in df._jdf.queryExecution().optimizedPlan().toString(), name
+    assert {r.ngram for r in tables["trigrams"].collect()} == {"some words some", "other words here"}
