@@ -160,9 +160,10 @@ def quoted_records(spark: SparkSession, path: str, sep: str) -> DataFrame:
 def read_quoted(spark: SparkSession, path: str, schema: StructType, *, sep: str, header: bool, encoding: str) -> DataFrame:
     """The columns of ``schema`` plus ``_order`` = (file, block, pos)."""
     records = quoted_records(spark, path, sep)
-    first = Window.partitionBy("file").orderBy("block", "pos")
-    heads = records.where((F.col("block") == 0)).withColumn("r", F.row_number().over(first)).where("r = 1")
-    heads = heads.select(F.col("file").alias("hf"), F.col("pos").alias("hp"), (F.substring(F.col("record"), -1, 1) == F.lit(bytearray(b"\r"))).alias("cr"))
+    # The least position of the first block, with a bit for its line end: no record is sorted or shuffled for it.
+    cr = F.substring(F.col("record"), -1, 1) == F.lit(bytearray(b"\r"))
+    heads = records.where(F.col("block") == 0).groupBy(F.col("file").alias("hf")).agg(F.min(F.col("pos") * 2 + cr.cast("long")).alias("m"))
+    heads = heads.select("hf", F.expr("m div 2").alias("hp"), (F.col("m") % 2 == 1).alias("cr"))
     # One row per file. A file whose first record ends in a carriage return has such line ends.
     records = records.join(F.broadcast(heads), F.col("file") == F.col("hf"), "left")
     if header:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from msgsift.functions.labels import normalize_label
 from msgsift.functions.text import strip_ws
 from msgsift.operators.quality import assign_row_id, dedup_keep_first, enforce_quality, validation_counts
-from msgsift.session import cut_lineage
 from msgsift.sources.delimited import read_messages, resolve_columns
 from msgsift.sources.sinks import load_messages, write_messages, write_summary_json
 
@@ -24,8 +23,8 @@ def validate_dataset(spark: SparkSession, raw_path: str, out_path: str, summary_
     raw, opts = read_messages(spark, raw_path, quoting=quoting)
     label_col, text_col = resolve_columns(raw)
     columns = [c for c in raw.columns if c != "_order"]
-    raw = cut_lineage(assign_row_id(raw.select(F.col(f"`{label_col}`").alias("label"), F.col(f"`{text_col}`").alias("text"), "_order"),
-                                    ["_order"]).drop("_order"))
+    raw = assign_row_id(raw.select(F.col(f"`{label_col}`").alias("label"), F.col(f"`{text_col}`").alias("text"), "_order"),
+                        ["_order"]).drop("_order")
     enforce_quality(raw)
     messages = raw.select("row_id", normalize_label(F.col("label")).alias("label"), strip_ws(F.col("text")).alias("text"))
     if drop_duplicates:

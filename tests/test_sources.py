@@ -166,3 +166,30 @@ def test_split_quoted_files_equal_the_multiline_read(spark, tmpdir_path, sep, en
     one = [(r.label, r.text) for r in got if r._order.file.endswith("part-1.csv")]
     single = reader.option("header", str(header).lower()).csv(os.path.join(folder, "part-1.csv")).collect()
     assert one == [tuple(r) for r in single]  # one file is read in order
+
+
+def test_numbering_and_counts_leave_the_texts_alone(spark, tmpdir_path):
+    """Numbered rows lie in columns, and the counts of kept rows carry no text through the shuffle."""
+    from msgsift.operators.quality import assign_row_id, dedup_keep_first
+    rows = spark.createDataFrame([(i, "ham" if i % 3 else "spam", f"t{i % 5}") for i in range(40)], "k int, label string, text string")
+    numbered = assign_row_id(rows, ["k"])
+    assert "Relation [" in numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.row_id for r in numbered.orderBy("k").collect()] == list(range(1, 41))
+    kept = dedup_keep_first(numbered, renumber=False, columns=["label"])
+    assert kept.columns == ["row_id", "label"]
+    full = dedup_keep_first(numbered, renumber=False)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, full.select("row_id", "label").collect()))
+
+
+def test_first_records_of_files_are_found_without_a_window(spark, tmpdir_path):
+    """Headers are left out of every file, whatever their line ends."""
+    from msgsift.sources.quoted import read_quoted
+    from pyspark.sql.types import StringType, StructField, StructType
+    os.makedirs(f"{tmpdir_path}/two")
+    _file(f"{tmpdir_path}/two", "a.csv", 'v1,v2\r\nham,"x\r\ny"\r\n')
+    _file(f"{tmpdir_path}/two", "b.csv", '\nv1,v2\nspam,z\n')
+    schema = StructType([StructField("v1", StringType()), StructField("v2", StringType())])
+    df = read_quoted(spark, f"{tmpdir_path}/two", schema, sep=",", header=True, encoding="utf-8")
+    assert sorted((r.v1, r.v2) for r in df.collect()) == [("ham", "x\ny"), ("spam", "z")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan
