@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from msgsift.streaming.limiter_state import decide, late_counts, rate_limit_stateful, rocksdb_state
+from msgsift.streaming.limiter_state import LimiterProcessor, decide, late_counts, rate_limit_stateful, rocksdb_state
 from msgsift.streaming.ratelimit import rate_limit_decisions, rate_limit_stream
 from tests.conftest import SF
 
@@ -162,3 +162,48 @@ def test_stateful_limiter_with_a_hot_client_equals_the_batch_operator(spark, tmp
 def test_stateful_limiter_needs_a_positive_quota(spark):
     with pytest.raises(ValueError, match="requests is 0"):
         rate_limit_stateful(spark.readStream.format("rate").load(), requests=0, client_col="value", time_col="timestamp", id_col="value")
+
+
+class _Calls:
+    """Stands for the handle, both states and the timer values of a client without state; counts the calls."""
+
+    def __init__(self, watermark_ms=0):
+        self.watermark_ms, self.calls = watermark_ms, []
+
+    def getListState(self, *a):
+        return self
+
+    getValueState = getListState
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark_ms
+
+    def __getattr__(self, name):
+        return lambda *a: self.calls.append(name)
+
+
+def test_a_client_whose_window_the_micro_batch_closes_takes_one_call_and_one_row():
+    s = 1_000_000
+    for delay_ms, stored in ((30_000, False), (39_999, False), (40_001, True), (200_000, True), (None, True)):
+        calls, p = _Calls(), LimiterProcessor(2, 10 * s, delay_ms)
+        p.init(calls)
+        list(p.handleInputRows(("b",), [(1, "b", 150 * s)], calls))
+        calls.calls.clear()
+        out = list(p.handleInputRows(("a",), [(5, "a", 100 * s), (4, "a", 99 * s), (6, "a", 100 * s)], calls))
+        assert [(r.client, r.late, list(r.event_id), list(r.retry_after)) for r in out] == [("a", False, [4, 5, 6], [0, 0, 9])]
+        assert calls.calls == ["exists"] + stored * ["put", "update", "registerTimer"], delay_ms
+
+
+def test_the_only_watermark_of_a_query_changes_no_decision(spark, tmp_path):
+    """Quiet clients are not stored, those whose window stays open are; late events and the rest are as before."""
+    base = datetime(2024, 1, 1)
+    rows = [(i, f"client-{i * i % 23}", base + timedelta(seconds=i * 3 + i * 7 % 20)) for i in range(400)]
+    batches = [rows[:150], rows[150:151], rows[151:300], [*rows[300:], (1000, "client-1", base), (1001, None, rows[-1][2])]]
+    got = []
+    for only in (False, True):
+        out = _stateful(spark, f"{tmp_path}/{only}", batches, requests=2, window_seconds=120, lateness="60 seconds", only_watermark=only)
+        got.append(sorted((tuple(r) for r in out.collect()), key=str))
+    assert got[0] == got[1] and len(got[0]) == 402
+    assert [r[0] for r in got[0] if r[5]] == [1000] and any(r[3] is False for r in got[0])
+    for name in ("allowed_us", "clock_us"):
+        assert _state(spark, f"{tmp_path}/True", name) == _state(spark, f"{tmp_path}/False", name) != []
