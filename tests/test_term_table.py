@@ -108,3 +108,13 @@ def test_tables_on_files_leave_no_shuffle(spark):
     on_files(counts, "counts")
     cut_lineage(counts.select("k"))
     assert not _left(spark, before)
+
+
+def test_vectors_hold_their_arrays_once(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b", "a"]), (3, ["c"])], TERMS)
+    vocab = cut_lineage(FT.build_vocabulary(df, min_df=2))
+    vec = FT.assemble_sparse(FT.to_sparse_rows(FT.tfidf_transform(df, vocab, term=False), vocab.count()))
+    assert vec.columns == ["row_id", "size", "features"]
+    got = {r.row_id: r.features for r in vec.collect()}
+    assert got[1].indices.tolist() == [0, 1] and got[3].indices.tolist() == [] and got[2].size == 2
+    assert abs(got[1].values[0] - (1 + math.log(2)) / math.hypot(1 + math.log(2), 1)) < 1e-12
