@@ -9,10 +9,14 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from msgsift.operators import classify as CL
 from msgsift.operators import features as FT
+from msgsift.operators import newton
 from msgsift.operators import packing as PK
 from msgsift.operators import term_table as T
+from msgsift.plans import queries
 from msgsift.session import cut_lineage, on_files
+from tests.test_io_classify import SCHEMA, _newton
 
 TERMS = "row_id long, terms array<string>"
 WORDS = ["", "a", "ab", "b c", "é", "日本", "x" * 300, "a b", "zz"] + [f"w{k}" for k in range(40)]
@@ -118,3 +122,38 @@ def test_vectors_hold_their_arrays_once(spark):
     got = {r.row_id: r.features for r in vec.collect()}
     assert got[1].indices.tolist() == [0, 1] and got[3].indices.tolist() == [] and got[2].size == 2
     assert abs(got[1].values[0] - (1 + math.log(2)) / math.hypot(1 + math.log(2), 1)) < 1e-12
+
+
+def _tables(spark, path):
+    words = ["free", "prize", "claim", "home", "later", "see", "you"]
+    docs = [(i, " ".join(words[(i * k + k) % 7] for k in range(1, 8)) if i else None) for i in range(60)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, int(i % 3 == 0)) for i in range(50)], "doc_id long, quality long, toxic long").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, "free prize"), (2, "see you"), (3, None)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+def test_fits_use_every_row(spark, tmpdir_path, monkeypatch):
+    """No fit asks for a part of its rows, in any of the queries."""
+    def no(*a, **kw):
+        raise AssertionError("a sample was asked for")
+
+    monkeypatch.setattr(CL, "bounded_rows", no)
+    sf = _tables(spark, f"{tmpdir_path}/sf")
+    got = queries.QUERIES["fit_classifier"](spark, sf).first()
+    assert got.rows == 40 and got.gradient_vanishes
+
+
+def test_a_fit_with_few_directions_equals_newton(spark, monkeypatch):
+    monkeypatch.setattr(newton, "RANK_NUMBERS", 1)
+    words = ["alpha", "beta", "gamma", "delta", "prize", "claim", "home", "later"]
+    rows = [(i, "spam" if i % 3 == 0 else "ham", " ".join(words[(i * k + k * k) % 8] for k in range(1, 6))) for i in range(60)]
+    train = spark.createDataFrame(rows, SCHEMA)
+    clf = CL.fit_classifier(train)
+    weights = clf.weights.orderBy("idx").toPandas()
+    long = FT.tfidf_transform(FT.with_terms(train), clf.weights).toPandas().dropna()
+    x = np.zeros((60, len(weights)))
+    x[long["row_id"].astype(int), long["idx"].astype(int)] = long["weight"]
+    y = np.array([r[1] == "spam" for r in rows], float)
+    exact = _newton(x, y, np.where(y > 0, 60 / (2 * y.sum()), 60 / (2 * (60 - y.sum()))))
+    assert np.abs(np.append(weights["coefficient"], clf.intercept) - exact).max() < 1e-5
