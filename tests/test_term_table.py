@@ -16,7 +16,8 @@ from msgsift.operators import packing as PK
 from msgsift.operators import term_table as T
 from msgsift.plans import queries
 from msgsift.session import cut_lineage, on_files
-from tests.test_io_classify import SCHEMA, _newton
+from msgsift.streaming import score
+from tests.test_io_classify import REQUEST_SCHEMA, REQUESTS, SCHEMA, TRAIN, _facts, _newton
 
 TERMS = "row_id long, terms array<string>"
 WORDS = ["", "a", "ab", "b c", "é", "日本", "x" * 300, "a b", "zz"] + [f"w{k}" for k in range(40)]
@@ -157,3 +158,17 @@ def test_a_fit_with_few_directions_equals_newton(spark, monkeypatch):
     y = np.array([r[1] == "spam" for r in rows], float)
     exact = _newton(x, y, np.where(y > 0, 60 / (2 * y.sum()), 60 / (2 * (60 - y.sum()))))
     assert np.abs(np.append(weights["coefficient"], clf.intercept) - exact).max() < 1e-5
+
+
+def test_slices_of_a_micro_batch_give_the_same_scores(spark, tmpdir_path, monkeypatch):
+    clf = CL.fit_classifier(spark.createDataFrame(TRAIN, SCHEMA))
+    want = _facts(score.score_requests(clf, spark.createDataFrame(REQUESTS, REQUEST_SCHEMA)))
+    monkeypatch.setattr(CL, "IN_ROW_TERMS", 2)
+    monkeypatch.setattr(score, "SLICE", 12)
+    for k in range(3):
+        spark.createDataFrame(REQUESTS[k::3], REQUEST_SCHEMA).coalesce(1).write.mode("append").json(f"{tmpdir_path}/in")
+    src = spark.readStream.schema(REQUEST_SCHEMA).json(f"{tmpdir_path}/in")
+    before = _shuffles(spark)
+    score.stream_score(clf, src, f"{tmpdir_path}/out", f"{tmpdir_path}/ck").awaitTermination()
+    assert not _left(spark, before)
+    assert _facts(score.read_scores(spark, f"{tmpdir_path}/out")) == want
