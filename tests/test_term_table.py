@@ -143,7 +143,7 @@ def test_fits_use_every_row(spark, tmpdir_path, monkeypatch):
     sf = _tables(spark, f"{tmpdir_path}/sf")
     got = queries.QUERIES["fit_classifier"](spark, sf).first()
     assert got.rows == 40 and got.gradient_vanishes
-    for name, rows in (("fit_then_load", 10), ("fit_then_predict", 3), ("fit_then_score", 10)):
+    for name, rows in (("fit_then_load", 10), ("fit_then_predict", 3), ("fit_then_score", 10), ("fit_then_stream", 60)):
         assert queries.QUERIES[name](spark, sf).count() == rows
 
 
